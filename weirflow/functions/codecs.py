@@ -12,12 +12,12 @@ import zlib
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 LONG_TEXT = 1000
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _deflate(s: pd.Series) -> pd.Series:
     return s.map(
         lambda t: base64.b64encode(zlib.compress(t.encode("utf-8"))).decode("ascii"),
@@ -25,7 +25,7 @@ def _deflate(s: pd.Series) -> pd.Series:
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _inflate(s: pd.Series) -> pd.Series:
     return s.map(lambda t: zlib.decompress(base64.b64decode(t)).decode("utf-8"), na_action="ignore")
 
@@ -37,7 +37,7 @@ def _gunzip_or_same(text: str) -> str:
         return text
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _gunzip_text(s: pd.Series) -> pd.Series:
     return s.map(_gunzip_or_same, na_action="ignore")
 
@@ -49,7 +49,7 @@ def _gunzip_or_none(data: bytes) -> str | None:
         return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _gunzip_bytes(s: pd.Series) -> pd.Series:
     return s.map(_gunzip_or_none, na_action="ignore")
 
