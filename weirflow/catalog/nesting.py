@@ -48,7 +48,7 @@ def unnest_items(spark, d):
 
 @register("nest_many", """SELECT l_suppkey, count(*) AS n_lines,
   count(*) FILTER (l_returnflag = 'R') AS n_returns, count(*) FILTER (l_tax = 0) AS n_taxfree,
-  sum(CAST(l_quantity AS BIGINT)) FILTER (l_returnflag = 'R') AS returned FROM lineitem GROUP BY l_suppkey""")
+  CAST(sum(CAST(l_quantity AS BIGINT)) FILTER (l_returnflag = 'R') AS BIGINT) AS returned FROM lineitem GROUP BY l_suppkey""")
 def nested_parts(spark, d):
     """Three arrays per supplier, grouped in one pass; hot suppliers in slices of 500."""
     log = table(spark, d, "lineitem").withColumn("quantity", F.col("l_quantity").cast("long"))

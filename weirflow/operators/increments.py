@@ -77,20 +77,25 @@ def _pairs(sources: Mapping[str, DataFrame], mark: str, column: str) -> DataFram
 
 
 def _crossing(pairs: DataFrame, unit: str, rank: int):
-    """The ``unit`` in which the ``rank``-th pair falls, and its rank inside that unit.
+    """(hit, last): the ``unit`` holding the ``rank``-th pair with the number of pairs before
+    it, null where there are fewer, and the latest time of all.
 
-    Only one row per unit reaches the running sum.
+    One row per unit reaches the running sum.
     """
-    per_unit = pairs.groupBy(F.date_trunc(unit, "at").alias("slot")).agg(F.count("*").alias("n"))
-    running = F.sum("n").over(Window.orderBy("slot"))
-    return (
-        per_unit.select("slot", (running - F.col("n")).alias("before"), running.alias("through"))
-        .filter(F.col("through") >= rank)
-        .orderBy("slot")
-        .limit(1)
-        .select(F.col("slot").cast("string").alias("slot"), (F.lit(rank) - F.col("before")).alias("rank"))
-        .first()
+    per_unit = pairs.groupBy(F.date_trunc(unit, "at").alias("slot")).agg(
+        F.count("*").alias("n"), F.max("at").alias("last")
     )
+    through = F.sum("n").over(Window.orderBy("slot"))
+    counted = per_unit.select("slot", "n", "last", through.alias("through"))
+    hit = F.struct(F.col("slot").cast("string").alias("slot"), (F.col("through") - F.col("n")).alias("before"))
+    return counted.agg(
+        F.min(F.when(F.col("through") >= rank, hit)).alias("hit"), F.max("last").cast("string").alias("last")
+    ).first()
+
+
+def _within(pairs: DataFrame, slot: str, unit: str) -> DataFrame:
+    start = ts(slot)
+    return pairs.filter((F.col("at") >= start) & (F.col("at") < start + F.expr(f"INTERVAL 1 {unit}")))
 
 
 def capped_last_mark(
@@ -101,17 +106,16 @@ def capped_last_mark(
 
     Rows sharing that time all belong to the window, so the cap never splits a tie.  Instead of
     sorting all pairs, counts per hour and then per second find the one second that holds the
-    answer; only that second is sorted.
+    answer; only that second is sorted.  The later steps read only their hour and second.
     """
     pairs = _pairs(sources, mark, column)
-    total, last = pairs.agg(F.count("*"), F.max("at").cast("string")).first()
-    if total <= cap:
-        return last
-    hour = _crossing(pairs, "hour", cap)
-    in_hour = pairs.filter(F.date_trunc("hour", "at").cast("string") == hour.slot)
-    second = _crossing(in_hour, "second", hour.rank)
-    in_second = in_hour.filter(F.date_trunc("second", "at").cast("string") == second.slot)
-    return in_second.orderBy("at").limit(int(second.rank)).agg(F.max("at").cast("string")).first()[0]
+    by_hour = _crossing(pairs, "hour", cap)
+    if by_hour.hit is None:
+        return by_hour.last
+    in_hour, rank = _within(pairs, by_hour.hit.slot, "HOUR"), cap - by_hour.hit.before
+    by_second = _crossing(in_hour, "second", rank).hit
+    in_second, rank = _within(in_hour, by_second.slot, "SECOND"), rank - by_second.before
+    return in_second.orderBy("at").limit(int(rank)).agg(F.max("at").cast("string")).first()[0]
 
 
 def next_window(
