@@ -1 +1,168 @@
+"""Tokens, vocabulary, TF-IDF, phrases, topics, recommendations, codecs."""
+
+from __future__ import annotations
+
+import base64
+import gzip
+
+import pandas as pd
+from pyspark.sql import functions as F, types as T
+
+from weirflow.catalog import testbed as tb
+from weirflow.catalog.testbed import comparable, sql, table
+from weirflow.functions import fixed
+from weirflow.functions.codecs import compress_long, decrypt_line, gunzip, inflate
+from weirflow.operators.recommend import fold_errors, fold_predictions, top_items
+from weirflow.operators.text import (
+    document_frequency, join_phrases, phrases, term_counts, tfidf, tokens, topic_tokens, vocabulary,
+)
+from weirflow.plans.topics import contrast_corpora
+
 QUERIES: dict = {}
+
+
+def register(name, sql_text):
+    def add(fn):
+        QUERIES[name] = (lambda spark, d: comparable(fn(spark, d)), sql_text)
+        return fn
+    return add
+
+
+def docs(spark, d):
+    """Every document with its topic tokens."""
+    return table(spark, d, "documents").select("doc_id", topic_tokens(F.col("text")).alias("tokens"))
+
+
+_PATTERN = fixed.TOKEN_PATTERN.replace("'", "''")
+_STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in fixed.STOP_WORDS)
+
+WORDS = f"""words AS (
+  SELECT doc_id, i, CASE WHEN regexp_matches(t, '{fixed.URL_PATTERN}') THEN 'URL'
+       WHEN starts_with(t, '@') THEN 'SCREEN_NAME' ELSE lower(t) END AS term
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{_PATTERN}')) AS t,
+               generate_subscripts(regexp_extract_all(text, '{_PATTERN}'), 1) AS i FROM documents))"""
+TOPIC_WORDS = f"""topic_words AS (SELECT * FROM words WHERE length(term) > 4 AND term NOT IN ({_STOP}))"""
+
+
+@register("tokens", sql(WORDS, """SELECT doc_id, term, count(*) AS n FROM words GROUP BY doc_id, term"""))
+def all_tokens(spark, d):
+    every = table(spark, d, "documents").select("doc_id", tokens(F.col("text")).alias("tokens"))
+    return term_counts(every, "doc_id", "tokens").withColumnRenamed("tf", "n")
+
+
+VOCAB = f"""vocab AS (SELECT term, count(DISTINCT doc_id) AS df FROM topic_words GROUP BY term
+  HAVING count(DISTINCT doc_id) >= {fixed.VOCAB_MIN_DOCS}
+  AND count(DISTINCT doc_id) <= floor((SELECT count(*) FROM documents) * {fixed.VOCAB_MAX_SHARE})
+  ORDER BY df DESC, term LIMIT {fixed.VOCAB_MAX_TERMS})"""
+
+
+@register("vocab_limits", sql(WORDS, TOPIC_WORDS, VOCAB, "SELECT * FROM vocab"))
+def vocab_limits(spark, d):
+    return vocabulary(docs(spark, d), "tokens")
+
+
+@register("document_frequency", sql(WORDS, TOPIC_WORDS, "SELECT term, count(DISTINCT doc_id) AS df FROM topic_words GROUP BY term"))
+def frequencies(spark, d):
+    return document_frequency(docs(spark, d), "tokens")
+
+
+@register("tfidf", sql(WORDS, TOPIC_WORDS, VOCAB,
+  "counted AS (SELECT doc_id, term, count(*) AS tf FROM topic_words GROUP BY doc_id, term)",
+  "weighted AS (SELECT c.*, tf * log2((SELECT count(*) FROM documents) / v.df) AS raw FROM counted c JOIN vocab v ON c.term = v.term)",
+  """SELECT doc_id, term, tf, round(coalesce(raw / NULLIF(sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 0), 0), 6) AS weight FROM weighted"""))
+def weights(spark, d):
+    prepared = docs(spark, d)
+    return tfidf(prepared, "doc_id", "tokens", vocabulary(prepared, "tokens"))
+
+
+NEXT_WORDS = "seq AS (SELECT doc_id, term AS a, lead(term) OVER (PARTITION BY doc_id ORDER BY i) AS b FROM topic_words)"
+
+
+@register("phrases", sql(WORDS, TOPIC_WORDS, NEXT_WORDS,
+  "ab AS (SELECT a, b, count(*) AS n FROM seq WHERE b IS NOT NULL GROUP BY a, b)",
+  "w AS (SELECT term, count(*) AS n FROM topic_words GROUP BY term)",
+  """SELECT a, b, n, round(score, 6) AS score FROM (
+    SELECT a, b, ab.n, (ab.n - 5)::DOUBLE / wa.n / wb.n * ((SELECT count(*) FROM w) + (SELECT count(*) FROM ab)) AS score
+    FROM ab JOIN w wa ON ab.a = wa.term JOIN w wb ON ab.b = wb.term WHERE ab.n > 5) WHERE score > 10"""))
+def found_phrases(spark, d):
+    return phrases(docs(spark, d), "tokens")
+
+
+@register("phrase_tokens", None)
+def phrase_tokens(spark, d):
+    """Two- and three-word phrases as single terms, with the number of documents using each."""
+    one = docs(spark, d)
+    two = join_phrases(one, "doc_id", "tokens", phrases(one, "tokens"))
+    three = join_phrases(two, "doc_id", "tokens", phrases(two, "tokens"))
+    return document_frequency(three, "tokens").filter(F.col("term").contains("_"))
+
+
+@register("lda_topics", None)
+def lda_topics(spark, d):
+    """Topics of good and bad documents over one vocabulary."""
+    labelled = table(spark, d, "documents").select("doc_id", "text").join(table(spark, d, "labels"), "doc_id")
+    return contrast_corpora(labelled, "text", "doc_id", "quality", [1, 0], max_share=0.5)
+
+
+# --- recommendations -------------------------------------------------------------------------
+
+
+def ratings(spark, d):
+    """One rating per buyer and product: the mean over the buyer's lines."""
+    lines = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return lines.groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("product_id")).agg(
+        F.avg(F.col("l_quantity").cast("long") % 5 + 1).alias("rating")
+    )
+
+
+@register("als_top5", None)
+def als_top5(spark, d):
+    return top_items(fold_predictions(ratings(spark, d)), 5)
+
+
+@register("als_rmse", None)
+def als_rmse(spark, d):
+    return fold_errors(fold_predictions(ratings(spark, d)))
+
+
+# --- codecs ----------------------------------------------------------------------------------
+
+
+@register("compress_long", "SELECT doc_id, length(text) > 1000 AS packed, md5(text) AS digest FROM documents")
+def compressed(spark, d):
+    """Long texts packed, then unpacked again: the digest must be the text's own."""
+    text = F.col("text")
+    packed = table(spark, d, "documents").select("doc_id", (F.length(text) > 1000).alias("packed"), compress_long(text).alias("stored"))
+    # an expression with several Python calls on one column runs them in one pass
+    back = F.when(F.col("packed"), inflate(F.when(F.col("packed"), F.col("stored")))).otherwise(F.col("stored"))
+    return packed.select("doc_id", "packed", F.md5(back).alias("digest"))
+
+
+@register("gunzip_column", "SELECT page_id, md5(html) AS digest, length(html) AS n FROM pages")
+def gunzip_column(spark, d):
+    """Pages that are not gzip text come back as they are."""
+    return table(spark, d, "pages").select("page_id", gunzip(F.col("html")).alias("html")).select(
+        "page_id", F.md5("html").alias("digest"), F.length("html").alias("n")
+    )
+
+
+# keys of the sample lines, made for this query
+SAMPLE_KEYS = [base64.b64encode(bytes([n] * 32)).decode("ascii") for n in (1, 2)]
+
+
+@F.pandas_udf(T.BinaryType())
+def _pack(s: pd.Series) -> pd.Series:
+    return s.map(lambda t: gzip.compress(t.encode("utf-8"), mtime=0), na_action="ignore")
+
+
+@register("decrypt_lines", "SELECT conv_id, turn, CASE WHEN role = 'user' THEN NULL ELSE md5(text) END AS digest FROM conversations")
+def decrypt_lines(spark, d):
+    """Turns packed and encrypted as change lines, the user's with a key nobody has."""
+    lost = base64.b64encode(bytes([9] * 32)).decode("ascii")
+    iv = F.unhex(F.md5(F.concat_ws(":", "conv_id", "turn")))
+    key = F.when(F.col("role") == "user", lost).otherwise(SAMPLE_KEYS[1])
+    body = F.aes_encrypt(_pack("text"), F.unbase64(key), F.lit("CBC"), F.lit("PKCS"), iv)
+    lines = table(spark, d, "conversations").select("conv_id", "turn", iv.alias("iv"), F.hex(body).alias("h"))
+    # Spark puts the iv in front of the encrypted bytes
+    lines = lines.select("conv_id", "turn", F.concat(F.hex("iv"), F.lit(":"), F.expr("substring(h, 33)")).alias("line"))
+    return lines.select("conv_id", "turn", F.md5(decrypt_line(F.col("line"), SAMPLE_KEYS)).alias("digest"))

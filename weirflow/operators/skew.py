@@ -87,9 +87,14 @@ def fold_slices(
 def lane(key: Column, spread_by: Column, lanes: int = 256) -> Column:
     """Second join column that scatters rows without a key: 0 where there is one.
 
-    Join it to a literal 0 on the other side; rows with a null key then hash to many
+    Join it to ``only_lane`` on the other side; rows with a null key then hash to many
     partitions instead of one.
     """
-    return F.when(key.isNotNull(), 0).otherwise(
-        (F.lit(1) + F.pmod(F.xxhash64(spread_by), F.lit(lanes))).cast("int")
+    return F.when(key.isNotNull(), F.lit(0).cast("long")).otherwise(
+        F.lit(1) + F.pmod(F.xxhash64(spread_by), F.lit(lanes))
     )
+
+
+def only_lane(key: Column) -> Column:
+    """Always 0, but no literal: the optimizer would drop a constant from the join keys."""
+    return F.pmod(F.xxhash64(key), F.lit(1).cast("long"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weirflow.lineage import cut_lineage
-from weirflow.operators.skew import lane
+from weirflow.operators.skew import lane, only_lane
 
 GENERATIONS = 6
 
@@ -39,21 +39,18 @@ def _step(left: DataFrame, right: DataFrame) -> DataFrame:
     keyed = keyed.withColumn("_lane", lane(F.col("_anchor"), F.col("user_id")))
     side = right.select(
         F.col("user_id").alias("_anchor"),
-        F.lit(0).alias("_lane"),
+        only_lane(F.col("user_id")).alias("_lane"),
         F.col("path").alias("_more"),
         F.col("open").alias("_more_open"),
     )
-    joined = keyed.join(side, ["_anchor", "_lane"], "left")
     # an id seen before closes a cycle: the path ends in front of it
     seen = F.array_append(F.transform("path", lambda p: p["user_id"]), F.col("user_id"))
     more = F.coalesce(F.col("_more"), F.array().cast(left.schema["path"].dataType))
-    fresh = F.filter(more, lambda p: ~F.array_contains(seen, p["user_id"]))
-    cycle = F.size(fresh) < F.size(more)
-    return joined.select(
-        "user_id",
-        F.concat("path", fresh).alias("path"),
-        (F.coalesce(F.col("_more_open"), F.lit(False)) & ~cycle).alias("open"),
-    )
+    joined = keyed.join(side, ["_anchor", "_lane"], "left").withColumns({"_seen": seen, "_more": more})
+    fresh = F.filter("_more", lambda p: ~F.array_contains(F.col("_seen"), p["user_id"]))
+    joined = joined.withColumn("_fresh", fresh)
+    still_open = F.coalesce(F.col("_more_open"), F.lit(False)) & (F.size("_fresh") == F.size("_more"))
+    return joined.select("user_id", F.concat("path", "_fresh").alias("path"), still_open.alias("open"))
 
 
 def _start(edges: DataFrame, attributes: DataFrame | None) -> DataFrame:
@@ -86,14 +83,16 @@ def all_sponsor_paths(
 ) -> DataFrame:
     """Paths to the root.  Each round doubles the length, so the rounds are the logarithm of
     the tree's depth; a checkpoint after each keeps the plan small and survives lost executors.
+
+    A tree deeper than ``max_depth`` fails: paths are never cut short.
     """
     paths = cut_lineage(_start(edges, attributes))
     reach = 1
-    while reach < max_depth:
+    while not paths.filter("open").limit(1).isEmpty():
+        if reach >= max_depth:
+            raise ValueError(f"the tree is deeper than {max_depth}")
         paths = cut_lineage(_step(paths, paths))
         reach *= 2
-        if paths.filter("open").limit(1).isEmpty():
-            break
     return paths.select("user_id", "path")
 
 
