@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import base64
 import gzip
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F, types as T
 
 from weirflow.catalog import testbed as tb
@@ -18,6 +20,9 @@ from weirflow.operators.text import (
 )
 from weirflow.plans.topics import contrast_corpora
 
+# executors get these functions by value: the package need not be installed there
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 QUERIES: dict = {}
 
 

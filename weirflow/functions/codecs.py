@@ -8,12 +8,17 @@ from __future__ import annotations
 
 import base64
 import gzip
+import sys
 import zlib
 from collections.abc import Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F, types as T
 
+# executors get these functions by value: the package need not be installed there
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LONG_TEXT = 1000
 
 

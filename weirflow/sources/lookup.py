@@ -6,13 +6,18 @@ The client function is passed in: it takes a list of ids and returns (status cod
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from weirflow.functions.fixed import LOOKUP_EMPTY_CODES
 
+# executors get these functions by value: the package need not be installed there
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Fetch = Callable[[list[str]], tuple[int, list[dict]]]
 
 
