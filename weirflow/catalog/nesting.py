@@ -31,7 +31,7 @@ def register(name, sql_text):
   string_agg(product_code || ':' || quantity, ',' ORDER BY line_id, product_id) AS listing FROM lines GROUP BY order_id"""))
 def nest_items(spark, d):
     """Lines nested per order, listed back in array order."""
-    nested = nest(tb.order_lines(spark, d), ["order_id"], tb.PRODUCT_FIELDS, "products", ["line_id"])
+    nested = nest(tb.order_lines(spark, d), ["order_id"], tb.PRODUCT_FIELDS, "products", ["line_id"], counted=tb.line_keys(spark, d))
     listing = F.transform("products", lambda p: F.concat(p["product_code"], F.lit(":"), p["quantity"].cast("string")))
     total = F.aggregate("products", F.lit(0).cast("decimal(28,2)"), lambda a, p: (a + p["price_total"]).cast("decimal(28,2)"))
     return nested.select(

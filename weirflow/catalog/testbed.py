@@ -34,8 +34,15 @@ EVENT_PLATFORMS = {
 }
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its footer is read for the schema once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -246,9 +253,14 @@ LINE_CTES = [ITEMS, PARTS, LINES]
 PRODUCT_FIELDS = ["line_id", "product_id", "product_code", "product_description", "quantity", "price_total"]
 
 
+def line_keys(spark, d) -> DataFrame:
+    """The order of every line version: where to count lines per order."""
+    return table(spark, d, "lineitem").select(F.col("l_orderkey").alias("order_id"))
+
+
 def nested_orders(spark, d) -> DataFrame:
     """Orders with their lines as an array."""
-    nested = nest(order_lines(spark, d), ["order_id"], PRODUCT_FIELDS, "products", ["line_id"])
+    nested = nest(order_lines(spark, d), ["order_id"], PRODUCT_FIELDS, "products", ["line_id"], counted=line_keys(spark, d))
     return orders(spark, d).join(nested, "order_id")
 
 

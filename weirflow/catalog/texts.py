@@ -15,6 +15,7 @@ from weirflow.catalog.testbed import comparable, sql, table
 from weirflow.functions import fixed
 from weirflow.functions.codecs import compress_long, decrypt_line, gunzip, inflate
 from weirflow.operators.recommend import fold_errors, fold_predictions, top_items
+from weirflow.operators.skew import widen
 from weirflow.operators.text import (
     document_frequency, join_phrases, phrases, term_counts, tfidf, tokens, topic_tokens, vocabulary,
 )
@@ -33,16 +34,21 @@ def register(name, sql_text):
     return add
 
 
+def documents(spark, d):
+    """Every document; the driver writes them as one row group, which is one task."""
+    return widen(table(spark, d, "documents").select("doc_id", "text"))
+
+
 def docs(spark, d):
     """Every document with its topic tokens."""
-    return table(spark, d, "documents").select("doc_id", topic_tokens(F.col("text")).alias("tokens"))
+    return documents(spark, d).select("doc_id", topic_tokens(F.col("text")).alias("tokens"))
 
 
 _PATTERN = fixed.TOKEN_PATTERN.replace("'", "''")
 _STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in fixed.STOP_WORDS)
 
 WORDS = f"""words AS (
-  SELECT doc_id, i, CASE WHEN regexp_matches(t, '{fixed.URL_PATTERN}') THEN 'URL'
+  SELECT doc_id, i, CASE WHEN regexp_matches(t, '^(https?://|www\.)') THEN 'URL'
        WHEN starts_with(t, '@') THEN 'SCREEN_NAME' ELSE lower(t) END AS term
   FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{_PATTERN}')) AS t,
                generate_subscripts(regexp_extract_all(text, '{_PATTERN}'), 1) AS i FROM documents))"""
@@ -51,7 +57,7 @@ TOPIC_WORDS = f"""topic_words AS (SELECT * FROM words WHERE length(term) > 4 AND
 
 @register("tokens", sql(WORDS, """SELECT doc_id, term, count(*) AS n FROM words GROUP BY doc_id, term"""))
 def all_tokens(spark, d):
-    every = table(spark, d, "documents").select("doc_id", tokens(F.col("text")).alias("tokens"))
+    every = documents(spark, d).select("doc_id", tokens(F.col("text")).alias("tokens"))
     return term_counts(every, "doc_id", "tokens").withColumnRenamed("tf", "n")
 
 
@@ -76,8 +82,7 @@ def frequencies(spark, d):
   "weighted AS (SELECT c.*, tf * log2((SELECT count(*) FROM documents) / v.df) AS raw FROM counted c JOIN vocab v ON c.term = v.term)",
   """SELECT doc_id, term, tf, round(coalesce(raw / NULLIF(sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 0), 0), 6) AS weight FROM weighted"""))
 def weights(spark, d):
-    prepared = docs(spark, d)
-    return tfidf(prepared, "doc_id", "tokens", vocabulary(prepared, "tokens"))
+    return tfidf(docs(spark, d), "doc_id", "tokens")
 
 
 NEXT_WORDS = "seq AS (SELECT doc_id, term AS a, lead(term) OVER (PARTITION BY doc_id ORDER BY i) AS b FROM topic_words)"
@@ -105,7 +110,7 @@ def phrase_tokens(spark, d):
 @register("lda_topics", None)
 def lda_topics(spark, d):
     """Topics of good and bad documents over one vocabulary."""
-    labelled = table(spark, d, "documents").select("doc_id", "text").join(table(spark, d, "labels"), "doc_id")
+    labelled = documents(spark, d).join(table(spark, d, "labels"), "doc_id")
     return contrast_corpora(labelled, "text", "doc_id", "quality", [1, 0], max_share=0.5)
 
 
@@ -137,7 +142,7 @@ def als_rmse(spark, d):
 def compressed(spark, d):
     """Long texts packed, then unpacked again: the digest must be the text's own."""
     text = F.col("text")
-    packed = table(spark, d, "documents").select("doc_id", (F.length(text) > 1000).alias("packed"), compress_long(text).alias("stored"))
+    packed = documents(spark, d).select("doc_id", (F.length(text) > 1000).alias("packed"), compress_long(text).alias("stored"))
     # an expression with several Python calls on one column runs them in one pass
     back = F.when(F.col("packed"), inflate(F.when(F.col("packed"), F.col("stored")))).otherwise(F.col("stored"))
     return packed.select("doc_id", "packed", F.md5(back).alias("digest"))

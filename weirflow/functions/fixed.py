@@ -160,7 +160,7 @@ needn't shan shan't shouldn shouldn't wasn wasn't weren weren't won won't wouldn
 
 # Shape of a token, of a web address and of a screen name.
 TOKEN_PATTERN = r"https?://\S+|www\.\S+|@\w+|[\p{L}\p{N}]+(?:'\p{L}+)?"
-URL_PATTERN = r"^(https?://|www\.)"
+URL_STARTS = ["http://", "https://", "www."]
 URL_TOKEN = "URL"
 SCREEN_NAME_TOKEN = "SCREEN_NAME"
 

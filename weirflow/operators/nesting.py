@@ -18,13 +18,15 @@ def nest(
     out: str,
     spread_by: Sequence[str],
     limit: int = ARRAY_LIMIT,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Array of structs per key, sorted by the struct's fields.
 
     A key with more than ``limit`` elements is written as several rows (column ``slice``), each
     with its share of the elements: nothing is dropped and no task holds a whole hot group.
+    ``counted`` as in ``slice_hot_keys``.
     """
-    sliced = slice_hot_keys(df, keys, spread_by, limit)
+    sliced = slice_hot_keys(df, keys, spread_by, limit, counted=counted)
     return sliced.groupBy(*keys, "slice").agg(
         F.sort_array(F.collect_list(F.struct(*fields))).alias(out)
     )

@@ -21,13 +21,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_LIMIT) -> Data
     The result is safe to broadcast: the limit grows with the row count so that no more than
     ``MOST_HOT_KEYS`` keys can exceed it.
     """
-    total = df.agg(F.count(F.lit(1))).scalar()
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
     bar = F.greatest(F.lit(limit).cast("long"), F.ceil(total / F.lit(MOST_HOT_KEYS)))
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > bar)
-        .select(*keys, F.ceil(F.col("_n") / bar).cast("int").alias("_slices"))
+    return counts.filter(F.col("_n") > bar).select(
+        *keys, F.ceil(F.col("_n") / bar).cast("int").alias("_slices")
     )
 
 
@@ -38,32 +36,43 @@ def _slice_of(spread_by: Sequence[str]) -> Column:
 
 def slice_hot_keys(
     df: DataFrame, keys: Sequence[str], spread_by: Sequence[str], limit: int = HOT_LIMIT,
-    out: str = "slice",
+    out: str = "slice", counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``out``: 0 for ordinary keys, 0..n-1 by a hash of ``spread_by`` for hot ones.
 
     Grouping by ``keys + [out]`` then never collects much more than ``limit`` rows in a group.
+    ``counted`` is a cheaper frame with at least the same rows per key, such as the table that
+    ``df`` was computed from; counting there saves computing ``df`` twice.
     """
-    hot = F.broadcast(hot_keys(df, keys, limit))
+    hot = F.broadcast(hot_keys(df if counted is None else counted, keys, limit))
     return df.join(hot, list(keys), "left").withColumn(out, _slice_of(spread_by)).drop("_slices")
 
 
 def join_sliced(
     facts: DataFrame, side: DataFrame, keys: Sequence[str], spread_by: Sequence[str],
-    limit: int = HOT_LIMIT, out: str = "slice",
+    limit: int = HOT_LIMIT, out: str = "slice", counted: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join of facts to a side with one row per key, hot keys split over many tasks.
 
     The side's rows of hot keys are repeated once per slice.  Both sides are partitioned by
     ``keys + [out]``, so a following ``fold_slices`` starts without a shuffle.
     """
-    hot = F.broadcast(hot_keys(facts, keys, limit))
+    hot = F.broadcast(hot_keys(facts if counted is None else counted, keys, limit))
     left = facts.join(hot, list(keys), "left").withColumn(out, _slice_of(spread_by)).drop("_slices")
     numbers = F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)
     right = side.join(hot, list(keys), "left").withColumn(out, F.explode(numbers)).drop("_slices")
     return left.join(right, [*keys, out])
 
 
+def widen(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores where the input has fewer partitions than that.
+
+    For a few large files in front of work that is heavy per row; large inputs pass as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 _MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 _FOLD = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
 

@@ -9,6 +9,14 @@ from pyspark.ml.feature import IDF, CountVectorizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weirflow.functions import fixed
+from weirflow.lineage import cut_lineage
+
+
+def _starts(t: Column, starts: Sequence[str]) -> Column:
+    out = t.startswith(starts[0])
+    for s in starts[1:]:
+        out = out | t.startswith(s)
+    return out
 
 
 def tokens(text: Column) -> Column:
@@ -16,7 +24,7 @@ def tokens(text: Column) -> Column:
     found = F.regexp_extract_all(text, F.lit(fixed.TOKEN_PATTERN), F.lit(0))
     return F.transform(
         found,
-        lambda t: F.when(t.rlike(fixed.URL_PATTERN), fixed.URL_TOKEN)
+        lambda t: F.when(_starts(t, fixed.URL_STARTS), fixed.URL_TOKEN)
         .when(t.startswith("@"), fixed.SCREEN_NAME_TOKEN)
         .otherwise(F.lower(t)),
     )
@@ -84,16 +92,20 @@ def vocabulary(
     )
 
 
-def tfidf(df: DataFrame, doc: str, tokens_col: str, vocab: DataFrame, digits: int = 6) -> DataFrame:
+def tfidf(
+    df: DataFrame, doc: str, tokens_col: str, vocab: DataFrame | None = None, digits: int = 6, **limits
+) -> DataFrame:
     """(doc, term, tf, weight): tf * log2(docs / df), scaled to length 1 per document.
 
-    Token arrays are shuffled once, by document; counting and scaling then need no further
-    shuffle.  The vocabulary has at most ``max_terms`` rows, small enough to be broadcast.
+    Token arrays are shuffled once, by document, for the vocabulary as well as the counts;
+    counting and scaling then need no further shuffle.  The vocabulary has at most
+    ``max_terms`` rows, small enough to be broadcast.
     """
-    docs = df.agg(F.count(F.lit(1)).alias("docs")).scalar()
     placed = df.select(doc, tokens_col).repartition(doc)
+    docs = placed.agg(F.count(F.lit(1))).scalar()
+    words = vocabulary(placed, tokens_col, **limits) if vocab is None else vocab
     raw = F.col("tf") * F.log2(docs / F.col("df"))
-    weighted = term_counts(placed, doc, tokens_col).join(vocab, "term").withColumn("raw", raw)
+    weighted = term_counts(placed, doc, tokens_col).join(words, "term").withColumn("raw", raw)
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(doc)))
     return weighted.withColumn("norm", norm).select(
         doc, "term", "tf",
@@ -120,23 +132,21 @@ def phrases(
 
     score = (n_ab - min_count) / n_a / n_b * (distinct words + distinct pairs)
     """
-    words = df.select(F.explode(tokens_col).alias("w")).groupBy("w").agg(F.count("*").alias("n_w"))
-    pairs = (
-        df.select(F.explode(token_pairs(tokens_col)).alias("p"))
+    # words (b is null) and pairs counted in one pass over the texts; the counts are used
+    # four times below and are far smaller than the texts
+    single = F.transform(tokens_col, lambda t: F.struct(t.alias("a"), F.lit(None).cast("string").alias("b")))
+    counts = cut_lineage(
+        df.select(F.explode(F.concat(single, token_pairs(tokens_col))).alias("p"))
         .groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b"))
         .agg(F.count("*").alias("n"))
     )
-    size = (
-        words.agg(F.count("*").alias("n"))
-        .unionByName(pairs.agg(F.count("*").alias("n")))
-        .agg(F.sum("n"))
-        .scalar()
-    )
+    size = counts.agg(F.count("*")).scalar()
+    words = counts.filter(F.col("b").isNull())
     score = (F.col("n") - F.lit(min_count)) / F.col("n_a") / F.col("n_b") * size
     return (
-        pairs.filter(F.col("n") > min_count)
-        .join(words.select(F.col("w").alias("a"), F.col("n_w").alias("n_a")), "a")
-        .join(words.select(F.col("w").alias("b"), F.col("n_w").alias("n_b")), "b")
+        counts.filter(F.col("b").isNotNull() & (F.col("n") > min_count))
+        .join(words.select("a", F.col("n").alias("n_a")), "a")
+        .join(words.select(F.col("a").alias("b"), F.col("n").alias("n_b")), "b")
         .withColumn("score", score)
         .filter(F.col("score") > threshold)
         .select("a", "b", "n", F.round("score", digits).alias("score"))

@@ -120,10 +120,10 @@ def staging_orders(
         (in_window(order_items, first, last, closed=closed), {"client": "client", "order_id": "order_id"}),
     )
     latest = newest(all_versions_of(tree_orders, touched, {"client": "client", "order_id": "id"}), NAMED, VERSION)
-    lines = newest(
-        all_versions_of(order_items, touched, {"client": "client", "order_id": "order_id"}), NAMED, VERSION
-    )
-    products = nest(lines, ["client", "order_id"], item_fields, "products", ["id"]).withColumnRenamed("order_id", "id")
+    versions = all_versions_of(order_items, touched, {"client": "client", "order_id": "order_id"})
+    products = nest(
+        newest(versions, NAMED, VERSION), ["client", "order_id"], item_fields, "products", ["id"], counted=versions
+    ).withColumnRenamed("order_id", "id")
     out = with_client(latest, clients).join(products, NAMED, "left")
     by_id = lambda c: {"client": "client", c: "id"}
     # only buyers of touched orders are ranked

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from weirflow.functions import fixed
 from weirflow.functions.dates import days_between, months_between_boundaries
 from weirflow.functions.rules import platform_class
+from weirflow.lineage import cut_lineage
 from weirflow.operators.nesting import unnest
 from weirflow.operators.skew import fold_slices, join_sliced
 
@@ -96,13 +97,17 @@ def _before(at: Column, kind: str) -> Column:
     return (F.to_date(at) >= F.col("signup")) & (at <= F.col(f"first_{kind}"))
 
 
-def message_features(people: DataFrame, messages: DataFrame) -> DataFrame:
+def message_features(people: DataFrame, emails: DataFrame) -> DataFrame:
     """Message counts per sender; ``people`` holds sign-up and first orders, one row each.
 
-    Joined and grouped by the sender, so hot senders are sliced.
+    Joined and grouped by the sender, so hot senders are sliced; they are counted in the
+    messages before their recipients are unnested.
     """
     side = people.withColumnRenamed("owner_id", "sender_tree_user_id")
-    rows = join_sliced(messages, side, ["sender_tree_user_id"], ["message_id"]).filter(
+    senders = emails.select("sender_tree_user_id")
+    rows = join_sliced(
+        sent_messages(emails), side, ["sender_tree_user_id"], ["message_id"], counted=senders
+    ).filter(
         F.to_date("created") >= F.col("signup")
     )
     first30 = days_between(F.col("signup"), F.col("created")).between(0, 30)
@@ -142,7 +147,7 @@ def login_features(people: DataFrame, logins: DataFrame) -> DataFrame:
     side = people.select(
         F.col("owner_id").alias("tree_user_id"), "signup", *[f"first_{k}" for k in KINDS]
     )
-    rows = join_sliced(keyed, side, ["tree_user_id"], ["login_id"])
+    rows = join_sliced(keyed, side, ["tree_user_id"], ["login_id"], counted=logins.select("tree_user_id"))
     start = F.col("signup").cast("timestamp_ntz")
     spans = {"first30": days_between(F.col("signup"), F.col("created_at")).between(0, 30)}
     for kind in KINDS:
@@ -160,13 +165,13 @@ def usage_features(
     legacy: bool = False,
 ) -> DataFrame:
     """All features per owner with at least one order.  ``people``: owner_id, signup (a date)."""
-    base = order_features(people, orders, as_of, legacy)
-    firsts = base.select("owner_id", *[f"first_{k}" for k in KINDS])
-    known = people.select("owner_id", "signup").join(firsts, "owner_id", "left")
-    mails = message_features(known, sent_messages(emails)).withColumnRenamed("sender_tree_user_id", "owner_id")
+    # one row per owner, used by all three parts: computed once
+    base = cut_lineage(order_features(people, orders, as_of, legacy))
+    firsts = [f"first_{k}" for k in KINDS]
+    known = people.select("owner_id", "signup").join(base.select("owner_id", *firsts), "owner_id", "left")
+    mails = message_features(known, emails).withColumnRenamed("sender_tree_user_id", "owner_id")
     # logins count only for owners with an order, as their windows end at a first order
-    clicks = login_features(known.join(firsts.select("owner_id"), "owner_id", "left_semi"), logins)
-    clicks = clicks.withColumnRenamed("tree_user_id", "owner_id")
+    clicks = login_features(base, logins).withColumnRenamed("tree_user_id", "owner_id")
     hidden = ["signup", *[f"{edge}_{k}" for edge in ("first", "last") for k in KINDS]]
     return (
         base.drop(*hidden)
