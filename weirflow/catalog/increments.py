@@ -13,7 +13,7 @@ from weirflow.operators.increments import (
 )
 from weirflow.operators.versions import newest
 from weirflow.plans.refine import leads, people
-from weirflow.sources.readers import key_bounds, key_ranges, profile, select_files
+from weirflow.sources.readers import key_ranges, profile, select_files
 
 QUERIES: dict = {}
 
@@ -193,8 +193,7 @@ def file_order(spark, d):
 def range_plan(spark, d):
     """Key ranges of the orders and the rows each would read."""
     orders = table(spark, d, "orders").select("o_orderkey")
-    bounds = key_bounds(orders, "o_orderkey")
-    ranges = key_ranges(bounds, 1000)
+    ranges = key_ranges(orders, "o_orderkey", 1000)
     low = orders.agg(F.min("o_orderkey")).scalar()
     per_range = orders.groupBy((F.floor((F.col("o_orderkey") - low) / 1000) * 1000 + low).alias("low")).agg(F.count("*").alias("n"))
     return ranges.join(per_range, "low", "left").select("low", "high", F.coalesce("n", F.lit(0)).alias("n"))

@@ -48,7 +48,7 @@ _PATTERN = fixed.TOKEN_PATTERN.replace("'", "''")
 _STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in fixed.STOP_WORDS)
 
 WORDS = f"""words AS (
-  SELECT doc_id, i, CASE WHEN regexp_matches(t, '^(https?://|www\.)') THEN 'URL'
+  SELECT doc_id, i, CASE WHEN regexp_matches(t, '^(https?://|www[.])') THEN 'URL'
        WHEN starts_with(t, '@') THEN 'SCREEN_NAME' ELSE lower(t) END AS term
   FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{_PATTERN}')) AS t,
                generate_subscripts(regexp_extract_all(text, '{_PATTERN}'), 1) AS i FROM documents))"""

@@ -24,8 +24,10 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_LIMIT) -> Data
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
     bar = F.greatest(F.lit(limit).cast("long"), F.ceil(total / F.lit(MOST_HOT_KEYS)))
-    return counts.filter(F.col("_n") > bar).select(
-        *keys, F.ceil(F.col("_n") / bar).cast("int").alias("_slices")
+    return (
+        counts.withColumn("_bar", bar)
+        .filter(F.col("_n") > F.col("_bar"))
+        .select(*keys, F.ceil(F.col("_n") / F.col("_bar")).cast("int").alias("_slices"))
     )
 
 

@@ -97,13 +97,16 @@ def all_sponsor_paths(
 
 
 def closure(paths: DataFrame) -> DataFrame:
-    """(upline_id, user_id, depth, ...): one row per ancestor and descendant."""
-    rows = paths.select("user_id", F.posexplode("path").alias("_at", "_up"))
+    """(upline_id, user_id, depth, ...): one row per ancestor and descendant, with the frame's
+    other columns and the ancestor's carried ones as ``upline_...``."""
+    own = [c for c in paths.columns if c not in ("user_id", "path")]
+    rows = paths.select("user_id", *own, F.posexplode("path").alias("_at", "_up"))
     carried = [f.name for f in paths.schema["path"].dataType.elementType.fields if f.name != "user_id"]
     return rows.select(
         F.col("_up.user_id").alias("upline_id"),
         "user_id",
         (F.col("_at") + 1).cast("long").alias("depth"),
+        *own,
         *[F.col(f"_up.{c}").alias(f"upline_{c}") for c in carried],
     )
 

@@ -64,69 +64,80 @@ def cohort_days(people: DataFrame, days: DataFrame, how: str = "left") -> DataFr
     )
 
 
-def _in_period(low: int, high: int | None) -> Column:
-    days = F.col("days_to_order")
-    return days >= low if high is None else days.between(low, high)
+PERIODS = [("", 0, None), *[(f"_{name}", low, high) for name, low, high in fixed.VALUE_PERIODS]]
+KINDS = {"sales": RETAIL, "wholesale": WHOLESALE}
 
+# The wide reports below name their measures in SQL text: one expression per output column.
 
-PERIODS = [("", 0, None), *[(f"_{name}", low, high) for name, low, high in fixed.VALUE_PERIODS]]
-KINDS = {"sales": [RETAIL], "wholesale": [WHOLESALE]}
+
+def _in_period(low: int, high: int | None) -> str:
+    return f"days_to_order >= {low}" if high is None else f"days_to_order BETWEEN {low} AND {high}"
 
 
-def owner_values(rows: DataFrame, first_types: Column, by: Sequence[str] = ()) -> DataFrame:
-    """One row per owner: first and last day among ``first_types``, and for every period and
-    kind the number and value of orders.
+def owner_values(rows: DataFrame, first_types: str, by: Sequence[str] = ()) -> DataFrame:
+    """One row per owner: first and last day among the orders passing ``first_types``, and for
+    every period and kind the number and value of orders.
 
     Owners whose only orders lie before the sign-up vanish, owners without orders stay.
     """
-    counted = rows.filter((F.col("days_to_order") >= 0) | F.col("days_to_order").isNull())
-    picked = F.when(first_types & (F.col("days_to_order") >= 0), F.col("days_to_order"))
-    measures = [F.min(picked).alias("first_days"), F.max(picked).alias("last_days")]
+    picked = f"CASE WHEN {first_types} THEN days_to_order END"
+    measures = [f"min({picked}) AS first_days", f"max({picked}) AS last_days"]
     for prefix, low, high in PERIODS:
-        for kind, types in KINDS.items():
-            hit = F.col("order_type").isin(*types) & _in_period(low, high)
+        for kind, order_type in KINDS.items():
+            hit = f"order_type = '{order_type}' AND {_in_period(low, high)}"
             measures += [
-                F.sum(F.when(hit, F.col("n"))).alias(f"{prefix}_{kind}_n"),
-                F.sum(F.when(hit, F.col("total"))).alias(f"{prefix}_{kind}_t"),
+                f"sum(CASE WHEN {hit} THEN n END) AS {prefix}_{kind}_n",
+                f"sum(CASE WHEN {hit} THEN total END) AS {prefix}_{kind}_t",
             ]
-    return counted.groupBy("owner_id", *by).agg(*measures)
+    counted = rows.filter("days_to_order >= 0 OR days_to_order IS NULL")
+    return counted.groupBy("owner_id", *by).agg(*[F.expr(m) for m in measures])
 
 
 def bucket_values(owners: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Owner rows summed per first-sale bucket (and ``by``): orders, value and owners for every
     period and kind.  An owner counts where it has an order, so no distinct count is needed."""
-    measures = [
-        F.count(F.lit(1)).alias("owner_count"),
-        F.avg("first_days").alias("avg_days_to_first_order"),
-        F.min("first_days").alias("min_days_to_first_order"),
-        F.max("first_days").alias("max_days_to_first_order"),
-        F.avg("last_days").alias("avg_days_to_last_order"),
-        F.min("last_days").alias("min_days_to_last_order"),
-        F.max("last_days").alias("max_days_to_last_order"),
-    ]
+    measures = ["count(1) AS owner_count"]
+    for edge in ("first", "last"):
+        measures += [f"{how}({edge}_days) AS {how}_days_to_{edge}_order" for how in ("avg", "min", "max")]
     for prefix, _, _ in PERIODS:
-        either_n, either_t = F.lit(0), None
         for kind in KINDS:
-            n, t = F.col(f"{prefix}_{kind}_n"), F.col(f"{prefix}_{kind}_t")
+            n, t = f"{prefix}_{kind}_n", f"{prefix}_{kind}_t"
             measures += [
-                F.coalesce(F.sum(n), F.lit(0)).alias(f"{prefix}_{kind}_count"),
-                F.sum(t).alias(f"{prefix}_{kind}_total"),
-                F.count_if(n > 0).alias(f"{prefix}_{kind}_user_count"),
+                f"coalesce(sum({n}), 0) AS {prefix}_{kind}_count",
+                f"sum({t}) AS {prefix}_{kind}_total",
+                f"count_if({n} > 0) AS {prefix}_{kind}_user_count",
             ]
-            either_n = either_n + F.coalesce(n, F.lit(0))
-            either_t = F.coalesce(t, F.lit(0)) if either_t is None else either_t + F.coalesce(t, F.lit(0))
+        n = " + ".join(f"coalesce({prefix}_{kind}_n, 0)" for kind in KINDS)
+        t = " + ".join(f"coalesce({prefix}_{kind}_t, 0)" for kind in KINDS)
         measures += [
-            F.sum(either_n).alias(f"{prefix}_count"),
-            F.sum(F.when(either_n > 0, either_t)).alias(f"{prefix}_total"),
-            F.count_if(either_n > 0).alias(f"{prefix}_user_count"),
+            f"sum({n}) AS {prefix}_count",
+            f"sum(CASE WHEN {n} > 0 THEN {t} END) AS {prefix}_total",
+            f"count_if({n} > 0) AS {prefix}_user_count",
         ]
     keys = {"days_to_order_bucket": day_bucket(F.col("first_days")),
             "bucket_order": day_bucket_rank(F.col("first_days"))}
-    return owners.withColumns(keys).groupBy(*by, *keys).agg(*measures)
+    return owners.withColumns(keys).groupBy(*by, *keys).agg(*[F.expr(m) for m in measures])
 
 
-def _c(prefix: str, name: str) -> Column:
-    return F.col(f"{prefix}_{name}")
+def _share(a: str, b: str, name: str) -> str:
+    return f"round(try_divide(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), {DIGITS}) AS {name}"
+
+
+def _share_if(test: str, a: str, b: str, name: str) -> str:
+    return f"CASE WHEN {test} > 0 THEN round(try_divide(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), {DIGITS}) END AS {name}"
+
+
+def _kind_columns(prefix: str, kind: str, rev_user: str) -> list[str]:
+    """Count, value and their averages of one period and kind (both kinds for '')."""
+    k, p = (f"{kind}_" if kind else ""), (f"{prefix}_" if prefix else "")
+    n, t, u = f"{prefix}_{k}count", f"{prefix}_{k}total", f"{prefix}_{k}user_count"
+    return [
+        f"{n} AS {p}{k}count",
+        _share_if(n, n, u, f"{p}avg_{k}count_user"),
+        f"{t} AS {p}{k}total",
+        _share_if(t, t, n, f"{p}avg_{k}rev_sale"),
+        _share_if(t, t, u, f"{p}{rev_user}"),
+    ]
 
 
 # --- reports ---------------------------------------------------------------------------------
@@ -138,30 +149,20 @@ def lifetime_value(
 ) -> DataFrame:
     """Value per first-sale bucket: owners, shares, running totals, averages."""
     rows = cohort_days(cohort(users, user_type, first, last), owner_days(orders))
-    values = bucket_values(owner_values(rows, F.col("order_type") != WHOLESALE))
-    owners = F.col("owner_count")
-    running = running_total(owners, ["bucket_order"])
-    out = [
-        F.col("days_to_order_bucket"),
-        owners.alias("mp_count"),
-        F.round(ratio(owners, total_over(owners)), DIGITS).alias("mp_percent_of_total"),
-        running.alias("mp_running_total"),
-        F.round(ratio(running, total_over(owners)), DIGITS).alias("mp_percent_of_running_total"),
-        F.round("avg_days_to_first_order", DIGITS).alias("avg_days_to_first_order"),
-        F.round("avg_days_to_last_order", DIGITS).alias("avg_days_to_last_order"),
-    ]
-    for kind, label in (("sales_", "sales_"), ("wholesale_", "wholesale_"), ("", "")):
-        n, t, u = _c("", f"{kind}count"), _c("", f"{kind}total"), _c("", f"{kind}user_count")
-        out += [
-            n.alias(f"{label}count"),
-            ratio_if_positive(n, n, u, DIGITS).alias(f"avg_{label}count_user"),
-            t.alias(f"{label}total"),
-            ratio_if_positive(t, t, n, DIGITS).alias(f"avg_{label}rev_sale"),
-            ratio_if_positive(t, t, u, DIGITS).alias(f"avg_{label}rev_user"),
-        ]
-    whole = total_over(_c("", "total"))
-    out.append(ratio_if_positive(whole, _c("", "total"), whole, DIGITS).alias("percent_of_total"))
-    return values.select(*out)
+    values = bucket_values(owner_values(rows, f"order_type <> '{WHOLESALE}' AND days_to_order >= 0"))
+    running = "sum(owner_count) OVER (ORDER BY bucket_order)"
+    return values.selectExpr(
+        "days_to_order_bucket",
+        "owner_count AS mp_count",
+        _share("owner_count", "sum(owner_count) OVER ()", "mp_percent_of_total"),
+        f"{running} AS mp_running_total",
+        _share(running, "sum(owner_count) OVER ()", "mp_percent_of_running_total"),
+        *[f"round(avg_days_to_{edge}_order, {DIGITS}) AS avg_days_to_{edge}_order" for edge in ("first", "last")],
+        *_kind_columns("", "sales", "avg_sales_rev_user"),
+        *_kind_columns("", "wholesale", "avg_wholesale_rev_user"),
+        *_kind_columns("", "", "avg_rev_user"),
+        _share_if("sum(_total) OVER ()", "_total", "sum(_total) OVER ()", "percent_of_total"),
+    )
 
 
 def year_cohort_value(
@@ -171,60 +172,42 @@ def year_cohort_value(
     """The same per sign-up month, with every period's own counts, values and shares."""
     by = ["year", "month"]
     rows = cohort_days(cohort(users, user_type, first, last), owner_days(orders))
-    values = bucket_values(owner_values(rows, F.col("order_type") == RETAIL, by), by)
-    buyers = _c("", "sales_user_count")
-    running = running_total(buyers, ["bucket_order"], by)
+    values = bucket_values(owner_values(rows, f"order_type = '{RETAIL}' AND days_to_order >= 0", by), by)
+    month = "OVER (PARTITION BY year, month)"
+    running = "sum(_sales_user_count) OVER (PARTITION BY year, month ORDER BY bucket_order)"
     out = [
-        F.concat("month", F.lit("/"), "year").alias("cohort"),
+        "concat(month, '/', year) AS cohort",
         *by,
-        F.col("days_to_order_bucket"),
-        buyers.alias("mp_count"),
-        F.round(ratio(buyers, total_over(buyers, by)), DIGITS).alias("mp_percent_of_total"),
-        running.alias("mp_running_total"),
-        F.round(ratio(running, total_over(buyers, by)), DIGITS).alias("mp_percent_of_running_total"),
+        "days_to_order_bucket",
+        "_sales_user_count AS mp_count",
+        _share("_sales_user_count", f"sum(_sales_user_count) {month}", "mp_percent_of_total"),
+        f"{running} AS mp_running_total",
+        _share(running, f"sum(_sales_user_count) {month}", "mp_percent_of_running_total"),
     ]
     for edge in ("first", "last"):
         out += [
-            F.col(f"min_days_to_{edge}_order"),
-            F.col(f"max_days_to_{edge}_order"),
-            F.round(f"avg_days_to_{edge}_order", DIGITS).alias(f"avg_days_to_{edge}_order"),
+            f"min_days_to_{edge}_order",
+            f"max_days_to_{edge}_order",
+            f"round(avg_days_to_{edge}_order, {DIGITS}) AS avg_days_to_{edge}_order",
         ]
     for prefix, _, _ in PERIODS:
         p = f"{prefix}_" if prefix else ""
-        for kind, rev_user in (("sales_", "avg_sales_rev_user"), ("wholesale_", "wholesale_rev_user")):
-            n, t, u = _c(prefix, f"{kind}count"), _c(prefix, f"{kind}total"), _c(prefix, f"{kind}user_count")
-            if not prefix and kind == "wholesale_":
-                rev_user = "avg_wholesale_rev_user"
-            out += [
-                n.alias(f"{p}{kind}count"),
-                ratio_if_positive(n, n, u, DIGITS).alias(f"{p}avg_{kind}count_user"),
-                t.alias(f"{p}{kind}total"),
-                ratio_if_positive(t, t, n, DIGITS).alias(f"{p}avg_{kind}rev_sale"),
-                ratio_if_positive(t, t, u, DIGITS).alias(f"{p}{rev_user}"),
-            ]
-            if prefix == "_30":
-                whole_n, whole_t = _c("", f"{kind}count"), _c("", f"{kind}total")
-                out += [
-                    ratio_if_positive(whole_n, n, whole_n, DIGITS).alias(f"{p}{kind}count_percent"),
-                    ratio_if_positive(whole_t, t, whole_t, DIGITS).alias(f"{p}{kind}total_percent"),
-                ]
-        n, t, u = _c(prefix, "count"), _c(prefix, "total"), _c(prefix, "user_count")
-        month_total = total_over(t, by)
-        out += [
-            n.alias(f"{p}count"),
-            ratio_if_positive(n, n, u, DIGITS).alias(f"{p}avg_count_user"),
-            t.alias(f"{p}total"),
-            ratio_if_positive(t, t, n, DIGITS).alias(f"{p}avg_rev_sale"),
-            ratio_if_positive(t, t, u, DIGITS).alias(f"{p}avg_rev_user"),
-            ratio_if_positive(month_total, t, month_total, DIGITS).alias(f"{p}percent_of_month_total"),
-        ]
+        out += _kind_columns(prefix, "sales", "avg_sales_rev_user")
+        out += _kind_columns(prefix, "wholesale", "wholesale_rev_user" if prefix else "avg_wholesale_rev_user")
+        out += _kind_columns(prefix, "", "avg_rev_user")
+        if prefix == "_30":
+            for kind in KINDS:
+                for what in ("count", "total"):
+                    whole, part = f"_{kind}_{what}", f"{prefix}_{kind}_{what}"
+                    out.append(_share_if(whole, part, whole, f"{part}_percent"))
+        month_total = f"sum({prefix}_total) {month}"
+        out.append(_share_if(month_total, f"{prefix}_total", month_total, f"{p}percent_of_month_total"))
         if prefix:
-            all_n, all_t = _c("", "count"), _c("", "total")
             out += [
-                ratio_if_positive(all_n, n, all_n, DIGITS).alias(f"{p}percent_of_total_count"),
-                ratio_if_positive(all_t, t, all_t, DIGITS).alias(f"{p}percent_of_total_rev"),
+                _share_if("_count", f"{prefix}_count", "_count", f"{p}percent_of_total_count"),
+                _share_if("_total", f"{prefix}_total", "_total", f"{p}percent_of_total_rev"),
             ]
-    return values.select(*out)
+    return values.selectExpr(*out)
 
 
 UPLIFT_PERIODS = ["_30", "_31_90", "_91_180", "_181_365", "_366_730"]
@@ -236,30 +219,25 @@ def uplift(cohorts: DataFrame, rate: float = 0.02) -> DataFrame:
     ``cohorts`` is the cohort report: one row per month and bucket, so the totals over all rows
     run on a small set.
     """
-    out = [F.col("cohort"), F.col("days_to_order_bucket"), F.col("mp_count")]
-    gains = []
+    out, gains = ["cohort", "days_to_order_bucket", "mp_count"], []
     for p in UPLIFT_PERIODS:
-        parts = {}
-        for kind in ("sales", "wholesale"):
-            more = F.col(f"{p}_avg_{kind}_count_user") * F.lit(rate)
-            parts[kind] = more * F.col(f"{p}_avg_{kind}_rev_sale") * F.col("mp_count")
-        gain = F.coalesce(parts["sales"], F.lit(0.0)) + F.coalesce(parts["wholesale"], F.lit(0.0))
-        gains.append(gain)
+        parts = {
+            kind: f"{p}_avg_{kind}_count_user * {rate}D * {p}_avg_{kind}_rev_sale * mp_count" for kind in KINDS
+        }
+        gain = " + ".join(f"coalesce({part}, 0D)" for part in parts.values())
+        gains.append(f"({gain})")
         out += [
-            *[F.col(f"{p}_avg_{kind}_{what}") for kind in parts for what in ("count_user", "rev_sale")],
-            F.col(f"{p}_total"),
-            *[F.round(v, 4).alias(f"{p}_{kind}_rev_increase") for kind, v in parts.items()],
-            F.round(gain, 4).alias(f"{p}_total_rev_increase"),
-            F.round(total_over(gain), 4).alias(f"{p}_agg_rev_increase"),
+            *[f"{p}_avg_{kind}_{what}" for kind in KINDS for what in ("count_user", "rev_sale")],
+            f"{p}_total",
+            *[f"round({part}, 4) AS {p}_{kind}_rev_increase" for kind, part in parts.items()],
+            f"round({gain}, 4) AS {p}_total_rev_increase",
+            f"round(sum({gain}) OVER (), 4) AS {p}_agg_rev_increase",
         ]
-    every = gains[0]
-    for gain in gains[1:]:
-        every = every + gain
     out += [
-        total_over(F.col("total")).alias("agg_rev_total"),
-        F.round(total_over(every), 4).alias("agg_rev_increase"),
+        "sum(total) OVER () AS agg_rev_total",
+        f"round(sum({' + '.join(gains)}) OVER (), 4) AS agg_rev_increase",
     ]
-    return cohorts.select(*out)
+    return cohorts.selectExpr(*out)
 
 
 def days_to_first_sale(users: DataFrame, orders: DataFrame, user_type: str | None = "Distributor",

@@ -143,10 +143,10 @@ def downline_generations(users: DataFrame, paths: DataFrame, orders: DataFrame,
         F.sum("total").alias("lcv"),
         F.sum(F.when(F.col("order_date") >= year_ago, F.col("total"))).alias("lcv_12"),
     )
-    members = users.filter(F.col("type") == user_type).select("tree_user_id", "created")
-    rows = (
-        closure(paths).join(members.withColumnRenamed("tree_user_id", "user_id"), "user_id")
-        .join(value.withColumnRenamed("tree_user_id", "user_id"), "user_id", "left")
+    members = users.filter(F.col("type") == user_type).select(F.col("tree_user_id").alias("user_id"), "created")
+    # one row per user meets the joins; the paths are unfolded after them
+    rows = closure(
+        paths.join(members, "user_id").join(value.withColumnRenamed("tree_user_id", "user_id"), "user_id", "left")
     )
     depth, one = F.col("depth"), F.lit(1)
     recent = F.col("created") >= year_ago
@@ -172,7 +172,7 @@ def sponsored_signups(users: DataFrame, paths: DataFrame) -> DataFrame:
     Sign-ups before the ancestor's own count too, as elapsed days are then negative.
     """
     own = users.select(F.col("tree_user_id").alias("user_id"), "client", F.col("created").alias("signup"))
-    rows = closure(paths).join(own, "user_id").filter(F.col("client") == F.col("upline_client"))
+    rows = closure(paths.join(own, "user_id")).filter(F.col("client") == F.col("upline_client"))
     days = whole_units("DAY", F.col("upline_signup"), F.col("signup"))
     return (
         rows.withColumn("days", days).filter(F.col("days") < 31)
@@ -188,7 +188,7 @@ def sponsored_orders(users: DataFrame, paths: DataFrame, orders: DataFrame, amou
     bought = orders.select(F.col("tree_user_id").alias("user_id"), "order_date", *amounts)
     # path first, orders second: the join that grows is followed by a group on another key
     members = paths.join(own, "user_id")
-    rows = closure_rows(bought.join(members, "user_id"), ["client", "order_date", *amounts])
+    rows = closure(bought.join(members, "user_id"))
     same = rows.filter(F.col("client") == F.col("upline_client"))
     timed = same.select(
         "client", "upline_id", *amounts,
@@ -205,11 +205,3 @@ def sponsored_orders(users: DataFrame, paths: DataFrame, orders: DataFrame, amou
         measures.append(F.count(F.when(hit, 1)).alias(f"orders_{name}"))
         measures += [F.sum(F.when(hit, F.col(a))).alias(f"{a}_{name}") for a in amounts]
     return timed.groupBy("client", F.col("upline_id").alias("user_id")).agg(*measures)
-
-
-def closure_rows(df: DataFrame, keep) -> DataFrame:
-    """Rows with a path repeated once per ancestor."""
-    carried = [f.name for f in df.schema["path"].dataType.elementType.fields if f.name != "user_id"]
-    return df.select(*keep, F.explode("path").alias("_up")).select(
-        *keep, F.col("_up.user_id").alias("upline_id"), *[F.col(f"_up.{c}").alias(f"upline_{c}") for c in carried]
-    )

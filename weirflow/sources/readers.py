@@ -69,18 +69,17 @@ def read_csv(spark: SparkSession, path: str, names: Sequence[str], types: Sequen
 # --- key ranges ------------------------------------------------------------------------------
 
 
-def key_ranges(bounds: DataFrame, batch: int = KEY_BATCH) -> DataFrame:
-    """(low, high): closed ranges that cover [min_id, max_id] of the one-row ``bounds`` without
-    gap or overlap.  An empty table (null bounds) gives no range."""
-    starts = F.explode(F.sequence(F.col("min_id"), F.col("max_id"), F.lit(batch).cast("long")))
-    return bounds.filter(F.col("min_id").isNotNull()).select("max_id", starts.alias("low")).select(
-        "low", F.least(F.col("low") + batch - 1, F.col("max_id")).alias("high")
-    )
-
+def key_ranges(df: DataFrame, key: str, batch: int = KEY_BATCH) -> DataFrame:
+    """(low, high): closed ranges over the key's minimum to maximum without gap or overlap.
 
-def key_bounds(df: DataFrame, key: str) -> DataFrame:
-    return df.agg(
-        F.min(key).cast("long").alias("min_id"), F.max(key).cast("long").alias("max_id")
+    An empty table gives no range.  The ranges are made on the executors, however many.
+    """
+    low, high = df.agg(F.min(key).cast("long"), F.max(key).cast("long")).first()
+    spark = df.sparkSession
+    starts = spark.range(0) if low is None else spark.range(low, high + 1, batch)
+    return starts.select(
+        F.col("id").alias("low"),
+        F.least(F.col("id") + (batch - 1), F.lit(high).cast("long")).alias("high"),
     )
 
 

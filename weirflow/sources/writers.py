@@ -13,9 +13,15 @@ PARTITION = "client_partition_id"
 VERSION_SORT = ("event_eid", "ingestion_timestamp")
 
 
-def _sorted(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
+def _laid_out(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> DataFrame:
+    """Rows gathered by partition value and sorted inside it.
+
+    Adaptive execution sizes the tasks: small partition values share one, a hot value is split
+    over many, so neither thousands of tiny files nor one huge task come out.
+    """
+    placed = df.hint("rebalance", *partition_by) if partition_by else df
     by = [c for c in (*partition_by, *sort_by) if c in df.columns]
-    return df.sortWithinPartitions(*by) if by else df
+    return placed.sortWithinPartitions(*by) if by else placed
 
 
 def append(
@@ -30,7 +36,7 @@ def append(
     that client and version filters skip files and row groups."""
     out = conform(df, target) if target is not None else df
     parts = [c for c in partition_by if c in out.columns]
-    writer = _sorted(out, parts, sort_by).write.mode("append")
+    writer = _laid_out(out, parts, sort_by).write.mode("append")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     (writer.partitionBy(*parts) if parts else writer).parquet(path)
@@ -80,7 +86,7 @@ def export_csv_per_client(
     out = booleans_to_ints(stringify_dates(df.select(client_col, *columns)))
     plain = nulls_to_empty(out)
     (
-        plain.write.mode("overwrite")
+        _laid_out(plain, [client_col]).write.mode("overwrite")
         .partitionBy(client_col)
         .option("header", True)
         .option("quoteAll", True)
@@ -119,7 +125,7 @@ def upsert_partitions(
     current = spark.read.parquet(path)
     affected = current.join(touched, partition, "left_semi")
     merged = replace_into(affected, last.select(*current.columns), keys)
-    merged.write.mode("overwrite").partitionBy(partition).parquet(work_path)
+    _laid_out(merged, [partition]).write.mode("overwrite").partitionBy(partition).parquet(work_path)
     (
         spark.read.schema(current.schema).parquet(work_path)
         .write.mode("overwrite")
