@@ -11,7 +11,8 @@ QUERIES = entry.queries()
 
 # building these starts Spark jobs (marks, checkpoints, models); their operators are covered by others
 EAGER = {"checkpoint_next", "checkpoint_upsert", "downline_closure", "sponsored_signups", "sponsored_orders",
-         "phrases", "phrase_tokens", "usage_features", "als_top5", "als_rmse", "lda_topics"}
+         "phrases", "phrase_tokens", "usage_features", "als_top5", "als_rmse", "lda_topics",
+         "cdc_stream", "upsert_stream", "export_per_client", "batched_lookup"}
 
 
 def plan_of(df):

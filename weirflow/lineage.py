@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set (tests)."""
+    """The shared folder the cluster names; a temporary one only in local mode without one."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if named is None:
         named = sc.getCheckpointDir()
     if named is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="weirflow-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named)
@@ -24,3 +27,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and read it back from there."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A new folder name below the checkpoint folder, for tables between two steps of a job."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/work-{uuid.uuid4().hex}"

@@ -69,7 +69,8 @@ def join_sliced(
 def widen(df: DataFrame) -> DataFrame:
     """Rows dealt out to all cores where the input has fewer partitions than that.
 
-    For a few large files in front of work that is heavy per row; large inputs pass as they are.
+    For a table scan of a few large files in front of work that is heavy per row; large inputs
+    pass as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
