@@ -161,6 +161,6 @@ def test_sliced_join_equals_plain_join(spark):
     side = spark.range(12).selectExpr("id AS k", "id * 10 AS s")
     joined = join_sliced(facts, side, ["k"], ["v"], limit=20)
     assert values(joined, "k", "v", "s") == values(facts.join(side, "k"), "k", "v", "s")
-    folded = fold_slices(joined, ["k"], {"n": ("count", F.col("v")), "t": ("sum", F.col("v")), "lo": ("min", F.col("s")), "hi": ("max", F.col("v"))})
+    folded = fold_slices(joined, ["k"], {"n": ("count", "v"), "t": ("sum", "v"), "lo": ("min", "s"), "hi": ("max", "v")})
     plain = facts.join(side, "k").groupBy("k").agg(F.count("v"), F.sum("v"), F.min("s"), F.max("v"))
     assert values(folded) == values(plain)

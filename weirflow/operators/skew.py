@@ -76,23 +76,22 @@ def widen(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-_MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
-_FOLD = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
+# how partial results of a measure are put together
+_MERGE = {"count": "sum", "sum": "sum", "min": "min", "max": "max"}
 
 
 def fold_slices(
-    df: DataFrame, keys: Sequence[str], measures: Mapping[str, tuple[str, Column]],
-    slice_col: str = "slice",
+    df: DataFrame, keys: Sequence[str], measures: Mapping[str, tuple[str, str]], slice_col: str = "slice"
 ) -> DataFrame:
     """Group by keys in two steps, per slice and then per key.
 
-    ``measures`` maps a name to (count | sum | min | max, column).
+    ``measures`` maps a name to (count | sum | min | max, SQL expression).
     """
     per_slice = df.groupBy(*keys, slice_col).agg(
-        *[_FOLD[how](c).alias(name) for name, (how, c) in measures.items()]
+        *[F.expr(f"{how}({text}) AS {name}") for name, (how, text) in measures.items()]
     )
     return per_slice.groupBy(*keys).agg(
-        *[_MERGE[how](name).alias(name) for name, (how, _) in measures.items()]
+        *[F.expr(f"{_MERGE[how]}({name}) AS {name}") for name, (how, _) in measures.items()]
     )
 
 

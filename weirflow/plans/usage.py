@@ -93,8 +93,8 @@ def sent_messages(emails: DataFrame) -> DataFrame:
     )
 
 
-def _before(at: Column, kind: str) -> Column:
-    return (F.to_date(at) >= F.col("signup")) & (at <= F.col(f"first_{kind}"))
+def _within30(at: str) -> str:
+    return f"datediff(CAST({at} AS DATE), signup) BETWEEN 0 AND 30"
 
 
 def message_features(people: DataFrame, emails: DataFrame) -> DataFrame:
@@ -110,29 +110,19 @@ def message_features(people: DataFrame, emails: DataFrame) -> DataFrame:
     ).filter(
         F.to_date("created") >= F.col("signup")
     )
-    first30 = days_between(F.col("signup"), F.col("created")).between(0, 30)
-    sent30 = days_between(F.col("signup"), F.col("sent")).between(0, 30)
-    measures = {
-        "_created": ("min", F.to_date("created")),
-        "_sent": ("min", F.to_date("sent")),
-        "_seen": ("min", F.to_date("min_seen")),
-        "_read": ("min", F.to_date("min_read")),
-        "_signup": ("min", F.col("signup")),
-        "cnt_created_first30": ("count", F.when(first30, 1)),
-        "cnt_sent_first30": ("count", F.when(sent30, 1)),
-    }
-    for event, weight in (("seen", "seen_cnt"), ("read", "read_cnt"), ("undeliverable", "undeliverable_cnt")):
-        measures[f"cnt_{event}_first30"] = ("sum", F.when(first30, F.col(weight)).otherwise(0))
-    clock = {"created": "created", "sent": "sent", "seen": "min_seen", "read": "min_read", "undeliverable": "sent"}
     weights = {"seen": "seen_cnt", "read": "read_cnt", "undeliverable": "undeliverable_cnt"}
+    clock = {"created": "created", "sent": "sent", "seen": "min_seen", "read": "min_read", "undeliverable": "sent"}
+    measures = {f"_{e}": ("min", f"CAST({clock[e]} AS DATE)") for e in ("created", "sent", "seen", "read")}
+    measures["_signup"] = ("min", "signup")
     for event, at in clock.items():
+        how = "sum" if event in weights else "count"
+        hit = f"{weights[event]} ELSE 0" if event in weights else "1"
+        # what happened to a message counts for the message's own first 30 days
+        start = at if event == "sent" else "created"
+        measures[f"cnt_{event}_first30"] = (how, f"CASE WHEN {_within30(start)} THEN {hit} END")
         for kind in KINDS:
-            hit = _before(F.col(at), kind)
-            name = f"cnt_{event}_before_first_{kind}"
-            if event in weights:
-                measures[name] = ("sum", F.when(hit, F.col(weights[event])).otherwise(0))
-            else:
-                measures[name] = ("count", F.when(hit, 1))
+            before = f"CAST({at} AS DATE) >= signup AND {at} <= first_{kind}"
+            measures[f"cnt_{event}_before_first_{kind}"] = (how, f"CASE WHEN {before} THEN {hit} END")
     out = fold_slices(rows, ["sender_tree_user_id"], measures)
     spans = {
         f"days_to_first_{event}": days_between(F.col("_signup"), F.col(f"_{event}"))
@@ -148,12 +138,11 @@ def login_features(people: DataFrame, logins: DataFrame) -> DataFrame:
         F.col("owner_id").alias("tree_user_id"), "signup", *[f"first_{k}" for k in KINDS]
     )
     rows = join_sliced(keyed, side, ["tree_user_id"], ["login_id"], counted=logins.select("tree_user_id"))
-    start = F.col("signup").cast("timestamp_ntz")
-    spans = {"first30": days_between(F.col("signup"), F.col("created_at")).between(0, 30)}
+    spans = {"first30": _within30("created_at")}
     for kind in KINDS:
-        spans[f"before_first_{kind}"] = F.col("created_at").between(start, F.col(f"first_{kind}"))
+        spans[f"before_first_{kind}"] = f"created_at BETWEEN CAST(signup AS TIMESTAMP_NTZ) AND first_{kind}"
     measures = {
-        f"logins_{span}_{cls}": ("count", F.when(inside & (F.col("cls") == cls), 1))
+        f"logins_{span}_{cls}": ("count", f"CASE WHEN cls = '{cls}' AND {inside} THEN 1 END")
         for span, inside in spans.items()
         for cls in fixed.PLATFORM_CLASSES
     }
