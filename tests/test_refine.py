@@ -2,7 +2,6 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import values
 from weirflow.functions.dates import ts

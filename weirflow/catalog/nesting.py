@@ -6,12 +6,10 @@ from pyspark.sql import functions as F
 
 from weirflow.catalog import testbed as tb
 from weirflow.catalog.testbed import comparable, sql, table
-from weirflow.functions import rules
 from weirflow.functions.dates import ts
 from weirflow.operators.joins import enrich, link_entities, person_profiles, polymorphic_lookup, with_lookup
 from weirflow.operators.nesting import first_of, last_of, nest, nest_many, scores_from_json, scores_from_wide, unnest
 from weirflow.operators.shares import top_n
-from weirflow.operators.versions import newest
 from weirflow.plans import marts
 
 QUERIES: dict = {}

@@ -10,7 +10,6 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F, types as T
 
-from weirflow.catalog import testbed as tb
 from weirflow.catalog.testbed import comparable, sql, table
 from weirflow.functions import fixed
 from weirflow.functions.codecs import compress_long, decrypt_line, gunzip, inflate

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from weirflow.catalog import testbed as tb
 from weirflow.catalog.testbed import comparable, sql
 from weirflow.functions.dates import ts

@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from weirflow.functions import fixed
 from weirflow.functions.dates import days_between, month_text, ts, year_text
 from weirflow.functions.rules import day_bucket, day_bucket_rank
-from weirflow.operators.shares import ratio, ratio_if_positive, running_total, total_over
+from weirflow.operators.shares import ratio, running_total, total_over
 
 DIGITS = 6
 RETAIL, WHOLESALE = "Retail", "Wholesale"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, types as T
 
 from weirflow.functions.conform import booleans_to_ints, conform, nulls_to_empty, stringify_dates
 from weirflow.operators.versions import newest, replace_into
