@@ -9,22 +9,29 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only in local mode without one."""
+    """The folder that ``spark.checkpoint.dir`` names and all executors share.
+
+    Where it is unset, one process in local mode gets a temporary folder of its own; a cluster fails.
+    """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if named is None:
         named = sc.getCheckpointDir()
     if named is None:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="weirflow-ckpt-")
+        named = tempfile.mkdtemp(prefix="weirflow-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named)
     return named
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it back from there."""
+    """Write ``df`` to the reliable checkpoint folder and read it back from there.
+
+    The files go when the frame is no longer used, if ``spark.cleaner.referenceTracking.cleanCheckpoints``
+    is set, as ``build_session`` does.
+    """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -32,3 +39,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def work_folder(spark: SparkSession) -> str:
     """A new folder name below the checkpoint folder, for tables between two steps of a job."""
     return f"{checkpoint_dir(spark).rstrip('/')}/work-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, folder: str) -> DataFrame:
+    """``df`` as a Parquet table in ``folder``, read back with its real size known to the planner."""
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of ``work_folder`` once nothing reads it any more."""
+    if "/work-" not in folder:
+        raise ValueError(f"not a work folder: {folder}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -24,6 +24,7 @@ def build_session(app: str = "weirflow", master: str | None = None, **conf: str)
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # a call site per Column call costs more than planning a wide report
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
