@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weirflow.llm import bpe
+from weirflow.llm import bpe, ngram_join
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,11 +27,16 @@ def token_digests(coded: DataFrame) -> DataFrame:
     )
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_classes(documents(spark, sf_dir))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(bpe.encode_decode(documents(spark, sf_dir), *public_vocabulary()))
 
 
 QUERIES = {
+    "op1_ngram_jaccard": (op1_ngram_jaccard, None),
     "op10_byte_bpe": (op10_byte_bpe, None),
 }
 
