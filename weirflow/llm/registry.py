@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weirflow.llm import bpe, ngram_join
+from weirflow.llm import bpe, decontamination, ngram_join
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,12 +31,54 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_classes(documents(spark, sf_dir))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontamination.is_contaminated().alias("contaminated"),
+    )
+
+
+OP8_SQL = r"""
+WITH item_words AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, least(len(w), 13) AS width, array_to_string(w[i : i + least(len(w), 13) - 1], ' ') AS win
+  FROM (SELECT item, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM item_words WHERE len(w) > 0)
+), doc_words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), places AS (
+  SELECT doc_id, width, i, array_to_string(w[i : i + width - 1], ' ') AS win
+  FROM (SELECT doc_id, w, width, unnest(range(1, len(w) - width + 2)) AS i
+        FROM doc_words, (SELECT DISTINCT width FROM windows))
+), hits AS (
+  SELECT doc_id, item, i, p.width FROM places p JOIN windows USING (width, win)
+), covered AS (
+  SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + width)) AS k FROM hits) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(bpe.encode_decode(documents(spark, sf_dir), *public_vocabulary()))
 
 
 QUERIES = {
     "op1_ngram_jaccard": (op1_ngram_jaccard, None),
+    "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op10_byte_bpe": (op10_byte_bpe, None),
 }
 
