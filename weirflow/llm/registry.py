@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weirflow.llm import bpe, decontamination, ngram_join
+from weirflow.llm import bpe, decontamination, ngram_join, quality_rules
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +31,16 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_classes(documents(spark, sf_dir))
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    ratios = quality_rules.log_ratios(docs, labels(spark, sf_dir).filter("quality = 1"))
+    return quality_rules.measure(docs, ratios)
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select(
@@ -78,6 +88,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_jaccard": (op1_ngram_jaccard, None),
+    "op6_quality_rules": (op6_quality_rules, None),
     "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op10_byte_bpe": (op10_byte_bpe, None),
 }
