@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weirflow.llm import bpe, decontamination, ngram_join, quality_rules
+from weirflow.llm import bpe, decontamination, language_id, ngram_join, quality_rules
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +82,12 @@ FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    named = language_id.identify(docs, language_id.learn(docs))
+    return named.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(bpe.encode_decode(documents(spark, sf_dir), *public_vocabulary()))
 
@@ -90,6 +96,7 @@ QUERIES = {
     "op1_ngram_jaccard": (op1_ngram_jaccard, None),
     "op6_quality_rules": (op6_quality_rules, None),
     "op8_decontamination": (op8_decontamination, OP8_SQL),
+    "op9_language_id": (op9_language_id, None),
     "op10_byte_bpe": (op10_byte_bpe, None),
 }
 
