@@ -15,9 +15,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from weirflow.llm import arrowtext
+from weirflow.llm.sampling import held_out, sample_ids
 
 GRAM_SLOTS = 1 << 14     # n-grams are hashed to so many slots
 LONGEST = 3
@@ -88,24 +89,6 @@ def fit(held: np.ndarray, languages: list[str]) -> Model | None:
     return Model(landmarks, weights, names)
 
 
-def held_out(id_col: str = "doc_id") -> Column:
-    """Rows that no model may learn from."""
-    return F.crc32(F.col(id_col).cast("string")) % 4 == 2
-
-
-def sample_ids(rows: DataFrame, id_col: str, label_col: str, most: int) -> DataFrame:
-    """At most ``most`` ids, dealt from all labels in turn, in an order that only the id decides.
-
-    The bound makes the result safe to broadcast.
-    """
-    from pyspark.sql import Window
-
-    order = F.xxhash64(F.col(id_col))
-    turn = F.row_number().over(Window.partitionBy(label_col).orderBy(order, F.col(id_col)))
-    ranked = rows.select(id_col, label_col).withColumn("_turn", turn).filter(F.col("_turn") <= most)
-    return ranked.orderBy("_turn", label_col).limit(most).select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"))
-
-
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> Model | None:
     """Fit on at most ``SAMPLE`` rows with a label and a text that are not held out."""
     rows = docs.filter(~held_out(id_col) & F.col(label_col).isNotNull() & F.col(text_col).isNotNull())

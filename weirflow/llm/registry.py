@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weirflow.llm import bpe, decontamination, language_id, ngram_join, quality_rules
+from weirflow.llm import bpe, decontamination, language_id, ngram_join, quality_classifier, quality_rules
+from weirflow.llm.sampling import held_out
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +36,15 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    scored = quality_classifier.score(docs, quality_classifier.learn(docs, labels(spark, sf_dir)))
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score",
+        (F.col("score") >= quality_classifier.ACCEPTED).cast("int").alias("predicted"),
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     ratios = quality_rules.log_ratios(docs, labels(spark, sf_dir).filter("quality = 1"))
@@ -85,7 +95,7 @@ FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     named = language_id.identify(docs, language_id.learn(docs))
-    return named.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+    return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +104,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_jaccard": (op1_ngram_jaccard, None),
+    "op2_quality_classifier": (op2_quality_classifier, None),
     "op6_quality_rules": (op6_quality_rules, None),
     "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op9_language_id": (op9_language_id, None),
