@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weirflow.llm import bpe, decontamination, language_id, ngram_join, quality_classifier, quality_rules
+from weirflow.llm import bpe, decontamination, language_id, ngram_join, quality_classifier, quality_rules, toxicity
 from weirflow.llm.sampling import held_out
 
 
@@ -45,6 +45,13 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    scored = toxicity.score(docs, toxicity.learn(docs, labels(spark, sf_dir)))
+    return scored.select(
+        "doc_id", *[F.col(c).alias(f"p_{c}") for c in toxicity.CHAIN], (F.col("toxic") >= toxicity.REJECTED).alias("toxic"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     ratios = quality_rules.log_ratios(docs, labels(spark, sf_dir).filter("quality = 1"))
@@ -105,6 +112,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_jaccard": (op1_ngram_jaccard, None),
     "op2_quality_classifier": (op2_quality_classifier, None),
+    "op3_toxicity": (op3_toxicity, None),
     "op6_quality_rules": (op6_quality_rules, None),
     "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op9_language_id": (op9_language_id, None),
