@@ -10,16 +10,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from weirflow.lineage import cut_lineage
+
 WINDOW = 13
 SLOTS = 1 << 17  # one byte each: the bitmap's size for any benchmark
 _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # words of lower-cased text stand between these
 
 
 def normal_words(text: Column) -> Column:
     """Words of a text: A-Z lower-cased, cut at ASCII that is no letter or digit; null has none."""
     lower = F.translate(F.coalesce(text.cast("string"), F.lit("")), _LETTERS, _LETTERS.lower())
-    return F.regexp_extract_all(lower, F.lit(_WORD), F.lit(0))
+    return F.filter(F.split(lower, _BETWEEN), lambda w: w != "")
 
 
 def _starts(words: Column, width: int) -> Column:
@@ -69,6 +71,26 @@ def _places(words: Column, width: int, bitmap: Column) -> Column:
         i.alias("start"), F.lit(width).alias("width"), F.array_join(F.slice(words, i, width), " ").alias("window")))
 
 
+def _scanned(docs: DataFrame, windows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, row, n_words, places) of each row in one pass: places are windows that pass the bitmap.
+
+    ``row`` tells rows with equal ids apart.  Written to the checkpoint folder; apart from the ids it
+    holds little more than the hits.
+    """
+    marked, widths = _bitmap(windows)
+    bitmap, none = F.lit(marked), F.array().cast("array<struct<start:int,width:int,window:string>>")
+    # the words are bound to a lambda's variable, so that they are cut out once a text
+    scan = F.transform(F.array(normal_words(F.col(text_col))), lambda w: F.struct(
+        F.size(w).cast("long").alias("n_words"), F.concat(none, *[_places(w, n, bitmap) for n in widths]).alias("places")))
+    return cut_lineage(docs.select(F.col(id_col), F.monotonically_increasing_id().alias("row"), F.inline(scan)))
+
+
+def _hits(scanned: DataFrame, windows: DataFrame, id_col: str) -> DataFrame:
+    places = scanned.filter(F.size("places") > 0).select(F.col(id_col), "row", F.explode("places").alias("p")).select(
+        F.col(id_col), "row", "p.start", "p.width", "p.window")
+    return places.join(windows, ["width", "window"]).select(F.col(id_col), "row", "item", "start", "width")
+
+
 def benchmark_hits(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text", width: int = WINDOW,
@@ -78,16 +100,7 @@ def benchmark_hits(
     ``start`` counts words from 1.  Cases as in ``contamination``.
     """
     windows = benchmark_windows(benchmark, item_col, item_text_col, width)
-    marked, widths = _bitmap(windows)
-    bitmap = F.lit(marked)
-    if not widths:
-        return docs.select(F.col(id_col), F.lit("").alias("item"), F.lit(0).alias("start"), F.lit(0).alias("width")).limit(0)
-    # the words are bound to a lambda's variable, so that they are cut out once a text
-    places = docs.select(
-        F.col(id_col), F.explode(F.flatten(F.transform(
-            F.array(normal_words(F.col(text_col))), lambda w: F.concat(*[_places(w, n, bitmap) for n in widths])))).alias("p")
-    ).select(F.col(id_col), "p.start", "p.width", "p.window")
-    return places.join(windows, ["width", "window"]).select(F.col(id_col), "item", "start", "width")
+    return _hits(_scanned(docs, windows, id_col, text_col), windows, id_col).drop("row")
 
 
 def contamination(
@@ -97,25 +110,22 @@ def contamination(
     """Each document's words, hit words and the items found in it.
 
     Returns (id, n_words, n_hit, items array<string> sorted, spans array<struct<first,last>>): word
-    positions from 1, overlapping spans merged.  A word inside any occurrence of a window is hit.
-    Null and empty texts have no words and no hit; an item without words has no window; an empty
-    benchmark hits nothing.  Ids should be unique; rows that repeat an id each get the hits of all
-    of them.  Other columns of either table are not read.
+    positions from 1, overlapping spans merged; a row for each row of ``docs``, repeated ids too.  A
+    word inside any occurrence of a window is hit.  Null and empty texts have no words and no hit; an
+    item without words has no window; an empty benchmark hits nothing.  Other columns of either
+    table are not read.
     """
-    base = docs.select(F.col(id_col), F.col(text_col))
-    hits = benchmark_hits(base, benchmark, id_col, text_col, item_col, item_text_col, width)
-    per_doc = hits.groupBy(id_col).agg(
-        F.array_sort(F.collect_set("item")).alias("items"),
-        F.array_sort(F.collect_set(F.struct(F.col("start").alias("first"), (F.col("start") + F.col("width") - 1).alias("last")))).alias("found"),
-    )
-    per_doc = per_doc.select(F.col(id_col).alias("_id"), "items", merge_spans(F.col("found")).alias("spans"))
-    counted = base.select(F.col(id_col), F.size(normal_words(F.col(text_col))).cast("long").alias("n_words"))
-    none = F.array().cast("array<string>")
-    out = counted.join(per_doc, counted[id_col] == per_doc["_id"], "left")
+    windows = benchmark_windows(benchmark, item_col, item_text_col, width)
+    scanned = _scanned(docs, windows, id_col, text_col)
+    span = F.struct(F.col("start").alias("first"), (F.col("start") + F.col("width") - 1).alias("last"))
+    per_row = _hits(scanned, windows, id_col).groupBy("row").agg(
+        F.array_sort(F.collect_set("item")).alias("items"), F.array_sort(F.collect_set(span)).alias("found"))
+    per_row = per_row.select("row", "items", merge_spans(F.col("found")).alias("spans"))
+    out = scanned.select(F.col(id_col), "row", "n_words").join(per_row, "row", "left")
     covered = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["last"] - s["first"] + 1)
     return out.select(
         F.col(id_col), "n_words", F.coalesce(covered, F.lit(0).cast("long")).alias("n_hit"),
-        F.coalesce("items", none).alias("items"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.coalesce("spans", F.array().cast("array<struct<first:int,last:int>>")).alias("spans"),
     )
 
