@@ -8,9 +8,9 @@ fragment, and whatever has to be counted is counted in each fragment on its own
 2. per fragment, the partial overlap of each candidate pair; the sum per pair decides the link.
 
 Candidate pairs come from the rarest-first prefixes of the remaining sets: linked sets share an
-n-gram there.  First every set meets two centres of each n-gram's group, which joins a group of
-near copies by as many pairs as it has members; then all pairs that share a prefix n-gram and are
-not yet connected are counted too, so no link that connects anything is missed.
+n-gram there.  First every set meets the centres of n-gram groups that it shares most with, which
+joins a group of near copies by as many pairs as it has members; then all pairs that share a prefix
+n-gram and are not yet connected are counted too, so no link that connects anything is missed.
 """
 
 from __future__ import annotations
@@ -20,13 +20,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from weirflow.lineage import drop_folder, work_folder, written
 from weirflow.llm import arrowtext
 
 WIDTH, PERCENT = 5, 80
 SEGMENTS = 8             # cuts of the global order in which a pair's partial overlaps are counted
+CENTRES = 3              # sets that each set is compared with in a round
+ROUNDS = 5               # at most; what they leave unconnected is compared in full
 BLOCK = 4 << 20
 _TOKEN_BYTES = 6
 _LOW = np.uint64((1 << (8 * _TOKEN_BYTES)) - 1)
@@ -220,7 +222,17 @@ def _memberships(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, n_a, n_b) whose summed partial overlaps reach the similarity."""
+    """Pairs (a, b, n_a, n_b) whose summed partial overlaps reach the similarity.
+
+    Prefixes alone rule most out: what the set whose prefix ends first shares beyond that end can't be
+    more than the rest of it.
+    """
+    prefix = sets.select("set_id", "prefix")
+    pairs = pairs.join(prefix.select(F.col("set_id").alias("b"), F.col("prefix").alias("prefix_b")), "b").join(
+        prefix.select(F.col("set_id").alias("a"), F.col("prefix").alias("prefix_a")), "a")
+    beyond = F.greatest(*[F.ceil(percent * F.col(n) / 100) - 1 for n in ("n_a", "n_b")])
+    most = F.size(F.array_intersect("prefix_a", "prefix_b")) + beyond
+    pairs = pairs.filter((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b", "n_a", "n_b")
     cut = sets.select("set_id", F.posexplode("segments").alias("segment", "tokens")).filter(F.size("tokens") > 0)
     one = cut.select(F.col("set_id").alias("a"), "segment", F.col("tokens").alias("of_a"))
     two = cut.select(F.col("set_id").alias("b"), "segment", F.col("tokens").alias("of_b"))
@@ -297,27 +309,28 @@ def link_classes(
     drop("counted")
     postings = written(
         sets.select("set_id", "n", "alone", F.posexplode("prefix").alias("at", "token"))
-        .select("token", "set_id", "n", (F.col("alone") + F.col("at")).alias("at")),
+        .select("token", "set_id", "n", "alone", (F.col("alone") + F.col("at")).alias("at")),
         f"{folder}/postings",
     )
 
-    # every member of an n-gram's group against two centres
-    order = [F.struct(F.xxhash64(F.lit(k), "set_id").alias("o"), "set_id", "n") for k in (1, 2)]
-    centres = postings.groupBy("token").agg(F.count("*").alias("many"), *[F.min(o).alias(f"c{k}") for k, o in enumerate(order)])
-    centres = centres.filter("many > 1").select("token", F.explode(F.array_distinct(F.array("c0", "c1"))).alias("c"))
-    stars = postings.join(centres, "token").filter(F.col("set_id") != F.col("c.set_id"))
-    tested = written(_pairs(stars, F.col("c.set_id"), F.col("c.n"), F.col("set_id"), F.col("n"), percent), f"{folder}/stars")
-    links = written(_verified(tested, sets, percent), f"{folder}/links")
-    classes = written(components(links, f"{folder}/classes"), f"{folder}/class")
+    # rounds of stars: every set against the centres it shares most of its prefix with, as long as
+    # that connects anything; each round takes other centres, and only n-grams whose sets are not one class
+    tested = links = None
+    placed = _mixed(postings, postings.select("set_id", F.col("set_id").alias("component")).limit(0))
+    for step in range(ROUNDS):
+        found = _stars(placed, CENTRES * step, percent)
+        if tested is not None:
+            found = found.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        found = written(found, f"{folder}/stars-{step}")
+        new = written(_verified(found, sets, percent), f"{folder}/links-{step}").select("a", "b")
+        tested = found if tested is None else tested.unionByName(found)
+        links = new if links is None else links.unionByName(new)
+        if not new.take(1):
+            break
+        known = components(links, f"{folder}/classes-{step}").select(F.col("node").alias("set_id"), "component")
+        placed = written(_mixed(postings, known), f"{folder}/placed-{step}")
 
     # what shares a prefix n-gram and is not connected yet: all pairs outside the group's largest class
-    known = classes.select(F.col("node").alias("set_id"), "component")
-    placed = postings.join(known, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    per_class = placed.groupBy("token", "component").agg(F.count("*").alias("many"))
-    mixed = per_class.groupBy("token").agg(
-        F.count("*").alias("classes"), F.max_by("component", F.struct("many", "component")).alias("largest")
-    ).filter("classes > 1").select("token", "largest")
-    placed = written(placed.join(mixed, "token"), f"{folder}/placed")
     x = placed.filter("component <> largest").select(
         "token", "largest", F.col("set_id").alias("x"), F.col("n").alias("n_x"), F.col("at").alias("at_x"), F.col("component").alias("c_x"))
     y = placed.select("token", F.col("set_id").alias("y"), F.col("n").alias("n_y"), F.col("at").alias("at_y"), F.col("component").alias("c_y"))
@@ -331,10 +344,10 @@ def link_classes(
     rest = _pairs(apart, F.col("x"), F.col("n_x"), F.col("y"), F.col("n_y"), percent)
     rest = written(rest.join(tested.select("a", "b"), ["a", "b"], "left_anti"), f"{folder}/rest")
     more = written(_verified(rest, sets, percent), f"{folder}/more")
-    for name in ("sets", "postings", "placed"):
-        drop(name)
+    drop("sets")
+    drop("postings")
     final = written(
-        components(links.select("a", "b").unionByName(more.select("a", "b")), f"{folder}/final"), f"{folder}/named")
+        components(links.unionByName(more.select("a", "b")), f"{folder}/final"), f"{folder}/named")
 
     # from sets back to documents
     named = members.filter("n > 0").groupBy("set_id").agg(F.min("doc").alias("doc")).join(
@@ -348,7 +361,8 @@ def link_classes(
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"),
     )
     out = written(out, f"{folder}/out")
-    for name in ("members", "stars", "links", "classes", "class", "rest", "more", "final", "named", "docs", "of_set"):
+    of_rounds = [f"{name}-{k}" for name in ("stars", "links", "classes", "placed") for k in range(ROUNDS)]
+    for name in ("members", "rest", "more", "final", "named", "docs", "of_set", *of_rounds):
         drop(name)
     nameless = picked.filter("doc IS NULL").select(
         F.lit(None).cast("long").alias(id_col), F.lit(None).cast("long").alias("n_shingles"),
@@ -356,6 +370,39 @@ def link_classes(
     return out.unionByName(nameless)
 
 
+def _stars(placed: DataFrame, seed: int, percent: int) -> DataFrame:
+    """Pairs of a set and the centres, of other classes, that stand for most of its prefix n-grams.
+
+    An n-gram's centres are the least of its sets in some orders of all sets, so sets that share much
+    have few centres between them.  Sets with the least part of n-grams of their own come first: what
+    has been edited least is nearest to all its copies.
+    """
+    own = F.floor(100 * F.col("alone") / F.col("n")).cast("int")
+    order = [
+        F.struct((own if k % 2 == 0 else F.lit(0)).alias("own"), F.xxhash64(F.lit(seed + k), "set_id").alias("o"), "set_id", "n", "component")
+        for k in range(CENTRES)
+    ]
+    centres = placed.groupBy("token").agg(F.count("*").alias("many"), F.array_distinct(F.array(*[F.min(o) for o in order])).alias("c"))
+    centres = centres.filter("many > 1").select("token", F.explode("c").alias("c")).select(
+        "token", F.col("c.set_id").alias("c_id"), F.col("c.n").alias("c_n"), F.col("c.component").alias("c_component"))
+    met = placed.join(centres, "token").filter(
+        (F.col("component") != F.col("c_component")) & _fits(percent, F.col("n"), F.col("c_n")))
+    votes = met.groupBy("set_id", "n", "c_id", "c_n").agg(F.count("*").alias("votes"))
+    best = F.row_number().over(Window.partitionBy("set_id").orderBy(F.desc("votes"), "c_id"))
+    chosen = votes.withColumn("best", best).filter(F.col("best") <= CENTRES)
+    return _pairs(chosen, F.col("c_id"), F.col("c_n"), F.col("set_id"), F.col("n"), percent)
+
+
+def _mixed(postings: DataFrame, known: DataFrame) -> DataFrame:
+    """The postings of n-grams whose sets are of several classes, with the set's and the largest class."""
+    placed = postings.join(known, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+    per_class = placed.groupBy("token", "component").agg(F.count("*").alias("many"))
+    mixed = per_class.groupBy("token").agg(
+        F.count("*").alias("classes"), F.max_by("component", F.struct("many", "component")).alias("largest")
+    ).filter("classes > 1").select("token", "largest")
+    return placed.join(mixed, "token")
+
+
 def _pairs(rows: DataFrame, one, n_one, two, n_two, percent: int) -> DataFrame:
     """Distinct pairs (a < b) with their sizes, if the sizes allow a link."""
     first = one < two
