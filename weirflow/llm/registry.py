@@ -5,10 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weirflow.llm import bpe, decontamination, language_id, ngram_join, quality_classifier, quality_rules, toxicity
+from weirflow.llm import bpe, decontamination, language_id, ngram_join, pii, quality_classifier, quality_rules, toxicity
 from weirflow.llm.sampling import held_out
 
 
+KEY = "weirflow-test-key"  # of the registered query and the pipeline; a real corpus has a secret one
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -52,6 +55,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[F.col(c).alias(f"p_{c}") for c in toxicity.CHAIN], (F.col("toxic") >= toxicity.REJECTED).alias("toxic"))
 
 
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return pii.replace_entities(docs, KEY, counts=True)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     ratios = quality_rules.log_ratios(docs, labels(spark, sf_dir).filter("quality = 1"))
@@ -113,6 +121,7 @@ QUERIES = {
     "op1_ngram_jaccard": (op1_ngram_jaccard, None),
     "op2_quality_classifier": (op2_quality_classifier, None),
     "op3_toxicity": (op3_toxicity, None),
+    "op4_pii_surrogates": (op4_pii_surrogates, None),
     "op6_quality_rules": (op6_quality_rules, None),
     "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op9_language_id": (op9_language_id, None),
