@@ -39,6 +39,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     scored = quality_classifier.score(docs, quality_classifier.learn(docs, labels(spark, sf_dir)))
@@ -67,7 +71,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontamination.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = decontamination.contamination(documents(spark, sf_dir), benchmark(spark, sf_dir))
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
@@ -117,6 +121,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(bpe.encode_decode(documents(spark, sf_dir), *public_vocabulary()))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_ngram_jaccard": (op1_ngram_jaccard, None),
     "op2_quality_classifier": (op2_quality_classifier, None),
@@ -126,6 +136,7 @@ QUERIES = {
     "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op9_language_id": (op9_language_id, None),
     "op10_byte_bpe": (op10_byte_bpe, None),
+    "pipeline": (pipeline, None),
 }
 
 
