@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weirflow.llm import bpe, decontamination, language_id, ngram_join, pii, quality_classifier, quality_rules, toxicity
+from weirflow.llm import bpe, decontamination, language_id, ngram_join, pii, quality_classifier, quality_rules, secrets, toxicity
 from weirflow.llm.sampling import held_out
 
 
@@ -64,6 +64,11 @@ def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_entities(docs, KEY, counts=True)
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(documents(spark, sf_dir))
+    return found.select("doc_id", "start", F.length("text").cast("long").alias("length"), F.sha2("text", 256).alias("sha256"), "score")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     ratios = quality_rules.log_ratios(docs, labels(spark, sf_dir).filter("quality = 1"))
@@ -132,6 +137,7 @@ QUERIES = {
     "op2_quality_classifier": (op2_quality_classifier, None),
     "op3_toxicity": (op3_toxicity, None),
     "op4_pii_surrogates": (op4_pii_surrogates, None),
+    "op5_secret_scan": (op5_secret_scan, None),
     "op6_quality_rules": (op6_quality_rules, None),
     "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op9_language_id": (op9_language_id, None),
