@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weirflow.llm import bpe, decontamination, language_id, ngram_join, pii, quality_classifier, quality_rules, secrets, toxicity
+from weirflow.llm import bpe, decontamination, language_id, ngram_join, passages, pii, quality_classifier, quality_rules, secrets, toxicity
 from weirflow.llm.sampling import held_out
 
 
@@ -75,6 +75,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(docs, ratios)
 
 
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = passages.repeated_passages(documents(spark, sf_dir))
+    return spans.select("doc_id", F.col("first").alias("first_word"), F.col("last").alias("last_word"), "class_id")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(documents(spark, sf_dir), benchmark(spark, sf_dir))
     return found.select(
@@ -139,6 +144,7 @@ QUERIES = {
     "op4_pii_surrogates": (op4_pii_surrogates, None),
     "op5_secret_scan": (op5_secret_scan, None),
     "op6_quality_rules": (op6_quality_rules, None),
+    "op7_repeated_passages": (op7_repeated_passages, None),
     "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op9_language_id": (op9_language_id, None),
     "op10_byte_bpe": (op10_byte_bpe, None),
