@@ -71,7 +71,7 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
     smoothed values.
     """
     good = trusted.select(F.col(id_col).alias("_good")).filter("_good IS NOT NULL").distinct()
-    marked = docs.select(F.col(id_col), F.col(text_col)).join(good, docs[id_col] == good["_good"], "left")
+    marked = docs.select(F.col(id_col), F.col(text_col)).join(good.hint("merge"), docs[id_col] == good["_good"], "left")
     slots = marked.select(
         F.col("_good").isNotNull().cast("long").alias("good"),
         F.explode(_let(_words(F.col(text_col)), _slots)).alias("bucket"),
