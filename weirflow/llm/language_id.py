@@ -36,8 +36,8 @@ def _letters() -> np.ndarray:
 
 def presence(texts: list[str]) -> np.ndarray:
     """A row of 0/1 for each text: which slots its n-grams fall into.  Non-letters count as a space."""
-    gap = "  "  # no n-gram of up to three characters spans two texts
-    codes = [np.frombuffer((gap + t.lower() + gap).encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
+    # no n-gram of up to three characters spans letters of two texts, and all texts hold three spaces
+    codes = [np.frombuffer(("  " + t.lower() + "   ").encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
     flat = np.concatenate(codes) if codes else np.zeros(0, np.uint32)
     row = np.repeat(np.arange(len(texts), dtype=np.int64), [len(c) for c in codes]) * GRAM_SLOTS
     flat = np.where(_letters()[flat], flat, 32).astype(np.uint64)
@@ -106,6 +106,8 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
 
     picked = texts.select("text", F.col("label").cast("string"), F.xxhash64(F.col(id_col)).alias("o"))
     rows = sorted(picked.mapInArrow(bits, "bits binary, label string, o long").collect(), key=lambda r: (r.o, r.label, r.bits))
+    if not rows:
+        return None
     held = np.unpackbits(np.array([np.frombuffer(r.bits, np.uint8) for r in rows]).reshape(len(rows), -1), axis=1)
     return fit(held, [r.label for r in rows])
 

@@ -419,4 +419,4 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     classes = link_classes(docs, id_col, text_col)
     gone = classes.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    return docs.join(gone.hint("merge"), docs[id_col] == gone["_gone"], "left_anti")

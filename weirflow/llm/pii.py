@@ -167,14 +167,16 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text", counts:
     by it.  Null stays null; a text without an entity stays as it is, byte for byte.  Equal texts get
     equal results.  Whole texts are searched.
     """
-    text = F.col(text_col)
-    marked = docs.withColumn("_found", F.when(F.rlike(text, F.lit("[0-9@]|\\p{Lu}\\p{Ll}+\\.? \\p{Lu}")), _entities(text, key)))
+    text, found = F.col(text_col), "_found"
+    while found in docs.columns:
+        found += "_"
+    marked = docs.withColumn(found, F.when(F.rlike(text, F.lit("[0-9@]|\\p{Lu}\\p{Ll}+\\.? \\p{Lu}")), _entities(text, key)))
     pieces = F.split(text, _ANY, -1)
     rebuilt = F.array_join(F.flatten(F.zip_with(
-        pieces, "_found", lambda p, f: F.array(p, F.coalesce(f["surrogate"], F.lit(""))))), "")
-    has = F.coalesce(F.size("_found"), F.lit(0)) > 0
+        pieces, found, lambda p, f: F.array(p, F.coalesce(f["surrogate"], F.lit(""))))), "")
+    has = F.coalesce(F.size(found), F.lit(0)) > 0
     new = F.when(has, rebuilt).otherwise(text).alias(text_col)
-    count = lambda kind: F.coalesce(F.size(F.filter("_found", lambda f: f["kind"] == kind)), F.lit(0)).cast("long")
+    count = lambda kind: F.coalesce(F.size(F.filter(found, lambda f: f["kind"] == kind)), F.lit(0)).cast("long")
     extra = [count(kind).alias(f"n_{kind}") for kind in PATTERNS] if counts else []
     named = {f"n_{kind}" for kind in PATTERNS} if counts else set()
     return marked.select(*[new if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in named], *extra)
