@@ -28,6 +28,15 @@ def test_zero_date_inside_a_text_is_kept_unless_legacy(frame):
     assert values(conform.zero_dates_to_null(df, legacy=True)) == [(None,)]
 
 
+def test_only_a_whole_zero_date_is_null(frame):
+    kept = ["0000-00-00 call back", "call 0000-00-00", "0000-00-00-1", "0000-00-00 10:00"]
+    zero = ["0000-00-00", "0000-00-00 00:00", "0000-00-00T00:00:00Z", "0000-00-00 00:00:00.000000+00:00", "0000-00-00 00:00:00 UTC"]
+    df = frame("a string", *[(t,) for t in kept + zero])
+    for out in (conform.zero_dates_to_null(df), conform.stringify_dates(df)):
+        assert sorted(r.a for r in out.collect() if r.a is not None) == sorted(kept)
+    assert {r.a for r in conform.stringify_dates(df, legacy=True).collect()} == {None}
+
+
 def test_stringify_nested_dates(frame):
     df = frame("d date, t timestamp_ntz, l array<struct<t: timestamp_ntz>>",
                (dt.date(2020, 1, 2), dt.datetime(2020, 1, 2, 3, 4, 5), [(dt.datetime(2020, 1, 1),)]))

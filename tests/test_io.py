@@ -49,7 +49,10 @@ def test_lines_and_json(spark, tmp_path):
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.StringType())])
     lines = readers.read_lines(spark, str(tmp_path), "a")
     assert values(lines, "file", "file_seq") == [("a-1", 1), ("a-1", 1), ("a-2.gz", None)]
-    assert values(readers.parse_json(lines, schema), "id", "v") == [(None, None), (1, "x"), (2, "y")]
+    parsed = readers.parse_json(lines, schema, rejects="bad")
+    assert values(parsed, "id", "v", "bad") == [(None, None, "broken"), (1, "x", None), (2, "y", None)]
+    with pytest.raises(Exception):
+        readers.parse_json(lines, schema).collect()
     assert values(readers.read_json_lines(spark, str(tmp_path / "a-2.gz"), schema)) == [(2, "y")]
 
 
@@ -119,7 +122,7 @@ def test_export_is_one_folder_per_client(spark, frame, tmp_path):
     rows = [(c, n, None, 'say "hi"', *["x"] * 10) for c, n in (("a", "ann"), ("a", "bob"), ("b", "cy"))]
     df = frame(columns + ", ingestion_timestamp timestamp_ntz", *[(*r, dt.datetime(2020, 1, d)) for d, r in enumerate(rows, 1)])
     out = tmp_path / "out"
-    export_people(df, "contacts", str(out), "2020-01-01 00:00:00", "2020-01-03 00:00:00")
+    export_people(df, "contacts", str(out), "2020-01-01 00:00:00", "2020-01-03 00:00:01")
     assert sorted(p.name for p in out.glob("client=*")) == ["client=a", "client=b"]
     texts = [gzip.decompress(p.read_bytes()).decode().splitlines() for p in (out / "client=b").glob("*.csv.gz")]
     lines = [t for t in texts if t][0]

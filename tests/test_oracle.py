@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from weirflow import catalog
 from parity import compare, connect
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -27,4 +28,4 @@ def test_runs_without_sql(spark, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(ORACLE) <= set(QUERIES) <= set(entry.queries())

@@ -4,10 +4,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from weirflow import catalog
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
+QUERIES = catalog.queries()
 
 # building these starts Spark jobs (marks, checkpoints, models); their operators are covered by others
 EAGER = {"checkpoint_next", "checkpoint_upsert", "downline_closure", "sponsored_signups", "sponsored_orders",

@@ -23,7 +23,7 @@ def clients(frame):
 
 def test_contacts_window_ends_at_the_first_version(frame, clients):
     log = frame("client string, id long, first_name string, ingestion_timestamp timestamp_ntz", ("House", 1, "old", at(1)), ("House", 1, "new", at(2)), ("nobody", 2, "x", at(1)))
-    out = refine.people(log, clients, str(at(0)), str(at(1)), at(9))
+    out = refine.people(log, clients, str(at(0)), str(at(2)), at(9))
     assert values(out, "id", "first_name", "client_partition_id", "ingestion_timestamp") == [(1, "old", 2, at(9))]
 
 
@@ -39,7 +39,7 @@ def test_pii_users(frame, clients):
     person = ("a", "b", None, "1 Road", "Flat 2", "c", "s", "US", "e", "p", "m", "F", dt.date(1980, 1, 1), at(0))
     log = frame(f"{V}, id long, sponsor_id long, user_type_id long, rank_id long, {names}",
                 ("House", "z/1", at(1), 1, 9, 1, 1, *person), ("House", "z/1", at(2), 2, None, 1, 1, *person), ("House", "z/1", at(0), 3, 9, 1, 1, *person))
-    out = refine.pii_users(log, clients, str(at(0)), str(at(5)), at(9))
+    out = refine.pii_users(log, clients, str(at(1)), str(at(5)), at(9))
     assert values(out, "tree_user_id", "street", "gender", "client_partition_id") == [(1, "1 Road Flat 2", "female", 2)]
 
 

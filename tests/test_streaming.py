@@ -48,6 +48,24 @@ def test_plain_and_encrypted_files_arrive_once_and_are_archived(spark, tmp_path)
     assert (folder / "other-1").exists()
 
 
+def test_bad_lines_fail_or_go_to_the_rejects(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "cdc-1").write_text('{"id": 1, "at": "2020-01-02T03:04:05Z"}\n{"id": 2, "at": "soon"}\n{"id": 3,\n\n{"id": "x"}\n')
+    out, bad = str(tmp_path / "lake"), str(tmp_path / "bad")
+    start = lambda name, **more: ingest_changes(spark, str(folder), out + name, TARGET, str(tmp_path / name), lambda: "2020-05-01 00:00:00", **more)
+    run(start("a", rejects=bad))
+    assert values(lake(spark, out + "a"), "id") == [(1,)]
+    rows = {(r.id, r._broken_line, tuple(r._faults)) for r in lake(spark, bad).collect()}
+    assert (2, None, ("at",)) in rows and len(rows) == 3 and {b for _, b, _ in rows} == {None, '{"id": 3,', '{"id": "x"}'}
+    query = start("b")
+    try:
+        query.awaitTermination(120)
+    except Exception:
+        pass
+    assert query.exception() is not None
+
+
 SCHEMA = "client_partition_id long, id long, n long, v string"
 
 

@@ -110,9 +110,12 @@ def source(frame, *hours):
     return frame("ingestion_timestamp timestamp_ntz", *[(at(h),) for h in hours])
 
 
+US = dt.timedelta(microseconds=1)
+
+
 def test_first_window_starts_in_1970(frame):
     w = inc.next_window(marks(frame), "j", "t", {"s": source(frame, 1, 2)}).first()
-    assert w.first == dt.datetime(1970, 1, 1) and w.last == at(2) and w.has_data
+    assert w.first == dt.datetime(1970, 1, 1) and w.until == at(2) + US and w.has_data
 
 
 def test_existing_mark_and_advance_by_a_microsecond(frame):
@@ -126,7 +129,7 @@ def test_existing_mark_and_advance_by_a_microsecond(frame):
 def test_no_data_leaves_the_mark(frame):
     table = marks(frame, ("j", "t", at(9)))
     w = inc.next_window(table, "j", "t", {"s": source(frame, 1)})
-    assert not w.first().has_data and w.first().last is None
+    assert not w.first().has_data and w.first().until is None
     assert values(inc.advance(table, w)) == values(table)
 
 
@@ -135,13 +138,24 @@ def test_second_run_without_new_rows_has_nothing(frame):
     after = inc.advance(marks(frame), inc.next_window(marks(frame), "j", "t", sources))
     assert not inc.next_window(after, "j", "t", sources).first().has_data
     later = {"s": source(frame, 1, 2, 3)}
-    assert inc.next_window(after, "j", "t", later).first().last == at(3)
+    assert inc.next_window(after, "j", "t", later).first().until == at(3) + US
 
 
 def test_overlap_reads_late_rows_again(frame):
     table = marks(frame, ("j", "t", at(5)))
     w = inc.next_window(table, "j", "t", {"s": source(frame, 4)}, overlap=dt.timedelta(hours=2)).first()
-    assert w.first == at(3) and w.last == at(4)
+    assert w.first == at(3) and w.until == at(4) + US
+
+
+def test_chained_windows_meet_every_row_once(frame):
+    hours = [1, 1, 1, 2, 2, 3, 5, 5, 9]
+    rows = frame("id long, ingestion_timestamp timestamp_ntz", *[(k, at(h)) for k, h in enumerate(hours)])
+    table, seen, windows = marks(frame), [], 0
+    while (w := inc.next_window(table, "j", "t", {"s": rows}, cap=2)).first().has_data:
+        edge = w.first()
+        seen += [r.id for r in inc.in_window(rows, str(edge["first"]), str(edge.until)).collect()]
+        table, windows = frame(inc.CHECKPOINT_SCHEMA, *map(tuple, inc.advance(table, w).collect())), windows + 1
+    assert sorted(seen) == list(range(len(hours))) and windows == 3
 
 
 def test_cap_counts_distinct_pairs_and_keeps_ties(frame):

@@ -56,7 +56,7 @@ LEAD_LOG = """lead_log AS (
 def _newest_lead(first: str, last: str) -> str:
     return f"""picked AS (SELECT * EXCLUDE (rn) FROM (
       SELECT *, row_number() OVER (PARTITION BY client, id ORDER BY ingestion_timestamp DESC) AS rn
-      FROM lead_log WHERE ingestion_timestamp BETWEEN TIMESTAMP '{first}' AND TIMESTAMP '{last}') WHERE rn = 1)"""
+      FROM lead_log WHERE ingestion_timestamp >= TIMESTAMP '{first}' AND ingestion_timestamp < TIMESTAMP '{last}') WHERE rn = 1)"""
 
 
 @register("staging_contacts", sql(tb.RAW_USERS, LEAD_LOG, tb.CLIENTS, _newest_lead(FIRST, LAST), f"""
@@ -135,7 +135,7 @@ def _window_sql(select: str) -> str:
     marks = {t: m for _, t, m in MARKS}
     for target in TARGETS:
         mark = marks.get(target, FIRST_MARK)
-        parts.append(f"""SELECT 'refine' AS job, '{target}' AS target, TIMESTAMP '{mark}' AS "first", max(tm) AS "last",
+        parts.append(f"""SELECT 'refine' AS job, '{target}' AS target, TIMESTAMP '{mark}' AS "first", max(tm) + INTERVAL 1 MICROSECOND AS until,
           count(*) > 0 AS has_data FROM (SELECT tm, src FROM pairs WHERE tm >= TIMESTAMP '{mark}' ORDER BY tm LIMIT {CAP})""")
     return sql(
         "pairs AS (SELECT DISTINCT o_orderdate AS tm, 'orders' AS src FROM orders UNION SELECT DISTINCT l_shipdate, 'items' FROM lineitem)",
@@ -145,12 +145,12 @@ def _window_sql(select: str) -> str:
 
 
 @register("checkpoint_next", _window_sql("""SELECT job, target, CAST(first AS VARCHAR) AS first,
-  CAST(last AS VARCHAR) AS "last", has_data FROM windows"""))
+  CAST(until AS VARCHAR) AS until, has_data FROM windows"""))
 def checkpoint_next(spark, d):
     return windows(spark, d)
 
 
-@register("checkpoint_upsert", _window_sql(f"""SELECT job, target, CAST(last + INTERVAL 1 MICROSECOND AS VARCHAR) AS mark
+@register("checkpoint_upsert", _window_sql(f"""SELECT job, target, CAST(until AS VARCHAR) AS mark
   FROM windows WHERE has_data
   UNION ALL SELECT 'refine', 'late', '{MARKS[1][2]}'"""))
 def checkpoint_upsert(spark, d):

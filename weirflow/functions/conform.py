@@ -30,6 +30,16 @@ def map_frame(df: DataFrame, rule: LeafRule) -> DataFrame:
 
 # --- dates -----------------------------------------------------------------------------------
 
+_ZERO = rf"^{ZERO_DATE}([ T]00:00(:00(\.0+)?)?)?( ?(Z|UTC|[+-]\d{{2}}:?\d{{2}}))?$"
+
+
+def is_zero_date(c: Column, legacy: bool = False) -> Column:
+    """Text that as a whole is a zero date, with or without a zero time and a zone.
+
+    ``legacy`` also takes any text that contains one.
+    """
+    return c.contains(ZERO_DATE) if legacy else c.rlike(_ZERO)
+
 
 def zero_dates_to_null(df: DataFrame, legacy: bool = False) -> DataFrame:
     """Null for text that is a zero date.  ``legacy`` nulls any text that contains one."""
@@ -37,16 +47,18 @@ def zero_dates_to_null(df: DataFrame, legacy: bool = False) -> DataFrame:
     def rule(c: Column, dtype: T.DataType) -> Column:
         if not isinstance(dtype, T.StringType):
             return c
-        zero = c.contains(ZERO_DATE) if legacy else c.startswith(ZERO_DATE) & (F.length(c) <= 26)
-        return F.when(zero, F.lit(None)).otherwise(c)
+        return F.when(is_zero_date(c, legacy), F.lit(None)).otherwise(c)
 
     return map_frame(df, rule)
 
 
 def stringify_dates(
-    df: DataFrame, date_format: str | None = None, time_format: str | None = None
+    df: DataFrame, date_format: str | None = None, time_format: str | None = None, legacy: bool = False
 ) -> DataFrame:
-    """Dates and timestamps to text at every depth, zero dates to null."""
+    """Dates and timestamps to text at every depth, text that is a zero date to null.
+
+    ``legacy`` nulls any text that contains one.
+    """
 
     def rule(c: Column, dtype: T.DataType) -> Column:
         if isinstance(dtype, T.DateType):
@@ -54,14 +66,14 @@ def stringify_dates(
         if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
             return F.date_format(c, time_format) if time_format else c.cast("string")
         if isinstance(dtype, T.StringType):
-            return F.when(c.contains(ZERO_DATE), F.lit(None)).otherwise(c)
+            return F.when(is_zero_date(c, legacy), F.lit(None)).otherwise(c)
         return c
 
     return map_frame(df, rule)
 
 
 def _parse(c: Column, target: T.DataType) -> Column:
-    zero = c.contains(ZERO_DATE)
+    zero = is_zero_date(c)
     if isinstance(target, T.DateType):
         # the local date of the text, whatever its offset
         parsed = F.substring(c, 1, 10).try_cast("date")
@@ -100,7 +112,7 @@ def parse_dates(df: DataFrame, target: T.StructType, rejects: str | None = None)
         parsed = convert(source, f.dataType, wanted.get(f.name))
         columns.append(parsed.alias(f.name))
         if isinstance(f.dataType, T.StringType) and parsed is not source:
-            bad = source.isNotNull() & ~source.contains(ZERO_DATE) & parsed.isNull()
+            bad = source.isNotNull() & ~is_zero_date(source) & parsed.isNull()
             failed.append(F.when(bad, F.lit(f.name)))
     if rejects:
         names = F.array(*failed) if failed else F.array().cast("array<string>")

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from weirflow.functions.dates import ts
 
 FIRST_MARK = "1970-01-01 00:00:00"
-MARK_CAP = 1_000_000
 CHECKPOINT_SCHEMA = "job string, target string, mark timestamp_ntz"
 
 
@@ -100,15 +99,17 @@ def _within(pairs: DataFrame, slot: str, unit: str) -> DataFrame:
 
 def capped_last_mark(
     sources: Mapping[str, DataFrame], mark: str, column: str = "ingestion_timestamp",
-    cap: int = MARK_CAP,
+    cap: int | None = None,
 ) -> str | None:
-    """Time of the ``cap``-th distinct (time, source) pair from ``mark`` on, or of the last one.
+    """Time of the last (time, source) pair from ``mark`` on, or of the ``cap``-th distinct one.
 
     Rows sharing that time all belong to the window, so the cap never splits a tie.  Instead of
     sorting all pairs, counts per hour and then per second find the one second that holds the
     answer; only that second is sorted.  The later steps read only their hour and second.
     """
     pairs = _pairs(sources, mark, column)
+    if cap is None:
+        return pairs.agg(F.max("at").cast("string").alias("last")).first().last
     by_hour = _crossing(pairs, "hour", cap)
     if by_hour.hit is None:
         return by_hour.last
@@ -120,11 +121,13 @@ def capped_last_mark(
 
 def next_window(
     checkpoints: DataFrame, job: str, target: str, sources: Mapping[str, DataFrame],
-    column: str = "ingestion_timestamp", cap: int = MARK_CAP, overlap: dt.timedelta | None = None,
+    column: str = "ingestion_timestamp", cap: int | None = None, overlap: dt.timedelta | None = None,
 ) -> DataFrame:
-    """One row: job, target, first, last, has_data.
+    """One row: job, target, first, until, has_data.
 
-    ``overlap`` moves the start back so that rows arriving
+    The window is half open: ``until`` lies a microsecond behind its last row, so the window holds
+    every row of that time, and the next one begins there.  ``cap`` ends a window at the time of so
+    many distinct (time, source) pairs, which postpones rows and drops none.  ``overlap`` moves the start back so that rows arriving
     late with an older ingestion time are read too; upserts by key make the repeats harmless.
     """
     spark = checkpoints.sparkSession
@@ -136,17 +139,15 @@ def next_window(
         F.lit(job).alias("job"),
         F.lit(target).alias("target"),
         ts(mark).alias("first"),
-        F.lit(last).cast("timestamp_ntz").alias("last"),
+        (F.lit(last).cast("timestamp_ntz") + F.expr("INTERVAL 1 MICROSECOND")).alias("until"),
         F.lit(last is not None).alias("has_data"),
     )
 
 
 def advance(checkpoints: DataFrame, windows: DataFrame) -> DataFrame:
-    """The checkpoint table after the windows were committed: last + 1 microsecond, and no
-    change where a window had no data."""
-    moved = windows.filter("has_data").select(
-        "job", "target", (F.col("last") + F.expr("INTERVAL 1 MICROSECOND")).alias("mark")
-    )
+    """The checkpoint table after the windows were committed: their ends, and no change where a
+    window had no data."""
+    moved = windows.filter("has_data").select("job", "target", F.col("until").alias("mark"))
     kept = checkpoints.join(moved, ["job", "target"], "left_anti")
     return kept.unionByName(moved)
 

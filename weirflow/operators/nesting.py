@@ -22,9 +22,10 @@ def nest(
 ) -> DataFrame:
     """Array of structs per key, sorted by the struct's fields.
 
-    A key with more than ``limit`` elements is written as several rows (column ``slice``), each
-    with its share of the elements: nothing is dropped and no task holds a whole hot group.
-    ``counted`` as in ``slice_hot_keys``.
+    The grain is (key, slice) for every key: slice 0 up to ``limit`` elements, and as many more as a
+    key's own elements ask for, each with its share.  Nothing is dropped and no task holds a whole
+    hot group.  Who joins the array to a row of the key takes slice 0 and keeps the others as
+    continuation rows, so the row is never repeated.  ``counted`` as in ``slice_hot_keys``.
     """
     sliced = slice_hot_keys(df, keys, spread_by, limit, counted=counted)
     return sliced.groupBy(*keys, "slice").agg(

@@ -11,24 +11,23 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from weirflow.lineage import work_folder, written
+
 HOT_LIMIT = 1_000_000
-MOST_HOT_KEYS = 1_000_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_LIMIT) -> DataFrame:
     """Keys with more than ``limit`` rows and the number of slices each needs.
 
-    The result is safe to broadcast: the limit grows with the row count so that no more than
-    ``MOST_HOT_KEYS`` keys can exceed it.
+    A key's slices depend on its own rows alone.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    bar = F.greatest(F.lit(limit).cast("long"), F.ceil(total / F.lit(MOST_HOT_KEYS)))
-    return (
-        counts.withColumn("_bar", bar)
-        .filter(F.col("_n") > F.col("_bar"))
-        .select(*keys, F.ceil(F.col("_n") / F.col("_bar")).cast("int").alias("_slices"))
-    )
+    return counts.filter(F.col("_n") > limit).select(*keys, F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("_slices"))
+
+
+def _counted(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    """``hot_keys`` as a stored table: counted once, and its real size decides how it is joined."""
+    return written(hot_keys(df, keys, limit), work_folder(df.sparkSession))
 
 
 def _slice_of(spread_by: Sequence[str]) -> Column:
@@ -46,7 +45,7 @@ def slice_hot_keys(
     ``counted`` is a cheaper frame with at least the same rows per key, such as the table that
     ``df`` was computed from; counting there saves computing ``df`` twice.
     """
-    hot = F.broadcast(hot_keys(df if counted is None else counted, keys, limit))
+    hot = _counted(df if counted is None else counted, keys, limit)
     return df.join(hot, list(keys), "left").withColumn(out, _slice_of(spread_by)).drop("_slices")
 
 
@@ -59,7 +58,7 @@ def join_sliced(
     The side's rows of hot keys are repeated once per slice.  Both sides are partitioned by
     ``keys + [out]``, so a following ``fold_slices`` starts without a shuffle.
     """
-    hot = F.broadcast(hot_keys(facts if counted is None else counted, keys, limit))
+    hot = _counted(facts if counted is None else counted, keys, limit)
     left = facts.join(hot, list(keys), "left").withColumn(out, _slice_of(spread_by)).drop("_slices")
     numbers = F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)
     right = side.join(hot, list(keys), "left").withColumn(out, F.explode(numbers)).drop("_slices")

@@ -10,10 +10,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 def newest(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row per key: the first under ``order`` (column names mean newest first).
 
+    Rows that ``order`` leaves equal are decided by their other columns, in the order of the frame,
+    so the result never depends on how rows were dealt out; maps can't be compared and don't count.
     ``row_number() = 1`` becomes a window group limit that keeps one row per key and task
-    before the shuffle, so a hot key costs no more than a cold one.  Give a total order.
+    before the shuffle, so a hot key costs no more than a cold one.
     """
+    named = {o for o in order if isinstance(o, str)} | set(keys)
+    ties = [f.name for f in df.schema.fields if f.name not in named and "map<" not in f.dataType.simpleString()
+            and f.dataType.simpleString() != "variant"]
     ordering = [F.col(o).desc_nulls_last() if isinstance(o, str) else o for o in order]
+    ordering += [F.col(f"`{c}`").desc_nulls_last() for c in ties]
     ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering)))
     return ranked.filter(F.col("_rn") == 1).drop("_rn")
 
@@ -24,12 +30,13 @@ def replace_into(
     keys: Sequence[str],
     order: Sequence[Column | str] | None = None,
 ) -> DataFrame:
-    """Upsert by key: a changed key takes the change, the last one where several arrive.
+    """Upsert by key: a changed key takes the change; where several arrive, the last under ``order``,
+    and without an order the greatest by its columns.
 
     The target is filtered by an anti join on the changed keys, not re-ranked: a batch small
     enough to broadcast leaves the target unshuffled.
     """
-    last = newest(changes, keys, order) if order else changes.dropDuplicates(list(keys))
+    last = newest(changes, keys, order or [])
     kept = target.join(last.select(*keys), list(keys), "left_anti")
     return kept.unionByName(last.select(*target.columns))
 
@@ -73,13 +80,16 @@ def update_where(df: DataFrame, only: Column, columns: Mapping[str, Column]) ->
 
 
 def close_and_open(
-    history: DataFrame, states: DataFrame, at: Column, keys: Sequence[str], open_status: str = "running"
+    history: DataFrame, states: DataFrame, at: Column, keys: Sequence[str], open_status: str = "running",
+    rank: str | None = None,
 ) -> DataFrame:
     """Type-2 status history: the open row of a key is closed at ``at`` and its new state added.
 
-    ``states`` holds keys and ``status``.  A state equal to the open one changes nothing.
+    ``states`` holds keys and ``status``.  A state equal to the open one changes nothing.  Where a
+    batch holds several states of a key, the last one in the order of ``rank`` counts.
     """
-    moved = states.withColumn("status", F.lower("status")).filter(F.col("status") != open_status)
+    last = newest(states.withColumn("status", F.lower("status")), keys, [rank] if rank else [])
+    moved = last.filter(F.col("status") != open_status)
     open_now = (F.col("status") == open_status) & F.col("end_date").isNull()
     ending = moved.select(*keys, F.lit(True).alias("_ends")).distinct()
     closed = (

@@ -104,13 +104,21 @@ def nested_emails(
     """One row per message with its e-mail recipients as an array, null where it has none.
 
     Recipients are resolved and nested before they meet the messages, so message bodies are
-    never repeated.  A message with more recipients than ``limit`` comes in several slices.
+    never repeated.  A message is one row: recipients beyond the first ``limit`` or so are in
+    ``recipient_slices``.
     """
     mailed = recipients.filter(F.col("delivery_type") == "email")
     found = polymorphic_lookup(mailed, "recipient_type", "recipient_id", receivers, "tree_user_id")
     nested = nest(found, ["message_id"], list(fields), "recipients", ["recipient_id"], limit)
     sent = polymorphic_lookup(messages, "sender_type", "sender_id", senders, "sender_tree_user_id")
-    return sent.join(nested, "message_id", "left").withColumn("slice", F.coalesce("slice", F.lit(0)))
+    return sent.join(nested.filter("slice = 0").drop("slice"), "message_id", "left")
+
+
+def recipient_slices(recipients: DataFrame, receivers: Lookups, fields=RECIPIENT_FIELDS, limit: int = 100_000) -> DataFrame:
+    """(message_id, slice, recipients) from slice 1 on: what ``nested_emails`` has no room for."""
+    mailed = recipients.filter(F.col("delivery_type") == "email")
+    found = polymorphic_lookup(mailed, "recipient_type", "recipient_id", receivers, "tree_user_id")
+    return nest(found, ["message_id"], list(fields), "recipients", ["recipient_id"], limit).filter("slice > 0")
 
 
 def links_mart(links: DataFrame, assets: DataFrame, resources: DataFrame, users: DataFrame) -> DataFrame:
@@ -133,7 +141,7 @@ def links_mart(links: DataFrame, assets: DataFrame, resources: DataFrame, users:
 
 def nested_commissions(commissions: DataFrame, details: DataFrame, bonuses: DataFrame, runs: DataFrame,
                        limit: int = 100_000) -> DataFrame:
-    """One row per client and user with four arrays."""
+    """Four arrays per client, user and slice; slice 0 is all there is up to ``limit`` elements."""
     keys = ["client_partition_id", "client", "tree_user_id", "client_user_id"]
     parts = {"commissions": commissions, "details": details, "bonuses": bonuses, "runs": runs}
     fields = {n: [c for c in f.columns if c not in keys] for n, f in parts.items()}

@@ -20,7 +20,7 @@ NAMED = ["client", "id"]
 CLIENT_COLUMNS = ["client", "client_partition_id", "client_score_id"]
 
 
-def people(log: DataFrame, clients: DataFrame, first, last, batch_time, closed: str = "both") -> DataFrame:
+def people(log: DataFrame, clients: DataFrame, first, last, batch_time, closed: str = "half_open") -> DataFrame:
     """Contacts: the newest version inside the window, with the client's partition."""
     seen = in_window(log, first, last, closed=closed)
     latest = newest(seen, NAMED, ["ingestion_timestamp"])
@@ -28,7 +28,7 @@ def people(log: DataFrame, clients: DataFrame, first, last, batch_time, closed:
     return stamp(with_client(latest, partition), ingestion_timestamp=ts(batch_time))
 
 
-def leads(log: DataFrame, clients: DataFrame, first, last, batch_time, closed: str = "both") -> DataFrame:
+def leads(log: DataFrame, clients: DataFrame, first, last, batch_time, closed: str = "half_open") -> DataFrame:
     """As ``people``, without purchased leads.  The test runs on the newest version: a lead
     bought in the meantime must go, whatever its older versions say."""
     out = people(log, clients, first, last, batch_time, closed).filter(~F.col("purchased"))
@@ -39,7 +39,7 @@ PII_COLUMNS = ["first_name", "last_name", "company_name"]
 PII_CONTACT = ["city", "state", "country", "email", "phone", "mobile_phone"]
 
 
-def pii_users(log: DataFrame, clients: DataFrame, first, last, batch_time, closed: str = "left_open") -> DataFrame:
+def pii_users(log: DataFrame, clients: DataFrame, first, last, batch_time, closed: str = "half_open") -> DataFrame:
     """Personal data of users: street from two lines, gender folded, incomplete users dropped."""
     latest = newest(in_window(log, first, last, closed=closed), NAMED, VERSION)
     complete = latest.dropna(subset=["sponsor_id", "user_type_id", "rank_id"])
@@ -113,7 +113,8 @@ def staging_orders(
     """Orders touched in the window - themselves or through an item - with nested items.
 
     The key set takes the item's *order* id, and event id and time come from the order version
-    that was chosen.
+    that was chosen.  One row per order; ``products`` holds its items up to the slice limit of
+    ``nest``, and ``order_item_slices`` the rest of any order that has more.
     """
     touched = changed_keys(
         (in_window(tree_orders, first, last, closed=closed), {"client": "client", "order_id": "id"}),
@@ -121,9 +122,9 @@ def staging_orders(
     )
     latest = newest(all_versions_of(tree_orders, touched, {"client": "client", "order_id": "id"}), NAMED, VERSION)
     versions = all_versions_of(order_items, touched, {"client": "client", "order_id": "order_id"})
-    products = nest(
-        newest(versions, NAMED, VERSION), ["client", "order_id"], item_fields, "products", ["id"], counted=versions
-    ).withColumnRenamed("order_id", "id")
+    nested = nest(newest(versions, NAMED, VERSION), ["client", "order_id"], item_fields, "products", ["id"], counted=versions)
+    # an order is one row: the slices of its items beyond the first are in ``order_item_slices``
+    products = nested.filter("slice = 0").drop("slice").withColumnRenamed("order_id", "id")
     out = with_client(latest, clients).join(products, NAMED, "left")
     by_id = lambda c: {"client": "client", c: "id"}
     # only buyers of touched orders are ranked
@@ -140,6 +141,14 @@ def staging_orders(
     return finish_orders(shaped, house, plain, legacy_owner)
 
 
+def order_item_slices(order_items: DataFrame, keys: DataFrame, item_fields=ITEM_FIELDS) -> DataFrame:
+    """(client, order_id, slice, products) of the given orders (client, order_id), from slice 1 on:
+    what an order has beyond the ``products`` in its own row."""
+    versions = all_versions_of(order_items, keys.distinct(), {"client": "client", "order_id": "order_id"})
+    nested = nest(newest(versions, NAMED, VERSION), ["client", "order_id"], item_fields, "products", ["id"], counted=versions)
+    return nested.filter("slice > 0")
+
+
 def finish_orders(df: DataFrame, house: str, plain: str | None = None, legacy_owner: bool = False) -> DataFrame:
     """Type, status and owner per client, then the helper columns go.
 

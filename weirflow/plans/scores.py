@@ -21,7 +21,7 @@ ARRAY_MODELS = {
 }
 
 
-def export_people(df: DataFrame, kind: str, path: str, first=None, last=None, closed: str = "both") -> None:
+def export_people(df: DataFrame, kind: str, path: str, first=None, last=None, closed: str = "half_open") -> None:
     """Leads or contacts of a window as one CSV folder per client."""
     if kind not in EXPORT_COLUMNS:
         raise ValueError(f"unknown export {kind}")

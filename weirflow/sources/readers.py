@@ -50,10 +50,19 @@ def read_lines(spark: SparkSession, folder: str, prefix: str = "", contains: str
     return lines.select("value", file_name(path).alias("file"), file_seq(path).alias("file_seq"))
 
 
-def parse_json(lines: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
-    """JSON text to typed columns, the other columns kept; a broken line gives null fields."""
+def parse_json(lines: DataFrame, schema: T.StructType, column: str = "value", rejects: str | None = None) -> DataFrame:
+    """JSON text to typed columns, the other columns kept.
+
+    A line that is no record of the schema fails, or is put whole into the column ``rejects``, which
+    is null for all other lines.
+    """
     others = [c for c in lines.columns if c != column]
-    return lines.withColumn("_row", F.from_json(column, schema)).select("_row.*", *others)
+    if rejects is None:
+        parsed = F.from_json(column, schema, {"mode": "FAILFAST"})
+    else:
+        shape = T.StructType([*schema.fields, T.StructField(rejects, T.StringType())])
+        parsed = F.from_json(column, shape, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": rejects})
+    return lines.withColumn("_row", parsed).select("_row.*", *others)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -33,8 +33,8 @@ def append(
     rows_per_file: int = 0,
 ) -> None:
     """Append by name to the target schema, partitioned by client and sorted by version, so
-    that client and version filters skip files and row groups."""
-    out = conform(df, target) if target is not None else df
+    that client and version filters skip files and row groups.  A value that does not cast fails."""
+    out = conform(df, target, strict=True) if target is not None else df
     parts = [c for c in partition_by if c in out.columns]
     writer = _laid_out(out, parts, sort_by).write.mode("append")
     if rows_per_file:
@@ -47,7 +47,7 @@ def append_existing(df: DataFrame, table: str) -> None:
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         raise ValueError(f"no table {table}")
-    conform(df, spark.table(table).schema).write.insertInto(table)
+    conform(df, spark.table(table).schema, strict=True).write.insertInto(table)
 
 
 def recreate(df: DataFrame, path: str) -> None:

@@ -53,11 +53,22 @@ def change_lines(spark: SparkSession, folder: str, prefix: str = "", archive: st
     )
 
 
+BROKEN, FAULTS = "_broken_line", "_faults"
+
+
 def decode(lines: DataFrame, target: T.StructType, keys: Sequence[str] = ()) -> DataFrame:
-    """Lines (encrypted when keys are given) to rows of ``target``."""
+    """Lines (encrypted when keys are given) to rows of ``target``, and what is wrong with each.
+
+    ``_broken_line`` holds a line that is no JSON record of the target's shape, ``_faults`` names the
+    columns whose text is no date.  Blank lines are no records.
+    """
     text = decrypt_lines_or_fail(F.col("value"), keys) if keys else F.col("value")
-    rows = lines.select(F.from_json(text, text_schema(target)).alias("r")).select("r.*")
-    return conform(parse_dates(zero_dates_to_null(rows), target), target)
+    shape = T.StructType([*text_schema(target).fields, T.StructField(BROKEN, T.StringType())])
+    parsed = lines.select(text.alias("_text")).filter(F.trim("_text") != "").select(
+        F.from_json("_text", shape, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}).alias("r")).select("r.*")
+    dated = parse_dates(zero_dates_to_null(parsed), target, rejects=FAULTS)
+    extra = T.StructType([*target.fields, T.StructField(BROKEN, T.StringType()), T.StructField(FAULTS, T.ArrayType(T.StringType()))])
+    return conform(dated, extra)
 
 
 def ingest_changes(
@@ -70,18 +81,28 @@ def ingest_changes(
     keys: Sequence[str] = (),
     prefix: str = "",
     archive: str | None = None,
+    rejects: str | None = None,
 ) -> StreamingQuery:
     """Append new files to the lake, partitioned by the batch.
 
     Each micro-batch overwrites its own ``batch_id`` folder, so a batch repeated after a
-    failure leaves no duplicates.
+    failure leaves no duplicates.  A broken line or a text that is no date fails the batch, or goes
+    to the folder ``rejects`` beside the lake: the row as far as it was read, the broken line and the
+    columns at fault.  Either way no such row reaches the lake as nulls.
     """
     lines = change_lines(spark, folder, prefix, archive)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = decode(batch, target, keys)
-        stamped = stamp(rows, ingestion_timestamp=F.lit(batch_time()).cast("timestamp_ntz"))
-        stamped.write.mode("overwrite").parquet(f"{lake}/batch_id={batch_id}")
+        at = F.lit(batch_time()).cast("timestamp_ntz")
+        rows = stamp(decode(batch, target, keys), ingestion_timestamp=at)
+        bad = F.col(BROKEN).isNotNull() | (F.size(FAULTS) > 0)
+        if rejects:
+            rows.filter(bad).write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+            good = rows.filter(~bad)
+        else:
+            why = F.concat(F.lit("bad record: "), F.coalesce(BROKEN, F.array_join(FAULTS, ", ")))
+            good = rows.filter(F.when(bad, F.raise_error(why).cast("boolean")).otherwise(F.lit(True)))
+        good.drop(BROKEN, FAULTS).write.mode("overwrite").parquet(f"{lake}/batch_id={batch_id}")
 
     return (
         lines.writeStream.foreachBatch(write)
