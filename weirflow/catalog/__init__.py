@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from weirflow.catalog import flows, increments, nesting, people, reports, texts, tree, versions
+from weirflow.catalog import flows, increments, nesting, people, refined, reports, texts, tree, versions
 
-MODULES = (versions, people, increments, nesting, reports, tree, texts, flows)
+MODULES = (versions, people, increments, refined, nesting, reports, tree, texts, flows)
 
 
 def queries():

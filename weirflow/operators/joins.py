@@ -29,11 +29,11 @@ def with_lookup(
     """Left join to the newest version of a lookup.
 
     ``on`` maps df columns to lookup columns, ``columns`` maps lookup columns to output names.
-    With ``order`` the lookup is a change log and is reduced to one row per key first, so the
-    join never multiplies rows.
+    The lookup is reduced to one row per key first, so the join never multiplies rows: the newest
+    under ``order``, or without one the greatest by its columns.
     """
     keys = list(on.values())
-    latest = newest(lookup, keys, order) if order else lookup
+    latest = newest(lookup, keys, order or [])
     right = latest.select(
         *[F.col(k).alias(f"_lk_{i}") for i, k in enumerate(keys)],
         *[F.col(c).alias(name) for c, name in columns.items()],
