@@ -65,12 +65,20 @@ def cdc_stream(spark, d):
 
 
 @register("upsert_stream", sql(tb.ITEMS, """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
-  CAST(l_shipdate AS VARCHAR) AS l_shipdate, l_suppkey, l_extendedprice FROM items"""))
+  CAST(CASE WHEN l_orderkey % 2 = 0 THEN l_shipdate + INTERVAL 100 YEAR ELSE l_shipdate END AS VARCHAR) AS l_shipdate,
+  l_suppkey, l_extendedprice FROM items"""))
 def upsert(spark, d):
-    """The line log as a stream, kept as newest versions in a partitioned table."""
+    """The line log as a stream of several batches, kept as newest versions in a partitioned table.
+
+    Half of the lines come again in the first batch as a later version, so their older ones are late.
+    """
     work = work_folder(spark)
     log = table(spark, d, "lineitem")
-    stream = spark.readStream.schema(log.schema).option("pathGlobFilter", "lineitem.parquet").parquet(d)
+    again = log.filter("l_orderkey % 2 = 0").withColumn("l_shipdate", F.expr("l_shipdate + INTERVAL 100 YEARS"))
+    again.coalesce(1).write.parquet(f"{work}/feed")
+    for k in range(2):
+        log.filter(F.pmod(F.hash("l_partkey"), F.lit(2)) == k).coalesce(1).write.mode("append").parquet(f"{work}/feed")
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/feed")
     finish(upsert_stream(stream, f"{work}/table", tb.ITEM_KEYS, tb.ITEM_ORDER, f"{work}/marks", f"{work}/merge", "l_linenumber"))
     return spark.read.parquet(f"{work}/table").select("l_orderkey", "l_linenumber", "l_shipdate", "l_suppkey", "l_extendedprice")
 

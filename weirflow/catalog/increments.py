@@ -202,6 +202,7 @@ def range_plan(spark, d):
 PROFILED = [
     ("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts"), ("customer", None),
     ("supplier", None), ("part", None), ("documents", None), ("labels", None), ("pages", None), ("conversations", None),
+    ("region", None), ("nation", None), ("embeddings", None), ("benchmark", None),
 ]
 
 

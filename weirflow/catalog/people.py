@@ -166,11 +166,9 @@ def product_class(spark, d):
 
 
 @register("membership_class", sql(tb.PARTS, f"""SELECT product_id,
-  {like_case('lower(product_description)', fixed.MEMBERSHIP_PATTERNS, "'none'")} AS membership FROM parts
-  WHERE product_description NOT LIKE '%plain%'"""))
+  {like_case('lower(product_description)', fixed.MEMBERSHIP_PATTERNS, "'none'")} AS membership FROM parts"""))
 def membership_class(spark, d):
-    kept = tb.parts(spark, d).filter(~F.col("product_description").like("%plain%"))
-    return kept.select("product_id", rules.membership_type(F.col("product_description")).alias("membership"))
+    return tb.parts(spark, d).select("product_id", rules.membership_type(F.col("product_description")).alias("membership"))
 
 
 def bucket_case(days: str, edges, at: int) -> str:

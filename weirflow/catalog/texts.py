@@ -149,8 +149,10 @@ def compressed(spark, d):
 
 @register("gunzip_column", "SELECT page_id, md5(html) AS digest, length(html) AS n FROM pages")
 def gunzip_column(spark, d):
-    """Pages that are not gzip text come back as they are."""
-    return table(spark, d, "pages").select("page_id", gunzip(F.col("html")).alias("html")).select(
+    """Half of the pages are packed; the others, which are no gzip text, come back as they are."""
+    packed = F.when(F.col("page_id") % 2 == 0, F.base64(_pack(F.col("html")))).otherwise(F.col("html"))
+    stored = table(spark, d, "pages").select("page_id", packed.alias("html"))
+    return stored.select("page_id", gunzip(F.col("html")).alias("html")).select(
         "page_id", F.md5("html").alias("digest"), F.length("html").alias("n")
     )
 

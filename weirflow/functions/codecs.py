@@ -37,7 +37,8 @@ def _inflate(s: pd.Series) -> pd.Series:
 
 def _gunzip_or_same(text: str) -> str:
     try:
-        return gzip.decompress(base64.b64decode(text, validate=True)).decode("utf-8")
+        # base64 may come in lines
+        return gzip.decompress(base64.b64decode("".join(text.split()), validate=True)).decode("utf-8")
     except (ValueError, OSError, EOFError, zlib.error):
         return text
 
