@@ -19,7 +19,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-PYTHON_QUERIES = {"compress_long", "gunzip_column", "decrypt_lines"}
+PYTHON_QUERIES = {"compress_long", "database_rows", "gunzip_column", "decrypt_lines"}
 PYTHON_NODES = r"EvalPython|ArrowPython|MapInPandas|FlatMapGroupsInPandas"
 
 
@@ -52,6 +52,6 @@ def test_join_keys_keep_the_lane(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = plan_of(QUERIES["downline_generations"](spark, SF))
-        assert "SortMergeJoin [_anchor" in plan and re.search(r"SortMergeJoin \[_anchor#\d+L, _lane#\d+L\]", plan)
+        assert re.search(r"SortMergeJoin \[client_partition_id#\d+L, _anchor#\d+L, _lane#\d+L\]", plan)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -58,13 +58,13 @@ def days_to_last_sale(spark, d):
 
 
 @register("fast_starters", sql(*tb.SALES, f"""j AS (
-  SELECT u.tree_user_id AS id, o.type, o.total, date_diff('day', CAST(u.created AS DATE), CAST(o.order_date AS DATE)) AS days
+  SELECT u.client_partition_id AS cp, u.tree_user_id AS id, o.type, o.total, date_diff('day', CAST(u.created AS DATE), CAST(o.order_date AS DATE)) AS days
   FROM users u JOIN sales_orders o ON u.tree_user_id = o.commission_user_id
   WHERE o.status <> 'Cancelled' AND u.created BETWEEN TIMESTAMP '{FIRST}' AND TIMESTAMP '{LAST}'
   AND date_diff('day', CAST(u.created AS DATE), CAST(o.order_date AS DATE)) BETWEEN 0 AND 502)""",
-  "s AS (SELECT id, count(*) AS n, sum(total) AS t, min(days) AS f, max(days) AS l FROM j WHERE type = 'Retail' GROUP BY id)",
+  "s AS (SELECT cp, id, count(*) AS n, sum(total) AS t, min(days) AS f, max(days) AS l FROM j WHERE type = 'Retail' GROUP BY cp, id)",
   "w AS (SELECT id, count(*) AS n, sum(total) AS t FROM j WHERE type = 'Wholesale' GROUP BY id)",
-  """SELECT s.id AS commission_user_id, s.f AS days_to_first_sale, s.l AS days_to_last_sale, s.n AS active_sales_count,
+  """SELECT s.cp AS client_partition_id, s.id AS commission_user_id, s.f AS days_to_first_sale, s.l AS days_to_last_sale, s.n AS active_sales_count,
   w.n AS active_wholesale_count, s.t::DOUBLE AS active_sales_total, w.t::DOUBLE AS active_wholesale_total
   FROM s JOIN w ON s.id = w.id WHERE s.f BETWEEN 0 AND 30"""))
 def fast_starters(spark, d):
@@ -300,7 +300,7 @@ SHIFT_YEARS = 29
 def usage_logins(spark, d):
     at = F.col("ts") - F.expr(f"INTERVAL {SHIFT_YEARS} YEARS")
     return table(spark, d, "events").select(
-        F.col("user_id").alias("tree_user_id"), F.col("event_id").alias("login_id"), at.alias("created_at"),
+        (F.col("user_id") % 5).alias("client_partition_id"), F.col("user_id").alias("tree_user_id"), F.col("event_id").alias("login_id"), at.alias("created_at"),
         rules.by_lookup(F.col("event_type"), tb.EVENT_PLATFORMS).alias("platform"),
     )
 
@@ -319,7 +319,7 @@ def usage_emails(spark, d):
     nested = lines.groupBy("message_id").agg(F.collect_list("r").alias("recipients"))
     o = table(spark, d, "orders")
     return o.join(nested, o.o_orderkey == F.col("message_id")).select(
-        F.col("o_custkey").alias("sender_tree_user_id"), "message_id", F.col("o_orderstatus").alias("delivery_status"),
+        (F.col("o_custkey") % 5).alias("client_partition_id"), F.col("o_custkey").alias("sender_tree_user_id"), "message_id", F.col("o_orderstatus").alias("delivery_status"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")).alias("sent"), F.col("o_orderdate").alias("created"),
         F.col("o_orderpriority").alias("system_generated"), "recipients",
     )
@@ -375,7 +375,7 @@ def _usage_sql() -> str:
              SELECT user_id, ts - INTERVAL {SHIFT_YEARS} YEAR AS at_time, {EVENT_PLATFORM_SQL} AS platform FROM events))""",
         f"""clicks AS (SELECT u.owner_id, {', '.join(clicks)} FROM logins lh JOIN known u ON lh.user_id = u.owner_id
             WHERE u.owner_id IN (SELECT owner_id FROM om) GROUP BY u.owner_id)""",
-        f"""SELECT om.owner_id AS commission_user_id, {', '.join(outer)}, sea.* EXCLUDE (owner_id), clicks.* EXCLUDE (owner_id)
+        f"""SELECT om.owner_id % 5 AS client_partition_id, om.owner_id AS commission_user_id, {', '.join(outer)}, sea.* EXCLUDE (owner_id), clicks.* EXCLUDE (owner_id)
             FROM om LEFT JOIN sea ON om.owner_id = sea.owner_id LEFT JOIN clicks ON om.owner_id = clicks.owner_id""",
     )
 
@@ -383,6 +383,6 @@ def _usage_sql() -> str:
 @register("usage_features", _usage_sql())
 def usage_features(spark, d):
     people = tb.users(spark, d).filter(F.col("type") == "Distributor").select(
-        F.col("tree_user_id").alias("owner_id"), F.to_date("created").alias("signup")
+        "client_partition_id", F.col("tree_user_id").alias("owner_id"), F.to_date("created").alias("signup")
     )
     return usage.usage_features(people, tb.orders(spark, d), usage_emails(spark, d), usage_logins(spark, d), ts(tb.AS_OF))

@@ -94,11 +94,13 @@ def raw_users(spark, d) -> DataFrame:
     c = table(spark, d, "customer")
     key = F.col("c_custkey")
     kinds = [(F.col("c_mktsegment") == k, F.lit(v)) for k, v in SEGMENT_TYPES.items()]
-    return c.join(nations(spark, d), c.c_nationkey == F.col("n_nationkey")).select(
+    # dealt out to the clients by their number; sponsors are of the same client
+    regions = table(spark, d, "region").select(F.col("r_name").alias("client"), F.col("r_regionkey").alias("_region"))
+    return c.join(regions, key % 5 == F.col("_region")).select(
         "client",
         key.alias("tree_user_id"),
         key.alias("user_id"),
-        F.when(key > 0, F.expr("(c_custkey - 1) div 3")).alias("sponsor_id"),
+        F.when(key > 4, F.expr("((c_custkey div 5 - 1) div 3) * 5 + c_custkey % 5")).alias("sponsor_id"),
         F.expr("TIMESTAMP_NTZ'1995-01-01 00:00:00' + make_dt_interval(CAST(c_custkey % 730 AS INT))").alias("created"),
         rules.first_match(kinds, F.lit(None).cast("string")).alias("client_type"),
         F.element_at(F.array(*[F.lit(s) for s in STATUSES]), (F.col("c_nationkey") % 4 + 1).cast("int")).alias("client_status"),
@@ -122,13 +124,12 @@ RAW_USERS = f"""raw_users AS (
   SELECT r.r_name AS client, CAST(r.r_regionkey AS BIGINT) AS client_partition_id,
          's' || r.r_regionkey AS client_score_id,
          c_custkey AS tree_user_id, c_custkey AS user_id,
-         CASE WHEN c_custkey > 0 THEN (c_custkey - 1) // 3 END AS sponsor_id,
+         CASE WHEN c_custkey > 4 THEN ((c_custkey // 5 - 1) // 3) * 5 + c_custkey % 5 END AS sponsor_id,
          TIMESTAMP '1995-01-01 00:00:00' + to_days(CAST(c_custkey % 730 AS INTEGER)) AS created,
          {_case('c_mktsegment', SEGMENT_TYPES)} AS client_type,
          (['Active','Grace','Hold','Terminated'])[c_nationkey % 4 + 1] AS client_status,
          'person' || c_custkey || '@mail.test' AS email, c_acctbal AS balance
-  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-  JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+  FROM customer c JOIN region r ON c_custkey % 5 = r.r_regionkey)"""
 
 USERS = """users AS (
   SELECT *, created AS coded,
@@ -294,7 +295,7 @@ ENTITIES = """entities AS (
 
 def tree_attributes(spark, d) -> DataFrame:
     return users(spark, d).select(
-        F.col("tree_user_id").alias("user_id"), "client", F.col("created").alias("signup")
+        "client_partition_id", F.col("tree_user_id").alias("user_id"), "client", F.col("created").alias("signup")
     )
 
 

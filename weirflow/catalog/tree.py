@@ -19,20 +19,20 @@ def register(name, sql_text):
 
 
 def edges(spark, d):
-    return sponsor_edges(tb.raw_users(spark, d))
+    return sponsor_edges(tb.users(spark, d))
 
 
-EDGES = """edges AS (SELECT u.tree_user_id AS user_id, u.sponsor_id FROM users u
+EDGES = """edges AS (SELECT u.client_partition_id, u.tree_user_id AS user_id, u.sponsor_id FROM users u
   JOIN users s ON u.sponsor_id = s.tree_user_id WHERE u.tree_user_id <> 0)"""
 
 
-@register("sponsor_edges", sql(*tb.PEOPLE, EDGES, """SELECT user_id, sponsor_id AS neighbour_id, 'sponsor' AS relation FROM edges
-  UNION ALL SELECT sponsor_id, user_id, 'child' FROM edges"""))
+@register("sponsor_edges", sql(*tb.PEOPLE, EDGES, """SELECT client_partition_id, user_id, sponsor_id AS neighbour_id, 'sponsor' AS relation FROM edges
+  UNION ALL SELECT client_partition_id, sponsor_id, user_id, 'child' FROM edges"""))
 def sponsor_neighbours(spark, d):
     return neighbours(edges(spark, d))
 
 
-@register("downline_closure", sql(*tb.PEOPLE, tb.CLOSURE, "SELECT upline_id, user_id, depth FROM closure"))
+@register("downline_closure", sql(*tb.PEOPLE, tb.CLOSURE, "SELECT u.client_partition_id, upline_id, c.user_id, depth FROM closure c JOIN users u ON c.user_id = u.tree_user_id"))
 def downline_closure(spark, d):
     return closure(all_sponsor_paths(edges(spark, d)))
 
@@ -56,9 +56,9 @@ def _generations_sql() -> str:
         f"""vals AS (SELECT tree_user_id, sum(total) AS lcv,
               sum(total) FILTER (order_date >= TIMESTAMP '{tb.AS_OF}' - INTERVAL 1 YEAR) AS lcv_12
             FROM raw_orders WHERE status <> 'Cancelled' GROUP BY tree_user_id)""",
-        f"""SELECT c.upline_id AS tree_user_id, {', '.join(out)} FROM closure c JOIN users u ON c.user_id = u.tree_user_id
+        f"""SELECT u.client_partition_id, c.upline_id AS tree_user_id, {', '.join(out)} FROM closure c JOIN users u ON c.user_id = u.tree_user_id
             JOIN users p ON c.upline_id = p.tree_user_id LEFT JOIN vals v ON c.user_id = v.tree_user_id
-            WHERE depth <= 6 AND u.type = 'Distributor' GROUP BY c.upline_id""",
+            WHERE depth <= 6 AND u.type = 'Distributor' GROUP BY u.client_partition_id, c.upline_id""",
     )
 
 
@@ -66,7 +66,7 @@ def _generations_sql() -> str:
 def downline_generations(spark, d):
     users = tb.users(spark, d)
     paths = sponsor_paths(edges(spark, d), attributes=tb.tree_attributes(spark, d).drop("client"))
-    return downline.downline_generations(users, paths, tb.raw_orders(spark, d), ts(tb.AS_OF))
+    return downline.downline_generations(users, paths, tb.orders(spark, d), ts(tb.AS_OF))
 
 
 PAIRS = """pairs AS (SELECT c.upline_id, c.user_id, p.client, p.created AS p_at, u.created AS u_at
@@ -99,4 +99,4 @@ def _sponsored_orders_sql() -> str:
 
 @register("sponsored_orders", _sponsored_orders_sql())
 def sponsored_orders(spark, d):
-    return downline.sponsored_orders(tb.users(spark, d), sponsored_paths(spark, d), tb.raw_orders(spark, d))
+    return downline.sponsored_orders(tb.users(spark, d), sponsored_paths(spark, d), tb.orders(spark, d))

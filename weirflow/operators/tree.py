@@ -13,21 +13,22 @@ from weirflow.lineage import cut_lineage
 from weirflow.operators.skew import lane, only_lane
 
 GENERATIONS = 6
+CLIENT = "client_partition_id"  # ids are unique, and sponsor each other, within a client only
 
 
 def sponsor_edges(users: DataFrame, id_col: str = "tree_user_id", sponsor_col: str = "sponsor_id") -> DataFrame:
-    """(user_id, sponsor_id) where both ends exist; id 0 sponsors nobody it does not name."""
-    nodes = users.select(F.col(id_col).alias("sponsor_id")).distinct()
-    edges = users.select(F.col(id_col).alias("user_id"), F.col(sponsor_col).alias("sponsor_id"))
+    """(client, user_id, sponsor_id) where both ends exist; id 0 sponsors nobody it does not name."""
+    nodes = users.select(CLIENT, F.col(id_col).alias("sponsor_id")).distinct()
+    edges = users.select(CLIENT, F.col(id_col).alias("user_id"), F.col(sponsor_col).alias("sponsor_id"))
     real = edges.filter(F.col("sponsor_id").isNotNull() & (F.col("user_id") != 0))
-    return real.join(nodes, "sponsor_id", "left_semi").select("user_id", "sponsor_id")
+    return real.join(nodes, [CLIENT, "sponsor_id"], "left_semi").select(CLIENT, "user_id", "sponsor_id")
 
 
 def neighbours(edges: DataFrame) -> DataFrame:
-    """(user_id, neighbour_id, relation): each edge seen from both ends."""
-    up = edges.select("user_id", F.col("sponsor_id").alias("neighbour_id"), F.lit("sponsor").alias("relation"))
+    """(client, user_id, neighbour_id, relation): each edge seen from both ends."""
+    up = edges.select(CLIENT, "user_id", F.col("sponsor_id").alias("neighbour_id"), F.lit("sponsor").alias("relation"))
     down = edges.select(
-        F.col("sponsor_id").alias("user_id"), F.col("user_id").alias("neighbour_id"), F.lit("child").alias("relation")
+        CLIENT, F.col("sponsor_id").alias("user_id"), F.col("user_id").alias("neighbour_id"), F.lit("child").alias("relation")
     )
     return up.unionByName(down)
 
@@ -38,6 +39,7 @@ def _step(left: DataFrame, right: DataFrame) -> DataFrame:
     keyed = left.withColumn("_anchor", F.when(F.col("open"), anchor))
     keyed = keyed.withColumn("_lane", lane(F.col("_anchor"), F.col("user_id")))
     side = right.select(
+        CLIENT,
         F.col("user_id").alias("_anchor"),
         only_lane(F.col("user_id")).alias("_lane"),
         F.col("path").alias("_more"),
@@ -46,54 +48,57 @@ def _step(left: DataFrame, right: DataFrame) -> DataFrame:
     # an id seen before closes a cycle: the path ends in front of it
     seen = F.array_append(F.transform("path", lambda p: p["user_id"]), F.col("user_id"))
     more = F.coalesce(F.col("_more"), F.array().cast(left.schema["path"].dataType))
-    joined = keyed.join(side, ["_anchor", "_lane"], "left").withColumns({"_seen": seen, "_more": more})
+    joined = keyed.join(side, [CLIENT, "_anchor", "_lane"], "left").withColumns({"_seen": seen, "_more": more})
     fresh = F.filter("_more", lambda p: ~F.array_contains(F.col("_seen"), p["user_id"]))
     joined = joined.withColumn("_fresh", fresh)
     still_open = F.coalesce(F.col("_more_open"), F.lit(False)) & (F.size("_fresh") == F.size("_more"))
-    return joined.select("user_id", F.concat("path", "_fresh").alias("path"), still_open.alias("open"))
+    return joined.select(CLIENT, "user_id", F.concat("path", "_fresh").alias("path"), still_open.alias("open"))
 
 
 def _start(edges: DataFrame, attributes: DataFrame | None) -> DataFrame:
-    """Paths of length one; ``attributes`` (user_id, ...) are carried with each ancestor."""
+    """Paths of length one; ``attributes`` (client, user_id, ...) are carried with each ancestor."""
     if attributes is None:
         step = F.struct(F.col("sponsor_id").alias("user_id"))
-        return edges.select("user_id", F.array(step).alias("path"), F.lit(True).alias("open"))
-    names = [c for c in attributes.columns if c != "user_id"]
-    joined = edges.join(attributes.withColumnRenamed("user_id", "sponsor_id"), "sponsor_id")
+        return edges.select(CLIENT, "user_id", F.array(step).alias("path"), F.lit(True).alias("open"))
+    names = [c for c in attributes.columns if c not in (CLIENT, "user_id")]
+    joined = edges.join(attributes.withColumnRenamed("user_id", "sponsor_id"), [CLIENT, "sponsor_id"])
     step = F.struct(F.col("sponsor_id").alias("user_id"), *names)
-    return joined.select("user_id", F.array(step).alias("path"), F.lit(True).alias("open"))
+    return joined.select(CLIENT, "user_id", F.array(step).alias("path"), F.lit(True).alias("open"))
 
 
 def sponsor_paths(
     edges: DataFrame, depth: int = GENERATIONS, attributes: DataFrame | None = None
 ) -> DataFrame:
-    """(user_id, path): the sponsor, the sponsor's sponsor and so on, ``depth`` levels at most.
+    """(client, user_id, path): the sponsor, the sponsor's sponsor and so on, ``depth`` levels at most.
 
-    One join per level against the edges, in one lazy plan.
+    Paths of a power of two are put together, each cut by a checkpoint: six levels are three joins.
     """
-    base = _start(edges, attributes)
-    paths = base
-    for _ in range(depth - 1):
-        paths = _step(paths, base)
-    return paths.select("user_id", "path")
+    powers = [_start(edges, attributes)]  # powers[k]: paths of up to 2**k
+    while 2 << (len(powers) - 1) <= depth:
+        powers.append(cut_lineage(_step(powers[-1], powers[-1])))
+    paths, reach = powers[-1], 1 << (len(powers) - 1)
+    for k in range(len(powers) - 2, -1, -1):
+        if reach + (1 << k) <= depth:
+            paths, reach = _step(paths, powers[k]), reach + (1 << k)
+    return paths.select(CLIENT, "user_id", "path")
 
 
 def all_sponsor_paths(
-    edges: DataFrame, attributes: DataFrame | None = None, max_depth: int = 1024
+    edges: DataFrame, attributes: DataFrame | None = None, max_depth: int | None = None
 ) -> DataFrame:
     """Paths to the root.  Each round doubles the length, so the rounds are the logarithm of
     the tree's depth; a checkpoint after each keeps the plan small and survives lost executors.
 
-    A tree deeper than ``max_depth`` fails: paths are never cut short.
+    Cycles end, so the rounds do too; where a ``max_depth`` is given, a deeper tree fails.
     """
     paths = cut_lineage(_start(edges, attributes))
     reach = 1
     while not paths.filter("open").limit(1).isEmpty():
-        if reach >= max_depth:
+        if max_depth is not None and reach >= max_depth:
             raise ValueError(f"the tree is deeper than {max_depth}")
         paths = cut_lineage(_step(paths, paths))
         reach *= 2
-    return paths.select("user_id", "path")
+    return paths.select(CLIENT, "user_id", "path")
 
 
 def closure(paths: DataFrame) -> DataFrame:

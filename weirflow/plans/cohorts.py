@@ -18,6 +18,7 @@ from weirflow.functions.rules import day_bucket, day_bucket_rank
 from weirflow.operators.shares import ratio, running_total, total_over
 
 DIGITS = 6
+OWNER = ["client_partition_id", "owner_id"]  # ids are unique within a client only
 RETAIL, WHOLESALE = "Retail", "Wholesale"
 
 
@@ -37,6 +38,7 @@ def cohort(
     if partition_id is not None:
         out = out.filter(F.col("client_partition_id") == partition_id)
     return out.select(
+        "client_partition_id",
         F.col("tree_user_id").alias("owner_id"),
         year_text(F.col("created")).alias("year"),
         month_text(F.col("created")).alias("month"),
@@ -51,7 +53,7 @@ def owner_days(orders: DataFrame, types: Sequence[str] | None = None) -> DataFra
     if types is not None:
         kept = kept.filter(F.col("type").isin(*types))
     return kept.groupBy(
-        F.col("commission_user_id").alias("owner_id"), F.col("type").alias("order_type"),
+        "client_partition_id", F.col("commission_user_id").alias("owner_id"), F.col("type").alias("order_type"),
         F.to_date("order_date").alias("day"),
     ).agg(F.count(F.lit(1)).alias("n"), F.sum("total").alias("total"))
 
@@ -59,7 +61,7 @@ def owner_days(orders: DataFrame, types: Sequence[str] | None = None) -> DataFra
 def cohort_days(people: DataFrame, days: DataFrame, how: str = "left") -> DataFrame:
     """Each user's days with orders and their distance to the sign-up; users without orders
     keep one empty row under ``left``."""
-    return people.join(days, "owner_id", how).withColumn(
+    return people.join(days, OWNER, how).withColumn(
         "days_to_order", days_between(F.col("signup"), F.col("day"))
     )
 
@@ -90,7 +92,7 @@ def owner_values(rows: DataFrame, first_types: str, by: Sequence[str] = ()) -> D
                 f"sum(CASE WHEN {hit} THEN total END) AS {prefix}_{kind}_t",
             ]
     counted = rows.filter("days_to_order >= 0 OR days_to_order IS NULL")
-    return counted.groupBy("owner_id", *by).agg(*[F.expr(m) for m in measures])
+    return counted.groupBy(*OWNER, *by).agg(*[F.expr(m) for m in measures])
 
 
 def bucket_values(owners: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -248,7 +250,7 @@ def days_to_first_sale(users: DataFrame, orders: DataFrame, user_type: str | Non
     """
     people = cohort(users, user_type, partition_id=partition_id)
     rows = cohort_days(people, owner_days(orders), "inner").filter(F.col("order_type") != WHOLESALE)
-    firsts = rows.groupBy("owner_id").agg(F.min("days_to_order").alias("days_to_first_sale"))
+    firsts = rows.groupBy(*OWNER).agg(F.min("days_to_order").alias("days_to_first_sale"))
     summed = firsts.groupBy("days_to_first_sale").agg(F.count("*").alias("num")).filter(F.col("num") > 0)
     num, day = F.col("num"), F.col("days_to_first_sale")
     from_zero = F.when(day > -1, num)
@@ -268,7 +270,7 @@ def days_to_last_sale(users: DataFrame, orders: DataFrame, first: str, last: str
     """How many owners made their last retail sale n days after signing up."""
     people = cohort(users, None, first, last)
     rows = cohort_days(people, owner_days(orders, [RETAIL]), "inner")
-    lasts = rows.groupBy("owner_id").agg(F.max("days_to_order").alias("days_to_last_sale"))
+    lasts = rows.groupBy(*OWNER).agg(F.max("days_to_order").alias("days_to_last_sale"))
     return lasts.groupBy("days_to_last_sale").agg(F.count("*").alias("num_retail_sales")).orderBy("days_to_last_sale")
 
 
@@ -281,7 +283,7 @@ def fast_starters(users: DataFrame, orders: DataFrame, first: str, last: str, st
         F.col("days_to_order").between(0, horizon)
     )
     retail, wholesale = F.col("order_type") == RETAIL, F.col("order_type") == WHOLESALE
-    measured = rows.groupBy(F.col("owner_id").alias("commission_user_id")).agg(
+    measured = rows.groupBy("client_partition_id", F.col("owner_id").alias("commission_user_id")).agg(
         F.min(F.when(retail, F.col("days_to_order"))).alias("days_to_first_sale"),
         F.max(F.when(retail, F.col("days_to_order"))).alias("days_to_last_sale"),
         F.sum(F.when(retail, F.col("n"))).alias("active_sales_count"),
@@ -299,16 +301,17 @@ def fast_starters(users: DataFrame, orders: DataFrame, first: str, last: str, st
 
 def order_mix(users: DataFrame, orders: DataFrame, user_type: str = "Distributor") -> DataFrame:
     """Orders by buyer type, order type and autoship flag, with shares inside each level."""
-    owners = users.filter(F.col("type") == user_type).select(F.col("tree_user_id").alias("commission_user_id"))
+    owners = users.filter(F.col("type") == user_type).select(
+        "client_partition_id", F.col("tree_user_id").alias("commission_user_id"))
     kept = orders.filter(F.col("type").isin(RETAIL, WHOLESALE) & (F.col("status") != "Cancelled"))
     # one row per pair of owner and buyer instead of one per order meets the two joins
-    pairs = kept.groupBy("commission_user_id", "tree_user_id", F.col("type").alias("order_type"), "is_autoship").agg(
+    pairs = kept.groupBy("client_partition_id", "commission_user_id", "tree_user_id", F.col("type").alias("order_type"), "is_autoship").agg(
         F.count(F.lit(1)).alias("n")
     )
-    buyers = users.select("tree_user_id", F.col("type").alias("user_type"))
+    buyers = users.select("client_partition_id", "tree_user_id", F.col("type").alias("user_type"))
     mix = (
-        pairs.join(owners, "commission_user_id", "left_semi")
-        .join(buyers, "tree_user_id")
+        pairs.join(owners, ["client_partition_id", "commission_user_id"], "left_semi")
+        .join(buyers, ["client_partition_id", "tree_user_id"])
         .groupBy("user_type", "order_type", "is_autoship")
         .agg(F.sum("n").alias("count"))
     )

@@ -12,6 +12,8 @@ from weirflow.operators.shares import ratio
 from weirflow.operators.tree import closure, per_generation
 
 DIGITS = 6
+USER = ["client_partition_id", "user_id"]
+BUYER = ["client_partition_id", "tree_user_id"]  # ids are unique within a client only
 
 
 # --- recruits and product value --------------------------------------------------------------
@@ -23,13 +25,13 @@ def recruits(users: DataFrame) -> DataFrame:
     Recruits are counted per sponsor and sign-up day first; only those rows meet the sponsor's
     own date, so a sponsor of a third of all users is a few thousand rows.
     """
-    per_day = users.groupBy(F.col("sponsor_id").alias("tree_user_id"), F.to_date("coded").alias("day")).agg(
+    per_day = users.groupBy("client_partition_id", F.col("sponsor_id").alias("tree_user_id"), F.to_date("coded").alias("day")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    sponsors = users.select("tree_user_id", F.to_date("coded").alias("own_day"))
-    rows = per_day.join(sponsors, "tree_user_id").withColumn("days", days_between(F.col("own_day"), F.col("day")))
+    sponsors = users.select(*BUYER, F.to_date("coded").alias("own_day"))
+    rows = per_day.join(sponsors, BUYER).withColumn("days", days_between(F.col("own_day"), F.col("day")))
     n, days = F.col("n"), F.col("days")
-    return rows.filter(days > 0).groupBy("tree_user_id").agg(
+    return rows.filter(days > 0).groupBy(*BUYER).agg(
         F.min(days).alias("days_to_signup"),
         F.sum(n).alias("cnt"),
         F.sum(F.when(days.between(0, 30), n).otherwise(0)).alias("first_30_cnt"),
@@ -70,15 +72,15 @@ def product_values(orders: DataFrame) -> DataFrame:
             F.sum(F.when(hit, F.col("total")).otherwise(0)).alias(f"{name}_tot"),
         ]
     lines = classified_lines(orders)
-    return lines.groupBy("tree_user_id").agg(*measures, F.sum("total").alias("tot"))
+    return lines.groupBy(*BUYER).agg(*measures, F.sum("total").alias("tot"))
 
 
 def downline_value(users: DataFrame, orders: DataFrame, user_type: str = "Distributor") -> DataFrame:
     """Recruiting and product value by the time to the first recruit."""
-    people = users.filter(F.col("type") == user_type).select("tree_user_id")
+    people = users.filter(F.col("type") == user_type).select(*BUYER)
     rows = (
-        people.join(recruits(users), "tree_user_id", "left")
-        .join(product_values(orders), "tree_user_id", "left")
+        people.join(recruits(users), BUYER, "left")
+        .join(product_values(orders), BUYER, "left")
     )
     users_n = F.count(F.lit(1))
     out = [
@@ -139,20 +141,20 @@ def downline_generations(users: DataFrame, paths: DataFrame, orders: DataFrame,
     else; the walk up then adds at most six rows per user, grouped by ancestor.
     """
     year_ago = one_year_before(as_of)
-    value = orders.filter(F.col("status") != "Cancelled").groupBy("tree_user_id").agg(
+    value = orders.filter(F.col("status") != "Cancelled").groupBy(*BUYER).agg(
         F.sum("total").alias("lcv"),
         F.sum(F.when(F.col("order_date") >= year_ago, F.col("total"))).alias("lcv_12"),
     )
-    members = users.filter(F.col("type") == user_type).select(F.col("tree_user_id").alias("user_id"), "created")
+    members = users.filter(F.col("type") == user_type).select("client_partition_id", F.col("tree_user_id").alias("user_id"), "created")
     # one row per user meets the joins; the paths are unfolded after them
     rows = closure(
-        paths.join(members, "user_id").join(value.withColumnRenamed("tree_user_id", "user_id"), "user_id", "left")
+        paths.join(members, USER).join(value.withColumnRenamed("tree_user_id", "user_id"), USER, "left")
     )
     depth, one = F.col("depth"), F.lit(1)
     recent = F.col("created") >= year_ago
     fresh = days_between(F.col("created"), as_of).between(0, 30)
     first = F.when(depth == 1, days_between(F.col("upline_signup"), F.col("created")))
-    return rows.groupBy(F.col("upline_id").alias("tree_user_id")).agg(
+    return rows.groupBy("client_partition_id", F.col("upline_id").alias("tree_user_id")).agg(
         F.min(first).alias("days_to_first_downline_distributor"),
         F.count(F.when(fresh, 1)).alias("downline_distributor_signups_last_30"),
         *per_generation(one, depth, "rolling_12_month_gen{g}_distributors_count", "count", recent),
@@ -165,17 +167,24 @@ def downline_generations(users: DataFrame, paths: DataFrame, orders: DataFrame,
 # --- sponsored sign-ups and orders -----------------------------------------------------------
 
 
+def _near(paths: DataFrame, at: str) -> DataFrame:
+    """Only ancestors whose sign-up lies less than 31 days before ``at``, or after it.
+
+    Each path entry carries the ancestor's sign-up, so rows are unfolded for these alone.
+    """
+    return paths.withColumn("path", F.filter("path", lambda p: whole_units("DAY", p["signup"], F.col(at)) < 31))
+
+
 def sponsored_signups(users: DataFrame, paths: DataFrame) -> DataFrame:
     """Sign-ups below a user within 7 and 30 days of the user's own.
 
-    Each path entry carries the ancestor's sign-up, so no join to the ancestor is needed.
     Sign-ups before the ancestor's own count too, as elapsed days are then negative.
     """
-    own = users.select(F.col("tree_user_id").alias("user_id"), "client", F.col("created").alias("signup"))
-    rows = closure(paths.join(own, "user_id")).filter(F.col("client") == F.col("upline_client"))
+    own = users.select("client_partition_id", F.col("tree_user_id").alias("user_id"), "client", F.col("created").alias("signup"))
+    rows = closure(_near(paths.join(own, USER), "signup"))
     days = whole_units("DAY", F.col("upline_signup"), F.col("signup"))
     return (
-        rows.withColumn("days", days).filter(F.col("days") < 31)
+        rows.withColumn("days", days)
         .groupBy("client", F.col("upline_id"))
         .agg(F.count(F.when(F.col("days") < 8, 1)).alias("signups_7_days"), F.count("*").alias("signups_30_days"))
         .withColumnRenamed("upline_id", "user_id")
@@ -183,18 +192,21 @@ def sponsored_signups(users: DataFrame, paths: DataFrame) -> DataFrame:
 
 
 def sponsored_orders(users: DataFrame, paths: DataFrame, orders: DataFrame, amounts=("total",)) -> DataFrame:
-    """Orders below a user before the user's sign-up and 7 and 30 days after it."""
-    own = users.select(F.col("tree_user_id").alias("user_id"), "client")
-    bought = orders.select(F.col("tree_user_id").alias("user_id"), "order_date", *amounts)
+    """Orders below a user before the user's sign-up and 7 and 30 days after it.
+
+    Orders are summed per buyer and time first; a buyer's path is cut to the ancestors that count
+    before it is unfolded.
+    """
+    own = users.select("client_partition_id", F.col("tree_user_id").alias("user_id"), "client")
+    bought = orders.groupBy("client_partition_id", F.col("tree_user_id").alias("user_id"), "order_date").agg(
+        F.count("*").alias("n"), *[F.sum(a).alias(a) for a in amounts])
     # path first, orders second: the join that grows is followed by a group on another key
-    members = paths.join(own, "user_id")
-    rows = closure(bought.join(members, "user_id"))
-    same = rows.filter(F.col("client") == F.col("upline_client"))
-    timed = same.select(
-        "client", "upline_id", *amounts,
+    rows = closure(_near(bought.join(paths.join(own, USER), USER), "order_date"))
+    timed = rows.select(
+        "client", "upline_id", "n", *amounts,
         whole_units("SECOND", F.col("upline_signup"), F.col("order_date")).alias("secs"),
         whole_units("DAY", F.col("upline_signup"), F.col("order_date")).alias("days"),
-    ).filter(F.col("days") < 31)
+    )
     spans = {
         "before_signup": F.col("secs") < 0,
         "first_7_after_signup": (F.col("secs") > -1) & (F.col("days") < 8),
@@ -202,6 +214,6 @@ def sponsored_orders(users: DataFrame, paths: DataFrame, orders: DataFrame, amou
     }
     measures = [F.min("secs").alias("seconds_from_signup_to_first_order")]
     for name, hit in spans.items():
-        measures.append(F.count(F.when(hit, 1)).alias(f"orders_{name}"))
+        measures.append(F.sum(F.when(hit, F.col("n")).otherwise(0)).alias(f"orders_{name}"))
         measures += [F.sum(F.when(hit, F.col(a))).alias(f"{a}_{name}") for a in amounts]
     return timed.groupBy("client", F.col("upline_id").alias("user_id")).agg(*measures)

@@ -11,6 +11,7 @@ from weirflow.lineage import cut_lineage
 from weirflow.operators.nesting import unnest
 from weirflow.operators.skew import fold_slices, join_sliced
 
+OWNER = ["client_partition_id", "owner_id"]  # ids are unique within a client only
 KINDS = ["retail", "wholesale", "autoship"]
 
 
@@ -32,13 +33,13 @@ def order_features(people: DataFrame, orders: DataFrame, as_of: Column, legacy:
     """
     kept = orders.filter(F.col("type").isin("Retail", "Wholesale") & (F.col("status") != "Cancelled"))
     daily = kept.groupBy(
-        F.col("commission_user_id").alias("owner_id"), _kind().alias("kind"),
+        "client_partition_id", F.col("commission_user_id").alias("owner_id"), _kind().alias("kind"),
         F.to_date("order_date").alias("day"),
     ).agg(
         F.count(F.lit(1)).alias("n"), F.sum("total").alias("total"),
         F.min("order_date").alias("first_at"), F.max("order_date").alias("last_at"),
     )
-    rows = daily.join(people.select("owner_id", "signup"), "owner_id").withColumn(
+    rows = daily.join(people.select(*OWNER, "signup"), OWNER).withColumn(
         "days", days_between(F.col("signup"), F.col("day"))
     ).filter(F.col("days") >= 0)
     recent = months_between_boundaries(F.col("day"), as_of).between(0, 12)
@@ -57,7 +58,7 @@ def order_features(people: DataFrame, orders: DataFrame, as_of: Column, legacy:
             F.min(F.when(of_kind, F.col("first_at"))).alias(f"first_{kind}"),
             F.max(F.when(of_kind, F.col("last_at"))).alias(f"last_{kind}"),
         ]
-    out = rows.groupBy("owner_id", "signup").agg(*measures)
+    out = rows.groupBy(*OWNER, "signup").agg(*measures)
     if legacy:
         out = out.withColumns(
             {f"last_{k}": F.when(F.col(f"last_{k}") == F.col("_last_any"), F.col(f"last_{k}")) for k in KINDS}
@@ -76,7 +77,7 @@ def sent_messages(emails: DataFrame) -> DataFrame:
 
     Recipients are reduced to one row each first, so the counts need no distinct aggregate.
     """
-    keys = ["sender_tree_user_id", "message_id", "delivery_status", "sent", "created", "system_generated"]
+    keys = ["client_partition_id", "sender_tree_user_id", "message_id", "delivery_status", "sent", "created", "system_generated"]
     per_recipient = (
         unnest(emails, "recipients", keys)
         .groupBy(*keys, "tree_user_id")
@@ -104,9 +105,9 @@ def message_features(people: DataFrame, emails: DataFrame) -> DataFrame:
     messages before their recipients are unnested.
     """
     side = people.withColumnRenamed("owner_id", "sender_tree_user_id")
-    senders = emails.select("sender_tree_user_id")
+    sender = ["client_partition_id", "sender_tree_user_id"]
     rows = join_sliced(
-        sent_messages(emails), side, ["sender_tree_user_id"], ["message_id"], counted=senders
+        sent_messages(emails), side, sender, ["message_id"], counted=emails.select(*sender)
     ).filter(
         F.to_date("created") >= F.col("signup")
     )
@@ -123,7 +124,7 @@ def message_features(people: DataFrame, emails: DataFrame) -> DataFrame:
         for kind in KINDS:
             before = f"CAST({at} AS DATE) >= signup AND {at} <= first_{kind}"
             measures[f"cnt_{event}_before_first_{kind}"] = (how, f"CASE WHEN {before} THEN {hit} END")
-    out = fold_slices(rows, ["sender_tree_user_id"], measures)
+    out = fold_slices(rows, sender, measures)
     spans = {
         f"days_to_first_{event}": days_between(F.col("_signup"), F.col(f"_{event}"))
         for event in ("created", "sent", "seen", "read")
@@ -133,11 +134,12 @@ def message_features(people: DataFrame, emails: DataFrame) -> DataFrame:
 
 def login_features(people: DataFrame, logins: DataFrame) -> DataFrame:
     """Logins per user by platform class, in the first 30 days and before each first order."""
-    keyed = logins.select("tree_user_id", "login_id", "created_at", platform_class(F.col("platform")).alias("cls"))
+    user = ["client_partition_id", "tree_user_id"]
+    keyed = logins.select(*user, "login_id", "created_at", platform_class(F.col("platform")).alias("cls"))
     side = people.select(
-        F.col("owner_id").alias("tree_user_id"), "signup", *[f"first_{k}" for k in KINDS]
+        "client_partition_id", F.col("owner_id").alias("tree_user_id"), "signup", *[f"first_{k}" for k in KINDS]
     )
-    rows = join_sliced(keyed, side, ["tree_user_id"], ["login_id"], counted=logins.select("tree_user_id"))
+    rows = join_sliced(keyed, side, user, ["login_id"], counted=logins.select(*user))
     spans = {"first30": _within30("created_at")}
     for kind in KINDS:
         spans[f"before_first_{kind}"] = f"created_at BETWEEN CAST(signup AS TIMESTAMP_NTZ) AND first_{kind}"
@@ -146,25 +148,25 @@ def login_features(people: DataFrame, logins: DataFrame) -> DataFrame:
         for span, inside in spans.items()
         for cls in fixed.PLATFORM_CLASSES
     }
-    return fold_slices(rows, ["tree_user_id"], measures)
+    return fold_slices(rows, user, measures)
 
 
 def usage_features(
     people: DataFrame, orders: DataFrame, emails: DataFrame, logins: DataFrame, as_of: Column,
     legacy: bool = False,
 ) -> DataFrame:
-    """All features per owner with at least one order.  ``people``: owner_id, signup (a date)."""
+    """All features per owner with at least one order.  ``people``: client, owner_id, signup (a date)."""
     # one row per owner, used by all three parts: computed once
     base = cut_lineage(order_features(people, orders, as_of, legacy))
     firsts = [f"first_{k}" for k in KINDS]
-    known = people.select("owner_id", "signup").join(base.select("owner_id", *firsts), "owner_id", "left")
+    known = people.select(*OWNER, "signup").join(base.select(*OWNER, *firsts), OWNER, "left")
     mails = message_features(known, emails).withColumnRenamed("sender_tree_user_id", "owner_id")
     # logins count only for owners with an order, as their windows end at a first order
     clicks = login_features(base, logins).withColumnRenamed("tree_user_id", "owner_id")
     hidden = ["signup", *[f"{edge}_{k}" for edge in ("first", "last") for k in KINDS]]
     return (
         base.drop(*hidden)
-        .join(mails, "owner_id", "left")
-        .join(clicks, "owner_id", "left")
+        .join(mails, OWNER, "left")
+        .join(clicks, OWNER, "left")
         .withColumnRenamed("owner_id", "commission_user_id")
     )
