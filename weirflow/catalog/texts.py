@@ -8,15 +8,16 @@ import sys
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Window, functions as F, types as T
 
 from weirflow.catalog.testbed import comparable, sql, table
 from weirflow.functions import fixed
 from weirflow.functions.codecs import compress_long, decrypt_line, gunzip, inflate
+from weirflow.lineage import cut_lineage
 from weirflow.operators.recommend import fold_errors, fold_predictions, top_items
 from weirflow.operators.skew import widen
 from weirflow.operators.text import (
-    document_frequency, join_phrases, phrases, term_counts, tfidf, tokens, topic_tokens, vocabulary,
+    document_frequency, join_phrases, lemmatize, phrases, term_counts, tfidf, tokens, topic_tokens, vocabulary,
 )
 from weirflow.plans.topics import contrast_corpora
 
@@ -97,7 +98,27 @@ def found_phrases(spark, d):
     return phrases(docs(spark, d), "tokens")
 
 
-@register("phrase_tokens", None)
+def _phrase_round(n: int, source: str) -> list[str]:
+    """Phrases of ``source`` (doc_id, i, term) joined; a run of starts joins at every second place."""
+    return [
+        f"seq{n} AS (SELECT doc_id, i, term AS a, lead(term) OVER (PARTITION BY doc_id ORDER BY i) AS b FROM {source})",
+        f"ab{n} AS (SELECT a, b, count(*) AS n FROM seq{n} WHERE b IS NOT NULL GROUP BY a, b)",
+        f"w{n} AS (SELECT term, count(*) AS n FROM {source} GROUP BY term)",
+        f"""found{n} AS (SELECT a, b FROM (SELECT a, b, (ab.n - 5)::DOUBLE / wa.n / wb.n * ((SELECT count(*) FROM w{n}) + (SELECT count(*) FROM ab{n})) AS score
+          FROM ab{n} ab JOIN w{n} wa ON ab.a = wa.term JOIN w{n} wb ON ab.b = wb.term WHERE ab.n > 5) WHERE score > 10)""",
+        f"""starts{n} AS (SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run FROM seq{n} JOIN found{n} USING (a, b))""",
+        f"""joining{n} AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, run ORDER BY i) AS place FROM starts{n}) WHERE place % 2 = 1)""",
+        f"""joined{n} AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY s.i) AS i,
+          CASE WHEN j.i IS NULL THEN a ELSE a || '_' || b END AS term FROM seq{n} s LEFT JOIN joining{n} j USING (doc_id, i)
+          WHERE (s.doc_id, s.i - 1) NOT IN (SELECT doc_id, i FROM joining{n}))""",
+    ]
+
+
+NUMBERED = "numbered AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS i, term FROM topic_words)"
+
+
+@register("phrase_tokens", sql(WORDS, TOPIC_WORDS, NUMBERED, *_phrase_round(1, "numbered"), *_phrase_round(2, "joined1"),
+  "SELECT term, count(DISTINCT doc_id) AS df FROM joined2 WHERE contains(term, '_') GROUP BY term"))
 def phrase_tokens(spark, d):
     """Two- and three-word phrases as single terms, with the number of documents using each."""
     one = docs(spark, d)
@@ -106,6 +127,48 @@ def phrase_tokens(spark, d):
     return document_frequency(three, "tokens").filter(F.col("term").contains("_"))
 
 
+LEMMAS = "lemmas AS (SELECT DISTINCT term AS word, left(term, length(term) - 1) AS lemma FROM topic_words WHERE term LIKE '%s')"
+
+
+@register("lemmatized", sql(WORDS, TOPIC_WORDS, LEMMAS, """SELECT coalesce(lemma, term) AS term, count(DISTINCT doc_id) AS df
+  FROM topic_words LEFT JOIN lemmas ON term = word GROUP BY 1"""))
+def lemmatized(spark, d):
+    """Documents per lemma, under a dictionary that takes a final s away."""
+    every = docs(spark, d)
+    ending = document_frequency(every, "tokens").filter(F.col("term").endswith("s")).select(
+        F.col("term").alias("word"), F.expr("left(term, length(term) - 1)").alias("lemma"))
+    return document_frequency(lemmatize(every, "doc_id", "tokens", ending), "tokens")
+
+
+TOPIC_FACTS = """SELECT CAST(q AS BIGINT) AS quality, CAST(t AS BIGINT) AS topic, CAST(10 AS BIGINT) AS terms, true AS known, true AS descending
+  FROM (VALUES (0), (1)) a(q), range(0, 10) b(t)"""
+
+
+def topic_facts(spark, d, **options):
+    """What has to hold of any topics: ten terms each, all of them from the texts, by falling weight."""
+    labelled = documents(spark, d).join(table(spark, d, "labels"), "doc_id")
+    found = cut_lineage(contrast_corpora(labelled, "text", "doc_id", "quality", [1, 0], max_share=0.5, **options))
+    every = document_frequency(docs(spark, d), "tokens").select("term", F.lit(True).alias("in_texts"))
+    before = F.lag("weight").over(Window.partitionBy("quality", "topic").orderBy("rank"))
+    # a phrase is known by its words
+    parts = found.withColumn("falls", F.coalesce(before >= F.col("weight"), F.lit(True))).select(
+        "quality", "topic", "rank", "falls", F.explode(F.split("term", "_")).alias("term"))
+    known = parts.join(every, "term", "left")
+    return known.groupBy("quality", "topic").agg(
+        F.count_distinct("rank").alias("terms"), F.every(F.coalesce("in_texts", F.lit(False))).alias("known"), F.every("falls").alias("descending"))
+
+
+@register("topic_facts", TOPIC_FACTS)
+def plain_topics(spark, d):
+    return topic_facts(spark, d)
+
+
+@register("topic_facts_phrases", TOPIC_FACTS)
+def phrase_topics(spark, d):
+    """Two-word phrases as terms, weighted by inverse document frequency."""
+    return topic_facts(spark, d, with_phrases=True, with_idf=True)
+
+
 @register("lda_topics", None)
 def lda_topics(spark, d):
     """Topics of good and bad documents over one vocabulary."""
@@ -129,6 +192,23 @@ def als_top5(spark, d):
     return top_items(fold_predictions(ratings(spark, d)), 5)
 
 
+RATINGS = """ratings AS (SELECT o_custkey AS user_id, l_partkey AS product_id, avg(CAST(l_quantity AS BIGINT) % 5 + 1) AS rating
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL)"""
+
+
+@register("als_facts", sql(RATINGS, """SELECT user_id, count(*) AS predicted, sum(product_id)::BIGINT AS products,
+  CAST(round(sum(rating) * 1000) AS BIGINT) AS ratings, least(count(*), 5) AS top, true AS ordered FROM ratings GROUP BY user_id"""))
+def als_facts(spark, d):
+    """Every rating is predicted once, and a user's top items are the best predicted, in order."""
+    predicted = cut_lineage(fold_predictions(ratings(spark, d)))
+    whole = predicted.groupBy("user_id").agg(
+        F.count("*").alias("predicted"), F.sum("product_id").alias("products"), F.round(F.sum("rating") * 1000).cast("long").alias("ratings"))
+    before = F.lag("prediction").over(Window.partitionBy("user_id").orderBy("rank"))
+    top = top_items(predicted, 5).withColumn("falls", F.coalesce(before >= F.col("prediction"), F.lit(True)))
+    listed = top.groupBy("user_id").agg(F.count_distinct("product_id").alias("top"), F.every("falls").alias("ordered"))
+    return whole.join(listed, "user_id")
+
+
 @register("als_rmse", None)
 def als_rmse(spark, d):
     return fold_errors(fold_predictions(ratings(spark, d)))

@@ -9,9 +9,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from weirflow.lineage import cut_lineage
 from weirflow.operators.shares import top_n
 
-INT_LIMIT = 2**31
-
-
 def dense_index(df: DataFrame, column: str, out: str) -> DataFrame:
     """(column, out): distinct values numbered 0.. without a one-task sort.
 
@@ -33,14 +30,7 @@ def dense_index(df: DataFrame, column: str, out: str) -> DataFrame:
 
 
 def with_int_ids(ratings: DataFrame) -> DataFrame:
-    """ALS wants int ids: longer ones are numbered, ids already in range are kept."""
-    row = ratings.agg(
-        F.min(F.least("user_id", "product_id")), F.max(F.greatest("user_id", "product_id"))
-    ).first()
-    if row[0] is None or (row[0] >= 0 and row[1] < INT_LIMIT):
-        return ratings.withColumns(
-            {"user": F.col("user_id").cast("int"), "item": F.col("product_id").cast("int")}
-        )
+    """ALS wants int ids: users and items are numbered, whatever their ids are."""
     return ratings.join(dense_index(ratings, "user_id", "user"), "user_id").join(
         dense_index(ratings, "product_id", "item"), "product_id"
     )
@@ -56,18 +46,26 @@ def with_folds(ratings: DataFrame, folds: int = 3, seed: int = 42) -> DataFrame:
 def _als(rank: int, seed: int) -> ALS:
     return ALS(
         rank=rank, maxIter=10, regParam=0.1, userCol="user", itemCol="item", ratingCol="rating",
-        coldStartStrategy="drop", seed=seed,
+        coldStartStrategy="nan", seed=seed,
     )
 
 
 def fold_predictions(ratings: DataFrame, folds: int = 3, rank: int = 10, seed: int = 42) -> DataFrame:
-    """Held-out predictions of every fold: user_id, product_id, rating, prediction, fold."""
+    """Held-out predictions of every fold: user_id, product_id, rating, prediction, fold.
+
+    A user or item that the fold's model has not seen gets the mean rating it was fitted on, so every
+    rating is predicted once.
+    """
     indexed = cut_lineage(with_folds(with_int_ids(ratings), folds, seed))
     out = None
     for fold in range(folds):
-        model = _als(rank, seed).fit(indexed.filter(F.col("fold") != fold))
+        seen = indexed.filter(F.col("fold") != fold)
+        mean = seen.agg(F.avg("rating")).first()[0]
+        if mean is None:
+            continue
+        model = _als(rank, seed).fit(seen)
         part = model.transform(indexed.filter(F.col("fold") == fold)).select(
-            "user_id", "product_id", "rating", F.col("prediction").cast("double").alias("prediction"), "fold"
+            "user_id", "product_id", "rating", F.nanvl(F.col("prediction").cast("double"), F.lit(mean)).alias("prediction"), "fold"
         )
         out = part if out is None else out.unionByName(part)
     return out

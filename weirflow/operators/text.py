@@ -74,6 +74,11 @@ def document_frequency(df: DataFrame, tokens_col: str) -> DataFrame:
     )
 
 
+def _limited(frequency: DataFrame, docs: int, min_docs: int, max_share: float, max_terms: int) -> DataFrame:
+    kept = (F.col("df") >= min_docs) & (F.col("df") <= F.floor(F.lit(docs) * F.lit(max_share)))
+    return frequency.filter(kept).orderBy(F.col("df").desc(), "term").limit(max_terms)
+
+
 def vocabulary(
     df: DataFrame,
     tokens_col: str,
@@ -83,29 +88,24 @@ def vocabulary(
 ) -> DataFrame:
     """(term, df): in at least ``min_docs`` documents, at most ``max_share`` of them, and the
     ``max_terms`` most frequent of those."""
-    docs = df.agg(F.count(F.lit(1)).alias("docs")).scalar()
-    return (
-        document_frequency(df, tokens_col)
-        .filter((F.col("df") >= min_docs) & (F.col("df") <= F.floor(docs * F.lit(max_share))))
-        .orderBy(F.col("df").desc(), "term")
-        .limit(max_terms)
-    )
+    return _limited(document_frequency(df, tokens_col), df.count(), min_docs, max_share, max_terms)
 
 
 def tfidf(
-    df: DataFrame, doc: str, tokens_col: str, vocab: DataFrame | None = None, digits: int = 6, **limits
+    df: DataFrame, doc: str, tokens_col: str, vocab: DataFrame | None = None, digits: int = 6,
+    min_docs: int = fixed.VOCAB_MIN_DOCS, max_share: float = fixed.VOCAB_MAX_SHARE, max_terms: int = fixed.VOCAB_MAX_TERMS,
 ) -> DataFrame:
     """(doc, term, tf, weight): tf * log2(docs / df), scaled to length 1 per document.
 
-    Token arrays are shuffled once, by document, for the vocabulary as well as the counts;
-    counting and scaling then need no further shuffle.  The vocabulary has at most
-    ``max_terms`` rows, small enough to be broadcast.
+    Texts are cut into words, shuffled and counted once; the stored counts, one row per document and
+    term, give the vocabulary too.  ``doc`` is unique.
     """
-    placed = df.select(doc, tokens_col).repartition(doc)
-    docs = placed.agg(F.count(F.lit(1))).scalar()
-    words = vocabulary(placed, tokens_col, **limits) if vocab is None else vocab
-    raw = F.col("tf") * F.log2(docs / F.col("df"))
-    weighted = term_counts(placed, doc, tokens_col).join(words, "term").withColumn("raw", raw)
+    docs = df.count()
+    counted = cut_lineage(term_counts(df.select(doc, tokens_col), doc, tokens_col))
+    frequency = counted.groupBy("term").agg(F.count("*").alias("df"))
+    words = _limited(frequency, docs, min_docs, max_share, max_terms) if vocab is None else vocab
+    raw = F.col("tf") * F.log2(F.lit(docs) / F.col("df"))
+    weighted = counted.join(words, "term").withColumn("raw", raw)
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(doc)))
     return weighted.withColumn("norm", norm).select(
         doc, "term", "tf",
@@ -156,43 +156,34 @@ def phrases(
 def join_phrases(df: DataFrame, doc: str, tokens_col: str, found: DataFrame) -> DataFrame:
     """Tokens with each phrase joined by '_', left to right; a token joins at most once.
 
-    Applying it a second time to phrases of the result gives three-word phrases.
+    Where phrases overlap, places at which one begins follow each other in a run: the first of a run
+    joins, and every second one after it.  The work grows with the number of tokens.  Applying it a
+    second time to phrases of the result gives three-word phrases.
     """
     pairs = df.select(doc, F.posexplode(token_pairs(tokens_col)).alias("i", "p")).select(
         doc, "i", "p.a", "p.b"
     )
-    starts = (
-        pairs.join(found.select("a", "b"), ["a", "b"], "left_semi")
-        .groupBy(doc)
-        .agg(F.collect_list("i").alias("_starts"))
+    starts = pairs.join(found.select("a", "b"), ["a", "b"], "left_semi").select(doc, "i")
+    run = F.col("i") - F.row_number().over(Window.partitionBy(doc).orderBy("i"))
+    place = F.row_number().over(Window.partitionBy(doc, "_run").orderBy("i"))
+    joining = starts.withColumn("_run", run).withColumn("_place", place).filter("_place % 2 = 1")
+    # for each joining place the tokens between it and the one before: flags by position, built in one go
+    gap = F.col("i") - F.coalesce(F.lag("i").over(Window.partitionBy(doc).orderBy("i")), F.lit(-1)) - 1
+    flags = (
+        joining.withColumn("_gap", gap).groupBy(doc)
+        .agg(F.array_sort(F.collect_list(F.struct("i", "_gap"))).alias("_at"))
+        .select(doc, F.flatten(F.transform("_at", lambda x: F.array_append(
+            F.array_repeat(F.lit(False), x["_gap"].cast("int")), F.lit(True)))).alias("_flags"))
     )
-    marks = F.coalesce(F.col("_starts"), F.array().cast("array<int>"))
-    # the fold keeps the output and the position of the next free token
-    begin = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("free"))
-
-    def take(acc: Column, i: Column) -> Column:
-        word = F.element_at(F.col(tokens_col), i + 1)
-        following = F.element_at(F.col(tokens_col), F.least(i + 2, F.size(tokens_col)))
-        joined = F.array_contains(marks, i)
-        return (
-            F.when(i < acc["free"], acc)
-            .when(
-                joined,
-                F.struct(
-                    F.array_append(acc["out"], F.concat_ws("_", word, following)).alias("out"),
-                    (i + 2).alias("free"),
-                ),
-            )
-            .otherwise(
-                F.struct(F.array_append(acc["out"], word).alias("out"), (i + 1).alias("free"))
-            )
-        )
 
-    positions = F.when(F.size(tokens_col) > 0, F.sequence(F.lit(0), F.size(tokens_col) - 1)).otherwise(
-        F.array().cast("array<int>")
-    )
-    out = F.aggregate(positions, begin, take, lambda acc: acc["out"])
-    return df.join(starts, doc, "left").withColumn(tokens_col, out).drop("_starts")
+    def token(t: Column, i: Column) -> Column:
+        begins = F.coalesce(F.get("_flags", i), F.lit(False))
+        goes = F.coalesce(F.get("_flags", i - 1), F.lit(False))
+        return F.when(begins, F.concat_ws("_", t, F.get(tokens_col, i + 1))).when(~goes, t)
+
+    out = F.filter(F.transform(tokens_col, token), lambda t: t.isNotNull())
+    joined = F.when(F.col("_flags").isNull(), F.col(tokens_col)).otherwise(out)
+    return df.join(flags, doc, "left").withColumn(tokens_col, joined).drop("_flags")
 
 
 def bag_of_words(df: DataFrame, tokens_col: str, with_idf: bool = False, **limits) -> tuple[DataFrame, Sequence[str]]:
@@ -211,9 +202,16 @@ def bag_of_words(df: DataFrame, tokens_col: str, with_idf: bool = False, **limit
     return out, model.vocabulary
 
 
+LDA_RATE = 0.05  # share of the documents in one step of the online optimizer
+
+
 def topics(bags: DataFrame, vocab: Sequence[str], k: int = 10, passes: int = 2, words: int = 10, seed: int = 2018) -> DataFrame:
-    """(topic, rank, term, weight) of an LDA model over the bags."""
-    model = LDA(k=k, maxIter=passes, optimizer="online", featuresCol="bag", seed=seed).fit(bags)
+    """(topic, rank, term, weight) of an LDA model over the bags.
+
+    Steps times their share of the documents make ``passes`` over all of them, at any size.
+    """
+    steps = round(passes / LDA_RATE)
+    model = LDA(k=k, maxIter=steps, subsamplingRate=LDA_RATE, optimizer="online", featuresCol="bag", seed=seed).fit(bags)
     names = bags.sparkSession.createDataFrame(list(enumerate(vocab)), "term_id int, term string")
     top = model.describeTopics(words).select(
         "topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "t")
