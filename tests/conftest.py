@@ -5,6 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from weirflow.lineage import drop_work_folders  # noqa: E402
 from weirflow.session import build_session  # noqa: E402
 
 
@@ -23,6 +24,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_work_folders(session)
     session.stop()
 
 

@@ -64,6 +64,7 @@ def compare(df, con, text: str) -> tuple[bool, str]:
 
 def main() -> int:
     import __spark_entry__ as entry
+    from weirflow.lineage import drop_work_folders
     from weirflow.session import build_session
 
     args = sys.argv[1:]
@@ -89,6 +90,7 @@ def main() -> int:
                 ok, note = True, f"{df.count()} rows, no SQL"
         except Exception as e:  # a broken query must not hide the others
             ok, note = False, f"{type(e).__name__}: {str(e)[:600]}"
+        drop_work_folders(spark)
         failed += not ok
         print(f"{'ok  ' if ok else 'FAIL'} {name:32s} {time.time() - begin:6.1f}s  {note}", flush=True)
     print(f"{failed} failed")

@@ -9,6 +9,7 @@ from weirflow.catalog.people import EVENT_PLATFORM_SQL, bucket_case, like_case
 from weirflow.catalog.testbed import comparable, sql, table
 from weirflow.functions import fixed, rules
 from weirflow.functions.dates import ts
+from weirflow.operators.nesting import nest
 from weirflow.plans import cohorts, downline, usage
 
 QUERIES: dict = {}
@@ -309,14 +310,14 @@ def usage_emails(spark, d):
     """Each order is a message of its buyer, each of its lines a recipient."""
     lines = table(spark, d, "lineitem").select(
         F.col("l_orderkey").alias("message_id"),
-        F.struct(
-            F.col("l_suppkey").alias("tree_user_id"),
-            F.when(F.col("l_returnflag") != "N", F.col("l_shipdate")).alias("seen"),
-            F.when(F.col("l_returnflag") == "A", F.col("l_shipdate")).alias("read"),
-            F.when(F.col("l_linestatus") == "O", 1).alias("undeliverable"),
-        ).alias("r"),
+        F.col("l_suppkey").alias("tree_user_id"),
+        F.when(F.col("l_returnflag") != "N", F.col("l_shipdate")).alias("seen"),
+        F.when(F.col("l_returnflag") == "A", F.col("l_shipdate")).alias("read"),
+        F.when(F.col("l_linestatus") == "O", 1).alias("undeliverable"),
     )
-    nested = lines.groupBy("message_id").agg(F.collect_list("r").alias("recipients"))
+    # recipients of a message beyond the slice limit come as further rows; the features unnest all
+    fields = ["tree_user_id", "seen", "read", "undeliverable"]
+    nested = nest(lines, ["message_id"], fields, "recipients", ["tree_user_id"]).drop("slice")
     o = table(spark, d, "orders")
     return o.join(nested, o.o_orderkey == F.col("message_id")).select(
         (F.col("o_custkey") % 5).alias("client_partition_id"), F.col("o_custkey").alias("sender_tree_user_id"), "message_id", F.col("o_orderstatus").alias("delivery_status"),

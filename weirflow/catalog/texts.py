@@ -166,7 +166,7 @@ def plain_topics(spark, d):
 @register("topic_facts_phrases", TOPIC_FACTS)
 def phrase_topics(spark, d):
     """Two-word phrases as terms, weighted by inverse document frequency."""
-    return topic_facts(spark, d, with_phrases=True, with_idf=True)
+    return topic_facts(spark, d, with_phrases=True, with_idf=True, min_docs=2)
 
 
 @register("lda_topics", None)

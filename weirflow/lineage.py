@@ -36,9 +36,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_MADE: set[str] = set()  # work folders of this process that nobody has deleted yet
+
+
 def work_folder(spark: SparkSession) -> str:
-    """A new folder name below the checkpoint folder, for tables between two steps of a job."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/work-{uuid.uuid4().hex}"
+    """A new folder name below the checkpoint folder, for tables between two steps of a job.
+
+    A frame that is returned may still read it: ``drop_work_folders`` deletes what is left once the
+    results of a job have been written or used.
+    """
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/work-{uuid.uuid4().hex}"
+    _MADE.add(folder)
+    return folder
 
 
 def written(df: DataFrame, folder: str) -> DataFrame:
@@ -53,3 +62,10 @@ def drop_folder(spark: SparkSession, folder: str) -> None:
         raise ValueError(f"not a work folder: {folder}")
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _MADE.discard(folder)
+
+
+def drop_work_folders(spark: SparkSession) -> None:
+    """Delete all work folders of this process: no frame made so far may be read afterwards."""
+    for folder in list(_MADE):
+        drop_folder(spark, folder)
