@@ -9,6 +9,7 @@ from pyspark.sql import functions as F, types as T
 
 from weirflow.catalog import testbed as tb
 from weirflow.catalog.testbed import comparable, sql, table
+from weirflow.catalog.texts import SAMPLE_KEYS, encrypted
 from weirflow.functions.dates import ts
 from weirflow.lineage import work_folder
 from weirflow.operators.nesting import unnest
@@ -43,27 +44,50 @@ CHANGE = T.StructType(
 )
 
 
-@register("cdc_stream", """SELECT o_orderkey AS id, o_custkey AS tree_user_id, CAST(o_orderdate AS VARCHAR) AS order_date,
-  CASE WHEN o_orderstatus <> 'P' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS shipped,
-  CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS item_day, '2001-08-01 00:00:00' AS ingestion_timestamp FROM orders""")
-def cdc_stream(spark, d):
-    """Orders written as gzip JSON change files, then streamed into the lake."""
-    work = work_folder(spark)
+def change_files(spark, d, folder: str) -> None:
+    """Orders as packed and encrypted JSON lines: one in fifty broken, one in fifty without a real date."""
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    rows = table(spark, d, "orders").select(
-        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("tree_user_id"),
-        F.concat(day, F.lit("T00:00:00Z")).alias("order_date"),
+    key = F.col("o_orderkey")
+    record = F.to_json(F.struct(
+        key.alias("id"), F.col("o_custkey").alias("tree_user_id"),
+        F.when(key % 50 == 1, "soon").otherwise(F.concat(day, F.lit("T00:00:00Z"))).alias("order_date"),
         F.when(F.col("o_orderstatus") == "P", "0000-00-00").otherwise(day).alias("shipped"),
         F.array(F.struct(day.alias("day"))).alias("items"),
-    )
-    rows.write.option("compression", "gzip").json(f"{work}/in")
-    finish(ingest_changes(spark, f"{work}/in", f"{work}/lake", CHANGE, f"{work}/marks", lambda: tb.AS_OF, prefix="part-"))
-    lake = spark.read.parquet(f"{work}/lake")
+    ))
+    text = F.when(key % 50 == 0, F.left(record, F.lit(12))).otherwise(record)
+    lines = table(spark, d, "orders").select(encrypted(text, key.cast("string"), key % 2 == 0).alias("line"))
+    lines.write.option("compression", "gzip").text(folder)
+
+
+def ingested(spark, d) -> str:
+    work = work_folder(spark)
+    change_files(spark, d, f"{work}/in")
+    finish(ingest_changes(spark, f"{work}/in", f"{work}/lake", CHANGE, f"{work}/marks", lambda: tb.AS_OF, keys=SAMPLE_KEYS,
+                          prefix="part-", archive=f"{work}/done", rejects=f"{work}/rejects"))
+    return work
+
+
+@register("cdc_stream", """SELECT o_orderkey AS id, o_custkey AS tree_user_id, CAST(o_orderdate AS VARCHAR) AS order_date,
+  CASE WHEN o_orderstatus <> 'P' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS shipped,
+  CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS item_day, '2001-08-01 00:00:00' AS ingestion_timestamp FROM orders
+  WHERE o_orderkey % 50 > 1""")
+def cdc_stream(spark, d):
+    """Orders written as encrypted change files, then streamed into the lake."""
+    lake = spark.read.parquet(f"{ingested(spark, d)}/lake")
     return lake.select(
         "id", "tree_user_id", "order_date", "shipped", F.element_at("items", 1)["day"].alias("item_day"), "ingestion_timestamp"
     )
 
 
+@register("cdc_rejects", """SELECT CASE o_orderkey % 50 WHEN 1 THEN o_orderkey END AS id, o_orderkey % 50 = 0 AS broken,
+  CASE o_orderkey % 50 WHEN 1 THEN 'order_date' ELSE '' END AS faults FROM orders WHERE o_orderkey % 50 < 2""")
+def cdc_rejects(spark, d):
+    """What the stream set aside: broken lines, and records with a text that is no date."""
+    bad = spark.read.parquet(f"{ingested(spark, d)}/rejects")
+    broken = F.col("_broken_line").isNotNull()
+    return bad.select(F.when(~broken, F.col("id")).alias("id"), broken.alias("broken"), F.array_join("_faults", ",").alias("faults"))
+
+
 @register("upsert_stream", sql(tb.ITEMS, """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
   CAST(CASE WHEN l_orderkey % 2 = 0 THEN l_shipdate + INTERVAL 100 YEAR ELSE l_shipdate END AS VARCHAR) AS l_shipdate,
   l_suppkey, l_extendedprice FROM items"""))

@@ -246,6 +246,15 @@ def _pack(s: pd.Series) -> pd.Series:
     return s.map(lambda t: gzip.compress(t.encode("utf-8"), mtime=0), na_action="ignore")
 
 
+def encrypted(text, salt, second):
+    """A text packed and encrypted as a change line, with the second sample key where ``second`` holds."""
+    iv = F.unhex(F.md5(salt))
+    key = F.when(second, SAMPLE_KEYS[1]).otherwise(SAMPLE_KEYS[0])
+    body = F.hex(F.aes_encrypt(_pack(text), F.unbase64(key), F.lit("CBC"), F.lit("PKCS"), iv))
+    # Spark puts the iv in front of the encrypted bytes
+    return F.concat(F.hex(iv), F.lit(":"), F.substring(body, F.lit(33), F.length(body)))
+
+
 @register("decrypt_lines", "SELECT conv_id, turn, CASE WHEN role = 'user' THEN NULL ELSE md5(text) END AS digest FROM conversations")
 def decrypt_lines(spark, d):
     """Turns packed and encrypted as change lines, the user's with a key nobody has."""

@@ -48,16 +48,21 @@ def _gunzip_text(s: pd.Series) -> pd.Series:
     return s.map(_gunzip_or_same, na_action="ignore")
 
 
-def _gunzip_or_none(data: bytes) -> str | None:
+def _gunzip_or_none(data) -> str | None:
     try:
         return gzip.decompress(bytes(data)).decode("utf-8")
     except (ValueError, OSError, EOFError, zlib.error):
         return None
 
 
+def _first_unpacked(candidates) -> str | None:
+    texts = (_gunzip_or_none(c) for c in (candidates if candidates is not None else ()))
+    return next((t for t in texts if t is not None), None)
+
+
 @F.pandas_udf(T.StringType())
-def _gunzip_bytes(s: pd.Series) -> pd.Series:
-    return s.map(_gunzip_or_none, na_action="ignore")
+def _gunzip_first(s: pd.Series) -> pd.Series:
+    return s.map(_first_unpacked)
 
 
 def compress_long(text: Column, longer_than: int = LONG_TEXT) -> Column:
@@ -89,7 +94,10 @@ def decrypt_line(line: Column, keys: Sequence[str]) -> Column:
         plain = F.try_aes_decrypt(body, F.unbase64(F.lit(key)), F.lit("CBC"), F.lit("PKCS"))
         gzipped = F.substring(F.hex(plain), 1, 4) == "1F8B"
         tries.append(F.when(gzipped, plain))
-    return F.coalesce(*[_gunzip_bytes(t) for t in tries]) if tries else F.lit(None).cast("string")
+    if not tries:
+        return F.lit(None).cast("string")
+    # the JVM keeps what looks like gzip, mostly one candidate; Python is called once a row
+    return _gunzip_first(F.filter(F.array(*tries), lambda t: t.isNotNull()))
 
 
 def decrypt_lines_or_fail(line: Column, keys: Sequence[str]) -> Column:
