@@ -55,3 +55,18 @@ def test_join_keys_keep_the_lane(spark):
         assert re.search(r"SortMergeJoin \[client_partition_id#\d+L, _anchor#\d+L, _lane#\d+L\]", plan)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_ancestors_are_filtered_before_they_are_unfolded(spark):
+    plan = plan_of(QUERIES["sponsored_orders"](spark, SF))
+    unfold, near = plan.index("Generate posexplode"), plan.index("lambdafunction((timestampdiff(DAY")
+    assert unfold < near  # printed top down: the filter stands below
+
+
+def test_six_generations_are_three_joins(spark, monkeypatch):
+    from weirflow.operators import tree
+
+    steps, step = [], tree._step
+    monkeypatch.setattr(tree, "_step", lambda *a: steps.append(1) or step(*a))
+    edges = spark.createDataFrame([(1, u, u - 1) for u in range(1, 9)], "client_partition_id long, user_id long, sponsor_id long")
+    assert max(len(r.path) for r in tree.sponsor_paths(edges, 6).collect()) == 6 and len(steps) == 3
