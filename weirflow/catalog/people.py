@@ -66,10 +66,12 @@ def member_user_type(spark, d):
     return table(spark, d, "customer").select("c_custkey", rules.member_user_type(code).alias("type"))
 
 
-@register("staged_user_type", sql(tb.RAW_USERS, """SELECT tree_user_id,
-  CASE WHEN client_type LIKE '%Customer%' OR client_type IN ('Employee', 'RCSCompany') THEN 'Autoship'
-       WHEN client_type IN ('B2B', 'Import', 'Distributor') OR client_type LIKE '%Transfer%' THEN 'Distributor' END AS type
-  FROM raw_users"""))
+STAGED = " ".join(
+    f"WHEN client_type LIKE '{pattern}' OR client_type IN ({', '.join(repr(t) for t in types)}) THEN '{kind}'"
+    for pattern, types, kind in fixed.STAGED_USER_TYPES)
+
+
+@register("staged_user_type", sql(tb.RAW_USERS, f"SELECT tree_user_id, CASE {STAGED} END AS type FROM raw_users"))
 def staged_user_type(spark, d):
     return tb.raw_users(spark, d).select("tree_user_id", rules.staged_user_type(F.col("client_type")).alias("type"))
 

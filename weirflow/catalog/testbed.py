@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from weirflow.functions import rules
+from weirflow.functions import fixed, rules
 from weirflow.operators.joins import with_client
 from weirflow.operators.nesting import nest
 from weirflow.operators.versions import newest
@@ -133,11 +133,10 @@ RAW_USERS = f"""raw_users AS (
 
 USERS = """users AS (
   SELECT *, created AS coded,
-    CASE WHEN lower(client_type) LIKE '%transfer%' THEN 'Distributor'
-         WHEN lower(client_type) LIKE '%customer%' THEN 'Autoship'
-         WHEN lower(client_type) IN ('b2b','import','distributor','freemium','uk-trial') THEN 'Distributor'
-         WHEN lower(client_type) IN ('employee','rcscompany') THEN 'Autoship' END AS type,
-    CASE WHEN lower(client_status) IN ('active','grace','hold') THEN 'Active' ELSE 'Inactive' END AS status
+    CASE """ + " ".join(
+    [f"WHEN lower(client_type) LIKE '%{text}%' THEN '{kind}'" for text, kind in fixed.USER_TYPE_CONTAINS]
+    + [f"WHEN lower(client_type) = '{raw}' THEN '{kind}'" for raw, kind in fixed.USER_TYPE_LOOKUP.items()]) + f""" END AS type,
+    CASE WHEN lower(client_status) IN ({', '.join(repr(x) for x in fixed.ACTIVE_USER_STATUSES)}) THEN 'Active' ELSE 'Inactive' END AS status
   FROM raw_users)"""
 
 PEOPLE = [RAW_USERS, USERS]

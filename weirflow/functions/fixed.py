@@ -15,6 +15,12 @@ USER_TYPE_LOOKUP = {
 # Text contained in a raw user type, lower case -> user type, first hit wins.
 USER_TYPE_CONTAINS = [("transfer", "Distributor"), ("customer", "Autoship")]
 
+# The hand-run load's user types: pattern or listed raw types, case counts -> user type.
+STAGED_USER_TYPES = [
+    ("%Customer%", ["Employee", "RCSCompany"], "Autoship"),
+    ("%Transfer%", ["B2B", "Import", "Distributor"], "Distributor"),
+]
+
 # Raw user status, lower case, that counts as active.
 ACTIVE_USER_STATUSES = ["active", "grace", "hold"]
 

@@ -106,10 +106,8 @@ def member_user_type(code: Column) -> Column:
 
 def staged_user_type(raw: Column) -> Column:
     """The case-sensitive rule of the hand-run load; unlisted text is null."""
-    return (
-        F.when(raw.like("%Customer%") | raw.isin("Employee", "RCSCompany"), "Autoship")
-        .when(raw.isin("B2B", "Import", "Distributor") | raw.like("%Transfer%"), "Distributor")
-    )
+    listed = [(raw.like(pattern) | raw.isin(types), F.lit(kind)) for pattern, types, kind in fixed.STAGED_USER_TYPES]
+    return first_match(listed, F.lit(None).cast("string"))
 
 
 def active_distributors(
