@@ -6,12 +6,14 @@ Everything here works on one block of rows inside a task; Spark partitions and s
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _STEP = 0xD6E8FEB86659FD93  # odd, so that it has an inverse modulo 2**64
 
@@ -22,6 +24,19 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1_000):
+    """Jobs started inside pass their rows to Python in batches of ``rows``: texts of thousands of
+    bytes each need no larger ones, and every task holds a batch on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit over all others."""
     x = x ^ (x >> np.uint64(30))
@@ -61,8 +76,10 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
     """The column's texts in blocks of about ``limit`` bytes, at least one row each; null is empty."""
     if column.null_count:
         column = column.fill_null("")
-    column = column.cast(pa.large_string())
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    if not len(column):
+        return
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     raw = column.buffers()[2]
     data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
     row = 0
@@ -94,7 +111,7 @@ def spans(gap: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of byte ranges: equal bytes get equal hashes wherever they stand."""
     bits = max(len(data), 1).bit_length()
-    up, down = _powers(max(bits, 22))
+    up, down = _powers(max(bits, 20))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(BYTE_CODE[data] * up[: len(data)], out=sums[1:])
     flat = (sums[ends] - sums[starts]) * down[starts]

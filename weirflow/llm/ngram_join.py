@@ -26,10 +26,13 @@ from weirflow.lineage import drop_folder, work_folder, written
 from weirflow.llm import arrowtext
 
 WIDTH, PERCENT = 5, 80
-SEGMENTS = 8             # cuts of the global order in which a pair's partial overlaps are counted
-CENTRES = 3              # sets that each set is compared with in a round
-ROUNDS = 5               # at most; what they leave unconnected is compared in full
-BLOCK = 4 << 20
+SEGMENTS = 8             # cuts of the global order in which a large pair's partial overlaps are counted
+WHOLE = 2_000            # n-grams up to which a pair's sets are one piece
+CENTRES = 5              # sets that stand for an n-gram in a round of stars
+MEETS = 2                # of them that a set is compared with, by either measure
+ROUNDS = 2               # of stars; what they leave unconnected is compared in full
+BLOCK = 1 << 20
+FRAGMENTS_A_PART = 2     # fragments for each shuffle partition: what one group holds is small
 _TOKEN_BYTES = 6
 _LOW = np.uint64((1 << (8 * _TOKEN_BYTES)) - 1)
 
@@ -44,7 +47,8 @@ _COUNTED = T.StructType([T.StructField("part", T.LongType()), *_RUNS.fields, T.S
 _SETS = T.StructType([
     T.StructField("set_id", T.LongType()),
     T.StructField("n", T.LongType()),
-    T.StructField("alone", T.LongType()),
+    T.StructField("alone", T.LongType()),     # n-grams that no other set holds
+    T.StructField("typical", T.LongType()),   # the median of how many sets hold one of its n-grams
     T.StructField("prefix", T.ArrayType(T.LongType())),
     T.StructField("segments", T.ArrayType(T.ArrayType(T.LongType()))),
 ])
@@ -128,20 +132,25 @@ def _count(parts: int):
             return _table([(-1, *row, b"") for row in rows])
         ids, first = np.unique(_column(table, "ids", np.int64), return_index=True)
         counts = _column(table, "counts", np.int32)
-        run_of = np.repeat(np.arange(len(counts)), counts)
+        run_of = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
         once = np.zeros(len(counts), bool)  # a set that several tasks met counts once
         once[first] = True
         kept = once[run_of]
-        tokens, run_of = _unpack(b"".join(table.column("tokens").to_pylist()))[kept], run_of[kept]
-        order = np.argsort(tokens, kind="stable")
+        tokens = _unpack(b"".join(table.column("tokens").to_pylist()))
+        if not once.all():
+            tokens, run_of = tokens[kept], run_of[kept]
+        del kept
+        order = np.argsort(tokens).astype(np.int32 if len(tokens) < 1 << 31 else np.int64)
         ordered = tokens[order]
         edges = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, np.int64)
         times = np.diff(np.append(edges, len(ordered)))
-        shared = np.empty(len(tokens), np.int64)
-        shared[order] = np.repeat(times, times)
+        shared = np.empty(len(tokens), np.int32)
+        shared[order] = np.repeat(times.astype(np.int32), times)
+        del order, ordered, edges
         more = shared > 1
         tokens, run_of, shared = tokens[more], run_of[more], shared[more]
         all_ids, sizes = _column(table, "ids", np.int64), _column(table, "sizes", np.int32)
+        del table
         part = (arrowtext.mix(all_ids.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
         order = np.lexsort((run_of, part[run_of]))
         tokens, run_of, shared = tokens[order], run_of[order], shared[order]
@@ -191,6 +200,7 @@ def _survivors(fragments: int, percent: int):
         length = n - -(-percent * n // 100) + 1 - alone
         order = np.lexsort((token, shared, owner))
         start = np.concatenate(([0], np.cumsum(held)))
+        typical = shared[order][start[:-1] + n // 2 - alone] if len(rows) else n
         rank = np.arange(len(order)) - start[owner[order]]
         prefix = token[order][rank < length[owner[order]]]
         segment = fragment * SEGMENTS // fragments
@@ -198,7 +208,7 @@ def _survivors(fragments: int, percent: int):
         many = np.bincount(owner * SEGMENTS + segment, minlength=len(rows) * SEGMENTS)
         inner = pa.ListArray.from_arrays(pa.array(_offsets(many), pa.int32()), pa.array(token[order], pa.int64()))
         return pa.table(
-            [pa.array(keys[rows], pa.int64()), pa.array(n, pa.int64()), pa.array(alone, pa.int64()),
+            [pa.array(keys[rows], pa.int64()), pa.array(n, pa.int64()), pa.array(alone, pa.int64()), pa.array(typical, pa.int64()),
              pa.ListArray.from_arrays(pa.array(_offsets(length), pa.int32()), pa.array(prefix, pa.int64())),
              pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * SEGMENTS, pa.int32()), inner)],
             names=_SETS.names,
@@ -233,10 +243,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     beyond = F.greatest(*[F.ceil(percent * F.col(n) / 100) - 1 for n in ("n_a", "n_b")])
     most = F.size(F.array_intersect("prefix_a", "prefix_b")) + beyond
     pairs = pairs.filter((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b", "n_a", "n_b")
-    cut = sets.select("set_id", F.posexplode("segments").alias("segment", "tokens")).filter(F.size("tokens") > 0)
-    one = cut.select(F.col("set_id").alias("a"), "segment", F.col("tokens").alias("of_a"))
-    two = cut.select(F.col("set_id").alias("b"), "segment", F.col("tokens").alias("of_b"))
-    partial = pairs.join(two, "b").join(one, ["a", "segment"]).select(
+    # a pair of small sets is counted in one piece, a pair with a large set in each segment
+    pairs = pairs.withColumn("cut", F.greatest("n_a", "n_b") > WHOLE)
+    whole = sets.filter(F.col("n") <= WHOLE).select("set_id", F.lit(False).alias("cut"), F.lit(0).alias("segment"), F.flatten("segments").alias("tokens"))
+    large = sets.filter(100 * F.col("n") >= percent * WHOLE)  # the smaller set of a large pair is no smaller
+    parts = whole.unionByName(large.select("set_id", F.lit(True).alias("cut"), F.posexplode("segments").alias("segment", "tokens")))
+    one = parts.select(F.col("set_id").alias("a"), "cut", "segment", F.col("tokens").alias("of_a"))
+    two = parts.select(F.col("set_id").alias("b"), "cut", "segment", F.col("tokens").alias("of_b"))
+    partial = pairs.join(two, ["b", "cut"]).join(one, ["a", "cut", "segment"]).select(
         "a", "b", "n_a", "n_b", F.size(F.array_intersect("of_a", "of_b")).cast("long").alias("overlap")
     )
     summed = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("overlap").alias("overlap"))
@@ -293,10 +307,11 @@ def link_classes(
     """
     spark = docs.sparkSession
     folder = work_folder(spark)
-    fragments = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    fragments = FRAGMENTS_A_PART * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     picked = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     cut = picked.filter("doc IS NOT NULL").mapInArrow(_cut(fragments, width), _RUNS)
-    counted = written(cut.groupBy("fragment").applyInArrow(_count(fragments), _COUNTED), f"{folder}/counted")
+    with arrowtext.small_batches(spark):
+        counted = written(cut.groupBy("fragment").applyInArrow(_count(fragments), _COUNTED), f"{folder}/counted")
     sets = written(
         counted.filter("part >= 0").groupBy("part").applyInArrow(_survivors(fragments, percent), _SETS),
         f"{folder}/sets",
@@ -308,15 +323,15 @@ def link_classes(
     drop = lambda name: drop_folder(spark, f"{folder}/{name}")
     drop("counted")
     postings = written(
-        sets.select("set_id", "n", "alone", F.posexplode("prefix").alias("at", "token"))
-        .select("token", "set_id", "n", "alone", (F.col("alone") + F.col("at")).alias("at")),
+        sets.select("set_id", "n", "alone", "typical", F.posexplode("prefix").alias("at", "token"))
+        .select("token", "set_id", "n", "alone", "typical", (F.col("alone") + F.col("at")).alias("at")),
         f"{folder}/postings",
     )
 
-    # rounds of stars: every set against the centres it shares most of its prefix with, as long as
-    # that connects anything; each round takes other centres, and only n-grams whose sets are not one class
+    # rounds of stars: every set against the centres it shares most of its prefix with; each round
+    # takes other centres, and only n-grams whose sets are not one class
     tested = links = None
-    placed = _mixed(postings, postings.select("set_id", F.col("set_id").alias("component")).limit(0))
+    placed = postings.withColumns({"component": F.col("set_id"), "largest": F.lit(None).cast("long")})
     for step in range(ROUNDS):
         found = _stars(placed, CENTRES * step, percent)
         if tested is not None:
@@ -325,10 +340,9 @@ def link_classes(
         new = written(_verified(found, sets, percent), f"{folder}/links-{step}").select("a", "b")
         tested = found if tested is None else tested.unionByName(found)
         links = new if links is None else links.unionByName(new)
-        if not new.take(1):
-            break
         known = components(links, f"{folder}/classes-{step}").select(F.col("node").alias("set_id"), "component")
-        placed = written(_mixed(postings, known), f"{folder}/placed-{step}")
+        placed = written(_mixed(placed.select(*postings.columns), known), f"{folder}/placed-{step}")
+        drop(f"placed-{step - 1}" if step else "postings")
 
     # what shares a prefix n-gram and is not connected yet: all pairs outside the group's largest class
     x = placed.filter("component <> largest").select(
@@ -345,7 +359,6 @@ def link_classes(
     rest = written(rest.join(tested.select("a", "b"), ["a", "b"], "left_anti"), f"{folder}/rest")
     more = written(_verified(rest, sets, percent), f"{folder}/more")
     drop("sets")
-    drop("postings")
     final = written(
         components(links.unionByName(more.select("a", "b")), f"{folder}/final"), f"{folder}/named")
 
@@ -374,22 +387,27 @@ def _stars(placed: DataFrame, seed: int, percent: int) -> DataFrame:
     """Pairs of a set and the centres, of other classes, that stand for most of its prefix n-grams.
 
     An n-gram's centres are the least of its sets in some orders of all sets, so sets that share much
-    have few centres between them.  Sets with the least part of n-grams of their own come first: what
-    has been edited least is nearest to all its copies.
+    have few centres between them.  The first is the set whose n-grams most others hold: what has been
+    edited least is nearest to all its copies.  A set meets those it shares most n-grams with, and
+    those it shares the rarest with.
     """
     own = F.floor(100 * F.col("alone") / F.col("n")).cast("int")
     order = [
-        F.struct((own if k % 2 == 0 else F.lit(0)).alias("own"), F.xxhash64(F.lit(seed + k), "set_id").alias("o"), "set_id", "n", "component")
+        F.struct((own if k % 2 == 0 else F.lit(0)).alias("own"), (-F.col("typical") if k == 0 else F.lit(0)).alias("rank"), F.xxhash64(F.lit(seed + k), "set_id").alias("o"),
+                 "set_id", "n", "component")
         for k in range(CENTRES)
     ]
     centres = placed.groupBy("token").agg(F.count("*").alias("many"), F.array_distinct(F.array(*[F.min(o) for o in order])).alias("c"))
-    centres = centres.filter("many > 1").select("token", F.explode("c").alias("c")).select(
-        "token", F.col("c.set_id").alias("c_id"), F.col("c.n").alias("c_n"), F.col("c.component").alias("c_component"))
+    centres = centres.filter("many > 1").select("token", "many", F.explode("c").alias("c")).select(
+        "token", "many", F.col("c.set_id").alias("c_id"), F.col("c.n").alias("c_n"), F.col("c.component").alias("c_component"))
     met = placed.join(centres, "token").filter(
         (F.col("component") != F.col("c_component")) & _fits(percent, F.col("n"), F.col("c_n")))
-    votes = met.groupBy("set_id", "n", "c_id", "c_n").agg(F.count("*").alias("votes"))
-    best = F.row_number().over(Window.partitionBy("set_id").orderBy(F.desc("votes"), "c_id"))
-    chosen = votes.withColumn("best", best).filter(F.col("best") <= CENTRES)
+    votes = met.groupBy("set_id", "n", "c_id", "c_n").agg(F.count("*").alias("votes"), F.min("many").alias("rarest"))
+    own = Window.partitionBy("set_id")
+    chosen = votes.withColumns({
+        "most": F.row_number().over(own.orderBy(F.desc("votes"), "c_id")),
+        "near": F.row_number().over(own.orderBy("rarest", F.desc("votes"), "c_id")),
+    }).filter((F.col("most") <= MEETS) | (F.col("near") <= MEETS))
     return _pairs(chosen, F.col("c_id"), F.col("c_n"), F.col("set_id"), F.col("n"), percent)
 
 
