@@ -90,10 +90,10 @@ def fit(held: np.ndarray, languages: list[str]) -> Model | None:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> Model | None:
-    """Fit on at most ``SAMPLE`` rows with a label and a text that are not held out."""
-    rows = docs.filter(~held_out(id_col) & F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
+    """Fit on at most ``SAMPLE`` rows with a label that are not held out; null texts teach nothing."""
+    rows = docs.filter(~held_out(id_col) & F.col(label_col).isNotNull())
     chosen = F.broadcast(sample_ids(rows, id_col, label_col, SAMPLE))
-    texts = rows.select(F.col(id_col), F.col(text_col).alias("text"), F.col(label_col).alias("label")).join(
+    texts = rows.filter(F.col(text_col).isNotNull()).select(F.col(id_col), F.col(text_col).alias("text"), F.col(label_col).alias("label")).join(
         chosen, F.col(id_col).eqNullSafe(chosen["_id"]) & (F.col("label") == chosen["_label"]))
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

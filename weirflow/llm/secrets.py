@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from weirflow.lineage import drop_folder, work_folder, written
 from weirflow.llm import arrowtext
+from weirflow.llm.sampling import early
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_\-]{12,}={0,2}")
 DICTIONARY = 5_000       # most frequent words of the corpus
@@ -157,8 +158,9 @@ def learn(found: DataFrame, id_col: str = "doc_id") -> Forest | None:
     spark = found.sparkSession
     order = F.xxhash64(id_col, "start")
     columns = ["label", *RATES, *MEASURES]
+    first = early(found, order, "label", SAMPLE // 2)
     halves = [
-        found.filter(F.col("label") == k).orderBy(order, id_col, "start").limit(SAMPLE // 2).select(*columns).collect() for k in (0, 1)
+        first.filter(F.col("label") == k).orderBy(order, id_col, "start").limit(SAMPLE // 2).select(*columns).collect() for k in (0, 1)
     ]
     if not all(halves):
         return None
