@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import values
 from weirflow.operators import text as tx
-from weirflow.operators.recommend import INT_LIMIT, dense_index, fold_errors, fold_predictions, rmse, top_items, with_folds, with_int_ids
+from weirflow.operators.recommend import dense_index, fold_errors, fold_predictions, rmse, top_items, with_folds, with_int_ids
 from weirflow.plans.topics import contrast_corpora, play_log, ratings_from_csv, recommend
 
 
@@ -96,8 +96,8 @@ def test_dense_index_and_long_ids(spark):
     df = spark.range(1000).selectExpr("id * 3000000000 AS k")
     out = dense_index(df, "k", "i")
     assert [r.i for r in out.orderBy("k").collect()] == list(range(1000))
-    big = spark.createDataFrame([(INT_LIMIT + 5, 1, 3.0), (7, 2, 4.0)], "user_id long, product_id long, rating double")
-    assert values(with_int_ids(big), "user_id", "user") == [(INT_LIMIT + 5, 1), (7, 0)]
+    big = spark.createDataFrame([(2**31 + 5, 1, 3.0), (7, 2, 4.0)], "user_id long, product_id long, rating double")
+    assert values(with_int_ids(big), "user_id", "user") == [(2**31 + 5, 1), (7, 0)]
 
 
 def test_recommend_from_csv(spark, tmp_path):
@@ -111,3 +111,27 @@ def test_recommend_from_csv(spark, tmp_path):
 def test_play_log(frame):
     out = play_log(frame("track_id long, user_id long", (1, 2)), frame("track_id long, title string", (1, "s")), frame("user_id long, city string", (2, "c")))
     assert values(out, "track_id", "user_id", "title", "city") == [(1, 2, "s", "c")]
+
+
+def test_overlapping_phrases_join_left_to_right(frame):
+    toks = ["a", "a", "a", "b", "a", "a", "c"]
+    df = frame("d long, toks array<string>", (1, toks), (2, ["a"] * 9), (3, None))
+    found = frame("a string, b string", ("a", "a"), ("a", "b"))
+
+    def greedy(words):
+        out, i = [], 0
+        while i < len(words):
+            if tuple(words[i : i + 2]) in {("a", "a"), ("a", "b")}:
+                out, i = [*out, "_".join(words[i : i + 2])], i + 2
+            else:
+                out, i = [*out, words[i]], i + 1
+        return out
+
+    got = {r.d: r.toks for r in tx.join_phrases(df, "d", "toks", found).collect()}
+    assert got == {1: greedy(toks), 2: greedy(["a"] * 9), 3: None}
+
+
+def test_unseen_items_are_predicted_too(frame):
+    data = frame("user_id long, product_id long, rating double", *[(u, u * 10 + p, 3.0) for u in range(4) for p in range(3)], (99, 999, 5.0))
+    got = fold_predictions(data)
+    assert got.count() == 13 and got.filter("prediction IS NULL OR isnan(prediction)").count() == 0
