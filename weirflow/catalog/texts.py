@@ -150,12 +150,13 @@ def topic_facts(spark, d, **options):
     found = cut_lineage(contrast_corpora(labelled, "text", "doc_id", "quality", [1, 0], max_share=0.5, **options))
     every = document_frequency(docs(spark, d), "tokens").select("term", F.lit(True).alias("in_texts"))
     before = F.lag("weight").over(Window.partitionBy("quality", "topic").orderBy("rank"))
-    # a phrase is known by its words
+    # a phrase is known by its words; the marker of @names holds the joining sign itself
+    marker = F.lit(fixed.SCREEN_NAME_TOKEN)
     parts = found.withColumn("falls", F.coalesce(before >= F.col("weight"), F.lit(True))).select(
-        "quality", "topic", "rank", "falls", F.explode(F.split("term", "_")).alias("term"))
+        "quality", "topic", "rank", "falls", F.explode(F.split(F.replace("term", marker, F.lit("@")), "_")).alias("term"))
     known = parts.join(every, "term", "left")
     return known.groupBy("quality", "topic").agg(
-        F.count_distinct("rank").alias("terms"), F.every(F.coalesce("in_texts", F.lit(False))).alias("known"), F.every("falls").alias("descending"))
+        F.count_distinct("rank").alias("terms"), F.every(F.coalesce("in_texts", F.col("term") == "@")).alias("known"), F.every("falls").alias("descending"))
 
 
 @register("topic_facts", TOPIC_FACTS)
