@@ -131,6 +131,36 @@ def test_passages(docs, texts):
     assert all(r.class_id <= r.doc_id for r in got)
 
 
+def passage_classes(got):
+    """Words covered and classes of each document."""
+    covered, classes = {}, {}
+    for r in got:
+        covered.setdefault(r.doc_id, set()).update(range(r.first, r.last + 1))
+        classes.setdefault(r.doc_id, set()).add(r.class_id)
+    return covered, classes
+
+
+def test_passages_beside_a_part(spark):
+    """The smallest id holds only part of a passage that later documents hold whole."""
+    rng = random.Random(11)
+    some = lambda n: [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    rows, places = [], {}
+    for t in range(40):
+        shared, part = some(51 + t % 10), 35 + t % 12
+        at = rng.randrange(len(shared) - part + 1)
+        k = rng.randrange(60, 200)
+        rows.append((t, " ".join(some(k) + shared[at : at + part] + some(200))))
+        for doc in (1000 + t, 2000 + t):
+            k = rng.randrange(300)
+            rows.append((doc, " ".join(some(k) + shared + some(300 - k))))
+            places[doc] = (k, k + len(shared))
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    covered, classes = passage_classes(got)
+    assert all(set(range(*place)) <= covered.get(doc, set()) for doc, place in places.items())
+    assert all(len(covered[doc]) <= (b - a) * 1.25 for doc, (a, b) in places.items())
+    assert all(classes[1000 + t] == classes[2000 + t] and len(classes[1000 + t]) == 1 for t in range(40))
+
+
 def brute_contamination(texts, items):
     cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(UPPER))
     out = {}
