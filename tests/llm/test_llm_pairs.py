@@ -161,6 +161,26 @@ def test_passages_beside_a_part(spark):
     assert all(classes[1000 + t] == classes[2000 + t] and len(classes[1000 + t]) == 1 for t in range(40))
 
 
+@pytest.mark.parametrize("changes", [0, 2])
+def test_passages_of_groups_of_copies(spark, changes):
+    """Two groups of exact copies share a passage, exactly or nearly; their classes meet."""
+    rng = random.Random(12)
+    some = lambda n: [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    rows = []
+    for t in range(30):
+        shared = some(60 if not changes else 300)
+        for group in (0, 1):
+            own = list(shared)
+            for _ in range(changes * group):
+                own[rng.randrange(len(own))] = "other"
+            text = " ".join(some(rng.randrange(10, 200)) + own + some(rng.randrange(10, 200)))
+            rows += [(1000 * copy + 2 * t + group, text) for copy in range(3)]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    covered, classes = passage_classes(got)
+    assert len(classes) == len(rows)
+    assert all(classes[doc] == {doc % 1000 // 2 * 2} for doc, _ in rows)
+
+
 def brute_contamination(texts, items):
     cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(UPPER))
     out = {}
