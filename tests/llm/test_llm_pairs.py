@@ -181,6 +181,52 @@ def test_passages_of_groups_of_copies(spark, changes):
     assert all(classes[doc] == {doc % 1000 // 2 * 2} for doc, _ in rows)
 
 
+def test_alike_stretches():
+    rng = np.random.default_rng(2)
+    similar = lambda a, b: len(set(a) & set(b)) / len(set(a) | set(b))
+    seen = set()
+    for _ in range(80):
+        a = rng.permutation(1000)[:22]
+        b = np.concatenate((2000 + rng.permutation(1000)[:4], a[rng.integers(0, 6) : rng.integers(14, 22)], 3000 + rng.permutation(1000)[:4]))
+        for _ in range(rng.integers(0, 7)):
+            k = rng.integers(0, len(b))
+            b = np.delete(b, k) if rng.random() < 0.5 else np.insert(b, k, 4000 + rng.integers(1000))
+        cuts = lambda x: [x[i : j + 1].tolist() for i in range(len(x)) for j in range(i + 8 - 1, len(x))]
+        want = any(similar(x, y) >= 0.8 for x in cuts(a) for y in cuts(b))
+        got = passages.alike_stretches(a.astype(np.uint32), b.astype(np.uint32), 80, 8)
+        assert bool(got) == want
+        assert all(similar(a[i : j + 1], b[k : m + 1]) >= 0.79 and min(j - i, m - k) >= 7 for i, j, k, m in got)
+        seen.add(want)
+    assert seen == {True, False}
+
+
+def near_recall(spark, n, changes, texts=100):
+    """Share of the near passages, in texts that have nothing else in common, found in both texts."""
+    rng = random.Random(3)
+    some = lambda n: [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    rows, places = [], {}
+    for t in range(texts):
+        shared = some(n)
+        for group in (0, 1):
+            own = list(shared)
+            for k in range(changes * group):
+                own[(k + 1) * n // (changes + 1)] = "other"
+            k = rng.randrange(300)
+            rows.append((1000 * group + t, " ".join(some(k) + own + some(300 - k))))
+            places[1000 * group + t] = (k, k + n)
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    covered, _ = passage_classes(got)
+    assert all(k >= a - 60 and k < b + 60 for doc, (a, b) in places.items() for k in covered.get(doc, ()))
+    hit = lambda doc: len(covered.get(doc, set()) & set(range(*places[doc]))) >= 0.9 * n
+    return sum(hit(t) and hit(1000 + t) for t in range(texts)) / texts
+
+
+def test_near_passages(spark):
+    """No run of 50 words is whole in either of them."""
+    assert near_recall(spark, 80, 1) >= 0.85
+    assert near_recall(spark, 150, 3) >= 0.85
+
+
 def brute_contamination(texts, items):
     cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(UPPER))
     out = {}
