@@ -227,6 +227,11 @@ def test_near_passages(spark):
     assert near_recall(spark, 150, 3) >= 0.85
 
 
+def test_near_passages_of_the_least_length(spark):
+    """The similarity is just reached, so that every hash is needed."""
+    assert near_recall(spark, 50, 1, 200) >= 0.95
+
+
 def brute_contamination(texts, items):
     cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(UPPER))
     out = {}
