@@ -232,6 +232,22 @@ def test_near_passages_of_the_least_length(spark):
     assert near_recall(spark, 50, 1, 200) >= 0.95
 
 
+def test_memberships_are_spread():
+    """Blocks of different batches don't meet in one group."""
+    cut = ngram_join._cut(16, 5)
+    batches = [ngram_join.pa.RecordBatch.from_arrays(
+        [ngram_join.pa.array([1000 * k + i for i in range(20)]), ngram_join.pa.array([f"one two three four five six {i}" for i in range(20)])],
+        names=["doc", "text"]) for k in range(200)]
+    groups, docs = {}, set()
+    for out in cut(iter(batches)):
+        for fragment, ids in zip(out.column(0).to_pylist(), out.column(1).to_pylist()):
+            if fragment < 0:
+                groups[fragment] = groups.get(fragment, 0) + 1
+                docs |= set(np.frombuffer(ids, np.int64).tolist())
+    assert docs == {1000 * k + i for k in range(200) for i in range(20)}
+    assert len(groups) == 16 and max(groups.values()) < 40 and min(groups) >= -16
+
+
 def brute_contamination(texts, items):
     cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(UPPER))
     out = {}

@@ -74,7 +74,8 @@ def _cut(fragments: int, width: int):
     """Documents to their sets' segments, one row a fragment and block of texts.
 
     A set's id is a digest of its n-grams, so copies have one id wherever they are met; a task
-    passes each set on once.  Rows with a negative fragment say which set each document has.
+    passes each set on once.  Rows with a negative fragment say which set each document has; they are
+    spread over as many groups as there are fragments.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +96,7 @@ def _cut(fragments: int, width: int):
                         parts.append(one)
                         fresh.append(len(ids) - 1)
                 own = doc_ids[block.first : block.first + block.rows]
-                rows = [(-1 - (block.first % fragments), own.astype(np.int64).tobytes(),
+                rows = [(-1 - _spread(own, fragments), own.astype(np.int64).tobytes(),
                          np.array(sizes, np.int32).tobytes(), b"", np.array(ids, np.int64).tobytes())]
                 if parts:
                     rows += _segments(np.array(ids, np.int64)[fresh], parts, fragments)
@@ -106,6 +107,11 @@ def _cut(fragments: int, width: int):
     return run
 
 
+def _spread(docs: np.ndarray, groups: int) -> int:
+    """The group that takes a block's memberships: blocks are dealt out by their first document."""
+    return int(arrowtext.mix(docs[:1].astype(np.int64).view(np.uint64))[0] % np.uint64(groups))
+
+
 def _segments(ids: np.ndarray, parts: list[np.ndarray], fragments: int) -> list[tuple]:
     sizes = np.array([len(p) for p in parts], np.int32)
     tokens = np.concatenate(parts)
