@@ -79,6 +79,23 @@ def test_one_of_each(docs, texts):
     assert {r.doc_id for r in kept.collect()} == want
 
 
+def test_one_id_on_several_texts_loses_no_text(spark, texts):
+    one, two, three = texts[8], "alpha beta gamma delta epsilon zeta eta", "ab cd ef"
+    rows = [(3, one), (5, one), (5, two), (9, two), (9, two), (5, None), (5, None), (7, three), (7, three), (None, two)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r.doc_id, r.text) for r in ngram_join.one_of_each(docs).collect()), key=str)
+    assert kept == sorted([(3, one), (5, two), (5, None), (5, None), (7, three), (None, two)], key=str)
+
+
+def test_clean_rows_stay_beside_contaminated_ones_of_their_id(spark):
+    item = " ".join(f"b{k}" for k in range(13))
+    bench = spark.createDataFrame([("i", item)], "item_id string, text string")
+    rows = [(1, f"x {item} y"), (1, "all is well"), (None, item), (None, "fine"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {(r.doc_id, r.text) for r in decontamination.clean_documents(docs, bench).collect()}
+    assert kept == {(1, "all is well"), (None, "fine"), (2, None)}
+
+
 def test_no_documents(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert ngram_join.link_classes(empty).count() == 0

@@ -9,15 +9,17 @@ skipped when it comes up.  One step costs the same in a pre-token of ten bytes o
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterable, Iterator
-from itertools import chain, pairwise
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-MEMO_LIMIT = 1_000_000  # pre-tokens whose ids a worker remembers; past that it starts anew
-MEMO_LENGTH = 200     # longer pre-tokens are not remembered
+MEMO_SLOTS = 1 << 20  # of the memo, a power of two: 27 bytes each with ids below 65,536, else 43
+MEMO_IDS = 8          # pre-tokens of more ids are not remembered
+PIECES = 1 << 16      # pre-tokens after which a batch of texts is looked up
 _WORD = 256           # bits of a bitmap word
 _NONE = -1
 
@@ -49,7 +51,7 @@ class ByteBPE:
         self.lower = [0] * (self.size // _WORD + 1)
         self.word_of = [r // _WORD for r in range(self.size)]
         self.bit_of = [1 << (r % _WORD) for r in range(self.size)]
-        self.memo = _Memo(self)
+        self.memo = _Memo(self.size)
         self.text_of = {rank: str(rank) for rank in self.vocabulary}
 
     def merge(self, raw: bytes) -> tuple[int, ...]:
@@ -142,34 +144,91 @@ class ByteBPE:
         return tuple(out)
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.memo.__getitem__, self.find(text))))
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: Sequence[str | None]) -> list[list[int]]:
+        """The ids of each text; null has none."""
+        out: list[list[int]] = []
+        pieces: list[str] = []
+        ends: list[int] = []
+        for text in texts:
+            if text:
+                pieces += self.find(text)
+            ends.append(len(pieces))
+            if len(pieces) >= PIECES:
+                out += self._looked_up(pieces, ends)
+                pieces, ends = [], []
+        return out + self._looked_up(pieces, ends) if ends else out
+
+    def _looked_up(self, pieces: list[str], ends: list[int]) -> list[list[int]]:
+        """Ids of the pre-tokens up to each of ``ends``: remembered ones at once, others by merging."""
+        hashes = np.fromiter(map(hash, pieces), np.int64, len(pieces))
+        known, counts, rows = self.memo.get(hashes)
+        new: dict[str, tuple[int, ...]] = {}
+        missing = np.flatnonzero(~known)
+        found = []
+        for i in missing.tolist():
+            piece = pieces[i]
+            ids = new.get(piece)
+            if ids is None:
+                ids = new[piece] = self.merge(piece.encode())
+            found.append(ids)
+        self.memo.put(new)
+        counts[missing] = [len(ids) for ids in found]
+        edges = np.concatenate(([0], np.cumsum(counts)))
+        flat = np.empty(edges[-1], np.int32)
+        own = np.ones(len(flat), bool)
+        starts, many = edges[missing], counts[missing]
+        total = int(many.sum())
+        at = np.arange(total) + np.repeat(starts - (np.cumsum(many) - many), many)
+        own[at] = False
+        flat[at] = np.fromiter((x for ids in found for x in ids), np.int32, total)
+        held = counts[known]
+        flat[own] = rows[known][np.arange(MEMO_IDS) < held[:, None]]
+        cuts = edges[ends].tolist()
+        ids = flat.tolist()
+        return [ids[a:b] for a, b in zip([0, *cuts], cuts)]
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.vocabulary.__getitem__, ids))
 
 
-class _Memo(dict):
-    """Ids by pre-token, kept within bounds."""
+class _Memo:
+    """Ids by a pre-token's 64-bit hash, in arrays of a fixed size.
 
-    def __init__(self, coder: ByteBPE):
-        self.coder = coder
+    A hash has one slot; a newer pre-token takes it over, so frequent ones are there most of the time
+    and the memory is the same whatever the corpus holds.
+    """
+
+    def __init__(self, size: int):
+        self.keys = np.zeros(MEMO_SLOTS, np.int64)  # no pre-token's hash is 0: that is the empty string's
+        self.counts = np.zeros(MEMO_SLOTS, np.uint8)
+        self.rows = np.zeros((MEMO_SLOTS, MEMO_IDS), np.uint16 if size <= 1 << 16 else np.int32)
+
+    def get(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which hashes are remembered, and for those how many ids and the ids in front of their row."""
+        slots = hashes & (MEMO_SLOTS - 1)
+        return self.keys[slots] == hashes, self.counts[slots].astype(np.int64), self.rows[slots]
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self.coder.merge(piece.encode())
-        if len(piece) <= MEMO_LENGTH:
-            if len(self) >= MEMO_LIMIT:
-                self.clear()
-            self[piece] = ids
-        return ids
+    def put(self, new: dict[str, tuple[int, ...]]) -> None:
+        short = [(hash(piece), len(ids), ids + (0,) * (MEMO_IDS - len(ids))) for piece, ids in new.items() if len(ids) <= MEMO_IDS]
+        if short:
+            hashes, counts, rows = zip(*short)
+            # of new ones with one slot the last stays, in all three arrays
+            slot_of = {h & (MEMO_SLOTS - 1): k for k, h in enumerate(hashes)}
+            slots, last = list(slot_of), list(slot_of.values())
+            self.keys[slots] = np.array(hashes, np.int64)[last]
+            self.counts[slots] = np.array(counts, np.uint8)[last]
+            self.rows[slots] = np.array(rows, self.rows.dtype)[last]
 
 
-_CODERS: dict[str, ByteBPE] = {}  # one a worker and vocabulary
+_CODER: list[tuple[str, ByteBPE]] = []  # a worker's last one: vocabulary, tables and memo, about 60 MB
 
 
 def _coder(key: str, ranks: dict[bytes, int], pattern: str) -> ByteBPE:
-    if key not in _CODERS:
-        _CODERS[key] = ByteBPE(ranks, pattern)
-    return _CODERS[key]
+    if not _CODER or _CODER[0][0] != key:
+        _CODER[:] = [(key, ByteBPE(ranks, pattern))]
+    return _CODER[0][1]
 
 
 def encode_texts(
@@ -189,9 +248,9 @@ def encode_texts(
         coder = _coder(key, shared.value, pattern)
         names = coder.text_of.__getitem__
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                ids = [coder.encode(text) if text else [] for text in part.column(1).to_pylist()]
+            for start in range(0, batch.num_rows, 100):
+                part = batch.slice(start, 100)
+                ids = coder.encode_all(part.column(1).to_pylist())
                 texts = [",".join(map(names, x)) for x in ids]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())],
@@ -223,11 +282,10 @@ def encode_decode(
         coder = _coder(key, shared.value, pattern)
         names = coder.text_of.__getitem__
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
+            for start in range(0, batch.num_rows, 100):
+                part = batch.slice(start, 100)
                 counts, texts, decoded = [], [], []
-                for text in part.column(1).to_pylist():
-                    ids = coder.encode(text) if text else []
+                for ids in coder.encode_all(part.column(1).to_pylist()):
                     counts.append(len(ids))
                     texts.append(",".join(map(names, ids)))
                     decoded.append(coder.decode(ids))

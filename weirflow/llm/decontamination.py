@@ -72,9 +72,9 @@ def _places(words: Column, width: int, bitmap: Column) -> Column:
 
 
 def _scanned(docs: DataFrame, windows: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, row, n_words, places) of each row in one pass: places are windows that pass the bitmap.
+    """(id, row, mark, n_words, places) of each row in one pass: places are windows that pass the bitmap.
 
-    ``row`` tells rows with equal ids apart.  Written to the checkpoint folder; apart from the ids it
+    ``row`` tells rows with equal ids apart, ``mark`` their texts.  Written to the checkpoint folder; apart from the ids it
     holds little more than the hits.
     """
     marked, widths = _bitmap(windows)
@@ -82,7 +82,11 @@ def _scanned(docs: DataFrame, windows: DataFrame, id_col: str, text_col: str) ->
     # the words are bound to a lambda's variable, so that they are cut out once a text
     scan = F.transform(F.array(normal_words(F.col(text_col))), lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"), F.concat(none, *[_places(w, n, bitmap) for n in widths]).alias("places")))
-    return cut_lineage(docs.select(F.col(id_col), F.monotonically_increasing_id().alias("row"), F.inline(scan)))
+    return cut_lineage(docs.select(F.col(id_col), F.monotonically_increasing_id().alias("row"), _mark(text_col).alias("mark"), F.inline(scan)))
+
+
+def _mark(text_col: str) -> Column:
+    return F.xxhash64(F.col(text_col).cast("string"))
 
 
 def _hits(scanned: DataFrame, windows: DataFrame, id_col: str) -> DataFrame:
@@ -115,16 +119,23 @@ def contamination(
     item without words has no window; an empty benchmark hits nothing.  Other columns of either
     table are not read.
     """
+    return _measured(docs, benchmark, id_col, text_col, item_col, item_text_col, width).drop("mark")
+
+
+def _measured(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    item_col: str = "item_id", item_text_col: str = "text", width: int = WINDOW,
+) -> DataFrame:
     windows = benchmark_windows(benchmark, item_col, item_text_col, width)
     scanned = _scanned(docs, windows, id_col, text_col)
     span = F.struct(F.col("start").alias("first"), (F.col("start") + F.col("width") - 1).alias("last"))
     per_row = _hits(scanned, windows, id_col).groupBy("row").agg(
         F.array_sort(F.collect_set("item")).alias("items"), F.array_sort(F.collect_set(span)).alias("found"))
     per_row = per_row.select("row", "items", merge_spans(F.col("found")).alias("spans"))
-    out = scanned.select(F.col(id_col), "row", "n_words").join(per_row, "row", "left")
+    out = scanned.select(F.col(id_col), "row", "mark", "n_words").join(per_row, "row", "left")
     covered = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["last"] - s["first"] + 1)
     return out.select(
-        F.col(id_col), "n_words", F.coalesce(covered, F.lit(0).cast("long")).alias("n_hit"),
+        F.col(id_col), "mark", "n_words", F.coalesce(covered, F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.coalesce("spans", F.array().cast("array<struct<first:int,last:int>>")).alias("spans"),
     )
@@ -150,10 +161,14 @@ def is_contaminated() -> Column:
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not contaminated; rows with a null id are judged like others only if
-    their id is known, so they stay."""
-    bad = contamination(docs, benchmark, id_col, text_col).filter(is_contaminated()).select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(bad, docs[id_col] == bad["_bad"], "left_anti")
+    """The rows of ``docs`` that are not contaminated.
+
+    A row is known by its id and text: of rows that share an id only those with a contaminated text
+    go, and a row with a null id is judged like any other.
+    """
+    bad = _measured(docs, benchmark, id_col, text_col).filter(is_contaminated()).select(F.col(id_col).alias("_bad"), "mark").distinct()
+    marked = docs.withColumn("_mark", _mark(text_col))
+    return marked.join(bad, marked[id_col].eqNullSafe(bad["_bad"]) & (marked["_mark"] == bad["mark"]), "left_anti").drop("_mark")
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -42,6 +42,7 @@ _RUNS = T.StructType([
     T.StructField("sizes", T.BinaryType()),    # set sizes
     T.StructField("counts", T.BinaryType()),   # n-grams of the set in this fragment
     T.StructField("tokens", T.BinaryType()),   # those n-grams, or set ids where fragment < 0
+    T.StructField("marks", T.BinaryType()),    # hashes of the documents' texts where fragment < 0
 ])
 _COUNTED = T.StructType([T.StructField("part", T.LongType()), *_RUNS.fields, T.StructField("shared", T.BinaryType())])
 _SETS = T.StructType([
@@ -81,7 +82,7 @@ def _cut(fragments: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            doc_ids = batch.column(0).to_numpy(zero_copy_only=False)
+            doc_ids, marks = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (0, 2)]
             for block in arrowtext.blocks(batch.column(1), BLOCK):
                 grams, offsets = arrowtext.shingles(*arrowtext.words(block), width)
                 ids, sizes, parts, fresh = [], [], [], []
@@ -95,13 +96,13 @@ def _cut(fragments: int, width: int):
                         seen.add(key)
                         parts.append(one)
                         fresh.append(len(ids) - 1)
-                own = doc_ids[block.first : block.first + block.rows]
-                rows = [(-1 - _spread(own, fragments), own.astype(np.int64).tobytes(),
-                         np.array(sizes, np.int32).tobytes(), b"", np.array(ids, np.int64).tobytes())]
+                own, mark = [x[block.first : block.first + block.rows] for x in (doc_ids, marks)]
+                rows = [(-1 - _spread(own, fragments), own.tobytes(),
+                         np.array(sizes, np.int32).tobytes(), b"", np.array(ids, np.int64).tobytes(), mark.tobytes())]
                 if parts:
                     rows += _segments(np.array(ids, np.int64)[fresh], parts, fragments)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] + [pa.binary()] * 4)], names=_RUNS.names
+                    [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] + [pa.binary()] * 5)], names=_RUNS.names
                 )
 
     return run
@@ -124,7 +125,7 @@ def _segments(ids: np.ndarray, parts: list[np.ndarray], fragments: int) -> list[
     for f in np.flatnonzero(np.diff(edges)).tolist():
         a, b = edges[f], edges[f + 1]
         own, counts = np.unique(owner[a:b], return_counts=True)
-        rows.append((f, ids[own].tobytes(), sizes[own].tobytes(), counts.astype(np.int32).tobytes(), _pack(tokens[a:b])))
+        rows.append((f, ids[own].tobytes(), sizes[own].tobytes(), counts.astype(np.int32).tobytes(), _pack(tokens[a:b]), b""))
     return rows
 
 
@@ -166,15 +167,15 @@ def _count(parts: int):
             a, b = edges[p], edges[p + 1]
             runs, many = np.unique(run_of[a:b], return_counts=True)
             rows.append((p, fragment, all_ids[runs].tobytes(), sizes[runs].tobytes(), many.astype(np.int32).tobytes(),
-                         _pack(tokens[a:b]), shared[a:b].astype(np.int64).tobytes()))
+                         _pack(tokens[a:b]), b"", shared[a:b].astype(np.int64).tobytes()))
         return _table(rows)
 
     return run
 
 
 def _table(rows: list[tuple]) -> pa.Table:
-    kinds = [pa.int64(), pa.int64()] + [pa.binary()] * 5
-    columns = list(zip(*rows)) if rows else [()] * 7
+    kinds = [pa.int64(), pa.int64()] + [pa.binary()] * 6
+    columns = list(zip(*rows)) if rows else [()] * 8
     return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names=_COUNTED.names)
 
 
@@ -232,8 +233,8 @@ def _memberships(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches([batch])
         yield pa.RecordBatch.from_arrays(
             [pa.array(_column(table, "ids", np.int64)), pa.array(_column(table, "sizes", np.int32).astype(np.int64)),
-             pa.array(_column(table, "tokens", np.int64))],
-            names=["doc", "n", "set_id"],
+             pa.array(_column(table, "tokens", np.int64)), pa.array(_column(table, "marks", np.int64))],
+            names=["doc", "n", "set_id", "mark"],
         )
 
 
@@ -311,10 +312,26 @@ def link_classes(
     Ids are integers.  Other columns of ``docs`` are not read.  N-grams and sets are told apart by
     64-bit hashes.  The docs should be a stored table, so that a repeated task reads the same rows.
     """
+    out = _classes(docs, id_col, text_col, width, percent).select(
+        F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    nameless = docs.filter(F.col(id_col).isNull()).select(
+        F.lit(None).cast("long").alias(id_col), F.lit(None).cast("long").alias("n_shingles"),
+        F.lit(None).cast("long").alias("component_id"))
+    return out.unionByName(nameless)
+
+
+def _mark(text_col: str):
+    """What tells the texts of rows with one id apart."""
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """(doc, n, set_id, mark, component_id) for each row with an id."""
     spark = docs.sparkSession
     folder = work_folder(spark)
     fragments = FRAGMENTS_A_PART * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    picked = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
+    picked = docs.select(
+        F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"), _mark(text_col).alias("mark"))
     cut = picked.filter("doc IS NOT NULL").mapInArrow(_cut(fragments, width), _RUNS)
     with arrowtext.small_batches(spark):
         counted = written(cut.groupBy("fragment").applyInArrow(_count(fragments), _COUNTED), f"{folder}/counted")
@@ -323,7 +340,7 @@ def link_classes(
         f"{folder}/sets",
     )
     members = written(
-        counted.filter("part < 0").select("ids", "sizes", "tokens").mapInArrow(_memberships, "doc long, n long, set_id long"),
+        counted.filter("part < 0").select("ids", "sizes", "tokens", "marks").mapInArrow(_memberships, "doc long, n long, set_id long, mark long"),
         f"{folder}/members",
     )
     drop = lambda name: drop_folder(spark, f"{folder}/{name}")
@@ -376,17 +393,14 @@ def link_classes(
     least = named.groupBy("component").agg(F.min("doc").alias("component_id"))
     of_set = written(named.join(least, "component").select("set_id", "component_id"), f"{folder}/of_set")
     out = members.join(of_set, "set_id", "left").select(
-        F.col("doc").alias(id_col), F.col("n").alias("n_shingles"),
+        "doc", "n", "set_id", "mark",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"),
     )
     out = written(out, f"{folder}/out")
     of_rounds = [f"{name}-{k}" for name in ("stars", "links", "classes", "placed") for k in range(ROUNDS)]
     for name in ("members", "rest", "more", "final", "named", "docs", "of_set", *of_rounds):
         drop(name)
-    nameless = picked.filter("doc IS NULL").select(
-        F.lit(None).cast("long").alias(id_col), F.lit(None).cast("long").alias("n_shingles"),
-        F.lit(None).cast("long").alias("component_id"))
-    return out.unionByName(nameless)
+    return out
 
 
 def _stars(placed: DataFrame, seed: int, percent: int) -> DataFrame:
@@ -437,10 +451,23 @@ def _pairs(rows: DataFrame, one, n_one, two, n_two, percent: int) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names its class: one document of each group stays.
+    """One row of each class of linked rows: the one with the smallest id (then the smallest text hash).
 
-    Rows without an id and texts without words stay.  Of rows that repeat an id all or none stay.
+    Rows are told apart by id and text, so an id that stands on several texts keeps or loses each of
+    them on its own, and no text goes without a linked one that stays.  Of repeated rows with one id
+    and one text one stays.  Rows without an id and texts without words all stay.
     """
-    classes = link_classes(docs, id_col, text_col)
-    gone = classes.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone.hint("merge"), docs[id_col] == gone["_gone"], "left_anti")
+    own = [F.col("doc"), F.col("mark")]
+    rows = _classes(docs, id_col, text_col).filter("n > 0").groupBy("component_id", "set_id", *own).agg(F.count("*").alias("many"))
+    # a class can hold several sets under its smallest id: the least of (id, text hash) names the row that stays
+    first = rows.groupBy("component_id").agg(F.min(F.struct(*own)).alias("first"))
+    judged = rows.join(first, "component_id").select(
+        *own, "many", (F.struct(*own) == F.col("first")).alias("stays"))
+    judged = written(judged, work_folder(docs.sparkSession))
+    marked = docs.withColumn("_mark", _mark(text_col))
+    same = lambda x: (marked[id_col] == x["doc"]) & (marked["_mark"] == x["mark"])
+    gone, again = judged.filter("NOT stays"), judged.filter("stays AND many > 1")
+    left = marked.join(gone, same(gone), "left_anti")
+    once = left.join(again, same(again), "left_anti")
+    repeated = left.join(again, same(again), "left_semi").dropDuplicates([id_col, "_mark"])
+    return once.unionByName(repeated).drop("_mark").select(*docs.columns)
