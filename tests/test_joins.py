@@ -80,7 +80,7 @@ def test_profile_without_a_score_is_kept(frame):
 
 def test_nest_and_unnest(frame):
     items = frame("o long, id long, v string", (1, 2, "b"), (1, 1, "a"), (2, 3, "c"))
-    nested = nest(items, ["o"], ["id", "v"], "products", ["id"])
+    nested = nest(items, ["o"], ["id", "v"], "products")
     rows = {r.o: [tuple(p) for p in r.products] for r in nested.collect()}
     assert rows == {1: [(1, "a"), (2, "b")], 2: [(3, "c")]}
     assert values(unnest(nested, "products", ["o"])) == [(1, 1, "a"), (1, 2, "b"), (2, 3, "c")]
@@ -88,7 +88,7 @@ def test_nest_and_unnest(frame):
 
 def test_hot_key_is_nested_in_slices_and_stays_whole(spark):
     items = spark.range(1000).selectExpr("IF(id < 900, 0, id) AS o", "id")
-    nested = nest(items, ["o"], ["id"], "products", ["id"], limit=100)
+    nested = nest(items, ["o"], ["id"], "products", limit=100)
     sizes = [len(r.products) for r in nested.filter("o = 0").collect()]
     assert len(sizes) == 9 and max(sizes) < 200
     assert values(unnest(nested, "products", ["o"])) == values(items)
@@ -96,7 +96,7 @@ def test_hot_key_is_nested_in_slices_and_stays_whole(spark):
 
 def test_nest_many(frame):
     a, b = frame("k long, x long", (1, 1), (1, 2)), frame("k long, y string", (1, "u"), (2, "v"))
-    out = nest_many({"xs": (a, ["x"]), "ys": (b, ["y"])}, ["k"], {"xs": ["x"], "ys": ["y"]})
+    out = nest_many({"xs": (a, ["x"]), "ys": (b, ["y"])}, ["k"])
     rows = {r.k: ([e.x for e in r.xs], [e.y for e in r.ys]) for r in out.collect()}
     assert rows == {1: ([1, 2], ["u"]), 2: ([], ["v"])}
 

@@ -29,7 +29,7 @@ def register(name, sql_text):
   string_agg(product_code || ':' || quantity, ',' ORDER BY line_id, product_id) AS listing FROM lines GROUP BY order_id"""))
 def nest_items(spark, d):
     """Lines nested per order, listed back in array order."""
-    nested = nest(tb.order_lines(spark, d), ["order_id"], tb.PRODUCT_FIELDS, "products", ["line_id"], counted=tb.line_keys(spark, d))
+    nested = nest(tb.order_lines(spark, d), ["order_id"], tb.PRODUCT_FIELDS, "products", counted=tb.line_keys(spark, d))
     listing = F.transform("products", lambda p: F.concat(p["product_code"], F.lit(":"), p["quantity"].cast("string")))
     total = F.aggregate("products", F.lit(0).cast("decimal(28,2)"), lambda a, p: (a + p["price_total"]).cast("decimal(28,2)"))
     return nested.select(
@@ -56,7 +56,7 @@ def nested_parts(spark, d):
         "returns": (log.filter(F.col("l_returnflag") == "R"), fields),
         "taxfree": (log.filter(F.col("l_tax") == 0), fields),
     }
-    nested = nest_many(parts, ["l_suppkey"], {n: fields for n in parts}, limit=500)
+    nested = nest_many(parts, ["l_suppkey"], limit=500)
     per_slice = nested.select(
         "l_suppkey", *[F.size(n).cast("long").alias(n) for n in parts],
         F.aggregate("returns", F.lit(0).cast("long"), lambda a, r: a + r["quantity"]).alias("returned"),
@@ -245,27 +245,51 @@ def json_scores(spark, d):
     return unnest(nested, "scores", ["event_id"])
 
 
-@register("profile_wide", sql(*tb.PEOPLE, tb.ENTITIES, _wide_sql(), """SELECT u.tree_user_id AS person_id, e.entity_id, e.email, e.phone,
-  e.twitter, CAST(w."A" AS BIGINT) AS match_a, CAST(w."R" AS BIGINT) AS match_r, t.prediction AS lcv_level
-  FROM entities e JOIN users u ON e.client = u.client AND e.email = u.email
+LINE_STATES = ["F", "O"]
+
+
+def _supplied(spark, d, what: str, value: str, where: str):
+    return table(spark, d, "supplier").filter(where).selectExpr("concat('e', s_suppkey) AS entity_id", f"{value} AS {what}")
+
+
+#: of each single-valued score: its column, its value, and which entities have one
+SINGLE_SCORES = {
+    "persuasion": ("persuasion", "CASE WHEN s_nationkey % 2 = 0 THEN 'logic' ELSE 'story' END", "s_nationkey % 3 > 0"),
+    "channel": ("preferences", "CASE WHEN s_acctbal < 0 THEN 'mail' ELSE 'phone' END", "s_suppkey % 7 > 0"),
+    "relationship_fit": ("prediction", "CASE WHEN s_acctbal > 3000 THEN 'fit' ELSE 'unfit' END", "s_suppkey % 4 = 1"),
+    "archetype": ("archetype", "CASE s_nationkey % 3 WHEN 0 THEN 'hero' WHEN 1 THEN 'sage' ELSE 'ruler' END", "s_suppkey % 5 > 0"),
+    "lcv_level": ("prediction", "'high'", "s_acctbal > 5000"),
+    "days_to_first_sale_level": ("prediction", "CASE WHEN s_suppkey % 6 = 0 THEN 'fast' ELSE 'slow' END", "s_suppkey % 2 = 0"),
+}
+
+
+@register("profile_wide", sql(*tb.PEOPLE, tb.ENTITIES, _wide_sql(), """states AS (SELECT 'e' || l_suppkey AS entity_id,
+    sum(CAST(l_quantity AS BIGINT)) FILTER (l_linestatus = 'F') AS f, sum(CAST(l_quantity AS BIGINT)) FILTER (l_linestatus = 'O') AS o
+    FROM lineitem GROUP BY l_suppkey)""", """SELECT u.tree_user_id AS person_id, e.entity_id, e.email, e.phone,
+  e.twitter, CAST(w."A" AS BIGINT) AS match_a, CAST(w."R" AS BIGINT) AS match_r, CAST(a.f AS BIGINT) AS adopt_f, CAST(a.o AS BIGINT) AS adopt_o,
+  """ + ", ".join(f"CASE WHEN {where} THEN {value} END AS {name}" for name, (_, value, where) in SINGLE_SCORES.items()) + """
+  FROM entities e JOIN users u ON e.client = u.client AND e.email = u.email JOIN supplier ON e.entity_id = 'e' || s_suppkey
   JOIN (SELECT DISTINCT user_id FROM events) ids ON u.tree_user_id = ids.user_id
   LEFT JOIN wide w ON e.entity_id = w.entity_id AND w."R" > 300
-  LEFT JOIN (SELECT 'e' || s_suppkey AS entity_id, 'high' AS prediction FROM supplier WHERE s_acctbal > 5000) t ON e.entity_id = t.entity_id
-  WHERE e.client = 'ASIA'""").replace("WHERE e.client = 'ASIA'", ""))
+  LEFT JOIN states a ON e.entity_id = a.entity_id AND a.f > 100"""))
 def profile_wide(spark, d):
+    """Profiles with all eight scores: two arrays and six single values, each missing for some."""
     people = tb.raw_users(spark, d).select("client", "email", F.col("tree_user_id").alias("person_id"))
     links = tb.entities(spark, d).join(people, ["client", "email"]).select("entity_id", "person_id")
-    scores = scores_from_wide(wide_scores(spark, d).filter(F.col("R") > 300), "entity_id", "client", "score", "int")
-    levels = table(spark, d, "supplier").filter(F.col("s_acctbal") > 5000).select(
-        F.concat(F.lit("e"), F.col("s_suppkey").cast("string")).alias("entity_id"), F.lit("high").alias("prediction")
-    )
+    matches = scores_from_wide(wide_scores(spark, d).filter(F.col("R") > 300), "entity_id", "client", "score", "int")
+    states = table(spark, d, "lineitem").groupBy(F.concat(F.lit("e"), F.col("l_suppkey").cast("string")).alias("entity_id")).agg(
+        *[F.sum(F.when(F.col("l_linestatus") == f, F.col("l_quantity").cast("long"))).alias(f) for f in LINE_STATES])
+    adopted = scores_from_wide(states.filter(F.col("F") > 100), "entity_id", "corpus", "score", "int")
+    single = {name: (_supplied(spark, d, column, value, where), column) for name, (column, value, where) in SINGLE_SCORES.items()}
     ids = table(spark, d, "events").select(F.col("user_id").alias("person_id"))
     out = person_profiles(
         tb.entities(spark, d), links,
-        {"match_score": (scores, "scores"), "lcv_level": (levels, "prediction")}, "person_id", ids=ids,
+        {"match_score": (matches, "scores"), "adopt_curve": (adopted, "scores"), **single}, "person_id", ids=ids,
     )
-    score = lambda flag: F.element_at(F.filter("match_score", lambda s: s["client"] == flag), 1)["score"]
-    return out.select("person_id", "entity.*", score("A").alias("match_a"), score("R").alias("match_r"), "lcv_level")
+    score = lambda column, label, key: F.element_at(F.filter(column, lambda s: s[label] == key), 1)["score"]
+    return out.select(
+        "person_id", "entity.*", *[score("match_score", "client", f).alias(f"match_{f.lower()}") for f in ("A", "R")],
+        *[score("adopt_curve", "corpus", f).alias(f"adopt_{f.lower()}") for f in LINE_STATES], *SINGLE_SCORES)
 
 
 @register("broadcast_enrich", """SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, CAST(l.l_linenumber AS BIGINT) AS l_linenumber, p.p_name AS name, s.s_name
@@ -427,21 +451,42 @@ def flat_emails(spark, d):
     return marts.flat_emails(messages(spark, d), recipients(spark, d), both, both)
 
 
+def _mails(spark, d, **options):
+    both = directories(spark, d)
+    fields = ["tree_user_id", "recipient_id", "recipient_type", "size"]
+    return marts.nested_emails(messages(spark, d), recipients(spark, d), both, both, fields, **options)
+
+
+def _recipients():
+    return F.array_join(F.transform("recipients", lambda r: F.concat(
+        r["recipient_type"], F.lit(":"), r["recipient_id"].cast("string"), F.lit(":"), r["size"].cast("string"))), ",").alias("listing")
+
+
 @register("nested_emails", sql(MESSAGES, MAILS, """SELECT message_id, sender_id, sender_type, sender_tree_user_id,
   count(recipient_id) AS n, string_agg(recipient_type || ':' || recipient_id || ':' || size, ','
     ORDER BY recipient_tree_user_id NULLS FIRST, recipient_id, recipient_type, size) AS listing FROM mails GROUP BY ALL"""))
 def nested_emails(spark, d):
-    both = directories(spark, d)
-    fields = ["tree_user_id", "recipient_id", "recipient_type", "size"]
-    out = marts.nested_emails(messages(spark, d), recipients(spark, d), both, both, fields)
-    text = F.transform("recipients", lambda r: F.concat(
-        r["recipient_type"], F.lit(":"), r["recipient_id"].cast("string"), F.lit(":"), r["size"].cast("string")))
-    return out.select(
+    return _mails(spark, d)[0].select(
         "message_id", "sender_id", "sender_type", "sender_tree_user_id",
-        F.coalesce(F.size("recipients"), F.lit(0)).alias("n"), F.array_join(text, ",").alias("listing"),
+        F.coalesce(F.size("recipients"), F.lit(0)).alias("n"), _recipients(),
     )
 
 
+RECIPIENTS = 2  # in one slice of the query below
+
+
+@register("recipient_slices", sql(MESSAGES, MAILS, f"""placed AS (SELECT *, (row_number() OVER (PARTITION BY message_id
+    ORDER BY recipient_tree_user_id NULLS FIRST, recipient_id, recipient_type, size) - 1) // {RECIPIENTS} AS slice
+  FROM mails WHERE recipient_id IS NOT NULL)""", """SELECT message_id, slice, count(*) AS n,
+  string_agg(recipient_type || ':' || recipient_id || ':' || size, ',' ORDER BY recipient_tree_user_id NULLS FIRST, recipient_id, recipient_type, size) AS listing
+  FROM placed GROUP BY ALL"""))
+def recipient_slices(spark, d):
+    """Both tables of nested messages with two recipients a slice, put together again: nothing is lost or twice."""
+    first, rest = _mails(spark, d, limit=RECIPIENTS)
+    both = first.filter("recipients IS NOT NULL").select("message_id", F.lit(0).alias("slice"), "recipients").unionByName(rest)
+    return both.select("message_id", "slice", F.size("recipients").alias("n"), _recipients())
+
+
 @register("email_rollup", """WITH turns AS (SELECT conv_id, role, turn, length(text) AS size FROM conversations),
   per_message AS (SELECT conv_id, count(DISTINCT role) AS roles, min(size) AS shortest, max(turn) AS turns FROM turns GROUP BY conv_id)
   SELECT roles, count(*) AS messages, CAST(sum(turns) AS BIGINT) AS turns, CAST(min(shortest) AS BIGINT) AS shortest FROM per_message GROUP BY roles""")

@@ -199,15 +199,21 @@ def staging_users(spark, d):
         tb.clients(spark, d), FIRST, UNTIL, HOUSE, PLAIN)
 
 
-def _orders_sql(first: str, until: str) -> str:
+ITEM_ORDER = ["product_id", "product_code", "product_description", "quantity", "price_each", "price_total"]
+
+
+def _orders_sql(first: str, until: str, limit: int = 0) -> str:
+    """Orders with their items listed; with a limit, the slices of so many items instead."""
     inside = _inside(first, until)
+    listing = f"string_agg(product_code || ':' || quantity || ':' || price_total, ',' ORDER BY {', '.join(ITEM_ORDER)}) AS listing"
     inactive = ", ".join(f"'{s}'" for s in fixed.INACTIVE_ORDER_STATUSES)
-    fields = ["product_id", "product_code", "product_description", "quantity", "price_each", "price_total"]
+    shown = f"""SELECT client, order_id, slice, count(*) AS n_products, {listing}
+        FROM (SELECT i.*, (row_number() OVER (PARTITION BY i.client, i.order_id ORDER BY {', '.join(ITEM_ORDER)}) - 1) // {limit} AS slice
+          FROM {_newest('items_log', 'client, id', ITEMS)} i JOIN found f ON i.client = f.client AND i.order_id = f.id) GROUP BY ALL"""
     return sql(OWNERS, TREE, ORDER_LOG, ITEM_LOG, *LOOKUPS, tb.CLIENTS, f"""touched AS (
       SELECT client, id FROM orders_log WHERE {inside} UNION SELECT client, order_id FROM items_log WHERE {inside})""",
       f"""products AS (SELECT client, order_id, count(*) AS n_products,
-        string_agg(product_code || ':' || quantity || ':' || price_total, ',' ORDER BY {', '.join(fields)}) AS listing
-        FROM {_newest('items_log', 'client, id', ITEMS)} GROUP BY ALL)""",
+        {listing} FROM {_newest('items_log', 'client, id', ITEMS)} GROUP BY ALL)""",
       f"""found AS (SELECT o.*, client_partition_id, client_score_id, n_products, listing, u.sponsor_id, u.created_date AS coded,
         k.description AS client_user_type, t.name AS client_type, s.description AS client_status, {TYPED.format(c='k.description')} AS kind
         FROM {_newest('orders_log', 'client, id', ORDERS)} o JOIN touched USING (client, id) JOIN clients USING (client)
@@ -218,7 +224,7 @@ def _orders_sql(first: str, until: str) -> str:
           ON t.client = o.client AND t.id = order_type_id
         LEFT JOIN order_states s ON s.client = o.client AND s.id = order_status_id
         WHERE o.client = '{PLAIN}' OR (o.client = '{HOUSE}' AND k.description <> ''))""",
-      f"""SELECT client, client_partition_id, client_score_id, event_eid, CAST(ingestion_timestamp AS VARCHAR) AS ingestion_timestamp,
+      shown if limit else f"""SELECT client, client_partition_id, client_score_id, event_eid, CAST(ingestion_timestamp AS VARCHAR) AS ingestion_timestamp,
         id AS order_id, tree_user_id, CAST(order_date AS VARCHAR) AS order_date, CAST(total AS DOUBLE) AS total, n_products, listing,
         client_type, client_status, autoship_template_id > 0 AS is_autoship,
         CASE WHEN client = '{PLAIN}' THEN 'Customer' WHEN kind = 'Distributor' AND coded <= order_date THEN 'Wholesale'
@@ -230,11 +236,11 @@ def _orders_sql(first: str, until: str) -> str:
         FROM found""")
 
 
-def _staged_orders(spark, d, first, until):
-    return refine.staging_orders(
+def _staged_orders(spark, d, first, until, **options):
+    return refine.staged_orders(
         orders_log(spark, d), items_log(spark, d), tree_users(spark, d), _lookup(spark, d, KINDS, "description"),
         _lookup(spark, d, ORDER_KINDS, "description"), _lookup(spark, d, STATES, "description"), tb.clients(spark, d),
-        first, until, HOUSE, PLAIN)
+        first, until, HOUSE, PLAIN, **options)
 
 
 def _listed(orders):
@@ -245,7 +251,18 @@ def _listed(orders):
 
 @register("staging_orders", _orders_sql(FIRST, UNTIL))
 def staging_orders(spark, d):
-    return _listed(_staged_orders(spark, d, FIRST, UNTIL))
+    return _listed(_staged_orders(spark, d, FIRST, UNTIL)[0])
+
+
+SLICE = 3  # items in one slice of the query below
+
+
+@register("staging_order_slices", _orders_sql(FIRST, UNTIL, SLICE))
+def staging_order_slices(spark, d):
+    """Staged orders and their continuation with three items a slice, put together again: every item once."""
+    orders, rest = _staged_orders(spark, d, FIRST, UNTIL, limit=SLICE)
+    own = orders.filter("products IS NOT NULL").select("client", "order_id", F.lit(0).alias("slice"), "products")
+    return _listed(own.unionByName(rest)).select("client", "order_id", "slice", "n_products", "listing")
 
 
 WINDOW_PAIRS = 60
@@ -259,7 +276,7 @@ def refine_cycle(spark, d):
     folder, windows = work_folder(spark), 0
     while (window := next_window(marks, "refine", "orders", logs, cap=WINDOW_PAIRS)).first().has_data:
         edge = window.first()
-        part = _staged_orders(spark, d, str(edge["first"]), str(edge["until"]))
+        part = _staged_orders(spark, d, str(edge["first"]), str(edge["until"]))[0]
         _listed(part).write.parquet(f"{folder}/window={windows}")
         # one row a job and target
         marks = spark.createDataFrame(advance(marks, window).collect(), CHECKPOINT_SCHEMA)

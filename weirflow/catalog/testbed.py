@@ -260,7 +260,7 @@ def line_keys(spark, d) -> DataFrame:
 
 def nested_orders(spark, d) -> DataFrame:
     """Orders with their lines as an array."""
-    nested = nest(order_lines(spark, d), ["order_id"], PRODUCT_FIELDS, "products", ["line_id"], counted=line_keys(spark, d))
+    nested = nest(order_lines(spark, d), ["order_id"], PRODUCT_FIELDS, "products", counted=line_keys(spark, d))
     return orders(spark, d).join(nested, "order_id")
 
 

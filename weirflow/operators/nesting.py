@@ -6,7 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from weirflow.operators.skew import slice_hot_keys
+from weirflow.lineage import work_folder, written
+from weirflow.operators.positions import positions
+from weirflow.operators.skew import hot_keys
 
 ARRAY_LIMIT = 100_000
 
@@ -16,49 +18,68 @@ def nest(
     keys: Sequence[str],
     fields: Sequence[str | Column],
     out: str,
-    spread_by: Sequence[str],
     limit: int = ARRAY_LIMIT,
     counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Array of structs per key, sorted by the struct's fields.
+    """Array of structs per key, sorted by the struct's fields, in slices of ``limit`` elements.
 
-    The grain is (key, slice) for every key: slice 0 up to ``limit`` elements, and as many more as a
-    key's own elements ask for, each with its share.  Nothing is dropped and no task holds a whole
-    hot group.  Who joins the array to a row of the key takes slice 0 and keeps the others as
-    continuation rows, so the row is never repeated.  ``counted`` as in ``slice_hot_keys``.
+    The grain is (key, slice).  Slice 0 holds the first ``limit`` elements in the array's order, slice 1
+    the next, and so on: each slice but a key's last is full, the slices put together are the
+    whole array, and a key up to the limit has one.  No task holds more of a hot key than a slice.  ``parent_and_rest``
+    splits them into the row of the key and its continuation rows.  ``counted`` is a cheaper frame with
+    at least the same rows per key, such as the table that ``df`` was computed from.
     """
-    sliced = slice_hot_keys(df, keys, spread_by, limit, counted=counted)
-    return sliced.groupBy(*keys, "slice").agg(
-        F.sort_array(F.collect_list(F.struct(*fields))).alias(out)
-    )
+    rows = df.select(*keys, F.struct(*fields).alias("_element"))
+    sliced = _ranked_slices(rows, keys, limit, (df if counted is None else counted).select(*keys))
+    return sliced.groupBy(*keys, "slice").agg(F.sort_array(F.collect_list("_element")).alias(out))
+
+
+def _ranked_slices(rows: DataFrame, keys: Sequence[str], limit: int, counted: DataFrame) -> DataFrame:
+    """``rows`` (keys, _element) with ``slice``: 0 for keys of up to ``limit`` rows, else by the element's place.
+
+    Only rows of hot keys are placed, by range over many partitions.
+    """
+    hot = written(hot_keys(counted, keys, limit), work_folder(rows.sparkSession)).select(*keys)
+    if hot.isEmpty():
+        return rows.withColumn("slice", F.lit(0))
+    met = None
+    for k in keys:
+        same = rows[k].eqNullSafe(hot[k])
+        met = same if met is None else met & same
+    placed = positions(rows.join(hot, met, "left_semi"), ["_element"], keys, "_place")
+    number = F.expr(f"CAST((_place - 1) div {limit} AS INT)")
+    return rows.join(hot, met, "left_anti").withColumn("slice", F.lit(0)).unionByName(
+        placed.withColumn("slice", number).drop("_place"))
+
+
+def parent_and_rest(nested: DataFrame, keys: Sequence[str], out: str) -> tuple[DataFrame, DataFrame]:
+    """One stored result of ``nest`` as two tables: (keys, out) with each key's first slice, one row a key,
+    and (keys, slice, out) with the slices behind it.  Nothing is in both, and nothing in neither."""
+    stored = written(nested, work_folder(nested.sparkSession))
+    return stored.filter("slice = 0").select(*keys, out), stored.filter("slice > 0").select(*keys, "slice", out)
 
 
 def nest_many(
     parts: Mapping[str, tuple[DataFrame, Sequence[str]]],
     keys: Sequence[str],
-    spread_by: Mapping[str, Sequence[str]],
     limit: int = ARRAY_LIMIT,
 ) -> DataFrame:
     """Several arrays per key side by side: ``{column: (frame, fields)}``, empty where missing.
 
     All parts are tagged into one relation and grouped once instead of nested one by one and
-    joined.  Slices of hot keys follow the rule of ``nest``, over the parts together.
+    joined.  Slices follow the rule of ``nest`` for each array: slice 0 holds the first ``limit``
+    elements of each, slice 1 the next of those that are longer.
     """
     tagged = None
     for name, (frame, fields) in parts.items():
         part = frame.select(
-            *keys,
-            F.xxhash64(F.lit(name), *spread_by[name]).alias("_spread"),
-            *[
-                (F.struct(*fields) if other == name else F.lit(None)).alias(other)
-                for other in parts
-            ],
-        )
+            *keys, F.lit(name).alias("_array"),
+            F.struct(*[(F.struct(*fields) if other == name else F.lit(None)).alias(other) for other in parts]).alias("_element"))
         tagged = part if tagged is None else tagged.unionByName(part)
-    sliced = slice_hot_keys(tagged, keys, ["_spread"], limit)
+    sliced = _ranked_slices(tagged, [*keys, "_array"], limit, tagged.select(*keys, "_array"))
     # collect_list skips nulls, so each array holds only its own part
     return sliced.groupBy(*keys, "slice").agg(
-        *[F.sort_array(F.collect_list(F.col(name))).alias(name) for name in parts]
+        *[F.sort_array(F.collect_list(F.col(f"_element.{name}"))).alias(name) for name in parts]
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from weirflow.functions.dates import whole_units
 from weirflow.functions.rules import is_autoship, without_test_titles
 from weirflow.operators.joins import polymorphic_lookup
-from weirflow.operators.nesting import nest, nest_many
+from weirflow.operators.nesting import ARRAY_LIMIT, nest, nest_many, parent_and_rest
 
 Lookups = Mapping[str, tuple[DataFrame, str, str]]
 
@@ -99,26 +99,20 @@ RECIPIENT_FIELDS = ("tree_user_id", "recipient_id", "recipient_type", "seen", "r
 
 def nested_emails(
     messages: DataFrame, recipients: DataFrame, senders: Lookups, receivers: Lookups,
-    fields=RECIPIENT_FIELDS, limit: int = 100_000,
-) -> DataFrame:
-    """One row per message with its e-mail recipients as an array, null where it has none.
+    fields=RECIPIENT_FIELDS, limit: int = ARRAY_LIMIT,
+) -> tuple[DataFrame, DataFrame]:
+    """Messages with their e-mail recipients as an array, null where they have none: two tables.
 
-    Recipients are resolved and nested before they meet the messages, so message bodies are
-    never repeated.  A message is one row: recipients beyond the first ``limit`` or so are in
-    ``recipient_slices``.
+    The first has one row per message with its first ``limit`` recipients in the array's order; the second,
+    (message_id, slice, recipients), goes on from slice 1 for messages with more.  Recipients are
+    resolved and nested before they meet the messages, so message bodies are never repeated.
     """
     mailed = recipients.filter(F.col("delivery_type") == "email")
     found = polymorphic_lookup(mailed, "recipient_type", "recipient_id", receivers, "tree_user_id")
-    nested = nest(found, ["message_id"], list(fields), "recipients", ["recipient_id"], limit)
+    nested = nest(found, ["message_id"], list(fields), "recipients", limit, counted=mailed)
+    first, rest = parent_and_rest(nested, ["message_id"], "recipients")
     sent = polymorphic_lookup(messages, "sender_type", "sender_id", senders, "sender_tree_user_id")
-    return sent.join(nested.filter("slice = 0").drop("slice"), "message_id", "left")
-
-
-def recipient_slices(recipients: DataFrame, receivers: Lookups, fields=RECIPIENT_FIELDS, limit: int = 100_000) -> DataFrame:
-    """(message_id, slice, recipients) from slice 1 on: what ``nested_emails`` has no room for."""
-    mailed = recipients.filter(F.col("delivery_type") == "email")
-    found = polymorphic_lookup(mailed, "recipient_type", "recipient_id", receivers, "tree_user_id")
-    return nest(found, ["message_id"], list(fields), "recipients", ["recipient_id"], limit).filter("slice > 0")
+    return sent.join(first, "message_id", "left"), rest.join(messages.select("message_id"), "message_id", "left_semi")
 
 
 def links_mart(links: DataFrame, assets: DataFrame, resources: DataFrame, users: DataFrame) -> DataFrame:
@@ -140,9 +134,9 @@ def links_mart(links: DataFrame, assets: DataFrame, resources: DataFrame, users:
 
 
 def nested_commissions(commissions: DataFrame, details: DataFrame, bonuses: DataFrame, runs: DataFrame,
-                       limit: int = 100_000) -> DataFrame:
-    """Four arrays per client, user and slice; slice 0 is all there is up to ``limit`` elements."""
+                       limit: int = ARRAY_LIMIT) -> DataFrame:
+    """Four arrays per client, user and slice; slice 0 has the first ``limit`` elements of each."""
     keys = ["client_partition_id", "client", "tree_user_id", "client_user_id"]
     parts = {"commissions": commissions, "details": details, "bonuses": bonuses, "runs": runs}
     fields = {n: [c for c in f.columns if c not in keys] for n, f in parts.items()}
-    return nest_many({n: (f, fields[n]) for n, f in parts.items()}, keys, fields, limit)
+    return nest_many({n: (f, fields[n]) for n, f in parts.items()}, keys, limit)

@@ -12,7 +12,7 @@ from weirflow.functions.conform import stamp, stringify_dates, stringify_decimal
 from weirflow.functions.dates import ts
 from weirflow.operators.increments import all_versions_of, changed_keys, in_window
 from weirflow.operators.joins import with_client, with_lookup
-from weirflow.operators.nesting import nest
+from weirflow.operators.nesting import ARRAY_LIMIT, nest, parent_and_rest
 from weirflow.operators.versions import newest
 
 VERSION = ["event_eid", "ingestion_timestamp"]
@@ -105,16 +105,23 @@ ITEM_FIELDS = [
 ]
 
 
-def staging_orders(
+def staging_orders(*args, **options) -> DataFrame:
+    """The orders of ``staged_orders``, one row each; the jobs that write them write its slices too."""
+    return staged_orders(*args, **options)[0]
+
+
+def staged_orders(
     tree_orders: DataFrame, order_items: DataFrame, tree_users: DataFrame, user_types: DataFrame,
     order_types: DataFrame, order_statuses: DataFrame, clients: DataFrame, first, last, house: str,
     plain: str | None = None, closed: str = "half_open", legacy_owner: bool = False, item_fields=ITEM_FIELDS,
-) -> DataFrame:
-    """Orders touched in the window - themselves or through an item - with nested items.
+    limit: int = ARRAY_LIMIT,
+) -> tuple[DataFrame, DataFrame]:
+    """Orders touched in the window - themselves or through an item - with nested items: two tables.
 
     The key set takes the item's *order* id, and event id and time come from the order version
-    that was chosen.  One row per order; ``products`` holds its items up to the slice limit of
-    ``nest``, and ``order_item_slices`` the rest of any order that has more.
+    that was chosen.  The first table has one row per order; ``products`` holds its first ``limit`` items in the
+    array's order.  The second, (client, order_id, slice, products), goes on from slice 1 for every
+    order of the first that has more, so each item of an order is in exactly one of the two.
     """
     touched = changed_keys(
         (in_window(tree_orders, first, last, closed=closed), {"client": "client", "order_id": "id"}),
@@ -122,9 +129,9 @@ def staging_orders(
     )
     latest = newest(all_versions_of(tree_orders, touched, {"client": "client", "order_id": "id"}), NAMED, VERSION)
     versions = all_versions_of(order_items, touched, {"client": "client", "order_id": "order_id"})
-    nested = nest(newest(versions, NAMED, VERSION), ["client", "order_id"], item_fields, "products", ["id"], counted=versions)
-    # an order is one row: the slices of its items beyond the first are in ``order_item_slices``
-    products = nested.filter("slice = 0").drop("slice").withColumnRenamed("order_id", "id")
+    nested = nest(newest(versions, NAMED, VERSION), ["client", "order_id"], item_fields, "products", limit, counted=versions)
+    products, rest = parent_and_rest(nested, ["client", "order_id"], "products")
+    products = products.withColumnRenamed("order_id", "id")
     out = with_client(latest, clients).join(products, NAMED, "left")
     by_id = lambda c: {"client": "client", c: "id"}
     # only buyers of touched orders are ranked
@@ -138,15 +145,8 @@ def staging_orders(
     shaped = out.withColumns(
         {"is_autoship": rules.is_autoship(F.col("autoship_template_id")), "order_id": F.col("id")}
     )
-    return finish_orders(shaped, house, plain, legacy_owner)
-
-
-def order_item_slices(order_items: DataFrame, keys: DataFrame, item_fields=ITEM_FIELDS) -> DataFrame:
-    """(client, order_id, slice, products) of the given orders (client, order_id), from slice 1 on:
-    what an order has beyond the ``products`` in its own row."""
-    versions = all_versions_of(order_items, keys.distinct(), {"client": "client", "order_id": "order_id"})
-    nested = nest(newest(versions, NAMED, VERSION), ["client", "order_id"], item_fields, "products", ["id"], counted=versions)
-    return nested.filter("slice > 0")
+    orders = finish_orders(shaped, house, plain, legacy_owner)
+    return orders, rest.join(orders.select("client", "order_id"), ["client", "order_id"], "left_semi")
 
 
 def finish_orders(df: DataFrame, house: str, plain: str | None = None, legacy_owner: bool = False) -> DataFrame:
