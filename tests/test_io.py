@@ -107,16 +107,6 @@ def test_recreate_and_rows_per_file(spark, tmp_path):
     assert len(list((tmp_path / "m").glob("*.parquet"))) == 4
 
 
-def test_posted_batch_is_all_or_nothing(spark, tmp_path):
-    path = str(tmp_path / "posted")
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("first_name", T.StringType()), T.StructField("last_name", T.StringType()), T.StructField("email", T.StringType())])
-    need = ["id", "first_name", "last_name"]
-    with pytest.raises(ValueError, match=r"\[1\]"):
-        writers.append_posted(spark, [{"id": 1, "first_name": "a", "last_name": "b"}, {"id": 2}], schema, path, need)
-    n = writers.append_posted(spark, [{"id": 1, "first_name": "a", "last_name": "b"}], schema, path, need, client=F.lit("acme"), ingestion_timestamp=ts("2020-01-01 00:00:00"))
-    assert n == 1 and values(spark.read.parquet(path), "id", "email", "client") == [(1, None, "acme")]
-
-
 def test_export_is_one_folder_per_client(spark, frame, tmp_path):
     columns = ", ".join(f"{c} string" for c in ["client", "first_name", "last_name", "email", "email2", "email3", "phone", "phone2", "phone3", "twitter", "city", "state", "zip", "country"])
     rows = [(c, n, None, 'say "hi"', *["x"] * 10) for c, n in (("a", "ann"), ("a", "bob"), ("b", "cy"))]

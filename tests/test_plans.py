@@ -12,7 +12,8 @@ QUERIES = catalog.queries()
 # building these starts Spark jobs (marks, checkpoints, models); their operators are covered by others
 EAGER = {"checkpoint_next", "checkpoint_upsert", "downline_closure", "sponsored_signups", "sponsored_orders",
          "phrases", "phrase_tokens", "usage_features", "als_top5", "als_rmse", "lda_topics",
-         "cdc_stream", "upsert_stream", "export_per_client", "batched_lookup"}
+         "cdc_stream", "upsert_stream", "export_per_client", "batched_lookup", "cdc_ordered", "state_upsert", "svd_facts", "svd_rmse",
+         "keyed_log", "append_posted", "posted_faults", "rows_by_characters", "distinct_sketches", "refine_cycle"}
 
 
 def plan_of(df):

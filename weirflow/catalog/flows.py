@@ -13,9 +13,12 @@ from weirflow.catalog.texts import SAMPLE_KEYS, encrypted
 from weirflow.functions.dates import ts
 from weirflow.lineage import work_folder
 from weirflow.operators.nesting import unnest
+from weirflow.operators.versions import newest
 from weirflow.plans.scores import import_scores
-from weirflow.sources.writers import export_csv_per_client
+from weirflow.sources.writers import export_csv_per_client, read_keyed
 from weirflow.streaming.ingest import ingest_changes, upsert_stream
+from weirflow.streaming.numbered import ingest_numbered
+from weirflow.streaming.state import newest_by_state, write_updates
 
 QUERIES: dict = {}
 
@@ -104,7 +107,52 @@ def upsert(spark, d):
         log.filter(F.pmod(F.hash("l_partkey"), F.lit(2)) == k).coalesce(1).write.mode("append").parquet(f"{work}/feed")
     stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/feed")
     finish(upsert_stream(stream, f"{work}/table", tb.ITEM_KEYS, tb.ITEM_ORDER, f"{work}/marks", f"{work}/merge", "l_linenumber"))
-    return spark.read.parquet(f"{work}/table").select("l_orderkey", "l_linenumber", "l_shipdate", "l_suppkey", "l_extendedprice")
+    return read_keyed(spark, f"{work}/table").select("l_orderkey", "l_linenumber", "l_shipdate", "l_suppkey", "l_extendedprice")
+
+
+@register("cdc_ordered", """WITH numbered AS (SELECT o_orderkey, o_custkey % 40 AS file_seq FROM orders),
+  files AS (SELECT file_seq, (row_number() OVER (ORDER BY file_seq) - 1) // 7 AS batch_id FROM (SELECT DISTINCT file_seq FROM numbered))
+  SELECT o_orderkey AS id, batch_id, '2001-08-01 00:00:00' AS ingestion_timestamp FROM numbered JOIN files USING (file_seq)""")
+def cdc_ordered(spark, d):
+    """Change files read seven at a time in the order of their numbers; the files are written the other way round."""
+    work = work_folder(spark)
+    rows = table(spark, d, "orders").withColumn("file_seq", F.col("o_custkey") % 40)
+    record = F.to_json(F.struct(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("tree_user_id")))
+    for last in (True, False):
+        rows.filter((F.col("file_seq") >= 20) == last).select(record.alias("value"), "file_seq").repartition("file_seq").write.partitionBy(
+            "file_seq").mode("append").text(f"{work}/staged")
+    numbered_copy(spark, f"{work}/staged", f"{work}/in")
+    for _ in range(2):  # the second start finds nothing new
+        ingest_numbered(spark, f"{work}/in", f"{work}/lake", CHANGE, f"{work}/marks", lambda: tb.AS_OF, prefix="cdc", files_per_batch=7)
+    return spark.read.parquet(f"{work}/lake").select("id", F.col("batch_id").cast("long").alias("batch_id"), "ingestion_timestamp")
+
+
+def numbered_copy(spark, staged: str, folder: str) -> None:
+    """Files of folders ``file_seq=n`` renamed to ``cdc-n`` in one folder, as an exporter would name them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(folder))
+    for found in files.globStatus(path(f"{staged}/file_seq=*/part-*")):
+        number = found.getPath().getParent().getName().rpartition("=")[2]
+        files.rename(found.getPath(), path(f"{folder}/cdc-{number}"))
+
+
+STATE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity"]
+
+
+@register("state_upsert", """SELECT l_partkey, CAST(l_shipdate AS VARCHAR) AS l_shipdate, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_suppkey FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_suppkey DESC, l_quantity DESC) AS rn
+  FROM lineitem) WHERE rn = 1""")
+def state_upsert(spark, d):
+    """The newest line of each part, kept as keyed state over four batches whose lines come in no order of time."""
+    work = work_folder(spark)
+    log = table(spark, d, "lineitem").select("l_partkey", *STATE_ORDER)
+    for k in range(4):
+        log.filter(F.pmod(F.hash("l_orderkey"), F.lit(4)) == k).coalesce(1).write.mode("append").parquet(f"{work}/feed")
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/feed")
+    newer = newest_by_state(stream, ["l_partkey"], STATE_ORDER, "l_shipdate", "20000 days", "20000 days")
+    finish(write_updates(newer, f"{work}/table", f"{work}/marks"))
+    return newest(spark.read.parquet(f"{work}/table").drop("batch_id"), ["l_partkey"], STATE_ORDER).drop("l_quantity")
 
 
 @register("export_per_client", sql(*tb.PEOPLE, """SELECT client, CAST(tree_user_id AS VARCHAR) AS tree_user_id, email,

@@ -9,8 +9,10 @@ from weirflow.catalog.people import EVENT_PLATFORM_SQL, bucket_case, like_case
 from weirflow.catalog.testbed import comparable, sql, table
 from weirflow.functions import fixed, rules
 from weirflow.functions.dates import ts
+from weirflow.lineage import work_folder, written
+from weirflow.operators import sketches
 from weirflow.operators.nesting import nest
-from weirflow.plans import cohorts, downline, usage
+from weirflow.plans import cohorts, downline, rollup, usage
 
 QUERIES: dict = {}
 
@@ -317,7 +319,7 @@ def usage_emails(spark, d):
     )
     # recipients of a message beyond the slice limit come as further rows; the features unnest all
     fields = ["tree_user_id", "seen", "read", "undeliverable"]
-    nested = nest(lines, ["message_id"], fields, "recipients", ["tree_user_id"]).drop("slice")
+    nested = nest(lines, ["message_id"], fields, "recipients").drop("slice")
     o = table(spark, d, "orders")
     return o.join(nested, o.o_orderkey == F.col("message_id")).select(
         (F.col("o_custkey") % 5).alias("client_partition_id"), F.col("o_custkey").alias("sender_tree_user_id"), "message_id", F.col("o_orderstatus").alias("delivery_status"),
@@ -387,3 +389,46 @@ def usage_features(spark, d):
         "client_partition_id", F.col("tree_user_id").alias("owner_id"), F.to_date("created").alias("signup")
     )
     return usage.usage_features(people, tb.orders(spark, d), usage_emails(spark, d), usage_logins(spark, d), ts(tb.AS_OF))
+
+
+@register("distinct_sketches", """SELECT o_orderpriority, year(o_orderdate) AS year, count(DISTINCT o_custkey) AS buyers, true AS close
+  FROM orders GROUP BY ALL""")
+def distinct_sketches(spark, d):
+    """Distinct buyers a year, exact and from stored sketches of days: the estimate has to be close."""
+    orders = table(spark, d, "orders").select("o_orderpriority", F.to_date("o_orderdate").alias("day"), "o_custkey")
+    stored = written(sketches.distinct_sketches(orders, ["o_orderpriority", "day"], "o_custkey"), work_folder(spark))
+    keys = ["o_orderpriority", "year"]
+    of_year = sketches.merged_estimate(stored.withColumn("year", F.year("day")), keys, out="estimate")
+    exact = orders.withColumn("year", F.year("day")).groupBy(*keys).agg(F.count_distinct("o_custkey").alias("buyers"))
+    close = F.abs(F.col("estimate") - F.col("buyers")) <= 0.08 * F.col("buyers") + 1
+    return exact.join(of_year, keys).select(*keys, "buyers", close.alias("close"))
+
+
+def _order_states(spark, d):
+    """The orders as three windows leave them: a third is wrong at first, a third not there yet, the rest final."""
+    final, key = tb.orders(spark, d), F.col("order_id")
+    wrong = final.filter(key % 3 == 0).withColumns({
+        "commission_user_id": F.col("tree_user_id"), "total": (F.col("total") + 10).cast("decimal(18,2)"), "type": F.lit("Wholesale"),
+        "order_date": F.expr("order_date - INTERVAL 40 DAYS"), "status": F.when(key % 2 == 0, "Cancelled").otherwise(F.col("status"))})
+    return wrong, final.filter(key % 3 == 0), final.filter(key % 3 == 1), final.filter(key % 3 == 2)
+
+
+def _followed_days(spark, d):
+    """Stored days after a first load and two windows of changed and new orders."""
+    folder = work_folder(spark)
+    wrong, right, steady, late = _order_states(spark, d)
+    rollup.create_days(wrong.unionByName(steady), f"{folder}/days")
+    for _ in range(2):  # a refresh that is repeated changes nothing
+        rollup.refresh_days(spark, f"{folder}/days", wrong, right, f"{folder}/first", 1)
+    rollup.refresh_days(spark, f"{folder}/days", late.filter("false"), late, f"{folder}/second", 2)
+    return rollup.stored_days(spark, f"{folder}/days")
+
+
+@register("lifetime_value_followed", QUERIES["lifetime_value"][1])
+def lifetime_value_followed(spark, d):
+    return cohorts.lifetime_value(tb.users(spark, d), None, days=_followed_days(spark, d))
+
+
+@register("year_cohort_value_followed", QUERIES["year_cohort_value"][1])
+def year_cohort_value_followed(spark, d):
+    return cohorts.year_cohort_value(tb.users(spark, d), None, days=_followed_days(spark, d))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Window, functions as F, types as T
+from pyspark.sql import functions as F, types as T
 
 from weirflow.catalog import testbed as tb
 from weirflow.catalog.testbed import comparable, sql, table
@@ -12,6 +12,7 @@ from weirflow.functions import fixed
 from weirflow.functions.dates import ts
 from weirflow.lineage import work_folder
 from weirflow.operators.increments import has_rows
+from weirflow.operators.positions import positions
 from weirflow.operators.shares import by_rank_list
 from weirflow.operators.versions import insert_missing, update_where
 from weirflow.plans.refine import copy_to_lake, database_rows
@@ -151,19 +152,56 @@ def export_json(spark, d):
     return readers.read_json_lines(spark, folder, rows.schema)
 
 
-@register("append_posted", """SELECT r_regionkey::BIGINT AS id, r_name AS name, '2001-08-01 00:00:00' AS ingestion_timestamp FROM region""")
+POSTED = T.StructType([T.StructField("id", T.LongType()), T.StructField("total", T.DoubleType()), T.StructField("note", T.StringType())])
+#: twenty order numbers are a request; some records lack their id, some totals are no number
+POSTS = """posts AS (SELECT o_orderkey // 20 AS request_id, o_orderkey AS id, o_totalprice AS total, o_orderpriority AS note,
+  CASE WHEN o_orderkey % 97 = 0 THEN 'no id' WHEN o_orderkey % 89 = 0 THEN 'total is no double' END AS fault FROM orders),
+judged AS (SELECT request_id, count(*) AS records, arg_min(fault, id) FILTER (fault IS NOT NULL) AS fault FROM posts GROUP BY request_id)"""
+
+
+def _posted(spark, d):
+    """The orders as posted requests, each a JSON array of at most twenty records: (folder, what became of each)."""
+    key = F.col("o_orderkey")
+    record = F.struct(
+        F.when(key % 97 > 0, key).alias("id"),
+        F.when(key % 89 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("total"),
+        F.col("o_orderpriority").alias("note"))
+    requests = table(spark, d, "orders").groupBy(F.expr("o_orderkey div 20").alias("request_id")).agg(
+        F.sort_array(F.collect_list(F.struct(key.alias("k"), record.alias("r")))).alias("all")).select(
+        "request_id", F.to_json(F.transform("all", lambda x: x["r"])).alias("body"))
+    folder = work_folder(spark)
+    return folder, writers.append_posted(requests, POSTED, folder, ["id", "total"], ingestion_timestamp=ts(tb.AS_OF))
+
+
+@register("append_posted", sql(POSTS, """SELECT request_id, id, total, note, '2001-08-01 00:00:00' AS ingestion_timestamp
+  FROM posts JOIN judged USING (request_id) WHERE judged.fault IS NULL"""))
 def append_posted(spark, d):
-    """A posted batch, the regions, arrives whole; one that lacks a field leaves nothing."""
+    """Requests arrive whole, or leave nothing."""
+    return spark.read.parquet(_posted(spark, d)[0])
+
+
+@register("posted_faults", sql(POSTS, "SELECT request_id, records, fault FROM judged"))
+def posted_faults(spark, d):
+    return _posted(spark, d)[1]
+
+
+CHARACTERS = 40_000  # of a batch in the query below
+LINE_SIZES = """sized AS (SELECT doc_id, text, length(coalesce(text, '')) + length(CAST(doc_id AS VARCHAR)) AS size FROM documents)"""
+
+
+@register("rows_by_characters", sql(LINE_SIZES, f"""placed AS (SELECT *, CAST(sum(size) OVER (ORDER BY doc_id, text) AS BIGINT) AS "end" FROM sized),
+cut AS (SELECT *, ("end" - size) // {CHARACTERS} AS a, greatest("end" - 1, "end" - size) // {CHARACTERS} AS z FROM placed)""",
+  """SELECT CASE WHEN a <> z THEN 2 * z - 1 ELSE 2 * a END AS batch, count(*) AS rows, CAST(sum(size) AS BIGINT) AS characters FROM cut GROUP BY batch"""))
+def rows_by_characters(spark, d):
+    """Documents in batches by characters, read back from their folders; only single long rows pass the limit."""
     folder = work_folder(spark)
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
-    # what a client posts is one request, here five rows
-    records = [{"id": r.r_regionkey, "name": r.r_name} for r in table(spark, d, "region").collect()]
-    for batch in ([*records, {"id": 99}], records):
-        try:
-            writers.append_posted(spark, batch, schema, folder, ["id", "name"], ingestion_timestamp=ts(tb.AS_OF))
-        except ValueError:
-            continue
-    return spark.read.parquet(folder)
+    rows = table(spark, d, "documents").select("doc_id", "text")
+    said = writers.append_batches(rows, folder, ["doc_id", "text"], CHARACTERS)
+    back = spark.read.parquet(folder).groupBy(F.col("batch").cast("long").alias("batch")).agg(
+        F.count("*").alias("rows"), F.sum(writers.characters(rows)).alias("characters"))
+    larger = F.raise_error(F.lit("a batch of several rows is larger than the limit")).cast("long")
+    return back.join(said, ["batch", "rows", "characters"]).withColumn(
+        "rows", F.when((F.col("characters") > CHARACTERS) & (F.col("rows") > 1), larger).otherwise(F.col("rows")))
 
 
 # --- sources and small operators -------------------------------------------------------------
@@ -225,9 +263,21 @@ PRIORITIES = ["3-MEDIUM", "1-URGENT", "5-LOW"]
 
 @register("sort_by_rank", f"""SELECT o_orderkey, o_orderpriority, row_number() OVER (ORDER BY
   CASE o_orderpriority {' '.join(f"WHEN '{p}' THEN {i}" for i, p in enumerate(PRIORITIES, 1))} ELSE 4 END, o_orderkey) AS place
-  FROM orders QUALIFY place <= 5000""")
+  FROM orders""")
 def sort_by_rank(spark, d):
-    """The first 5,000 orders by a list of priorities: a report of the top rows."""
-    top = table(spark, d, "orders").select("o_orderkey", "o_orderpriority").orderBy(
-        by_rank_list(F.col("o_orderpriority"), PRIORITIES), "o_orderkey").limit(5000)
-    return top.withColumn("place", F.row_number().over(Window.orderBy(by_rank_list(F.col("o_orderpriority"), PRIORITIES), "o_orderkey")))
+    """All orders by a list of priorities, each with its place."""
+    rows = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    return positions(rows, [by_rank_list(F.col("o_orderpriority"), PRIORITIES), "o_orderkey"], out="place")
+
+
+@register("mixed_sort", """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_shipdate::VARCHAR AS l_shipdate,
+  row_number() OVER (ORDER BY l_returnflag DESC, l_shipdate, l_quantity DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS place,
+  row_number() OVER (PARTITION BY l_returnflag ORDER BY l_shipdate, l_quantity DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS place_of_flag
+  FROM lineitem""")
+def mixed_sort(spark, d):
+    """Every line's place in a sort of mixed directions, over the table and inside its return flag, a hot key."""
+    own = ["l_shipdate", F.col("l_quantity").desc(), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    rows = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_returnflag")
+    placed = positions(positions(rows, [F.col("l_returnflag").desc(), *own], out="place"), own, ["l_returnflag"], out="place_of_flag")
+    return placed.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "place", "place_of_flag")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from weirflow.catalog import testbed as tb
 from weirflow.catalog.testbed import comparable, sql
 from weirflow.functions.dates import ts
-from weirflow.operators.tree import all_sponsor_paths, closure, neighbours, sponsor_edges, sponsor_paths
+from weirflow.lineage import cut_lineage
+from weirflow.operators.tree import all_sponsor_paths, closure, neighbours, refresh_closure, sponsor_edges, sponsor_paths
 from weirflow.plans import downline
 
 QUERIES: dict = {}
@@ -37,6 +40,25 @@ def downline_closure(spark, d):
     return closure(all_sponsor_paths(edges(spark, d)))
 
 
+@register("closure_refreshed", QUERIES["downline_closure"][1])
+def closure_refreshed(spark, d):
+    """The closure followed through two windows: sponsors move, users join.
+
+    At first one user in five hangs below its sponsor's sponsor and one in seven is not there.
+    """
+    final = edges(spark, d)
+    up = final.select("client_partition_id", F.col("user_id").alias("sponsor_id"), F.col("sponsor_id").alias("above"))
+    lifted = final.join(up, ["client_partition_id", "sponsor_id"], "left").select(
+        "client_partition_id", "user_id", F.when(F.col("user_id") % 5 == 0, F.col("above")).otherwise(F.col("sponsor_id")).alias("sponsor_id"))
+    lifted = lifted.filter("sponsor_id IS NOT NULL")
+    first = cut_lineage(lifted.filter("user_id % 7 > 0"))
+    second = cut_lineage(lifted.filter("user_id % 5 > 0 OR user_id % 2 = 0").unionByName(final.filter("user_id % 5 = 0 AND user_id % 2 > 0")))
+    stored = closure(all_sponsor_paths(first)).select("client_partition_id", "upline_id", "user_id", "depth")
+    for before, after in ((first, second), (second, final)):
+        stored = cut_lineage(refresh_closure(cut_lineage(stored), before, after))
+    return stored
+
+
 def _generations_sql() -> str:
     day = tb.AS_OF[:10]
     recent = f"u.created >= TIMESTAMP '{tb.AS_OF}' - INTERVAL 1 YEAR"

@@ -116,6 +116,26 @@ def closure(paths: DataFrame) -> DataFrame:
     )
 
 
+def refresh_closure(stored: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """The closure (client, upline_id, user_id, depth) after a change of sponsors.
+
+    ``stored`` is the closure of the edges ``before``.  Users whose edge came, went or moved, and
+    everybody below them, are affected; only their pairs are taken out and made anew.  Their new
+    paths are walked among themselves up to the first user that is not affected, and go on with what
+    is stored of that one.  All other pairs stay as they are.  Sponsors form a tree.
+    """
+    was, now = [e.select(CLIENT, "user_id", F.col("sponsor_id").alias(name)) for e, name in ((before, "_was"), (after, "_now"))]
+    moved = was.join(now, [CLIENT, "user_id"], "full").filter(~F.col("_was").eqNullSafe(F.col("_now"))).select(CLIENT, "user_id")
+    below = stored.join(moved.withColumnRenamed("user_id", "upline_id"), [CLIENT, "upline_id"]).select(CLIENT, "user_id")
+    affected = cut_lineage(moved.unionByName(below).distinct())
+    kept = stored.join(affected, [CLIENT, "user_id"], "left_anti").select(CLIENT, "upline_id", "user_id", "depth")
+    paths = all_sponsor_paths(after.join(affected, [CLIENT, "user_id"], "left_semi"))
+    top = paths.select(CLIENT, "user_id", F.element_at("path", -1)["user_id"].alias("_top"), F.size("path").alias("_reach"))
+    known = kept.select(CLIENT, "upline_id", F.col("user_id").alias("_top"), "depth")
+    beyond = top.join(known, [CLIENT, "_top"]).select(CLIENT, "upline_id", "user_id", (F.col("_reach") + F.col("depth")).cast("long").alias("depth"))
+    return kept.unionByName(closure(paths).select(CLIENT, "upline_id", "user_id", "depth")).unionByName(beyond)
+
+
 def per_generation(value: Column, depth: Column, name: str, how: str, only: Column | None = None,
                    generations: int = GENERATIONS) -> list[Column]:
     """One aggregate per generation: ``name`` holds ``{g}`` where the generation goes."""

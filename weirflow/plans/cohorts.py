@@ -146,11 +146,12 @@ def _kind_columns(prefix: str, kind: str, rev_user: str) -> list[str]:
 
 
 def lifetime_value(
-    users: DataFrame, orders: DataFrame, user_type: str | None = "Distributor",
-    first: str | None = None, last: str | None = None,
+    users: DataFrame, orders: DataFrame | None, user_type: str | None = "Distributor",
+    first: str | None = None, last: str | None = None, days: DataFrame | None = None,
 ) -> DataFrame:
-    """Value per first-sale bucket: owners, shares, running totals, averages."""
-    rows = cohort_days(cohort(users, user_type, first, last), owner_days(orders))
+    """Value per first-sale bucket: owners, shares, running totals, averages.  ``days`` are stored
+    days (``rollup.stored_days``) in place of the orders."""
+    rows = cohort_days(cohort(users, user_type, first, last), owner_days(orders) if days is None else days)
     values = bucket_values(owner_values(rows, f"order_type <> '{WHOLESALE}' AND days_to_order >= 0"))
     running = "sum(owner_count) OVER (ORDER BY bucket_order)"
     return values.selectExpr(
@@ -168,12 +169,12 @@ def lifetime_value(
 
 
 def year_cohort_value(
-    users: DataFrame, orders: DataFrame, user_type: str | None = "Distributor",
-    first: str | None = None, last: str | None = None,
+    users: DataFrame, orders: DataFrame | None, user_type: str | None = "Distributor",
+    first: str | None = None, last: str | None = None, days: DataFrame | None = None,
 ) -> DataFrame:
     """The same per sign-up month, with every period's own counts, values and shares."""
     by = ["year", "month"]
-    rows = cohort_days(cohort(users, user_type, first, last), owner_days(orders))
+    rows = cohort_days(cohort(users, user_type, first, last), owner_days(orders) if days is None else days)
     values = bucket_values(owner_values(rows, f"order_type = '{RETAIL}' AND days_to_order >= 0", by), by)
     month = "OVER (PARTITION BY year, month)"
     running = "sum(_sales_user_count) OVER (PARTITION BY year, month ORDER BY bucket_order)"

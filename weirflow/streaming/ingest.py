@@ -12,11 +12,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from weirflow.functions.codecs import decrypt_lines_or_fail
+from weirflow.functions.codecs import decrypt_line
 from weirflow.functions.conform import conform, parse_dates, stamp, zero_dates_to_null
+from weirflow.lineage import drop_folder, work_folder, written
 from weirflow.operators.versions import newest
 from weirflow.sources.readers import file_name, file_seq
-from weirflow.sources.writers import upsert_partitions
+from weirflow.sources.writers import BUCKETS, create_keyed, upsert_partitions
 
 # what reading says before the first batch has written the table
 NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
@@ -59,18 +60,44 @@ BROKEN, FAULTS = "_broken_line", "_faults"
 def decode(lines: DataFrame, target: T.StructType, keys: Sequence[str] = ()) -> DataFrame:
     """Lines (encrypted when keys are given) to rows of ``target``, and what is wrong with each.
 
-    ``_broken_line`` holds a line that is no JSON record of the target's shape, ``_faults`` names the
-    columns whose text is no date.  Blank lines are no records.
+    ``_broken_line`` holds a line that no key decrypts (as it came) or that is no JSON record of the target's
+    shape, ``_faults`` names the columns whose text is no date.  Blank lines are no records.
     """
-    text = decrypt_lines_or_fail(F.col("value"), keys) if keys else F.col("value")
     shape = T.StructType([*text_schema(target).fields, T.StructField(BROKEN, T.StringType())])
-    parsed = lines.select(text.alias("_text")).filter(F.trim("_text") != "").select(
-        F.from_json("_text", shape, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}).alias("r")).select("r.*")
+    read = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
+    # a line that no key fits goes on as it is: it is no JSON, so it is broken like any other
+    text = F.coalesce(decrypt_line(F.col("value"), keys), F.col("value")) if keys else F.col("value")
+    parsed = lines.filter(F.trim("value") != "").select(text.alias("_text")).filter(F.trim("_text") != "").select(
+        F.from_json("_text", shape, read).alias("r")).select("r.*")
     dated = parse_dates(zero_dates_to_null(parsed), target, rejects=FAULTS)
     extra = T.StructType([*target.fields, T.StructField(BROKEN, T.StringType()), T.StructField(FAULTS, T.ArrayType(T.StringType()))])
     return conform(dated, extra)
 
 
+def store_batch(
+    lines: DataFrame, batch_id: int, lake: str, target: T.StructType, batch_time: str, keys: Sequence[str] = (),
+    rejects: str | None = None,
+) -> None:
+    """One batch of lines to its folder of the lake, decoded once.
+
+    The decoded rows are written to a work folder; the good ones and the bad ones are copied from
+    there.  Without ``rejects`` a bad row fails the batch before anything reaches the lake.
+    """
+    spark = lines.sparkSession
+    at = F.lit(batch_time).cast("timestamp_ntz")
+    folder = work_folder(spark)
+    rows = written(stamp(decode(lines, target, keys), ingestion_timestamp=at), folder)
+    bad = F.col(BROKEN).isNotNull() | (F.size(FAULTS) > 0)
+    if rejects:
+        rows.filter(bad).write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+        good = rows.filter(~bad)
+    else:
+        why = F.concat(F.lit("bad record: "), F.coalesce(BROKEN, F.array_join(FAULTS, ", ")))
+        good = rows.filter(F.when(bad, F.raise_error(why).cast("boolean")).otherwise(F.lit(True)))
+    good.drop(BROKEN, FAULTS).write.mode("overwrite").parquet(f"{lake}/batch_id={batch_id}")
+    drop_folder(spark, folder)
+
+
 def ingest_changes(
     spark: SparkSession,
     folder: str,
@@ -93,16 +120,7 @@ def ingest_changes(
     lines = change_lines(spark, folder, prefix, archive)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        at = F.lit(batch_time()).cast("timestamp_ntz")
-        rows = stamp(decode(batch, target, keys), ingestion_timestamp=at)
-        bad = F.col(BROKEN).isNotNull() | (F.size(FAULTS) > 0)
-        if rejects:
-            rows.filter(bad).write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
-            good = rows.filter(~bad)
-        else:
-            why = F.concat(F.lit("bad record: "), F.coalesce(BROKEN, F.array_join(FAULTS, ", ")))
-            good = rows.filter(F.when(bad, F.raise_error(why).cast("boolean")).otherwise(F.lit(True)))
-        good.drop(BROKEN, FAULTS).write.mode("overwrite").parquet(f"{lake}/batch_id={batch_id}")
+        store_batch(batch, batch_id, lake, target, batch_time(), keys, rejects)
 
     return (
         lines.writeStream.foreachBatch(write)
@@ -120,26 +138,26 @@ def upsert_stream(
     checkpoint: str,
     work_path: str,
     partition: str = "client_partition_id",
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
-    """Newest version per key of a change feed, kept in a partitioned table.
+    """Newest version per key of a change feed, kept in a table of ``create_keyed``.
 
     A late older version must not replace a newer one, so each batch competes with the stored
-    row under ``order``; that also makes a repeated batch harmless.
+    row under ``order``; that also makes a repeated batch harmless.  A batch rewrites the key buckets
+    that it touches.  The number of ``buckets`` is set when the table is made.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         work = f"{work_path}/batch_id={batch_id}"
         try:
-            stored = spark.read.parquet(path)
+            spark.read.parquet(path)
         except AnalysisException as missing:
             if missing.getCondition() not in NO_TABLE:
                 raise
-            newest(batch, keys, order).write.mode("overwrite").partitionBy(partition).parquet(path)
+            create_keyed(newest(batch, keys, order), path, keys, partition, buckets)
             return
-        current = stored.join(batch.select(*keys).distinct(), list(keys), "left_semi")
-        contenders = batch.unionByName(current.select(*batch.columns))
-        upsert_partitions(spark, path, contenders, keys, order, work, partition)
+        upsert_partitions(spark, path, batch, keys, order, work, partition, keep_newer=True)
 
     return (
         changes.writeStream.foreachBatch(merge)
