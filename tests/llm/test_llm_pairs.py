@@ -96,6 +96,26 @@ def test_clean_rows_stay_beside_contaminated_ones_of_their_id(spark):
     assert kept == {(1, "all is well"), (None, "fine"), (2, None)}
 
 
+def test_few_clean_windows_pass_a_large_benchmark(spark):
+    """The bitmap grows with the benchmark: what is joined stays little, and the result is exact."""
+    rng = random.Random(9)
+    vocabulary = [f"v{k}" for k in range(20_000)]
+    items = [(f"i{k}", " ".join(rng.choices(vocabulary, k=100))) for k in range(2_000)]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    docs = [(k, " ".join(rng.choices(vocabulary, k=400))) for k in range(200)]
+    docs += [(1000 + k, docs[k][1] + " " + " ".join(items[k][1].split()[20:40])) for k in range(20)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    windows = decontamination.benchmark_windows(bench).cache()
+    _, slots, widths = decontamination._bitmap(windows)
+    assert widths == [13] and slots >= 32 * windows.count() / 2 and slots > decontamination.LEAST_SLOTS
+    scanned = decontamination._scanned(frame, windows, "doc_id", "text")
+    passed = scanned.selectExpr("sum(size(places)) AS n", "sum(n_words) AS words").first()
+    assert passed.n - 20 * 8 < 0.01 * passed.words
+    found = {r.doc_id: (r.n_hit, r["items"]) for r in decontamination.contamination(frame, bench).collect()}
+    assert found == {k: (20, [f"i{k - 1000}"]) if k >= 1000 else (0, []) for k, _ in docs}
+    windows.unpersist()
+
+
 def test_no_documents(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert ngram_join.link_classes(empty).count() == 0
@@ -240,8 +260,8 @@ def near_recall(spark, n, changes, texts=100):
 
 def test_near_passages(spark):
     """No run of 50 words is whole in either of them."""
-    assert near_recall(spark, 80, 1) >= 0.85
-    assert near_recall(spark, 150, 3) >= 0.85
+    assert near_recall(spark, 80, 1) >= 0.95
+    assert near_recall(spark, 150, 3) >= 0.95
 
 
 def test_near_passages_of_the_least_length(spark):

@@ -244,3 +244,41 @@ def test_secrets(spark, odd, none):
     want |= {(k, m[0]) for k, t in texts.items() for m in re.finditer(r"\bAKIA[A-Z0-9]{16}\b", t or "")}
     assert want and want <= got and len(got - want) <= 0.1 * len(want)
     assert secrets.scan(odd).count() == 0 and secrets.scan(none).count() == 0
+
+
+# --- samples ---------------------------------------------------------------------------------
+
+
+def test_a_sample_holds_as_many_ids_as_it_may(spark):
+    from weirflow.llm import sampling
+
+    rows = spark.range(400).selectExpr("id AS doc_id", "id % 2 AS label", "concat('text ', id) AS text")
+    labels = rows.crossJoin(spark.range(50)).select("doc_id", "label").unionByName(spark.createDataFrame([(3, 0), (None, 1)], "doc_id long, label long"))
+    chosen = sampling.sample_ids(labels, "doc_id", "label", 100)
+    got = chosen.collect()
+    assert len(got) == len({r["_id"] for r in got}) == 100 and sum(r["_label"] for r in got) == 50
+    docs = rows.unionByName(rows.withColumn("text", F.lit("a second text"))).unionByName(rows.withColumn("text", F.lit(None).cast("string")))
+    texts = sampling.sample_texts(docs, chosen, "doc_id", "text").collect()
+    assert len(texts) == 100 and {r.text for r in texts} == {"a second text"}
+    least = {r["_id"]: r["_label"] for r in sampling.sample_ids(labels, "doc_id", "label", 10_000).collect()}
+    assert least[3] == 0 and least[5] == 1 and len(least) == 400
+    own = sampling.sample_texts(rows.withColumn("lang", F.col("doc_id") % 3), chosen, "doc_id", "text", "lang").collect()
+    assert {r["_id"] for r in own} == {r["_id"] for r in got if r["_id"] % 3 == r["_label"]}
+
+
+def test_rows_without_an_id_are_held_out(spark):
+    from weirflow.llm.sampling import held_out
+
+    got = {r.doc_id: r.h for r in spark.createDataFrame([(None,), (1,), (2,), (3,), (4,)], "doc_id long").select("doc_id", held_out().alias("h")).collect()}
+    assert got == {None: True} | {k: zlib.crc32(str(k).encode()) % 4 == 2 for k in (1, 2, 3, 4)}
+
+
+def test_blocks_are_bounded_in_rows():
+    import pyarrow as pa
+
+    from weirflow.llm import arrowtext
+
+    texts = [None if k % 9 == 0 else "ab" * (k % 5) for k in range(1000)]
+    got = list(arrowtext.blocks(pa.array(texts, pa.string()), rows=64))
+    assert [b.first for b in got] == list(range(0, 1000, 64)) and sum(b.rows for b in got) == 1000
+    assert b"".join(b.data.tobytes() for b in got).decode() == "".join(t or "" for t in texts)

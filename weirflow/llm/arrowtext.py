@@ -72,8 +72,9 @@ class Block:
         self.rows = len(offsets) - 1
 
 
-def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
-    """The column's texts in blocks of about ``limit`` bytes, at least one row each; null is empty."""
+def blocks(column: pa.Array, limit: int = BLOCK_BYTES, rows: int | None = None) -> Iterator[Block]:
+    """The column's texts in blocks of about ``limit`` bytes and at most ``rows`` rows, at least one row each;
+    null is empty."""
     if column.null_count:
         column = column.fill_null("")
     if not len(column):
@@ -85,7 +86,7 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
     row = 0
     while row < len(column):
         end = int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1
-        end = min(len(column), max(end, row + 1))
+        end = min(len(column) if rows is None else min(len(column), row + rows), max(end, row + 1))
         yield Block(data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row], row)
         row = end
 

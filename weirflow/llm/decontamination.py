@@ -1,7 +1,7 @@
 """Benchmark decontamination with DataFrame functions only.
 
-The benchmark's windows of normalised words become two things: a table of window texts, and a small
-bitmap of their hashes that travels inside the query as a constant.  A document's windows are tested
+The benchmark's windows of normalised words become two things: a table of window texts, and a
+bitmap of their hashes, sized by the benchmark, that travels inside the query as a constant.  A document's windows are tested
 against the bitmap in place, without a shuffle; the few that pass are joined to the table by their
 whole text, so a hit is always verified word by word.
 """
@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from weirflow.lineage import cut_lineage
 
 WINDOW = 13
-SLOTS = 1 << 17  # one byte each: the bitmap's size for any benchmark
+SLOTS_A_WINDOW = 32      # bits of the bitmap for each window of the benchmark: one in 250 others passes
+LEAST_SLOTS, MOST_SLOTS = 1 << 17, 1 << 28  # 16 kB and 32 MB; a larger benchmark only lets more windows pass to the join
 _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # words of lower-cased text stand between these
 
@@ -30,13 +31,14 @@ def _starts(words: Column, width: int) -> Column:
         F.array().cast("array<int>"))
 
 
-def _slots(words: Column) -> list[Column]:
+def _slots(words: Column, slots: int) -> list[Column]:
     """Two places of the bitmap for a window's words, counted from 0."""
-    return [F.pmod(F.xxhash64(words), F.lit(SLOTS)).cast("int"), F.pmod(F.hash(words), F.lit(SLOTS))]
+    return [F.pmod(F.xxhash64(words), F.lit(slots)).cast("int"), F.pmod(F.xxhash64(F.lit(7), words), F.lit(slots)).cast("int")]
 
 
-def _may_be_in(bitmap: Column, words: Column) -> Column:
-    one, two = [F.substring(bitmap, slot + 1, 1) == F.lit(b"\x01") for slot in _slots(words)]
+def _may_be_in(bitmap: Column, slots: int, words: Column) -> Column:
+    """Whether both places are marked; the second is looked at only where the first one is."""
+    one, two = [F.getbit(F.get(bitmap, F.shiftright(slot, 6)), slot.bitwiseAND(F.lit(63))) == 1 for slot in _slots(words, slots)]
     return one & two
 
 
@@ -50,23 +52,27 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
     return words.select("item", "width", F.explode(windows).alias("window")).distinct()
 
 
-def _bitmap(windows: DataFrame) -> tuple[bytes, list[int]]:
-    """The slots that windows fall into, and the window widths.
+def _bitmap(windows: DataFrame) -> tuple[Column, int, list[int]]:
+    """The bitmap as a constant array of 64-bit words, its slots, and the window widths.
 
-    Only distinct slots and widths reach the driver: ``SLOTS`` * ``WINDOW`` numbers at most.
+    Its size follows the benchmark, within bounds.  Only its words reach the driver, gathered by Spark.
     """
-    parts = windows.select("width", F.split("window", " ").alias("words"))
-    parts = parts.select("width", F.explode(F.array(*_slots(F.col("words")))).alias("slot")).distinct()
-    marked, widths = bytearray(SLOTS), set()
-    for width, slot in parts.collect():
-        marked[slot] = 1
-        widths.add(width)
-    return bytes(marked), sorted(widths)
-
-
-def _places(words: Column, width: int, bitmap: Column) -> Column:
+    seen = windows.agg(F.count("*").alias("n"), F.collect_set("width").alias("widths")).first()
+    slots = LEAST_SLOTS
+    while slots < min(MOST_SLOTS, SLOTS_A_WINDOW * seen.n):
+        slots *= 2
+    parts = windows.select(F.explode(F.array(*_slots(F.split("window", " "), slots))).alias("slot"))
+    marked = parts.groupBy(F.shiftright("slot", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, slot & 63)")).alias("bits")).collect()
+    held = {r.word: r.bits for r in marked}
+    # the optimizer folds the split and the cast into one literal
+    text = ",".join(str(held.get(k, 0)) for k in range(slots // 64))
+    return F.split(F.lit(text), ",").cast("array<bigint>"), slots, sorted(seen.widths)
+
+
+def _places(words: Column, width: int, bitmap: Column, slots: int) -> Column:
     """(start, width, window) of the windows that pass the bitmap."""
-    held = F.filter(_starts(words, width), lambda i: _may_be_in(bitmap, F.slice(words, i, width)))
+    held = F.filter(_starts(words, width), lambda i: _may_be_in(bitmap, slots, F.slice(words, i, width)))
     return F.transform(held, lambda i: F.struct(
         i.alias("start"), F.lit(width).alias("width"), F.array_join(F.slice(words, i, width), " ").alias("window")))
 
@@ -77,11 +83,11 @@ def _scanned(docs: DataFrame, windows: DataFrame, id_col: str, text_col: str) ->
     ``row`` tells rows with equal ids apart, ``mark`` their texts.  Written to the checkpoint folder; apart from the ids it
     holds little more than the hits.
     """
-    marked, widths = _bitmap(windows)
-    bitmap, none = F.lit(marked), F.array().cast("array<struct<start:int,width:int,window:string>>")
+    bitmap, slots, widths = _bitmap(windows)
+    none = F.array().cast("array<struct<start:int,width:int,window:string>>")
     # the words are bound to a lambda's variable, so that they are cut out once a text
     scan = F.transform(F.array(normal_words(F.col(text_col))), lambda w: F.struct(
-        F.size(w).cast("long").alias("n_words"), F.concat(none, *[_places(w, n, bitmap) for n in widths]).alias("places")))
+        F.size(w).cast("long").alias("n_words"), F.concat(none, *[_places(w, n, bitmap, slots) for n in widths]).alias("places")))
     return cut_lineage(docs.select(F.col(id_col), F.monotonically_increasing_id().alias("row"), _mark(text_col).alias("mark"), F.inline(scan)))
 
 

@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from weirflow.llm import arrowtext
-from weirflow.llm.sampling import held_out, sample_ids
+from weirflow.llm.sampling import held_out, sample_ids, sample_texts
 
 GRAM_SLOTS = 1 << 14     # n-grams are hashed to so many slots
 LONGEST = 3
@@ -90,11 +90,10 @@ def fit(held: np.ndarray, languages: list[str]) -> Model | None:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> Model | None:
-    """Fit on at most ``SAMPLE`` rows with a label that are not held out; null texts teach nothing."""
+    """Fit on at most ``SAMPLE`` labelled ids that are not held out, one text each; null texts teach nothing, an
+    id with several labels or texts has the least of them."""
     rows = docs.filter(~held_out(id_col) & F.col(label_col).isNotNull())
-    chosen = F.broadcast(sample_ids(rows, id_col, label_col, SAMPLE))
-    texts = rows.filter(F.col(text_col).isNotNull()).select(F.col(id_col), F.col(text_col).alias("text"), F.col(label_col).alias("label")).join(
-        chosen, F.col(id_col).eqNullSafe(chosen["_id"]) & (F.col("label") == chosen["_label"]))
+    texts = sample_texts(rows, sample_ids(rows, id_col, label_col, SAMPLE), id_col, text_col, label_col)
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,7 +103,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x.tobytes() for x in held], pa.binary()), part.column(1), part.column(2)], names=["bits", "label", "o"])
 
-    picked = texts.select("text", F.col("label").cast("string"), F.xxhash64(F.col(id_col)).alias("o"))
+    picked = texts.select("text", F.col("_label").cast("string").alias("label"), F.xxhash64("_id").alias("o"))
     rows = sorted(picked.mapInArrow(bits, "bits binary, label string, o long").collect(), key=lambda r: (r.o, r.label, r.bits))
     if not rows:
         return None

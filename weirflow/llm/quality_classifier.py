@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from weirflow.llm import arrowtext
-from weirflow.llm.sampling import held_out, sample_ids
+from weirflow.llm.sampling import held_out, sample_ids, sample_texts
 
 SLOTS = 2_048
 MARK_STEPS = np.array([0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9])  # a mark for each share reached
@@ -25,6 +25,7 @@ RUN = 8                  # words of a run
 MARKS = 2 * len(MARK_STEPS)  # shares of repeated runs, and of words that follow themselves
 TERMS = SLOTS + MARKS
 SAMPLE = 3_000           # labelled texts, dealt from both labels in turn: the bound of the broadcast
+ROWS = 512  # texts whose term counts a task holds at once
 RANK = 48
 NEIGHBOURS = 25
 ACCEPTED = 0.7
@@ -106,20 +107,20 @@ def fit(counts: np.ndarray, labels: np.ndarray) -> Model | None:
 def learn(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"
 ) -> Model | None:
-    """Fit on at most ``SAMPLE`` labelled rows that are not held out; rows with a null label teach nothing."""
+    """Fit on at most ``SAMPLE`` labelled ids that are not held out, one text each; null labels and texts teach
+    nothing, an id with several labels or texts has the least of them."""
     known = labels.select(F.col(id_col), F.col(label_col)).filter(F.col(label_col).isNotNull() & ~held_out(id_col))
-    chosen = F.broadcast(sample_ids(known, id_col, label_col, SAMPLE))
-    texts = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")).join(chosen, F.col(id_col) == chosen["_id"])
+    texts = sample_texts(docs, sample_ids(known, id_col, label_col, SAMPLE), id_col, text_col)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in arrowtext.blocks(batch.column(0)):
+            for block in arrowtext.blocks(batch.column(0), rows=ROWS):
                 counts = np.minimum(term_counts(block), 65_535).astype(np.uint16)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x.tobytes() for x in counts], pa.binary()), batch.column(1).slice(block.first, block.rows),
                      batch.column(2).slice(block.first, block.rows)], names=["counts", "label", "o"])
 
-    picked = texts.select("text", F.col("_label").cast("double").alias("label"), F.xxhash64(F.col(id_col)).alias("o"))
+    picked = texts.select("text", F.col("_label").cast("double").alias("label"), F.xxhash64("_id").alias("o"))
     rows = sorted(picked.mapInArrow(count, "counts binary, label double, o long").collect(), key=lambda r: (r.o, r.label, r.counts))
     counts = np.array([np.frombuffer(r.counts, np.uint16) for r in rows], np.float32).reshape(len(rows), TERMS)
     return fit(counts, np.array([r.label for r in rows]))
@@ -137,7 +138,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for block in arrowtext.blocks(batch.column(1)):
+            for block in arrowtext.blocks(batch.column(1), rows=ROWS):
                 counts = term_counts(block)
                 scores = np.full(block.rows, EMPTY_SCORE)
                 if model is not None:

@@ -15,9 +15,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from weirflow.llm import arrowtext
-from weirflow.llm.sampling import sample_ids
+from weirflow.llm.sampling import sample_ids, sample_texts
 
 SAMPLE = 6_000           # labelled rows, dealt from both labels in turn: the bound of what the driver gets
+ROWS = 512               # texts whose term counts a task holds at once
 TERMS = 256              # telling words and beginnings of words
 STARTS = (4, 5, 6, 7)    # code points of a beginning
 FOLDS = 5
@@ -144,16 +145,15 @@ def telling_terms(texts: DataFrame, most: int = TERMS) -> list[tuple[str, float]
 def learn(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"
 ) -> Chain | None:
-    """Train on at most ``SAMPLE`` labelled rows; None without any toxic one.
+    """Train on at most ``SAMPLE`` labelled ids, one text each; None without any toxic one.
 
     The last category is the label itself; the ones before it grade it by how many distinct telling
-    words a toxic text holds.  Null labels and null texts teach nothing.
+    words a toxic text holds.  Null labels and null texts teach nothing; an id with several labels or
+    texts has the least of them.
     """
     known = labels.select(F.col(id_col), F.col(label_col)).filter(F.col(label_col).isNotNull())
-    chosen = F.broadcast(sample_ids(known, id_col, label_col, SAMPLE))
-    texts = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col), F.col(text_col).cast("string").alias("text")).join(
-        chosen, F.col(id_col) == chosen["_id"]).select(
-            "text", F.col("_label").cast("long").alias("label"), F.xxhash64("_id").alias("o"))
+    texts = sample_texts(docs, sample_ids(known, id_col, label_col, SAMPLE), id_col, text_col).select(
+        "text", F.col("_label").cast("long").alias("label"), F.xxhash64("_id").alias("o"))
     words = telling_terms(texts)
     if not words:
         return None
@@ -164,7 +164,7 @@ def learn(
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in arrowtext.blocks(batch.column(0)):
+            for block in arrowtext.blocks(batch.column(0), rows=ROWS):
                 values = term_values(block, hashes).astype(np.float16)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x.tobytes() for x in values], pa.binary()), batch.column(1).slice(block.first, block.rows),
@@ -190,7 +190,7 @@ def score(docs: DataFrame, chain: Chain | None, id_col: str = "doc_id", text_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = shared.value
         for batch in batches:
-            for block in arrowtext.blocks(batch.column(1)):
+            for block in arrowtext.blocks(batch.column(1), rows=ROWS):
                 found = {} if chain is None else chain.predict(term_values(block, chain.hashes))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(block.first, block.rows)]
@@ -209,7 +209,7 @@ def without_toxic(docs: DataFrame, chain: Chain | None, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = shared.value
         for batch in batches:
-            for block in arrowtext.blocks(batch.column(place).cast(pa.string())):
+            for block in arrowtext.blocks(batch.column(place).cast(pa.string()), rows=ROWS):
                 part = batch.slice(block.first, block.rows)
                 if chain is not None:
                     part = part.filter(pa.array(chain.predict(term_values(block, chain.hashes))["toxic"] < REJECTED))
