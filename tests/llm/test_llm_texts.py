@@ -282,3 +282,21 @@ def test_blocks_are_bounded_in_rows():
     got = list(arrowtext.blocks(pa.array(texts, pa.string()), rows=64))
     assert [b.first for b in got] == list(range(0, 1000, 64)) and sum(b.rows for b in got) == 1000
     assert b"".join(b.data.tobytes() for b in got).decode() == "".join(t or "" for t in texts)
+
+
+def test_names_are_replaced_wherever_a_text_writes_them(spark):
+    text = ("Dr. Anna Smith met Mr. Smith. Smith left; Anna Smith called, Anna-Lena and Smithers did not. "
+            "Frau Müller-Lüdenscheidt, müller, MÜLLER and Müller. Господин Иванов и Иванов.")
+    docs = spark.createDataFrame([(1, text), (2, "Smith and Anna alone"), (3, "Mr. Smith, Ms. Anna")], "doc_id long, text string")
+    one, two, three = [r.text for r in pii.replace_entities(docs, "k").orderBy("doc_id").collect()]
+    words = re.findall(r"[^\W\d_]+", one)
+    old = re.findall(r"[^\W\d_]+", text)
+    assert len(words) == len(old) and [len(w) for w in words] == [len(w) for w in old]
+    new = dict(zip(old, words))
+    for name in ("Smith", "Anna", "Müller", "Lüdenscheidt", "Иванов"):
+        assert name not in words and {w for o, w in zip(old, words) if o == name} == {new[name]}
+        assert new[name][0].isupper() and new[name][-1] == name[-1]
+    assert all(new[w] == w for w in old if w not in ("Smith", "Anna", "Müller", "Lüdenscheidt", "Иванов"))
+    assert two == "Smith and Anna alone"  # no name is known in this text
+    assert three == f"Mr. {new['Smith']}, Ms. {new['Anna']}"
+    assert pii.collisions(docs, "k").count() == 0

@@ -10,6 +10,9 @@ never share one; ``collisions`` checks that on data.  Nothing is collected, join
 Card numbers keep whether their check digit is right, addresses of hosts stay in range, the country
 code of a phone number and the last part of a mail domain stay, a name keeps its title and the last
 letter of each word, which carries the gender.
+
+Names are found behind titles and permuted word by word, so a word of a name has one surrogate in all
+its names; every other place where a text writes such a word is replaced too, titled or not.
 """
 
 from __future__ import annotations
@@ -149,11 +152,33 @@ def surrogate(entity: Column, kind: Column, key: str) -> Column:
         "phone": _after(entity, r"^(?:\+1[ .-]?|\+\d{1,3}(?=[ .(-]))?", lambda x: _replaced(x, "phone", key, _none_held)),
         "card": _card(entity, key),
         "iban": _after(entity, r"^..", lambda x: _replaced(x, "iban", key, _none_held)),
-        "name": _after(entity, r"^\p{L}+\.? ", lambda x: _replaced(x, "name", key, _last_letters)),
+        "name": _after(entity, r"^\p{L}+\.? ", lambda x: F.array_join(F.transform(_words(x), lambda w: _name_word(w, key)), "")),
     }
     return F.coalesce(*[F.when(kind == k, of) for k, of in of_kind.items()])
 
 
+def _words(text: Column) -> Column:
+    """A text cut into its runs of letters and what stands between them; put together they are the text."""
+    return F.regexp_extract_all(text, F.lit(r"\p{L}+|\P{L}+"), F.lit(0))
+
+
+def _name_word(word: Column, key: str) -> Column:
+    return F.when(F.rlike(word, F.lit(r"^\p{L}")), _replaced(word, "name", key, _last_letters)).otherwise(word)
+
+
+def _name_words(found: Column, key: str) -> Column:
+    """(word, surrogate) of the words of all names found, without the titles."""
+    names = F.transform(F.filter(found, lambda f: f["kind"] == "name"), lambda f: F.regexp_replace(f["entity"], F.lit(r"^\p{L}+\.? "), F.lit("")))
+    words = F.filter(F.array_distinct(F.flatten(F.transform(names, _words))), lambda w: F.rlike(w, F.lit(r"^\p{L}")))
+    return F.transform(words, lambda w: F.struct(w.alias("word"), _name_word(w, key).alias("surrogate")))
+
+
+def _again(text: Column, names: Column) -> Column:
+    """``text`` with each word that is one of ``names`` replaced, in one pass, so no surrogate is replaced again."""
+    new = lambda w: F.get(F.filter(names, lambda n: n["word"] == w), F.lit(0))["surrogate"]
+    return F.when(F.size(names) > 0, F.array_join(F.transform(_words(text), lambda w: F.coalesce(new(w), w)), "")).otherwise(text)
+
+
 def _entities(text: Column, key: str) -> Column:
     """(kind, entity, surrogate) of everything found in a text, in order."""
     return F.transform(F.regexp_extract_all(text, F.lit(_ANY), F.lit(0)), lambda e: _let(_kind(e), lambda k: F.struct(
@@ -164,16 +189,17 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text", counts:
     """``docs`` with every entity of ``text_col`` replaced; with ``counts``, also n_<kind> columns.
 
     All rows and columns stay, in order; a column of ``docs`` that has the name of a count is replaced
-    by it.  Null stays null; a text without an entity stays as it is, byte for byte.  Equal texts get
+    by it.  The words of a text's names are replaced wherever it writes them, titled or not.  Null stays
+    null; a text without an entity stays as it is, byte for byte.  Equal texts get
     equal results.  Whole texts are searched.
     """
     text, found = F.col(text_col), "_found"
     while found in docs.columns:
         found += "_"
     marked = docs.withColumn(found, F.when(F.rlike(text, F.lit("[0-9@]|\\p{Lu}\\p{Ll}+\\.? \\p{Lu}")), _entities(text, key)))
-    pieces = F.split(text, _ANY, -1)
-    rebuilt = F.array_join(F.flatten(F.zip_with(
-        pieces, found, lambda p, f: F.array(p, F.coalesce(f["surrogate"], F.lit(""))))), "")
+    # what stands between the entities may write a word of a name again
+    rebuilt = _let(_name_words(F.col(found), key), lambda names: F.array_join(F.flatten(F.zip_with(
+        F.split(text, _ANY, -1), F.col(found), lambda p, f: F.array(_again(p, names), F.coalesce(f["surrogate"], F.lit(""))))), ""))
     has = F.coalesce(F.size(found), F.lit(0)) > 0
     new = F.when(has, rebuilt).otherwise(text).alias(text_col)
     count = lambda kind: F.coalesce(F.size(F.filter(found, lambda f: f["kind"] == kind)), F.lit(0)).cast("long")

@@ -63,8 +63,9 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replaced texts, how much of each kind they held, and how many surrogates stand for two entities (none)."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return pii.replace_entities(docs, KEY, counts=True)
+    return pii.replace_entities(docs, KEY, counts=True).withColumn("collisions", F.lit(pii.collisions(docs, KEY).count()).cast("long"))
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
