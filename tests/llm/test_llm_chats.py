@@ -239,6 +239,11 @@ def test_no_words(spark):
     assert spelling.group_variants(spelling.word_counts(empty, misspell=199)).count() == 0
 
 
+def test_spelling_equals_sql(spark):
+    ok, note = compare(registry.op12_spelling_variants(spark, SF), connect(SF), registry.OP12_SQL)
+    assert ok, note
+
+
 def test_long_texts_are_cut_between_runs(spark, monkeypatch):
     monkeypatch.setattr(spelling, "CUT", 50)
     text = "éclairé wörter-" * 40 + "x" * 400 + " tailed"

@@ -194,6 +194,50 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(spelling.word_counts(documents(spark, sf_dir), misspell=199))
 
 
+def _half_byte(crc: int) -> int:
+    for _ in range(4):
+        crc = (crc >> 1) ^ 3988292384 if crc & 1 else crc >> 1
+    return crc
+
+
+#: unsigned crc32 of the bytes whose hexadecimal digits are in ``hexed``, half a byte at a time, the lower half first
+_CRC32_BYTES = f"""xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(hexed) + 1),
+  lambda i: (strpos('0123456789ABCDEF', hexed[i + CASE WHEN i % 2 = 1 THEN 1 ELSE -1 END]) - 1)::BIGINT)),
+  lambda crc, half: xor(crc >> 4, ({[_half_byte(n) for n in range(16)]}::BIGINT[])[(xor(crc, half) & 15) + 1])), 4294967295::BIGINT)"""
+
+OP12_SQL = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\u00C0-\u00FF]{{6,}}')) AS run FROM documents)
+  GROUP BY ALL
+), hashed AS (
+  SELECT run, n, {_CRC32_BYTES} AS h FROM (SELECT *, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS hexed FROM runs)
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), replaced AS (
+  SELECT word, n, left(word, i - 1) || '*' || substr(word, i + 1) AS pattern FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)
+), deleted AS (
+  SELECT DISTINCT word, n, left(word, i - 1) || substr(word, i + 1) AS short FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)
+), shorter AS (
+  SELECT d.word, d.n, w.word AS other, w.n AS other_n FROM deleted d JOIN words w ON d.short = w.word
+), near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM replaced a JOIN replaced b ON a.pattern = b.pattern AND a.word <> b.word
+  UNION ALL FROM shorter UNION ALL SELECT other, other_n, word, n FROM shorter
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS form, max(other_n) AS form_n FROM near GROUP BY word
+), judged AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * n THEN form END AS form, CASE WHEN form_n >= 5 * n THEN form_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), walk AS (
+  SELECT word, word AS at_word, form AS onward FROM judged
+  UNION ALL SELECT w.word, j.word, j.form FROM walk w JOIN judged j ON w.onward = j.word
+)
+SELECT j.word, j.form, w.at_word AS root, j.n, j.n_near, j.form_n FROM judged j JOIN walk w ON j.word = w.word AND w.onward IS NULL
+"""
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns, ids = prefix_trie.with_shared_heads(prefix_trie.digests(conversations(spark, sf_dir)))
     return prefix_trie.trie(turns, ids).select(
@@ -254,7 +298,7 @@ QUERIES = {
     "op9_language_id": (op9_language_id, None),
     "op10_byte_bpe": (op10_byte_bpe, None),
     "op11_chat_format": (op11_chat_format, OP11_SQL),
-    "op12_spelling_variants": (op12_spelling_variants, None),
+    "op12_spelling_variants": (op12_spelling_variants, OP12_SQL),
     "op13_prefix_trie": (op13_prefix_trie, OP13_SQL),
     "pipeline": (pipeline, None),
 }
