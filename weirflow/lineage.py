@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names and all executors share.
 
-    Where it is unset, one process in local mode gets a temporary folder of its own; a cluster fails.
+    Where it is unset, local mode takes a folder in the warehouse, which is where its tables are; a
+    cluster fails, since nothing says which folder its executors share.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -20,7 +20,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if named is None:
         if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="weirflow-")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints-{uuid.uuid4().hex}"
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named)
     return named
