@@ -65,42 +65,53 @@ def _prefixes(turns: DataFrame, conversations: DataFrame) -> DataFrame:
         "depth", "chars", F.lead("depth").over(path).isNull().alias("ends"))
 
 
+_RUNS = "node string, first long, many long, ids string"
+
+
 def _end_digests(ends: DataFrame) -> DataFrame:
     """(node, n_ends, ends_sha256) of (node, conv): the digest of the ascending ids, joined by commas.
 
-    Ids stream through the hash in their order, so a node where a third of all conversations end
-    takes time but no memory.
+    Ids are sorted by range, so those of a node where a third of all conversations end are put into
+    runs by many tasks.  The runs, a row for some thousand ids, stream through the node's hash in
+    their order: that takes time, as any such digest does, but no memory.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        node, many, state = None, 0, None
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            done: list[tuple[str, int, str]] = []
-            a = 0
+            rows, a = [], 0
             while a < len(nodes):
                 b = a
                 while b < len(nodes) and nodes[b] == nodes[a]:
                     b += 1
-                if nodes[a] != node:
+                rows.append((nodes[a], ids[a], b - a, ",".join(map(str, ids[a:b]))))
+                a = b
+            yield _batch(rows, (pa.string(), pa.int64(), pa.int64(), pa.string()), ["node", "first", "many", "ids"])
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds, names = (pa.string(), pa.int64(), pa.string()), ["node", "n_ends", "ends_sha256"]
+        node, many, state = None, 0, None
+        for batch in batches:
+            done = []
+            for own, more, text in zip(*[batch.column(c).to_pylist() for c in (0, 2, 3)]):
+                if own != node:
                     if state is not None:
                         done.append((node, many, state.hexdigest()))
-                    node, many, state = nodes[a], 0, hashlib.sha256()
-                state.update(("," * (many > 0) + ",".join(map(str, ids[a:b]))).encode())
-                many += b - a
-                a = b
-            yield _ended(done)
+                    node, many, state = own, 0, hashlib.sha256()
+                state.update(("," * (many > 0) + text).encode())
+                many += more
+            yield _batch(done, kinds, names)
         if state is not None:
-            yield _ended([(node, many, state.hexdigest())])
+            yield _batch([(node, many, state.hexdigest())], kinds, names)
 
-    ordered = ends.select("node", "conv").repartition("node").sortWithinPartitions("node", "conv")
-    return ordered.mapInArrow(run, "node string, n_ends long, ends_sha256 string")
+    ordered = ends.select("node", "conv").repartitionByRange("node", "conv").sortWithinPartitions("node", "conv")
+    runs = ordered.mapInArrow(pack, _RUNS).repartition("node").sortWithinPartitions("node", "first")
+    return runs.mapInArrow(digest, "node string, n_ends long, ends_sha256 string")
 
 
-def _ended(rows: list[tuple[str, int, str]]) -> pa.RecordBatch:
-    columns = zip(*rows) if rows else ((), (), ())
-    kinds = (pa.string(), pa.int64(), pa.string())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["node", "n_ends", "ends_sha256"])
+def _batch(rows: list[tuple], kinds: tuple, names: list[str]) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else ((),) * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 
 
 def tour(nodes: DataFrame, buckets: int) -> DataFrame:
