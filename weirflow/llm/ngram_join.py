@@ -26,8 +26,8 @@ from weirflow.lineage import drop_folder, work_folder, written
 from weirflow.llm import arrowtext
 
 WIDTH, PERCENT = 5, 80
-SEGMENTS = 8             # cuts of the global order in which a large pair's partial overlaps are counted
-WHOLE = 2_000            # n-grams up to which a pair's sets are one piece
+SEGMENTS = 8             # cuts of the global order in which a pair's partial overlaps are counted
+WHOLE = 2_000            # n-grams up to which a pair's segments travel in one row
 CENTRES = 5              # sets that stand for an n-gram in a round of stars
 MEETS = 2                # of them that a set is compared with, by either measure
 ROUNDS = 2               # of stars; what they leave unconnected is compared in full
@@ -250,15 +250,17 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     beyond = F.greatest(*[F.ceil(percent * F.col(n) / 100) - 1 for n in ("n_a", "n_b")])
     most = F.size(F.array_intersect("prefix_a", "prefix_b")) + beyond
     pairs = pairs.filter((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b", "n_a", "n_b")
-    # a pair of small sets is counted in one piece, a pair with a large set in each segment
+    # a pair of small sets travels with all its segments in one row, a pair with a large set with one segment a row
     pairs = pairs.withColumn("cut", F.greatest("n_a", "n_b") > WHOLE)
-    whole = sets.filter(F.col("n") <= WHOLE).select("set_id", F.lit(False).alias("cut"), F.lit(0).alias("segment"), F.flatten("segments").alias("tokens"))
+    whole = sets.filter(F.col("n") <= WHOLE).select("set_id", F.lit(False).alias("cut"), F.lit(0).alias("row"), "segments")
     large = sets.filter(100 * F.col("n") >= percent * WHOLE)  # the smaller set of a large pair is no smaller
-    parts = whole.unionByName(large.select("set_id", F.lit(True).alias("cut"), F.posexplode("segments").alias("segment", "tokens")))
-    one = parts.select(F.col("set_id").alias("a"), "cut", "segment", F.col("tokens").alias("of_a"))
-    two = parts.select(F.col("set_id").alias("b"), "cut", "segment", F.col("tokens").alias("of_b"))
-    partial = pairs.join(two, ["b", "cut"]).join(one, ["a", "cut", "segment"]).select(
-        "a", "b", "n_a", "n_b", F.size(F.array_intersect("of_a", "of_b")).cast("long").alias("overlap")
+    parts = whole.unionByName(large.select("set_id", F.lit(True).alias("cut"), F.posexplode("segments").alias("row", "tokens")).select(
+        "set_id", "cut", "row", F.array("tokens").alias("segments")))
+    one = parts.select(F.col("set_id").alias("a"), "cut", "row", F.col("segments").alias("of_a"))
+    two = parts.select(F.col("set_id").alias("b"), "cut", "row", F.col("segments").alias("of_b"))
+    overlaps = F.zip_with("of_a", "of_b", lambda x, y: F.size(F.array_intersect(x, y)))
+    partial = pairs.join(two, ["b", "cut"]).join(one, ["a", "cut", "row"]).select(
+        "a", "b", "n_a", "n_b", F.aggregate(overlaps, F.lit(0), lambda total, n: total + n).cast("long").alias("overlap")
     )
     summed = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("overlap").alias("overlap"))
     return summed.filter(100 * F.col("overlap") >= percent * (F.col("n_a") + F.col("n_b") - F.col("overlap")))
