@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from weirflow.catalog import flows, increments, nesting, people, refined, reports, sinks, texts, tree, versions
+from weirflow.catalog import flows, increments, nesting, people, refined, reports, shared, sinks, texts, tree, versions
 
-MODULES = (versions, people, increments, refined, nesting, reports, tree, texts, flows, sinks)
+MODULES = (versions, people, increments, refined, nesting, reports, tree, shared, texts, flows, sinks)
 
 
 def queries():
