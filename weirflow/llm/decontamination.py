@@ -31,15 +31,21 @@ def _starts(words: Column, width: int) -> Column:
         F.array().cast("array<int>"))
 
 
-def _slots(words: Column, slots: int) -> list[Column]:
-    """Two places of the bitmap for a window's words, counted from 0."""
-    return [F.pmod(F.xxhash64(words), F.lit(slots)).cast("int"), F.pmod(F.xxhash64(F.lit(7), words), F.lit(slots)).cast("int")]
+def _slots(hashed: Column, slots: int) -> list[Column]:
+    """Two places of the bitmap for a window's hash, counted from 0: its lower and its upper bits."""
+    low = F.lit(slots - 1).cast("long")
+    return [hashed.bitwiseAND(low), F.shiftrightunsigned(hashed, 32).bitwiseAND(low)]
 
 
 def _may_be_in(bitmap: Column, slots: int, words: Column) -> Column:
-    """Whether both places are marked; the second is looked at only where the first one is."""
-    one, two = [F.getbit(F.get(bitmap, F.shiftright(slot, 6)), slot.bitwiseAND(F.lit(63))) == 1 for slot in _slots(words, slots)]
-    return one & two
+    """Whether both places are marked; the hash is bound to a lambda's variable, so that it is taken once."""
+    marked = lambda slot: F.getbit(F.get(bitmap, F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(F.lit(63).cast("long")).cast("int")) == 1
+
+    def both(hashed: Column) -> Column:
+        one, two = _slots(hashed, slots)
+        return marked(one) & marked(two)
+
+    return F.exists(F.array(F.xxhash64(words)), both)
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WINDOW) -> DataFrame:
@@ -61,9 +67,9 @@ def _bitmap(windows: DataFrame) -> tuple[Column, int, list[int]]:
     slots = LEAST_SLOTS
     while slots < min(MOST_SLOTS, SLOTS_A_WINDOW * seen.n):
         slots *= 2
-    parts = windows.select(F.explode(F.array(*_slots(F.split("window", " "), slots))).alias("slot"))
+    parts = windows.select(F.explode(F.array(*_slots(F.xxhash64(F.split("window", " ")), slots))).alias("slot"))
     marked = parts.groupBy(F.shiftright("slot", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, slot & 63)")).alias("bits")).collect()
+        F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("bits")).collect()
     held = {r.word: r.bits for r in marked}
     # the optimizer folds the split and the cast into one literal
     text = ",".join(str(held.get(k, 0)) for k in range(slots // 64))
