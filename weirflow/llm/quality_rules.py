@@ -18,6 +18,7 @@ MIN_WORDS = 20
 MOST_REPEATED = 30     # per cent of the words
 MIN_RATIO = -0.08      # mean log ratio per n-gram below which a text is unlike the trusted ones
 SMOOTHING = 1.0
+TRUSTED_BYTES = 16 << 20  # trusted ids up to this size are broadcast, so that no text moves
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -66,12 +67,15 @@ def repeated_words(words: Column, width: int = WINDOW) -> Column:
 def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[float]:
     """ln p(bucket | trusted) - ln p(bucket | corpus) for every bucket.
 
-    ``trusted`` holds the ids of the trusted documents.  All documents are counted; ``BUCKETS`` rows
+    ``trusted`` holds the ids of the trusted documents; they are broadcast up to ``TRUSTED_BYTES``, and the
+    planner chooses how to join more of them.  All documents are counted; ``BUCKETS`` rows
     reach the driver, whatever the corpus.  Buckets no document has, and an empty corpus, give the
     smoothed values.
     """
     good = trusted.select(F.col(id_col).alias("_good")).filter("_good IS NOT NULL").distinct()
-    marked = docs.select(F.col(id_col), F.col(text_col)).join(good.hint("merge"), docs[id_col] == good["_good"], "left")
+    size = good.agg(F.sum(F.octet_length(F.col("_good").cast("string")) + 16)).first()[0] or 0
+    side = F.broadcast(good) if size <= TRUSTED_BYTES else good
+    marked = docs.select(F.col(id_col), F.col(text_col)).join(side, docs[id_col] == good["_good"], "left")
     slots = marked.select(
         F.col("_good").isNotNull().cast("long").alias("good"),
         F.explode(_let(_words(F.col(text_col)), _slots)).alias("bucket"),
