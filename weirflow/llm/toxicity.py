@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from weirflow.lineage import drop_folder, work_folder, written
 from weirflow.llm import arrowtext
 from weirflow.llm.sampling import sample_ids, sample_texts
 
@@ -114,32 +115,52 @@ class Chain:
         return out
 
 
-def fit(hashes: np.ndarray, rows: np.ndarray, labels: Mapping[str, np.ndarray], folds: np.ndarray) -> Chain:
-    """Train the chain in the order of ``labels``; ``folds`` numbers each row's fold."""
+def fit(hashes: np.ndarray, rows: np.ndarray, labels: Mapping[str, np.ndarray], folds: np.ndarray,
+        chosen: Mapping[int, np.ndarray] | None = None, final: np.ndarray | None = None) -> Chain:
+    """Train the chain in the order of ``labels``; ``folds`` numbers each row's fold.
+
+    ``chosen`` says which columns the model that predicts a fold may use, namely the terms chosen without
+    that fold; ``final`` is what the chain itself uses.  Without them all columns are used.
+    """
+    final = np.ones(len(hashes), bool) if final is None else final
     models, earlier = {}, []
     for name, label in labels.items():
-        x = np.column_stack((rows, *earlier)).astype(np.float64)
         out_of_fold = np.zeros(len(rows))
         for k in np.unique(folds):
+            x = np.column_stack((rows[:, final if chosen is None else chosen[k]], *earlier)).astype(np.float64)
             out_of_fold[folds == k] = probability(x[folds == k], logistic(x[folds != k], label[folds != k]))
-        models[name] = logistic(x, label)
+        models[name] = logistic(np.column_stack((rows[:, final], *earlier)).astype(np.float64), label)
         earlier.append(out_of_fold)
-    return Chain(hashes, models)
+    return Chain(hashes[final], models)
 
 
-def telling_terms(texts: DataFrame, most: int = TERMS) -> list[tuple[str, float]]:
+def telling_terms(texts: DataFrame, most: int = TERMS) -> dict[int, list[tuple[str, float]]]:
     """The ``most`` terms that tell toxic texts (``label`` 1) from others, with their log odds.
 
-    A term has to stand in one toxic text in two hundred, and in three at least.
+    The list under -1 is chosen over all texts, the one under k over all but those of ``fold`` k.  A
+    term has to stand in one toxic text in two hundred, and in three at least.
     """
-    totals = texts.agg(F.sum("label"), F.count("*")).first()
-    toxic = int(totals[0] or 0)
-    clean = int(totals[1]) - toxic
-    counts = texts.select("label", F.explode(_term_set(F.col("text"))).alias("word")).groupBy("word").agg(
-        F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good"))
-    odds = F.log((F.col("bad") + 0.5) / F.lit(toxic + 1.0)) - F.log((F.col("good") + 0.5) / F.lit(clean + 1.0))
-    top = counts.filter(F.col("bad") >= max(3, toxic // 200)).select("word", F.round(odds, 6).alias("odds"))
-    return [(r.word, r.odds) for r in top.orderBy(F.desc("odds"), "word").limit(most).collect()]
+    spark = texts.sparkSession
+    totals = {r.fold: (r.n_bad, r.n_good) for r in texts.groupBy("fold").agg(
+        F.sum("label").alias("n_bad"), F.sum(1 - F.col("label")).alias("n_good")).collect()}
+    part = lambda value, k: F.sum(F.when(F.col("fold") == k, value).otherwise(0))
+    counts = texts.select("fold", "label", F.explode(_term_set(F.col("text"))).alias("word")).groupBy("word").agg(
+        F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good"),
+        *[part(F.col("label"), k).alias(f"bad_{k}") for k in totals],
+        *[part(1 - F.col("label"), k).alias(f"good_{k}") for k in totals])
+    folder = work_folder(spark)
+    counts = written(counts.filter("bad >= 3"), folder)
+
+    def told(k: int) -> list[tuple[str, float]]:
+        toxic, clean = [sum(n[i] for fold, n in totals.items() if fold != k) for i in (0, 1)]
+        bad, good = (F.col("bad"), F.col("good")) if k < 0 else (F.col("bad") - F.col(f"bad_{k}"), F.col("good") - F.col(f"good_{k}"))
+        odds = F.log((bad + 0.5) / F.lit(toxic + 1.0)) - F.log((good + 0.5) / F.lit(clean + 1.0))
+        top = counts.filter(bad >= max(3, toxic // 200)).select("word", F.round(odds, 6).alias("odds"))
+        return [(r.word, r.odds) for r in top.orderBy(F.desc("odds"), "word").limit(most).collect()]
+
+    out = {k: told(k) for k in (-1, *sorted(totals))}
+    drop_folder(spark, folder)
+    return out
 
 
 def learn(
@@ -148,34 +169,38 @@ def learn(
     """Train on at most ``SAMPLE`` labelled ids, one text each; None without any toxic one.
 
     The last category is the label itself; the ones before it grade it by how many distinct telling
-    words a toxic text holds.  Null labels and null texts teach nothing; an id with several labels or
+    words a toxic text holds.  The terms that an out-of-fold model reads are chosen without its fold.
+    Null labels and null texts teach nothing; an id with several labels or
     texts has the least of them.
     """
     known = labels.select(F.col(id_col), F.col(label_col)).filter(F.col(label_col).isNotNull())
     texts = sample_texts(docs, sample_ids(known, id_col, label_col, SAMPLE), id_col, text_col).select(
         "text", F.col("_label").cast("long").alias("label"), F.xxhash64("_id").alias("o"))
-    words = telling_terms(texts)
-    if not words:
+    texts = texts.withColumn("fold", F.pmod("o", F.lit(FOLDS)).cast("int"))
+    told = telling_terms(texts)
+    if not told[-1]:
         return None
-    hashes = _hash([w for w, _ in words])
+    terms = sorted({w for words in told.values() for w, _ in words})
+    hashes = _hash(terms)
     order = np.argsort(hashes)
-    hashes = hashes[order]
-    strong = np.array([odds >= 3.0 and not w.endswith("*") for w, odds in words])[order]
+    hashes, terms = hashes[order], [terms[i] for i in order]
+    chosen = {k: np.isin(terms, [w for w, _ in words]) for k, words in told.items()}
+    strong = np.isin(terms, [w for w, odds in told[-1] if odds >= 3.0 and not w.endswith("*")])
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in arrowtext.blocks(batch.column(0), rows=ROWS):
                 values = term_values(block, hashes).astype(np.float16)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x.tobytes() for x in values], pa.binary()), batch.column(1).slice(block.first, block.rows),
-                     batch.column(2).slice(block.first, block.rows)], names=["terms", "label", "o"])
+                    [pa.array([x.tobytes() for x in values], pa.binary()),
+                     *[batch.column(c).slice(block.first, block.rows) for c in (1, 2, 3)]], names=["terms", "label", "o", "fold"])
 
-    got = sorted(texts.mapInArrow(held, "terms binary, label long, o long").collect(), key=lambda r: (r.o, r.label, r.terms))
+    got = sorted(texts.mapInArrow(held, "terms binary, label long, o long, fold int").collect(), key=lambda r: (r.o, r.label, r.terms))
     rows = np.array([np.frombuffer(r.terms, np.float16) for r in got], np.float64)
     toxic = np.array([r.label for r in got], np.float64)
     hits = (rows[:, strong] > 0).sum(1)
     graded = {name: toxic * (hits >= least) for name, least in GRADES.items()} | {"toxic": toxic}
-    return fit(hashes, rows, graded, np.array([r.o % FOLDS for r in got]))
+    return fit(hashes, rows, graded, np.array([r.fold for r in got]), chosen, chosen[-1])
 
 
 def score(docs: DataFrame, chain: Chain | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
