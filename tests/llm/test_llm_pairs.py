@@ -7,7 +7,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 
-from weirflow.llm import decontamination, ngram_join, passages
+from weirflow.llm import arrowtext, decontamination, ngram_join, passages
 
 UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 SCHEMA = "doc_id long, text string, n long, set_id string, token string, row string, _id long"
@@ -72,6 +72,19 @@ def test_link_classes(docs, texts):
     assert (None, None, None) in got and sum(r[0] == 8 for r in got) == 2
 
 
+def test_more_text_has_more_partitions(docs, texts, monkeypatch):
+    few = arrowtext.parts_of(docs)
+    spans = {tuple(r) for r in passages.repeated_passages(docs).collect()}
+    monkeypatch.setattr(arrowtext, "PART_BYTES", 300)
+    size = sum(len((r.text or "").encode()) for r in docs.collect())
+    assert arrowtext.parts_of(docs) == -(-size // 300) > few
+    monkeypatch.setattr(arrowtext, "PART_BYTES", 2_000)
+    assert arrowtext.parts_of(docs) > few
+    got = {tuple(r) for r in ngram_join.link_classes(docs).collect()}
+    assert got - {(None, None, None)} == shingle_classes(texts)
+    assert {tuple(r) for r in passages.repeated_passages(docs).collect()} == spans
+
+
 def test_one_of_each(docs, texts):
     kept = ngram_join.one_of_each(docs)
     assert kept.columns == docs.columns

@@ -130,6 +130,13 @@ def array_hash(items):
     return h
 
 
+def test_trusted_ids_need_not_be_broadcast(spark, odd, monkeypatch):
+    ids = spark.createDataFrame([(5,), (0,), (None,), (5,)], "doc_id long")
+    small = quality_rules.log_ratios(odd, ids)
+    monkeypatch.setattr(quality_rules, "TRUSTED_BYTES", 0)
+    assert quality_rules.log_ratios(odd, ids) == small
+
+
 def test_quality_rules(spark, odd, none):
     docs = odd.select("doc_id", "text").unionByName(spark.createDataFrame(
         [(100 + k, t) for k, t in enumerate(["a b c d e f g h\n" * 3, "& | <x> a\na\n\na", "q " * 30, " ".join(map(str, range(50)))])],
@@ -236,6 +243,15 @@ def test_chain_uses_earlier_categories():
     assert ((got["a"] > 0.5) == first).mean() > 0.95 and ((got["b"] > 0.5) == first * x[:, 2]).mean() > 0.95
 
 
+def test_terms_are_chosen_without_the_fold(spark):
+    rows = [(k, k % 3 == 0, "vile words here" if k % 3 == 0 else "kind words here") for k in range(90)]
+    rows += [(90 + k, True, "odd") for k in range(4)]
+    texts = spark.createDataFrame([(t, int(bad), 4 if k >= 90 else k % 4) for k, bad, t in rows], "text string, label long, fold int")
+    told = {k: {w for w, _ in words} for k, words in toxicity.telling_terms(texts).items()}
+    assert set(told) == {-1, 0, 1, 2, 3, 4} and all("vile" in words for words in told.values())
+    assert all("odd" in told[k] for k in (-1, 0, 1, 2, 3)) and "odd" not in told[4]
+
+
 def test_secrets(spark, odd, none):
     docs = registry.documents(spark, SF)
     texts = {r.doc_id: r.text for r in docs.collect()}

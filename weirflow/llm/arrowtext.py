@@ -11,9 +11,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 BLOCK_BYTES = 1 << 20
+PART_BYTES = 32 << 20  # bytes of text for each partition of what is grouped in Python workers
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _STEP = 0xD6E8FEB86659FD93  # odd, so that it has an inverse modulo 2**64
 
@@ -37,6 +38,21 @@ def small_batches(spark: SparkSession, rows: int = 1_000):
         spark.conf.set(name, before)
 
 
+def parts_of(texts: DataFrame, text_col: str = "text") -> int:
+    """Partitions for what is cut from ``texts`` and grouped: the session's, or more where there is more text.
+
+    So what one group holds stays the same size, however the session is set.  Reads the texts' lengths once.
+    """
+    size = texts.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return max(8, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+
+
+def dealt(rows: DataFrame, by: str, parts: int) -> DataFrame:
+    """Rows ready to be grouped by ``by`` in ``parts`` partitions; the session's own number is left to the grouping."""
+    wanted = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, by) if parts > max(8, wanted) else rows
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit over all others."""
     x = x ^ (x >> np.uint64(30))

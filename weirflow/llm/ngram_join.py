@@ -32,7 +32,7 @@ CENTRES = 5              # sets that stand for an n-gram in a round of stars
 MEETS = 2                # of them that a set is compared with, by either measure
 ROUNDS = 2               # of stars; what they leave unconnected is compared in full
 BLOCK = 1 << 20
-FRAGMENTS_A_PART = 2     # fragments for each shuffle partition: what one group holds is small
+FRAGMENTS_A_PART = 2     # fragments for each partition: what one group holds is small
 _TOKEN_BYTES = 6
 _LOW = np.uint64((1 << (8 * _TOKEN_BYTES)) - 1)
 
@@ -75,14 +75,15 @@ def _cut(fragments: int, width: int):
     """Documents to their sets' segments, one row a fragment and block of texts.
 
     A set's id is a digest of its n-grams, so copies have one id wherever they are met; a task
-    passes each set on once.  Rows with a negative fragment say which set each document has; they are
+    passes each set on once.  Texts without a column of marks are all marked 0.  Rows with a negative fragment say which set each document has; they are
     spread over as many groups as there are fragments.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            doc_ids, marks = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (0, 2)]
+            doc_ids, *told = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (0, 2) if c < batch.num_columns]
+            marks = told[0] if told else np.zeros_like(doc_ids)
             for block in arrowtext.blocks(batch.column(1), BLOCK):
                 grams, offsets = arrowtext.shingles(*arrowtext.words(block), width)
                 ids, sizes, parts, fresh = [], [], [], []
@@ -197,6 +198,7 @@ def _survivors(fragments: int, percent: int):
         stays = 100 * held >= percent * n
         kept = stays[owner]
         owner, low, shared, fragment = owner[kept], low[kept], shared[kept], fragment[kept]
+        # beyond 65,536 fragments the upper bits of a fragment fall away; what is left still has 57 bits at 100 TB
         token = ((fragment.astype(np.uint64) << np.uint64(8 * _TOKEN_BYTES)) | low).view(np.int64)
         rows = np.flatnonzero(stays)
         place = np.cumsum(stays) - 1
@@ -331,14 +333,15 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, width: int = WIDTH, pe
     """(doc, n, set_id, mark, component_id) for each row with an id."""
     spark = docs.sparkSession
     folder = work_folder(spark)
-    fragments = FRAGMENTS_A_PART * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     picked = docs.select(
         F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"), _mark(text_col).alias("mark"))
+    partitions = arrowtext.parts_of(picked)
+    fragments = FRAGMENTS_A_PART * partitions
     cut = picked.filter("doc IS NOT NULL").mapInArrow(_cut(fragments, width), _RUNS)
     with arrowtext.small_batches(spark):
-        counted = written(cut.groupBy("fragment").applyInArrow(_count(fragments), _COUNTED), f"{folder}/counted")
+        counted = written(arrowtext.dealt(cut, "fragment", partitions).groupBy("fragment").applyInArrow(_count(fragments), _COUNTED), f"{folder}/counted")
     sets = written(
-        counted.filter("part >= 0").groupBy("part").applyInArrow(_survivors(fragments, percent), _SETS),
+        arrowtext.dealt(counted.filter("part >= 0"), "part", partitions).groupBy("part").applyInArrow(_survivors(fragments, percent), _SETS),
         f"{folder}/sets",
     )
     members = written(
