@@ -6,9 +6,10 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, Window, functions as F
 
-from weirflow.lineage import cut_lineage
+from weirflow.lineage import checkpoint_dir, cut_lineage, work_folder, written
 from weirflow.operators.shares import top_n
 
+
 def dense_index(df: DataFrame, column: str, out: str) -> DataFrame:
     """(column, out): distinct values numbered 0.. without a one-task sort.
 
@@ -44,9 +45,10 @@ def with_folds(ratings: DataFrame, folds: int = 3, seed: int = 42) -> DataFrame:
 
 
 def _als(rank: int, seed: int) -> ALS:
+    # an iteration's shuffle files go with its checkpoint; without one all of them stay until the last
     return ALS(
         rank=rank, maxIter=10, regParam=0.1, userCol="user", itemCol="item", ratingCol="rating",
-        coldStartStrategy="nan", seed=seed,
+        coldStartStrategy="nan", seed=seed, checkpointInterval=1,
     )
 
 
@@ -54,9 +56,13 @@ def fold_predictions(ratings: DataFrame, folds: int = 3, rank: int = 10, seed: i
     """Held-out predictions of every fold: user_id, product_id, rating, prediction, fold.
 
     A user or item that the fold's model has not seen gets the mean rating it was fitted on, so every
-    rating is predicted once.
+    rating is predicted once.  Ratings and predictions are kept as Parquet tables; of a model no more than
+    an iteration's shuffle files lie on disk.
     """
-    indexed = cut_lineage(with_folds(with_int_ids(ratings), folds, seed))
+    spark = ratings.sparkSession
+    checkpoint_dir(spark)  # ALS checkpoints only where one is set
+    once = written(ratings.select("user_id", "product_id", "rating"), work_folder(spark))
+    indexed = written(with_folds(with_int_ids(once), folds, seed), work_folder(spark))
     out = None
     for fold in range(folds):
         seen = indexed.filter(F.col("fold") != fold)
