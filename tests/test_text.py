@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import values
 from weirflow.operators import text as tx
-from weirflow.operators import recommend
+from weirflow.operators import recommend as ratings_by
 from weirflow.operators.recommend import dense_index, fold_errors, fold_predictions, rmse, top_items, with_folds, with_int_ids
 from weirflow.plans.topics import contrast_corpora, play_log, ratings_from_csv, recommend
 
@@ -141,8 +141,8 @@ def test_unseen_items_are_predicted_too(frame):
 def test_an_iteration_of_als_leaves_no_shuffle_files(spark, monkeypatch):
     """With one iteration more, no more than the checkpoints' interval of shuffle files may lie on disk."""
     fitted = []
-    plain = recommend._als
-    monkeypatch.setattr(recommend, "_als", lambda *a: fitted.append(plain(*a)) or fitted[-1])
+    plain = ratings_by._als
+    monkeypatch.setattr(ratings_by, "_als", lambda *a: fitted.append(plain(*a)) or fitted[-1])
     data = spark.createDataFrame([(u, p, float((u + p) % 5 + 1)) for u in range(12) for p in range(8)], "user_id long, product_id long, rating double")
     assert fold_predictions(data, 3, rank=2).count() == 96
     assert len(fitted) == 3 and {als.getCheckpointInterval() for als in fitted} == {1}
