@@ -36,6 +36,23 @@ def finish(query) -> None:
         raise query.exception()
 
 
+ROWS_PER_FILE = 500_000  # of a feed's batches
+
+
+def feed(parts, folder: str) -> int:
+    """Frames written one after the other as the batches of a file stream; returns the files of each.
+
+    A batch has as many files as its share of the rows needs, so that no task reads or writes all of it.
+    A part without rows has one file.
+    """
+    files = max(1, -(-max(part.count() for part in parts) // ROWS_PER_FILE))
+    for part in parts:
+        # rows are dealt out in turn: every file gets some, unless the part has fewer rows than files
+        dealt = part.repartition(files) if files > 1 else part.coalesce(1)
+        dealt.write.mode("append").parquet(folder)
+    return files
+
+
 CHANGE = T.StructType(
     [
         T.StructField("id", T.LongType()),
@@ -102,10 +119,8 @@ def upsert(spark, d):
     work = work_folder(spark)
     log = table(spark, d, "lineitem")
     again = log.filter("l_orderkey % 2 = 0").withColumn("l_shipdate", F.expr("l_shipdate + INTERVAL 100 YEARS"))
-    again.coalesce(1).write.parquet(f"{work}/feed")
-    for k in range(2):
-        log.filter(F.pmod(F.hash("l_partkey"), F.lit(2)) == k).coalesce(1).write.mode("append").parquet(f"{work}/feed")
-    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/feed")
+    files = feed([again, *[log.filter(F.pmod(F.hash("l_partkey"), F.lit(2)) == k) for k in range(2)]], f"{work}/feed")
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", files).parquet(f"{work}/feed")
     finish(upsert_stream(stream, f"{work}/table", tb.ITEM_KEYS, tb.ITEM_ORDER, f"{work}/marks", f"{work}/merge", "l_linenumber"))
     return read_keyed(spark, f"{work}/table").select("l_orderkey", "l_linenumber", "l_shipdate", "l_suppkey", "l_extendedprice")
 
@@ -147,9 +162,8 @@ def state_upsert(spark, d):
     """The newest line of each part, kept as keyed state over four batches whose lines come in no order of time."""
     work = work_folder(spark)
     log = table(spark, d, "lineitem").select("l_partkey", *STATE_ORDER)
-    for k in range(4):
-        log.filter(F.pmod(F.hash("l_orderkey"), F.lit(4)) == k).coalesce(1).write.mode("append").parquet(f"{work}/feed")
-    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/feed")
+    files = feed([log.filter(F.pmod(F.hash("l_orderkey"), F.lit(4)) == k) for k in range(4)], f"{work}/feed")
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", files).parquet(f"{work}/feed")
     newer = newest_by_state(stream, ["l_partkey"], STATE_ORDER, "l_shipdate", "20000 days", "20000 days")
     finish(write_updates(newer, f"{work}/table", f"{work}/marks"))
     return newest(spark.read.parquet(f"{work}/table").drop("batch_id"), ["l_partkey"], STATE_ORDER).drop("l_quantity")
