@@ -53,18 +53,22 @@ def newest_by_state(
             return
         kept = tuple(state.get) if state.exists else None
         best, latest = (kept[:-1], kept[-1]) if kept else (None, None)
-        first = best
+        first, top, newer = best, None if best is None else _rank(best, places), None
         for frame in frames:
-            for row in frame[[*names, _EVENT]].itertuples(index=False, name=None):
-                row, at = tuple(map(_plain, row[:-1])), _plain(row[-1])
-                if best is None or _rank(row, places) > _rank(best, places):
-                    best = row
+            at_of = list(map(frame.columns.get_loc, [*names, _EVENT]))
+            # one array of a frame's cells: a pandas call per column and key would cost more than all else
+            for i, cells in enumerate(frame.to_numpy(dtype=object).tolist()):
+                *row, at = [_plain(cells[p]) for p in at_of]
+                rank = _rank(row, places)
+                if top is None or rank > top:
+                    best, top, newer = tuple(row), rank, (frame, i, at_of[:-1])
                 latest = at if latest is None else max(latest, at if at is not None else latest)
         state.update((*best, latest))
         due = (latest or 0) + wait
         state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
-        if best != first:
-            yield pd.DataFrame([best], columns=names)
+        if newer is not None and best != first:
+            frame, i, columns = newer
+            yield frame.iloc[i:i + 1, columns]
 
     return fed.groupBy(*keys).applyInPandasWithState(run, schema, state_schema, "update", GroupStateTimeout.EventTimeTimeout)
 
