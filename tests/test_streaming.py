@@ -8,6 +8,7 @@ from conftest import values
 from test_conform import KEYS, encrypted
 from weirflow.operators.versions import newest
 from weirflow.sources.writers import read_keyed
+from weirflow.catalog import flows
 from weirflow.streaming.ingest import ingest_changes, text_schema, upsert_stream
 from weirflow.streaming.numbered import ingest_numbered, numbered_files
 from weirflow.streaming.state import newest_by_state, write_updates
@@ -195,3 +196,13 @@ def test_state_lets_old_keys_go(spark, tmp_path):
     left = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
     assert left[-1] == 1
     assert spark.read.parquet(str(tmp_path / "table")).filter("k = 'old'").count() == 1
+
+
+def test_a_feed_has_a_file_for_each_share_of_its_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(flows, "ROWS_PER_FILE", 100)
+    folder = str(tmp_path / "feed")
+    files = flows.feed([spark.range(350), spark.range(350, 700), spark.range(700, 1020)], folder)
+    rows = spark.read.parquet(folder).groupBy(F.input_file_name()).count().collect()
+    assert files == 4 and len(rows) == 12 and sum(r[1] for r in rows) == 1020 and max(r[1] for r in rows) < 200
+    monkeypatch.undo()
+    assert flows.feed([spark.range(10), spark.range(0)], str(tmp_path / "small")) == 1
