@@ -73,3 +73,25 @@ def test_blocks_follow_the_ratings_and_the_hottest_key(spark):
     ratings = spark.range(1000).selectExpr("id AS user_id", "IF(id < 400, 0, id) AS product_id", "1.0 AS rating")
     assert factors.blocks_for(ratings, 1000) == 2
     assert factors.blocks_for(ratings, 10) == 40
+
+
+@pytest.mark.parametrize("n_users, n_items", [(400, 300), (1, 50), (40, 2)])
+def test_ratings_taken_together_equal_one_after_the_other(n_users, n_items, monkeypatch):
+    draw = np.random.default_rng(3)
+    pairs = np.unique(np.stack([draw.integers(0, n_users, 900), draw.integers(0, n_items, 900)], 1), axis=0)
+    users, items, ratings = pairs[:, 0], pairs[:, 1], draw.uniform(1, 5, len(pairs))
+    level = factors.waits(users, items)
+    for k in range(level.max() + 1):
+        at = level == k
+        assert len(set(users[at])) == len(set(items[at])) == at.sum()
+    if n_users == 400:
+        assert level.max() < 60  # ratings share few users and items: far fewer steps than ratings
+
+    def run(together):
+        monkeypatch.setattr(factors, "TOGETHER", together)
+        rows = np.random.default_rng(5).normal(0, 0.1, (n_users, 4)), np.random.default_rng(6).normal(0, 0.1, (n_items, 4))
+        biases = np.zeros(n_users), np.zeros(n_items)
+        factors.descend(users, items, ratings, 3.0, biases, rows, 0.05, 0.02)
+        return np.concatenate([x.ravel() for x in (*biases, *rows)])
+
+    assert np.abs(run(1) - run(10**9)).max() < 1e-9

@@ -18,6 +18,7 @@ from weirflow.lineage import cut_lineage, drop_folder, work_folder, written
 
 CELL = 250_000   # ratings one task descends through, by which the number of blocks is chosen
 LEAST_BLOCKS = 2
+TOGETHER = 8     # ratings from which one step for all is cheaper than a step each
 # fixed values: the usual settings of this model
 RANK, EPOCHS, RATE, PENALTY, SPREAD = 100, 20, 0.005, 0.02, 0.1
 USER, ITEM, RATING = 0, 1, 2
@@ -41,18 +42,43 @@ def descend(
 ) -> None:
     """One pass over some ratings, in their order, changing biases and factors in place.
 
-    ``users`` and ``items`` index the rows of the first and second array of each pair.
+    ``users`` and ``items`` index the rows of the first and second array of each pair.  A rating waits for
+    the earlier ones of its user and its item only; ratings that wait for nothing more share neither, so
+    they are taken together, with the result of one after the other.
     """
     user_bias, item_bias = biases
     of_user, of_item = factors
-    for u, i, r in zip(users.tolist(), items.tolist(), ratings.tolist()):
-        p, q = of_user[u], of_item[i]
-        error = r - (mean + user_bias[u] + item_bias[i] + p @ q)
-        user_bias[u] += rate * (error - penalty * user_bias[u])
-        item_bias[i] += rate * (error - penalty * item_bias[i])
-        step = rate * (error * q - penalty * p)
-        q += rate * (error * p - penalty * q)
-        p += step
+    level = waits(users, items)
+    order = np.argsort(level, kind="stable")
+    for at in np.split(order, np.flatnonzero(np.diff(level[order])) + 1):
+        if len(at) >= TOGETHER:
+            u, i = users[at], items[at]
+            p, q, a, b = of_user[u], of_item[i], user_bias[u], item_bias[i]
+            error = ratings[at] - (mean + a + b + np.einsum("ij,ij->i", p, q))
+            user_bias[u], item_bias[i] = a + rate * (error - penalty * a), b + rate * (error - penalty * b)
+            error = error[:, None]
+            of_user[u], of_item[i] = p + rate * (error * q - penalty * p), q + rate * (error * p - penalty * q)
+            continue
+        for u, i, r in zip(users[at].tolist(), items[at].tolist(), ratings[at].tolist()):
+            p, q = of_user[u], of_item[i]
+            error = r - (mean + user_bias[u] + item_bias[i] + p @ q)
+            user_bias[u] += rate * (error - penalty * user_bias[u])
+            item_bias[i] += rate * (error - penalty * item_bias[i])
+            step = rate * (error * q - penalty * p)
+            q += rate * (error * p - penalty * q)
+            p += step
+
+
+def waits(users: np.ndarray, items: np.ndarray) -> np.ndarray:
+    """For each rating the length of the longest chain of earlier ones that share a user or an item, link by link."""
+    of_user, of_item = [0] * (int(users.max(initial=-1)) + 1), [0] * (int(items.max(initial=-1)) + 1)
+    out = []
+    for u, i in zip(users.tolist(), items.tolist()):
+        a, b = of_user[u], of_item[i]
+        longest = a if a > b else b
+        out.append(longest)
+        of_user[u] = of_item[i] = longest + 1
+    return np.array(out, dtype=np.int64)
 
 
 def _block(key: Column, blocks: int) -> Column:
@@ -128,7 +154,11 @@ def fit_folds(
         F.col("fold").cast("int").alias("fold"), F.lit(RATING).alias("kind"), F.col("user_id").cast("long").alias("id"),
         F.col("product_id").cast("long").alias("other"), _block(F.col("user_id"), n).alias("cell"), _block(F.col("product_id"), n).alias("block"),
         F.col("rating").alias("bias"), F.lit(None).cast("array<double>").alias("factors"))
-    trained = written(trained, f"{folder}/trained")
+    # a folder a stratum: each reads its own ratings, not all of them
+    stratum = F.pmod(F.col("block") - F.col("cell"), F.lit(n))
+    trained = trained.withColumn("stratum", stratum)
+    trained.repartition("stratum", "fold", "cell").write.partitionBy("stratum").parquet(f"{folder}/trained")
+    trained = spark.read.schema(trained.schema).parquet(f"{folder}/trained")
 
     def begin(batches):
         for batch in batches:
@@ -148,7 +178,7 @@ def fit_folds(
         # user block c meets item block c + k: the cell of a user is its block, of an item the user block it meets
         cell = F.when(F.col("kind") == USER, F.col("block")).otherwise(F.pmod(F.col("block") - F.lit(k % n), F.lit(n)))
         rows = state.select("fold", "kind", "id", none.alias("other"), cell.alias("cell"), "block", "bias", "factors")
-        now = trained.filter(F.col("block") == F.pmod(F.col("cell") + F.lit(k % n), F.lit(n)))
+        now = trained.filter(F.col("stratum") == k % n).drop("stratum")
         task = _stratum(means, rank, rate, penalty)
         state = written(rows.unionByName(now).groupBy("fold", "cell").applyInArrow(task, _FACTORS), f"{folder}/state-{k + 1}")
         drop_folder(spark, f"{folder}/state-{k}")
