@@ -172,3 +172,11 @@ def test_batches_by_characters(spark, frame, tmp_path):
     assert sum(r.characters for r in out) == sum(len(str(k)) + len(t or "") for k, t in rows)
     assert all(r.characters <= 100 or r.rows == 1 for r in out) and max(r.characters for r in out) == 503
     assert spark.read.parquet(str(tmp_path / "b")).count() == 202
+
+
+def test_ranges_of_a_log_follow_its_keys(spark):
+    log = lambda n: spark.range(n).withColumnRenamed("id", "key")
+    assert keyed_log.range_size(log(0), "key", 2000) == 2000
+    assert keyed_log.range_size(log(10_000), "key", 2000) == 2000
+    size = keyed_log.range_size(log(3_000_000), "key", 2000)
+    assert 2_999_999 // size + 1 <= keyed_log.RANGES + 1

@@ -14,7 +14,7 @@ from weirflow.operators.increments import (
     FIRST_MARK, advance, all_versions_of, changed_keys, in_window, next_window,
     not_yet_scored,
 )
-from weirflow.operators.keyed_log import append_log, versions_of
+from weirflow.operators.keyed_log import append_log, range_size, versions_of
 from weirflow.operators.versions import newest
 from weirflow.plans.refine import leads, people
 from weirflow.sources.readers import key_ranges, profile, select_files
@@ -109,7 +109,7 @@ def changed(spark, d):
     return newest(versions, tb.ITEM_KEYS, tb.ITEM_ORDER).select(*tb.ITEM_KEYS, "l_shipdate", "l_extendedprice")
 
 
-KEYED = {"size": 2_000, "buckets": 4}  # of the small log below
+KEYED = {"size": 2_000, "buckets": 4}  # of the log below while it is small
 
 
 @register("keyed_log", QUERIES["changed_keys"][1])
@@ -117,13 +117,14 @@ def keyed(spark, d):
     """The same from a log laid out by key, appended to twice: only ranges that hold a changed key are read."""
     name, folder = f"weirflow_{uuid.uuid4().hex}", work_folder(spark)
     log, orders = table(spark, d, "lineitem"), table(spark, d, "orders")
+    layout = KEYED | {"size": range_size(log, "l_orderkey", KEYED["size"])}
     for late in (False, True):
-        append_log(log.filter((F.col("l_shipdate") >= ts(MIDDLE)) == late), name, ["l_orderkey"], **KEYED)
+        append_log(log.filter((F.col("l_shipdate") >= ts(MIDDLE)) == late), name, ["l_orderkey"], **layout)
     touched = changed_keys(
         (in_window(orders, MIDDLE, LAST, "o_orderdate"), {"l_orderkey": "o_orderkey"}),
         (in_window(log, MIDDLE, LAST, "l_shipdate"), {"l_orderkey": "l_orderkey"}),
     )
-    versions = versions_of(spark, name, touched, ["l_orderkey"], KEYED["size"])
+    versions = versions_of(spark, name, touched, ["l_orderkey"], layout["size"])
     newest(versions, tb.ITEM_KEYS, tb.ITEM_ORDER).select(*tb.ITEM_KEYS, "l_shipdate", "l_extendedprice").write.parquet(folder)
     spark.sql(f"DROP TABLE {name}")
     return spark.read.parquet(folder)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 RANGE = "key_range"
 KEYS_IN_RANGE = 1_000_000
 BUCKETS = 64
+RANGES = 256
 
 
 def key_range(key: Column, size: int = KEYS_IN_RANGE) -> Column:
@@ -20,6 +21,15 @@ def key_range(key: Column, size: int = KEYS_IN_RANGE) -> Column:
     return F.coalesce(F.floor(key / F.lit(size)), F.lit(-1)).cast("long")
 
 
+def range_size(log: DataFrame, key: str, least: int, ranges: int = RANGES) -> int:
+    """Keys in a range so that the log's keys make about ``ranges`` of them, ``least`` at least.
+
+    A table keeps the size that it was made with: folders then grow with the keys added later only.
+    """
+    span = log.agg((F.max(key) - F.min(key)).alias("span")).first().span
+    return max(least, -(-int(span or 0) // ranges))
+
+
 def append_log(
     log: DataFrame, table: str, keys: Sequence[str], size: int = KEYS_IN_RANGE, buckets: int = BUCKETS,
 ) -> None:
@@ -28,8 +38,10 @@ def append_log(
     ``size`` and ``buckets`` are the table's own and must not change.
     """
     placed = log.withColumn(RANGE, key_range(F.col(keys[-1]), size))
-    # a bucket's rows meet in one task, so each range and bucket is one sorted file an append
-    writer = placed.repartition(buckets, *keys).write.partitionBy(RANGE).bucketBy(buckets, *keys).sortBy(*keys)
+    # the rows of a range's bucket meet in one task, so each is one sorted file an append; a bucket of all
+    # ranges would be a task that grows with the log
+    bucket = F.pmod(F.hash(*keys), F.lit(buckets))
+    writer = placed.repartition(RANGE, bucket).write.partitionBy(RANGE).bucketBy(buckets, *keys).sortBy(*keys)
     if log.sparkSession.catalog.tableExists(table):
         writer.mode("append").saveAsTable(table)
     else:
