@@ -13,7 +13,7 @@ from pyspark.sql import Window, functions as F, types as T
 from weirflow.catalog.testbed import comparable, sql, table
 from weirflow.functions import fixed
 from weirflow.functions.codecs import compress_long, decrypt_line, gunzip, inflate
-from weirflow.lineage import cut_lineage
+from weirflow.lineage import cut_lineage, work_folder, written
 from weirflow.operators import factors
 from weirflow.operators.recommend import fold_errors, fold_predictions, top_items
 from weirflow.operators.skew import widen
@@ -122,8 +122,9 @@ NUMBERED = "numbered AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id O
   "SELECT term, count(DISTINCT doc_id) AS df FROM joined2 WHERE contains(term, '_') GROUP BY term"))
 def phrase_tokens(spark, d):
     """Two- and three-word phrases as single terms, with the number of documents using each."""
-    one = docs(spark, d)
-    two = join_phrases(one, "doc_id", "tokens", phrases(one, "tokens"))
+    # each is read by the counts, the places and the texts themselves: cut into words and joined once
+    one = written(docs(spark, d), work_folder(spark))
+    two = written(join_phrases(one, "doc_id", "tokens", phrases(one, "tokens")), work_folder(spark))
     three = join_phrases(two, "doc_id", "tokens", phrases(two, "tokens"))
     return document_frequency(three, "tokens").filter(F.col("term").contains("_"))
 
