@@ -9,7 +9,7 @@ from pyspark.ml.feature import IDF, CountVectorizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weirflow.functions import fixed
-from weirflow.lineage import cut_lineage
+from weirflow.lineage import cut_lineage, work_folder, written
 
 
 def _starts(t: Column, starts: Sequence[str]) -> Column:
@@ -225,6 +225,8 @@ def topic_contrast(df: DataFrame, tokens_col: str, label_col: str, labels: Seque
     """Topics of each label's documents over one shared vocabulary."""
     limits = {k: options.pop(k) for k in ("min_docs", "max_share", "max_terms", "with_idf") if k in options}
     bags, vocab = bag_of_words(df, tokens_col, **limits)
+    # each step of each label's model samples the bags anew: they are stored once, without the texts
+    bags = written(bags.select(label_col, "bag"), work_folder(df.sparkSession))
     out = None
     for label in labels:
         part = topics(bags.filter(F.col(label_col) == label), vocab, **options).withColumn(

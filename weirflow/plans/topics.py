@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from weirflow.lineage import work_folder, written
 from weirflow.operators.joins import enrich
 from weirflow.operators.recommend import fold_errors, fold_predictions, top_items
 from weirflow.operators.text import join_phrases, phrases, topic_contrast, topic_tokens
@@ -17,7 +18,8 @@ def contrast_corpora(
     **options,
 ) -> DataFrame:
     """Topics of each label's texts, with two-word phrases as single terms on request."""
-    prepared = docs.select(doc, label_col, topic_tokens(F.col(text_col)).alias("tokens"))
+    # texts are cut into words once
+    prepared = written(docs.select(doc, label_col, topic_tokens(F.col(text_col)).alias("tokens")), work_folder(docs.sparkSession))
     if with_phrases:
         prepared = join_phrases(prepared, doc, "tokens", phrases(prepared, "tokens"))
     return topic_contrast(prepared, "tokens", label_col, labels, **options)
