@@ -282,6 +282,42 @@ def test_near_passages_of_the_least_length(spark):
     assert near_recall(spark, 50, 1, 200) >= 0.95
 
 
+def test_near_passages_of_later_documents_only(spark):
+    """Earlier documents hold the middle of a passage, too little to be alike, that later ones hold nearly whole."""
+    rng = random.Random(17)
+    some = lambda n: [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    middle = some(40)
+    rows = [(k, " ".join(some(rng.randrange(60, 90)) + middle + some(80))) for k in range(6)]
+    places = {}
+    for t in range(40):
+        passage = some(12) + middle + some(12)
+        for group in (1, 2):
+            own = list(passage)
+            if group == 2:
+                own[8 if t % 2 else 55] = "other"
+            k = rng.randrange(200)
+            rows.append((1000 * group + t, " ".join(some(k) + own + some(200 - k))))
+            places[1000 * group + t] = (k, k + len(own))
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    covered, classes = passage_classes(got)
+    assert all(set(range(a + 12, b - 12)) <= covered.get(doc, set()) for doc, (a, b) in places.items())
+    assert all(classes[1000 + t] & classes[2000 + t] for t in range(40))
+    assert not set(range(6)) & set(covered)
+
+
+def test_equal_stretches():
+    """Found whatever the tokens are, repeated ones too."""
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        a, b = (rng.integers(0, 3, 60).astype(np.uint32) for _ in "ab")
+        k = rng.integers(0, 40)
+        b[10:25] = a[k : k + 15]
+        held = {b[i : i + 8].tobytes() for i in range(len(b) - 7)}
+        want = {j for i in range(len(a) - 7) if a[i : i + 8].tobytes() in held for j in range(i, i + 8)}
+        got = passages.equal_stretches(a, b, 8)
+        assert {j for first, last in got for j in range(first, last + 1)} == want and got == sorted(got)
+
+
 def test_memberships_are_spread():
     """Blocks of different batches don't meet in one group."""
     cut = ngram_join._cut(16, 5)
