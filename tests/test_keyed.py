@@ -7,6 +7,7 @@ from pyspark.sql import functions as F, types as T
 
 from conftest import values
 from weirflow.operators import keyed_log, sketches
+from weirflow.operators import nesting
 from weirflow.operators.nesting import nest, nest_many, parent_and_rest, unnest
 from weirflow.operators.positions import batches_by_size, positions, running_sums
 from weirflow.sources import writers
@@ -80,6 +81,20 @@ def test_slices_are_full_in_order_and_hold_every_element(spark, size):
     assert values(unnest(nested, "products", ["o"])) == values(items)
 
 
+def test_slices_of_collected_and_of_placed_keys_agree(spark, monkeypatch):
+    """Keys of up to ``whole`` elements are cut where they lie, larger ones are placed by range."""
+    placed = []
+    monkeypatch.setattr(nesting, "positions", lambda df, *args, **options: placed.append(df.count()) or positions(df, *args, **options))
+    items = spark.range(1000).selectExpr("CASE WHEN id < 30 THEN 'a' WHEN id < 95 THEN 'b' WHEN id < 300 THEN NULL ELSE 'd' END AS o", "id")
+    want = {("a", 30), ("b", 65), (None, 205), ("d", 700)}
+    rows = lambda df: sorted((str(r.o), r.slice, [p.id for p in r.products]) for r in df.collect())
+    cut = rows(nest(items, ["o"], ["id"], "products", limit=20))
+    assert placed == []
+    both = rows(nest(items, ["o"], ["id"], "products", limit=20, whole=100))
+    assert placed == [905] and cut == both
+    assert sorted((o, k, len(p)) for o, k, p in cut) == sorted((str(o), k, min(20, n - 20 * k)) for o, n in want for k in range(-(-n // 20)))
+
+
 def test_each_of_several_arrays_is_sliced_by_its_own_places(spark):
     a = spark.range(250).selectExpr("0L AS k", "id AS x")
     b = spark.range(30).selectExpr("id % 2 AS k", "id AS y")
