@@ -93,6 +93,33 @@ def test_staging_orders(frame, clients):
         assert helper not in out.columns
 
 
+def test_newest_items_of_ids_that_move_between_orders(frame):
+    """As ranked over all versions of an id, whichever orders they name; a null id is a key of its own."""
+    item = lambda e, n, i, o, q: ("House", e, at(n), i, o, 7, "c", "text", q, Decimal(1), Decimal(q))
+    rows = [item("z/1", 1, 1, 10, 1), item("z/2", 2, 1, 11, 2), item("z/3", 3, 1, 10, 3), item("z/1", 1, 2, 10, 4), item("z/1", 1, 3, 11, 5), item("z/1", 1, 3, 12, 6),
+            item("z/1", 1, None, 10, 7), item("z/2", 1, None, 11, 8), item("z/1", 1, 4, 12, 9), item("z/1", 1, 4, 12, 9)]
+    versions = frame(ITEM, *rows)
+    got = refine._newest_items(versions)
+    assert values(got) == values(refine.newest(versions, refine.NAMED, refine.VERSION)) and got.count() == 5
+
+
+def test_a_window_moves_no_items_of_bucketed_logs(spark, frame, clients):
+    """The items of a log that is stored by client and order stay where they lie until they are nested."""
+    item = lambda k: ("House", "z/1", at(k % 7), k, k % 50, 7, "c", "text", k, Decimal(1), Decimal(k))
+    frame(ITEM, *[item(k) for k in range(500)]).repartition(4, "client", "order_id").write.bucketBy(4, "client", "order_id").saveAsTable("moved_items")
+    try:
+        touched = frame("client string, order_id long", *[("House", k) for k in range(40)])
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        versions = refine.all_versions_of(spark.table("moved_items"), touched, {"client": "client", "order_id": "order_id"})
+        plan = versions._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1, plan  # the touched keys
+        own = refine.newest(versions, ["client", "order_id", "id"], refine.VERSION).groupBy("client", "order_id").count()
+        assert own._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1 and own.count() == 40
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE moved_items")
+
+
 def test_legacy_owner_is_always_the_sponsor(frame, clients):
     out = orders_of(frame, clients, str(at(5)), str(at(9)), legacy_owner=True)
     assert values(out, "order_id", "commission_user_id") == [(100, 9), (101, 9), (102, 3)]
