@@ -5,6 +5,7 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from weirflow.llm import arrowtext, decontamination, ngram_join, passages
@@ -372,3 +373,46 @@ def test_contamination(spark):
     assert cut[0] is None and cut[4] == item.replace("mu", "my") and "ALPHA" not in cut[2] and cut[2].startswith("say: ")
     none = spark.createDataFrame([], "item_id long, text string")
     assert {r.n_hit for r in decontamination.contamination(docs, none).collect()} == {0}
+
+
+def _pairs_of(batches) -> set:
+    met = [b for b in batches if b.column(0)[0].as_py() != passages._MANY]
+    cells = [(np.frombuffer(b.column(1)[i].as_py(), np.int64), np.frombuffer(b.column(2)[i].as_py(), np.int64)) for b in met for i in range(b.num_rows)]
+    return {p for x, c in cells for p in zip(x.tolist(), c.tolist())}
+
+
+def test_pairs_of_a_run_that_many_hold():
+    n = 300
+    blobs = [np.arange(n, dtype=np.int64), np.arange(n, dtype=np.int32), np.full(n, 7, np.uint64)]
+    batch = pa.RecordBatch.from_arrays([pa.array([0]), *[pa.array([v.tobytes()], pa.binary()) for v in blobs]], names=passages._DEALT.names)
+    stars = list(passages._stars(4)(iter([batch])))
+    assert _pairs_of(stars) == {(0, i) for i in range(1, n)}
+    many = pa.Table.from_batches([b for b in stars if b.column(0)[0].as_py() == passages._MANY])
+    held = pa.Table.from_batches(passages._stretches(iter(many.to_batches())))
+    assert held.column("doc").to_pylist() == list(range(1, n))
+
+
+def test_pairs_that_are_not_settled():
+    ids, classes, settled = np.arange(1, 13), np.array([1] * 5 + [6] * 5 + [1, 12]), np.array([True] * 10 + [False] * 2)
+    columns = [np.full(12, 7), ids, np.arange(12), np.arange(12) + 15, classes, settled]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[*passages._HELD.names, "class", "settled"])
+    wanted = {(a, b) for a in range(1, 13) for b in range(a + 1, 13) if b > 10 or (a <= 5 < b)}
+    assert _pairs_of(passages._unsettled(4)(iter([batch]))) == wanted
+    some = _pairs_of(passages._unsettled(4, 3)(iter([batch])))
+    assert some < wanted and {x for p in some for x in p} >= {11, 12}
+
+
+def test_likely_stretches():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        places = np.flatnonzero(rng.random(40) < rng.choice([0.5, 0.8, 0.95]))
+        held = set()
+        for i, s in enumerate(places):
+            for j in range(i, len(places)):
+                n, length = j - i + 1, places[j] - s + 1
+                if 180 * n >= 160 * 8 and 100 * n >= 80 * length:
+                    held |= set(range(s, places[j] + 1))
+        got = set()
+        for first, last in passages.likely_stretches(places, 80, 8):
+            got |= set(range(first, last + 1))
+        assert got >= held and (bool(got) == bool(held))
