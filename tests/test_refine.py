@@ -1,9 +1,12 @@
 import datetime as dt
 from decimal import Decimal
+from functools import partial
 
 import pytest
 
 from conftest import values
+from parity import compare, connect
+from weirflow.catalog import refined
 from weirflow.functions.dates import ts
 from weirflow.plans import refine
 from weirflow.plans.sellers import seller_metrics_from_logs
@@ -147,3 +150,12 @@ def test_seller_metrics_take_the_newest_versions(frame, clients):
     assert (row.lifetime_total_autoship_count, row.lifetime_total_wholesale_count) == (0, None)
     only = seller_metrics_from_logs(users, orders, clients, ts(at(240)), only_clients=["PLAIN"])
     assert only.count() == 0
+
+
+@pytest.mark.parametrize("name", ["staging_orders", "refine_cycle"])
+def test_an_order_longer_than_an_array_keeps_all_its_items(spark, monkeypatch, name):
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(refine, "staged_orders", partial(refine.staged_orders, limit=3))
+    run, text = refined.QUERIES[name]
+    ok, note = compare(run(spark, sf), connect(sf), text)
+    assert ok, note
