@@ -198,6 +198,29 @@ def test_state_lets_old_keys_go(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "table")).filter("k = 'old'").count() == 1
 
 
+def test_state_is_called_once_for_many_keys(spark, tmp_path):
+    big = 2**62
+    for n in range(2):
+        rows = [(f"k{i}" if i else None, on(i % 7 + n) if i % 11 else None, big + i if i % 5 else None, str(n)) for i in range(2000)]
+        query = state_run(spark, tmp_path, rows)
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 256
+    out = spark.read.parquet(str(tmp_path / "table")).filter("v = '1'")
+    # a key's own null, whole numbers beside nulls as they are, and every key's second version; without a time the text decides
+    assert values(out, "k", "at", "n", "v") == values(spark.createDataFrame(rows, STATE))
+
+
+def test_state_drops_a_key_beside_one_that_stays(spark, tmp_path):
+    run_one = lambda rows: run(write_updates(newest_by_state(
+        spark.readStream.schema(STATE).option("maxFilesPerTrigger", 1).parquet(rows), ["k"], ["at", "n"], "at", "100 days", "10 days", 1),
+        str(tmp_path / "table"), str(tmp_path / "marks")))
+    feed = str(tmp_path / "feed")
+    for batch in ([("old", on(0), 1, "x"), ("young", on(150), 1, "y")], [("young", on(151), 1, "z")], [("old", on(60), 0, "again"), ("young", on(150), 1, "late")]):
+        spark.createDataFrame(batch, STATE).coalesce(1).write.mode("append").parquet(feed)
+        run_one(feed)
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "table")).orderBy("batch_id", "k").select("k", "v").collect() if r] == [
+        ("old", "x"), ("young", "y"), ("young", "z"), ("old", "again")]
+
+
 def test_a_feed_has_a_file_for_each_share_of_its_rows(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(flows, "ROWS_PER_FILE", 100)
     folder = str(tmp_path / "feed")

@@ -18,7 +18,7 @@ from weirflow.plans.scores import import_scores
 from weirflow.sources.writers import export_csv_per_client, read_keyed
 from weirflow.streaming.ingest import ingest_changes, upsert_stream
 from weirflow.streaming.numbered import ingest_numbered
-from weirflow.streaming.state import newest_by_state, write_updates
+from weirflow.streaming.state import BUCKETS, newest_by_state, write_updates
 
 QUERIES: dict = {}
 
@@ -152,6 +152,7 @@ def numbered_copy(spark, staged: str, folder: str) -> None:
         files.rename(found.getPath(), path(f"{folder}/cdc-{number}"))
 
 
+STATE_ROWS = 100_000  # lines of a bucket of parts, about
 STATE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity"]
 
 
@@ -164,7 +165,8 @@ def state_upsert(spark, d):
     log = table(spark, d, "lineitem").select("l_partkey", *STATE_ORDER)
     files = feed([log.filter(F.pmod(F.hash("l_orderkey"), F.lit(4)) == k) for k in range(4)], f"{work}/feed")
     stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", files).parquet(f"{work}/feed")
-    newer = newest_by_state(stream, ["l_partkey"], STATE_ORDER, "l_shipdate", "20000 days", "20000 days")
+    buckets = max(BUCKETS, -(-log.count() // STATE_ROWS))
+    newer = newest_by_state(stream, ["l_partkey"], STATE_ORDER, "l_shipdate", "20000 days", "20000 days", buckets)
     finish(write_updates(newer, f"{work}/table", f"{work}/marks"))
     return newest(spark.read.parquet(f"{work}/table").drop("batch_id"), ["l_partkey"], STATE_ORDER).drop("l_quantity")
 
