@@ -52,6 +52,24 @@ def test_strata_equal_a_plain_descent(spark, dealt, blocks):
     assert n == len(got) and any(abs(b) > 1e-3 for b, _ in got.values())
 
 
+def test_what_lies_between_strata_is_a_row_a_slab(spark, dealt, monkeypatch):
+    rows, write = [], factors.written
+
+    def counted(df, folder):
+        out = write(df, folder)
+        if "/state-" in folder:
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(factors, "written", counted)
+    model = lambda: {(r.fold, r.kind, r.id): (r.bias, r.factors) for r in factors.fit_folds(dealt, 3, blocks=2, **SETTINGS)[0].collect()}
+    whole = model()
+    assert rows == [3 * 2 * 2] * (2 * SETTINGS["epochs"] + 1)  # a row for each fold, kind and block, however many ids
+    monkeypatch.setattr(factors, "SLAB", 64)
+    cut = model()
+    assert cut == whole and rows[-1] > len(whole) / 3
+
+
 def test_every_rating_is_predicted_and_unknown_ones_by_the_mean(spark):
     rows = [(u, p, float(u % 5 + 1), (u + p) % 3) for u in range(30) for p in range(20)] + [(99, 5, 2.0, 1), (3, 88, 4.0, 2), (98, 87, 1.0, 0)]
     ratings = spark.createDataFrame(rows, "user_id long, product_id long, rating double, fold int")

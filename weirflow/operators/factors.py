@@ -22,7 +22,11 @@ TOGETHER = 8     # ratings from which one step for all is cheaper than a step ea
 # fixed values: the usual settings of this model
 RANK, EPOCHS, RATE, PENALTY, SPREAD = 100, 20, 0.005, 0.02, 0.1
 USER, ITEM, RATING = 0, 1, 2
+SLAB = 4 << 20   # bytes of factors, or ratings' ids, in one stored row
 _FACTORS = "fold int, kind int, id long, block int, bias double, factors array<double>"
+#: ids and their numbers as bytes: a row holds a slab of a block, or of a cell's ratings
+_SLABS = "fold int, kind int, block int, part int, ids binary, bias binary, factors binary"
+_CELLS = "stratum int, fold int, kind int, cell int, part int, ids binary, bias binary, other binary, level binary"
 
 
 def hashed_fold(user: Column, item: Column, folds: int) -> Column:
@@ -46,12 +50,22 @@ def descend(
     the earlier ones of its user and its item only; ratings that wait for nothing more share neither, so
     they are taken together, with the result of one after the other.
     """
-    user_bias, item_bias = biases
-    of_user, of_item = factors
     level = waits(users, items)
     order = np.argsort(level, kind="stable")
-    for at in np.split(order, np.flatnonzero(np.diff(level[order])) + 1):
-        if len(at) >= TOGETHER:
+    _follow(users[order], items[order], ratings[order], level[order], mean, biases, factors, rate, penalty)
+
+
+def _follow(
+    users: np.ndarray, items: np.ndarray, ratings: np.ndarray, level: np.ndarray, mean: float, biases: tuple[np.ndarray, np.ndarray],
+    factors: tuple[np.ndarray, np.ndarray], rate: float, penalty: float,
+) -> None:
+    """``descend`` for ratings that lie by their level already."""
+    user_bias, item_bias = biases
+    of_user, of_item = factors
+    bounds = [0, *(np.flatnonzero(np.diff(level)) + 1).tolist(), len(level)]
+    for low, high in zip(bounds, bounds[1:]):
+        at = slice(low, high)
+        if high - low >= TOGETHER:
             u, i = users[at], items[at]
             p, q, a, b = of_user[u], of_item[i], user_bias[u], item_bias[i]
             error = ratings[at] - (mean + a + b + np.einsum("ij,ij->i", p, q))
@@ -92,36 +106,96 @@ def blocks_for(ratings: DataFrame, cell: int = CELL) -> int:
     return max(LEAST_BLOCKS, int(np.ceil(np.sqrt(total / cell))), -(-hottest // cell))
 
 
+def _slabs(names: Sequence[str], fixed: Sequence, arrays: Sequence[np.ndarray], size: int) -> pa.RecordBatch:
+    """Arrays of one length cut into rows of ``size`` elements: the fixed values, the part, the bytes of each array."""
+    parts = range(0, len(arrays[0]), size)
+    whole = [pa.array([v] * len(parts), pa.int32()) for v in fixed]
+    cut = [pa.array([a[at:at + size].tobytes() for at in parts], pa.binary()) for a in arrays]
+    return pa.RecordBatch.from_arrays([*whole, pa.array(range(len(parts)), pa.int32()), *cut], names=list(names))
+
+
+def _joined(rows: pa.Table, column: str, dtype: str) -> np.ndarray:
+    return np.frombuffer(b"".join(rows.column(column).to_pylist()), dtype)
+
+
+def _block_start(seed: int, rank: int):
+    """The task of one block: its ids in order with their first factors, drawn once for all folds."""
+    size = max(1, SLAB // (8 * rank))
+
+    def run(table: pa.Table) -> pa.Table:
+        kind, block = table.column("kind")[0].as_py(), table.column("block")[0].as_py()
+        folds, ids = table.column("fold").to_numpy(), table.column("id").to_numpy()
+        every = np.unique(ids)
+        rows = np.stack([start_row(seed, kind, i, rank) for i in every.tolist()])
+        out = []
+        for fold in np.unique(folds).tolist():
+            own = np.isin(every, ids[folds == fold])
+            out.append(_slabs([c.split()[0] for c in _SLABS.split(", ")], [fold, kind, block],
+                              [every[own], np.zeros(int(own.sum())), rows[own]], size))
+        return pa.Table.from_batches(out)
+
+    return run
+
+
+def _cell(folds: Sequence[int]):
+    """The task of one cell: for each fold the others' ratings in the order of the descent, with their levels, which no epoch changes."""
+    size = max(1, SLAB // 8)
+
+    def run(table: pa.Table) -> pa.Table:
+        stratum, cell = table.column("stratum")[0].as_py(), table.column("cell")[0].as_py()
+        of, *columns = (table.column(c).to_numpy() for c in ("fold", "id", "other", "bias"))
+        out = []
+        for fold in folds:
+            users, items, ratings = (c[of != fold] for c in columns)
+            # by item, then by user
+            order = np.lexsort((users, items))
+            level = waits(*(np.unique(a[order], return_inverse=True)[1] for a in (users, items)))
+            later = np.argsort(level, kind="stable")
+            order = order[later]
+            out.append(_slabs([c.split()[0] for c in _CELLS.split(", ")], [stratum, fold, RATING, cell],
+                              [users[order], ratings[order], items[order], level[later]], size))
+        return pa.Table.from_batches(out)
+
+    return run
+
+
 def _stratum(means: dict[int, float], rank: int, rate: float, penalty: float):
     """The task of one fold and user block: its factor rows after the ratings of this stratum."""
+    size = max(1, SLAB // (8 * rank))
 
     def run(table: pa.Table) -> pa.Table:
         fold = table.column("fold")[0].as_py()
+        table = table.sort_by("part")
         kind = table.column("kind").to_numpy()
         rows = {k: table.filter(pa.array(kind == k)) for k in (USER, ITEM, RATING)}
-        ids, biases, factors = [], [], []
-        for k in (USER, ITEM):
-            ids.append(rows[k].column("id").to_numpy())
-            biases.append(rows[k].column("bias").to_numpy().copy())
-            flat = rows[k].column("factors").combine_chunks().flatten().to_numpy()
-            factors.append(flat.reshape(-1, rank).copy())
-        users, items = rows[RATING].column("id").to_numpy(), rows[RATING].column("other").to_numpy()
-        # the order of the descent: by item, then by user
-        order = np.lexsort((users, items))
-        at = []
-        for own, keys in zip(ids, (users, items)):
-            sorter = np.argsort(own, kind="stable")
-            at.append(sorter[np.searchsorted(own, keys, sorter=sorter)][order])
-        ratings = rows[RATING].column("bias").to_numpy()[order]
-        descend(at[0], at[1], ratings, means[fold], tuple(biases), tuple(factors), rate, penalty)
-        out = []
-        for k in (USER, ITEM):
-            n = len(ids[k])
-            out.append(pa.table({
-                "fold": pa.array(np.full(n, fold), pa.int32()), "kind": pa.array(np.full(n, k), pa.int32()), "id": pa.array(ids[k], pa.int64()),
-                "block": rows[k].column("block").cast(pa.int32()), "bias": pa.array(biases[k], pa.float64()),
-                "factors": pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * rank, pa.int32()), pa.array(factors[k].ravel(), pa.float64()))}))
-        return pa.concat_tables(out)
+        ids = [_joined(rows[k], "ids", "int64") for k in (USER, ITEM)]
+        biases = tuple(_joined(rows[k], "bias", "float64").copy() for k in (USER, ITEM))
+        factors = tuple(_joined(rows[k], "factors", "float64").reshape(-1, rank).copy() for k in (USER, ITEM))
+        # a block's ids lie in order
+        users, items = (np.searchsorted(own, _joined(rows[RATING], c, "int64")) for own, c in zip(ids, ("ids", "other")))
+        ratings, level = _joined(rows[RATING], "bias", "float64"), _joined(rows[RATING], "level", "int64")
+        if len(ratings):
+            _follow(users, items, ratings, level, means[fold], biases, factors, rate, penalty)
+        return pa.Table.from_batches([
+            _slabs([c.split()[0] for c in _SLABS.split(", ")], [fold, k, rows[k].column("block")[0].as_py()], [ids[k], biases[k], factors[k]], size)
+            for k in (USER, ITEM) if len(ids[k])])
+
+    return run
+
+
+def _factor_rows(rank: int):
+    """Slabs as a row an id."""
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids = np.frombuffer(row["ids"], "int64")
+                same = [pa.array(np.full(len(ids), row[c]), pa.int32()) for c in ("fold", "kind", "block")]
+                flat = pa.array(np.frombuffer(row["factors"], "float64"))
+                yield pa.RecordBatch.from_arrays(
+                    [same[0], same[1], pa.array(ids), same[2], pa.array(np.frombuffer(row["bias"], "float64")),
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * rank, pa.int32()), flat)],
+                    names=["fold", "kind", "id", "block", "bias", "factors"])
 
     return run
 
@@ -135,7 +209,8 @@ def fit_folds(
     ``ratings`` holds user_id, product_id (whole numbers), rating and ``fold``, one row a pair.  An epoch
     visits strata 0, 1, ...; a cell's ratings are visited by item and user, so the result is the same on
     every run and for any number of tasks.  What a task holds is a cell's ratings and two blocks of
-    factors.  Factors are written after each stratum: a lost executor repeats one stratum.
+    factors.  Factors are written after each stratum: a lost executor repeats one stratum.  Between strata
+    blocks and ratings lie as bytes, some megabytes a row; ratings in the order of their descent.
     """
     spark = ratings.sparkSession
     folder = work_folder(spark)
@@ -149,40 +224,34 @@ def fit_folds(
         many = sum(m for _, m in others)
         if many:
             means[fold] = sum(t for t, _ in others) / many
-    trained = known.withColumn("of", F.col("fold")).withColumn("fold", F.explode(F.array(*[F.lit(f) for f in sorted(means)] or [F.lit(0)])))
-    trained = trained.filter(F.col("of") != F.col("fold")).select(
-        F.col("fold").cast("int").alias("fold"), F.lit(RATING).alias("kind"), F.col("user_id").cast("long").alias("id"),
-        F.col("product_id").cast("long").alias("other"), _block(F.col("user_id"), n).alias("cell"), _block(F.col("product_id"), n).alias("block"),
-        F.col("rating").alias("bias"), F.lit(None).cast("array<double>").alias("factors"))
+    # the models that each fold's ratings train
+    model = F.explode(F.array(*[F.lit(f) for f in sorted(means)] or [F.lit(0)]))
+    trained = lambda df: df.withColumnRenamed("fold", "of").withColumn("fold", model).filter("of <> fold").drop("of")
+    cell, block = _block(F.col("user_id"), n), _block(F.col("product_id"), n)
+    dealt = known.select(
+        F.pmod(block - cell, F.lit(n)).alias("stratum"), cell.alias("cell"), F.col("fold").cast("int").alias("fold"),
+        F.col("user_id").cast("long").alias("id"), F.col("product_id").cast("long").alias("other"), F.col("rating").alias("bias"))
     # a folder a stratum: each reads its own ratings, not all of them
-    stratum = F.pmod(F.col("block") - F.col("cell"), F.lit(n))
-    trained = trained.withColumn("stratum", stratum)
-    trained.repartition("stratum", "fold", "cell").write.partitionBy("stratum").parquet(f"{folder}/trained")
-    trained = spark.read.schema(trained.schema).parquet(f"{folder}/trained")
-
-    def begin(batches):
-        for batch in batches:
-            kinds, keys = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            rows = [start_row(seed, k, i, rank) for k, i in zip(kinds, keys)]
-            flat = np.concatenate(rows) if rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), batch.column(3), pa.array(np.zeros(len(rows)), pa.float64()),
-                 pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * rank, pa.int32()), pa.array(flat, pa.float64()))],
-                names=["fold", "kind", "id", "block", "bias", "factors"])
-
-    users = trained.select("fold", F.lit(USER).alias("kind"), "id", F.col("cell").alias("block")).distinct()
-    items = trained.select("fold", F.lit(ITEM).alias("kind"), F.col("other").alias("id"), "block").distinct()
-    state = written(users.unionByName(items).mapInArrow(begin, _FACTORS), f"{folder}/state-0")
-    none = F.lit(None).cast("long")
+    cells = dealt.groupBy("stratum", "cell").applyInArrow(_cell(sorted(means)), _CELLS)
+    cells.write.partitionBy("stratum").parquet(f"{folder}/trained")
+    cells = spark.read.schema(cells.schema).parquet(f"{folder}/trained")
+
+    keyed = lambda kind, key: trained(known.select("fold", F.col(key).cast("long").alias("id")).distinct()).distinct().select(
+        "fold", F.lit(kind).alias("kind"), "id", _block(F.col("id"), n).alias("block"))
+    begun = keyed(USER, "user_id").unionByName(keyed(ITEM, "product_id")).groupBy("kind", "block").applyInArrow(_block_start(seed, rank), _SLABS)
+    state = written(begun, f"{folder}/state-0")
+    none = F.lit(None).cast("binary")
     for k in range(epochs * n):
         # user block c meets item block c + k: the cell of a user is its block, of an item the user block it meets
         cell = F.when(F.col("kind") == USER, F.col("block")).otherwise(F.pmod(F.col("block") - F.lit(k % n), F.lit(n)))
-        rows = state.select("fold", "kind", "id", none.alias("other"), cell.alias("cell"), "block", "bias", "factors")
-        now = trained.filter(F.col("stratum") == k % n).drop("stratum")
+        rows = state.withColumns({"cell": cell, "other": none, "level": none})
+        now = cells.filter(F.col("stratum") == k % n).drop("stratum").withColumns({"block": F.lit(None).cast("int"), "factors": none})
         task = _stratum(means, rank, rate, penalty)
-        state = written(rows.unionByName(now).groupBy("fold", "cell").applyInArrow(task, _FACTORS), f"{folder}/state-{k + 1}")
+        state = written(rows.unionByName(now).groupBy("fold", "cell").applyInArrow(task, _SLABS), f"{folder}/state-{k + 1}")
         drop_folder(spark, f"{folder}/state-{k}")
-    return state, means
+    model = written(state.mapInArrow(_factor_rows(rank), _FACTORS), f"{folder}/model")
+    drop_folder(spark, f"{folder}/state-{epochs * n}")
+    return model, means
 
 
 def predict(ratings: DataFrame, model: DataFrame, means: dict[int, float], low: float = 1.0, high: float = 5.0) -> DataFrame:
