@@ -147,3 +147,16 @@ def test_an_iteration_of_als_leaves_no_shuffle_files(spark, monkeypatch):
     assert fold_predictions(data, 3, rank=2).count() == 96
     assert len(fitted) == 3 and {als.getCheckpointInterval() for als in fitted} == {1}
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_pairs_of_the_texts_are_not_shuffled_to_find_phrases(spark, monkeypatch):
+    words = [("x y x y z".split()), ("z x y".split()), (["z"],)[0], None, []]
+    df = spark.createDataFrame(list(enumerate(words)), "d long, toks array<string>")
+    # of unknown size, as the phrases of a corpus are
+    found = spark.createDataFrame(spark.sparkContext.parallelize([("x", "y"), ("q", "r")]), "a string, b string")
+    joined = tx.join_phrases(df, "d", "toks", found)
+    assert "hashpartitioning(a#" not in joined._jdf.queryExecution().executedPlan().toString()
+    want = {0: ["x_y", "x_y", "z"], 1: ["z", "x_y"], 2: ["z"], 3: None, 4: []}
+    assert {r.d: r.toks for r in joined.collect()} == want
+    monkeypatch.setattr(tx, "HASHES", 0)  # too many to hold: the planner decides
+    assert {r.d: r.toks for r in tx.join_phrases(df, "d", "toks", found).collect()} == want

@@ -135,10 +135,11 @@ def phrases(
     # words (b is null) and pairs counted in one pass over the texts; the counts are used
     # four times below and are far smaller than the texts
     single = F.transform(tokens_col, lambda t: F.struct(t.alias("a"), F.lit(None).cast("string").alias("b")))
-    counts = cut_lineage(
+    counts = written(
         df.select(F.explode(F.concat(single, token_pairs(tokens_col))).alias("p"))
         .groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b"))
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("n")),
+        work_folder(df.sparkSession),
     )
     size = counts.agg(F.count("*")).scalar()
     words = counts.filter(F.col("b").isNull())
@@ -153,6 +154,9 @@ def phrases(
     )
 
 
+HASHES = 2_000_000  # hashes of phrases that every task may hold: some hundred megabytes at most
+
+
 def join_phrases(df: DataFrame, doc: str, tokens_col: str, found: DataFrame) -> DataFrame:
     """Tokens with each phrase joined by '_', left to right; a token joins at most once.
 
@@ -163,7 +167,14 @@ def join_phrases(df: DataFrame, doc: str, tokens_col: str, found: DataFrame) ->
     pairs = df.select(doc, F.posexplode(token_pairs(tokens_col)).alias("i", "p")).select(
         doc, "i", "p.a", "p.b"
     )
-    starts = pairs.join(found.select("a", "b"), ["a", "b"], "left_semi").select(doc, "i")
+    # stored, so that their real size decides how they are joined; hashes are far smaller than words, so the
+    # pairs of the texts are held against them where they lie, and only those that pass meet the phrases
+    known = written(found.select("a", "b"), work_folder(df.sparkSession))
+    hashes = known.select(F.xxhash64("a", "b").alias("_hash"))
+    if known.count() <= HASHES:
+        hashes = F.broadcast(hashes)
+    likely = pairs.join(hashes, F.xxhash64(pairs["a"], pairs["b"]) == hashes["_hash"], "left_semi")
+    starts = likely.join(known, ["a", "b"], "left_semi").select(doc, "i")
     run = F.col("i") - F.row_number().over(Window.partitionBy(doc).orderBy("i"))
     place = F.row_number().over(Window.partitionBy(doc, "_run").orderBy("i"))
     joining = starts.withColumn("_run", run).withColumn("_place", place).filter("_place % 2 = 1")
